@@ -143,3 +143,140 @@ def with_logs(body: str, speedup: int, extra_ctes: str = "") -> str:
     if extra_ctes:
         ctes += ",\n" + extra_ctes
     return f"WITH {ctes}\n{body}"
+
+
+# ---------------------------------------------------------------------------
+# History analyses (join form, as the original jobs compute them)
+# ---------------------------------------------------------------------------
+def reputation_sql(logs: str = "logs") -> str:
+    return f"""SELECT a.source_ip, a.log_type, a.total_events, a.unique_targets, a.total_bytes,
+    coalesce(m.malicious_count, 0) AS malicious_count,
+    coalesce(s.suspicious_count, 0) AS suspicious_count,
+    CAST(least(100, floor((coalesce(m.malicious_count, 0) * 10 + coalesce(s.suspicious_count, 0) * 5)
+         / a.total_events * 100)) AS BIGINT) AS reputation_score
+  FROM (
+    SELECT source_ip, log_type, count(*) AS total_events, count(DISTINCT dest_ip) AS unique_targets,
+      CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes
+    FROM {logs} WHERE threat_label IN ('suspicious', 'malicious') GROUP BY source_ip, log_type
+  ) a
+  LEFT JOIN (SELECT source_ip, count(*) AS malicious_count FROM {logs}
+             WHERE threat_label = 'malicious' GROUP BY source_ip) m USING (source_ip)
+  LEFT JOIN (SELECT source_ip, count(*) AS suspicious_count FROM {logs}
+             WHERE threat_label = 'suspicious' GROUP BY source_ip) s USING (source_ip)"""
+
+
+def top_malicious_sql(k: int = S.TOP_MALICIOUS_K) -> str:
+    return f"""SELECT * FROM ({reputation_sql()}) r
+  ORDER BY total_events DESC, source_ip, log_type LIMIT {k}"""
+
+
+def volume_stats_sql(logs: str = "logs") -> str:
+    return f"""SELECT threat_label, log_type, protocol,
+    avg(bytes_transferred) AS avg_bytes, max(bytes_transferred) AS max_bytes,
+    quantile_disc(bytes_transferred, 0.95) AS p95_bytes,
+    count(*) AS event_count, CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes
+  FROM {logs} GROUP BY threat_label, log_type, protocol"""
+
+
+def timeline_sql(logs: str = "logs") -> str:
+    # three filtered aggregations joined on the hour key, zeros filled
+    def part(label):
+        return f"""(SELECT strftime("timestamp", '%Y%m%d') AS event_date,
+        CAST(hour("timestamp") AS INTEGER) AS event_hour, count(*) AS {label}_count
+      FROM {logs} WHERE threat_label = '{label}' AND "timestamp" IS NOT NULL GROUP BY 1, 2)"""
+
+    return f"""SELECT event_date, event_hour,
+    coalesce(malicious_count, 0) AS malicious_count,
+    coalesce(suspicious_count, 0) AS suspicious_count,
+    coalesce(benign_count, 0) AS benign_count
+  FROM {part('malicious')} m
+  FULL OUTER JOIN {part('suspicious')} s USING (event_date, event_hour)
+  FULL OUTER JOIN {part('benign')} b USING (event_date, event_hour)"""
+
+
+def label_counts_sql(label: str, logs: str = "logs") -> str:
+    return f"""SELECT source_ip, count(*) AS {label}_count FROM {logs}
+  WHERE threat_label = '{label}' GROUP BY source_ip"""
+
+
+# ---------------------------------------------------------------------------
+# Alerts (envelope, union of live detectors, read-side views)
+# ---------------------------------------------------------------------------
+def _envelope_windowed(src: str) -> str:
+    return f"""SELECT source_ip AS ip_source, window_end AS bucket_time,
+    sha256(alert_type || '|' || source_ip || '|' || CAST(epoch_us(window_start) AS VARCHAR)) AS alert_id,
+    window_end AS last_seen, CAST(threat_score AS INTEGER) AS threat_score, [alert_type] AS attack_types,
+    alert_type, severity, CAST(event_count AS INTEGER) AS event_count,
+    CAST(coalesce(bytes_total, 0) AS BIGINT) AS bytes_total,
+    [coalesce(nullif(user_agent, ''), 'unknown')] AS user_agents,
+    [coalesce(nullif(log_type, ''), 'unknown')] AS log_sources,
+    window_start, window_end
+  FROM {src}"""
+
+
+def _envelope_event(src: str) -> str:
+    return f"""SELECT source_ip AS ip_source, "timestamp" AS bucket_time,
+    sha256(alert_type || '|' || source_ip || '|' || CAST(event_id AS VARCHAR)) AS alert_id,
+    "timestamp" AS last_seen, CAST(threat_score AS INTEGER) AS threat_score, [alert_type] AS attack_types,
+    alert_type, severity, CAST(event_count AS INTEGER) AS event_count,
+    CAST(coalesce(bytes_total, 0) AS BIGINT) AS bytes_total,
+    [coalesce(nullif(user_agent, ''), 'unknown')] AS user_agents,
+    [coalesce(nullif(log_type, ''), 'unknown')] AS log_sources,
+    CAST(NULL AS TIMESTAMP) AS window_start, CAST(NULL AS TIMESTAMP) AS window_end
+  FROM {src}"""
+
+
+def alert_ctes(which=("bf", "sig", "vol")) -> str:
+    """CTEs ``bf``, ``sig``, ``vol`` (detector rows) and ``alerts`` (envelope union)."""
+    parts = {
+        "bf": (brute_force_sql(), _envelope_windowed("bf")),
+        "sig": (signatures_sql(), _envelope_event("sig")),
+        "vol": (volume_anomaly_sql(), _envelope_windowed("vol")),
+    }
+    ctes = [f"{k} AS ({parts[k][0]})" for k in which]
+    union = "\n  UNION ALL\n".join(parts[k][1] for k in which)
+    ctes.append(f"alerts AS ({union})")
+    ctes.append(
+        """live AS (SELECT * FROM alerts
+    WHERE bucket_time > (SELECT max(bucket_time) FROM alerts) - INTERVAL 24 HOUR
+      AND bucket_time <= (SELECT max(bucket_time) FROM alerts))"""
+    )
+    ctes.append(
+        """recent AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ip_source
+      ORDER BY bucket_time DESC, alert_id) AS alert_rank FROM live) r WHERE alert_rank <= 10)"""
+    )
+    ctes.append(
+        """speed AS (SELECT ip_source AS ip, CAST(count(*) AS INTEGER) AS active_alerts,
+      max(last_seen) AS last_seen, max(threat_score) AS current_threat_score,
+      CAST(sum(bytes_total) AS BIGINT) AS bytes_recent_alerts,
+      list_sort(list_distinct(flatten(list(list_concat(attack_types, [alert_type])))))
+        AS recent_attack_types
+    FROM recent GROUP BY ip_source)"""
+    )
+    return ",\n".join(ctes)
+
+
+def with_alerts(body: str, speedup: int, which=("bf", "sig", "vol")) -> str:
+    return with_logs(body, speedup, alert_ctes(which))
+
+
+ACTIVE_ALERTS_BODY = f"""SELECT * FROM live
+  ORDER BY threat_score DESC, bucket_time DESC, alert_id LIMIT {S.ACTIVE_ALERTS_LIMIT}"""
+
+SEVERITY_METRICS_BODY = """SELECT count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_alerts,
+    count(*) FILTER (WHERE severity = 'HIGH') AS high_alerts, count(*) AS total_alerts FROM live"""
+
+TOP_ALERT_IPS_BODY = """SELECT CAST(row_number() OVER (ORDER BY max_score DESC, ip_source) AS INTEGER) AS rank,
+    ip_source, max_score, max_score * CAST(100.0 AS DOUBLE) / max(max_score) OVER () AS bar_pct,
+    CASE WHEN max_score >= 80 THEN 'crit' WHEN max_score >= 60 THEN 'high'
+         WHEN max_score >= 40 THEN 'med' ELSE 'low' END AS score_band
+  FROM (SELECT ip_source, max(coalesce(threat_score, 0)) AS max_score FROM live
+        WHERE ip_source IS NOT NULL GROUP BY ip_source
+        ORDER BY max_score DESC, ip_source LIMIT 10) t"""
+
+
+def alert_type_counts_body() -> str:
+    t = "coalesce(alert_type, 'OTHER')"
+    arms = ", ".join(f"count(*) FILTER (WHERE {t} = '{k}') AS {k.lower()}" for k in S.CHART_ALERT_TYPES)
+    known = ", ".join(f"'{k}'" for k in S.CHART_ALERT_TYPES)
+    return f"SELECT {arms}, count(*) FILTER (WHERE {t} NOT IN ({known})) AS other FROM live"

@@ -30,3 +30,47 @@ def brute_force(spark, sf_dir):
 @register("volume_anomaly", O.with_logs(O.volume_anomaly_sql(), DETECT_SPEEDUP))
 def volume_anomaly(spark, sf_dir):
     return detect.detect_volume_anomaly(detect_logs(spark, sf_dir))
+
+
+# --- history analyses --------------------------------------------------------
+from vigil.operators import analyze  # noqa: E402
+
+
+@register("filter_label", O.with_logs(f"SELECT {O.LOG_COLS} FROM logs WHERE threat_label = 'malicious'", 1))
+def filter_label(spark, sf_dir):
+    return analyze.filter_label(history_logs(spark, sf_dir), "malicious")
+
+
+@register("malicious_counts", O.with_logs(O.label_counts_sql("malicious"), 1))
+def malicious_counts(spark, sf_dir):
+    return analyze.label_counts(history_logs(spark, sf_dir), "malicious")
+
+
+@register("suspicious_counts", O.with_logs(O.label_counts_sql("suspicious"), 1))
+def suspicious_counts(spark, sf_dir):
+    return analyze.label_counts(history_logs(spark, sf_dir), "suspicious")
+
+
+@register("ip_reputation_all", O.with_logs(O.reputation_sql(), 1))
+def ip_reputation_all(spark, sf_dir):
+    return analyze.reputation_by_ip_logtype(history_logs(spark, sf_dir))
+
+
+@register("top_malicious_ips", O.with_logs(O.top_malicious_sql(), 1))
+def top_malicious_ips(spark, sf_dir):
+    return analyze.top_malicious_ips(history_logs(spark, sf_dir))
+
+
+@register("volume_stats", O.with_logs(O.volume_stats_sql(), 1))
+def volume_stats(spark, sf_dir):
+    return analyze.volume_stats(history_logs(spark, sf_dir))
+
+
+@register("volume_stats_exact", O.with_logs(O.volume_stats_sql(), 1))
+def volume_stats_exact(spark, sf_dir):
+    return analyze.volume_stats(history_logs(spark, sf_dir), p95="exact")
+
+
+@register("timeline", O.with_logs(O.timeline_sql(), 1))
+def timeline(spark, sf_dir):
+    return analyze.threat_timeline(history_logs(spark, sf_dir))
