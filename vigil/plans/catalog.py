@@ -46,7 +46,9 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # query modules register themselves on import
-    from vigil.plans import queries_alerts, queries_batch, queries_ingest, queries_stream  # noqa: F401
+    from vigil.plans import (  # noqa: F401
+        queries_alerts, queries_batch, queries_ingest, queries_serving, queries_stream,
+    )
 
 
 def history_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -280,3 +280,86 @@ def alert_type_counts_body() -> str:
     arms = ", ".join(f"count(*) FILTER (WHERE {t} = '{k}') AS {k.lower()}" for k in S.CHART_ALERT_TYPES)
     known = ", ".join(f"'{k}'" for k in S.CHART_ALERT_TYPES)
     return f"SELECT {arms}, count(*) FILTER (WHERE {t} NOT IN ({known})) AS other FROM live"
+
+
+# ---------------------------------------------------------------------------
+# Served tables and fused profiles
+# ---------------------------------------------------------------------------
+def snapshot_sql(logs: str = "logs") -> str:
+    m = "count(*) FILTER (WHERE threat_label = 'malicious')"
+    s = "count(*) FILTER (WHERE threat_label = 'suspicious')"
+    return f"""SELECT source_ip, count(*) AS total_events, count(DISTINCT dest_ip) AS unique_targets,
+    CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes,
+    {m} AS malicious_count, {s} AS suspicious_count,
+    list_sort(list_distinct(list(log_type))) AS log_types,
+    min("timestamp") AS first_seen, max("timestamp") AS last_seen,
+    CAST(least(100, floor(({m} * 10 + {s} * 5) / count(*) * 100)) AS BIGINT) AS reputation_score,
+    CAST(least(100, floor(({m} * 10 + {s} * 5) / ({m} + {s}) * 10)) AS INTEGER) AS reputation_score_norm
+  FROM {logs} WHERE threat_label IN ('malicious', 'suspicious') GROUP BY source_ip"""
+
+
+def serving_ctes(score_col: str = "reputation_score") -> str:
+    known = ", ".join(f"'{k}'" for k in S.KNOWN_ATTACK_TYPES)
+    return ",\n".join(
+        [
+            alert_ctes(),
+            f"snap AS ({snapshot_sql()})",
+            f"ap AS ({attack_patterns_sql()})",
+            f"ps AS ({port_scan_sql()})",
+            """idx AS (
+    SELECT attack_category AS attack_type, source_ip, count(*) AS count, max("timestamp") AS last_seen
+    FROM ap GROUP BY attack_category, source_ip
+    UNION ALL
+    SELECT 'PORT_SCAN' AS attack_type, source_ip, max(distinct_targets) AS count, max(window_end) AS last_seen
+    FROM ps GROUP BY source_ip)""",
+            f"""types AS (SELECT source_ip AS ip, list_sort(list_distinct(list(attack_type))) AS attack_types
+    FROM idx WHERE attack_type IN ({known}) GROUP BY source_ip)""",
+            f"""prof AS (
+    SELECT ip,
+      coalesce(CAST(b.{score_col} AS INTEGER), 0) AS reputation_score,
+      coalesce(b.total_events, 0) AS total_historical_events,
+      coalesce(t.attack_types, []::VARCHAR[]) AS attack_types_detected,
+      b.first_seen, b.last_seen AS last_batch_update,
+      coalesce(s.active_alerts, 0) AS active_alerts, s.last_seen,
+      coalesce(s.current_threat_score, 0) AS current_threat_score,
+      coalesce(s.recent_attack_types, []::VARCHAR[]) AS recent_attack_types,
+      coalesce(s.bytes_recent_alerts, 0) AS bytes_recent_alerts
+    FROM (SELECT source_ip AS ip, * EXCLUDE (source_ip) FROM snap) b
+    FULL OUTER JOIN types t USING (ip)
+    FULL OUTER JOIN speed s USING (ip))""",
+            """fused AS (
+    SELECT *,
+      CASE WHEN reputation_score > 80 AND active_alerts >= 1 THEN 'BLOCK'
+           WHEN reputation_score >= 50 THEN 'MONITOR'
+           WHEN active_alerts > 0 THEN 'MONITOR' ELSE 'ALLOW' END AS recommendation,
+      round(least(1.0, (reputation_score * CAST(0.4 AS DOUBLE) + current_threat_score * CAST(0.6 AS DOUBLE))
+                       / CAST(100.0 AS DOUBLE)), 2) AS confidence
+    FROM prof)""",
+        ]
+    )
+
+
+def with_serving(body: str, speedup: int, score_col: str = "reputation_score") -> str:
+    return with_logs(body, speedup, serving_ctes(score_col))
+
+
+TIMELINE_RANGE_BODY = f"""SELECT event_date AS date, lpad(CAST(event_hour AS VARCHAR), 2, '0') AS hour,
+    malicious_count AS malicious, suspicious_count AS suspicious, benign_count AS benign,
+    event_date || ' ' || lpad(CAST(event_hour AS VARCHAR), 2, '0') || 'h' AS label
+  FROM ({timeline_sql()}) t
+  WHERE event_date BETWEEN '{S.TIMELINE_DEFAULT_FROM}' AND '{S.TIMELINE_DEFAULT_TO}'"""
+
+GLOBAL_STATS_BODY = f"""SELECT count(*) AS total_ips_analyzed,
+    count(*) FILTER (WHERE reputation_score > {S.HIGH_RISK_SCORE}) AS high_risk_ips FROM snap"""
+
+GLOBAL_STATS_NORM_BODY = f"""SELECT count(*) AS total_ips_analyzed,
+    count(*) FILTER (WHERE reputation_score_norm > {S.HIGH_RISK_SCORE}) AS high_risk_ips FROM snap"""
+
+PROFILE_DOCS_BODY = """SELECT ip,
+    {'reputationScore': reputation_score, 'totalHistoricalEvents': total_historical_events,
+     'attackTypesDetected': attack_types_detected, 'firstSeen': first_seen,
+     'lastBatchUpdate': last_batch_update} AS batch_layer,
+    {'activeAlerts': active_alerts, 'lastSeen': last_seen, 'currentThreatScore': current_threat_score,
+     'recentAttackTypes': recent_attack_types, 'bytesRecentAlerts': bytes_recent_alerts} AS speed_layer,
+    recommendation, confidence
+  FROM fused"""
