@@ -363,3 +363,45 @@ PROFILE_DOCS_BODY = """SELECT ip,
      'recentAttackTypes': recent_attack_types, 'bytesRecentAlerts': bytes_recent_alerts} AS speed_layer,
     recommendation, confidence
   FROM fused"""
+
+
+# ---------------------------------------------------------------------------
+# Ingestion and message codec
+# ---------------------------------------------------------------------------
+LOG_COLS_SECONDS = LOG_COLS.replace('"timestamp"', 'date_trunc(\'second\', "timestamp") AS "timestamp"')
+
+DATE_PARTITIONS_BODY = f"""SELECT {LOG_COLS}, strftime("timestamp", '%Y') AS year,
+    strftime("timestamp", '%m') AS month, strftime("timestamp", '%d') AS day FROM logs"""
+
+INGEST_CSV_BODY = f"SELECT {LOG_COLS_SECONDS.replace(', event_id', '')} FROM logs"
+
+PARSE_JSON_BODY = f"SELECT {LOG_COLS_SECONDS} FROM logs"
+
+
+def _json_str(expr: str) -> str:
+    return f"coalesce(CAST(to_json({expr}) AS VARCHAR), 'null')"
+
+
+def encode_messages_body() -> str:
+    parts = []
+    for c in S.LOG_COLUMNS + ["event_id"]:
+        if c == "timestamp":
+            v = _json_str("""strftime("timestamp", '%Y-%m-%dT%H:%M:%SZ')""")
+        elif c in ("bytes_transferred", "event_id"):
+            v = f"coalesce(CAST({c} AS VARCHAR), 'null')"
+        else:
+            v = _json_str(c)
+        parts.append(f"""'"{c}":' || {v}""")
+    value = " || ',' || ".join(parts)
+    part = " ".join(f"WHEN '{t}' THEN {p}" for t, p in S.MESSAGE_PARTITIONS.items())
+    return f"""SELECT 'cybersecurity-logs' AS topic, log_type AS key, '{{' || {value} || '}}' AS value,
+    CAST(CASE log_type {part} ELSE 0 END AS INTEGER) AS partition FROM logs"""
+
+
+NORMALIZE_BODY = f"""SELECT
+    CASE WHEN event_id % 4 = 3 THEN strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f')
+         ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%SZ') END AS "timestamp",
+    source_ip, dest_ip, protocol, action, threat_label, log_type, bytes_transferred,
+    coalesce(nullif(user_agent, ''), '') AS user_agent,
+    coalesce(nullif(request_path, ''), '/') AS request_path, event_id
+  FROM logs"""
