@@ -131,3 +131,27 @@ def threat_timeline(logs: DataFrame) -> DataFrame:
             F.count_if(lab == "benign").alias("benign_count"),
         )
     )
+
+
+def attack_category_counts(patterns: DataFrame) -> DataFrame:
+    """Number of matching events per attack category."""
+    return patterns.groupBy("attack_category").agg(F.count(F.lit(1)).alias("count"))
+
+
+def flag_summary(logs: DataFrame) -> DataFrame:
+    """Events per combination of the four signature flags (NULL = no text)."""
+    from vigil.operators.detect import with_signature_flags
+
+    return with_signature_flags(logs).groupBy("is_sqli", "is_xss", "is_lfi", "is_tool").agg(
+        F.count(F.lit(1)).alias("event_count")
+    )
+
+
+def top_attack_patterns(patterns: DataFrame, k: int = S.TOP_ATTACK_PATTERNS_K) -> DataFrame:
+    """Highest-scoring matches, newest first, event identity breaking ties."""
+    order = [F.col("threat_score").desc(), F.col("timestamp").desc()]
+    if "event_id" in patterns.columns:
+        order.append(F.col("event_id"))
+    else:
+        order += [F.col(c) for c in ("source_ip", "dest_ip", "request_path", "user_agent")]
+    return patterns.orderBy(*order).limit(k)

@@ -40,7 +40,21 @@ def first_value(df: DataFrame, column: str) -> Column:
 
 
 def _with_watermark(df: DataFrame, watermark: str | None) -> DataFrame:
-    return df.withWatermark("timestamp", watermark) if watermark and df.isStreaming else df
+    """Event-time watermark on streams.  Spark requires a ``TIMESTAMP`` event
+    time, so an NTZ wall clock is read in the session zone; window bounds are
+    cast back to NTZ by the detectors (the same zone, so the same wall clock)."""
+    if not (watermark and df.isStreaming):
+        return df
+    if dict(df.dtypes).get("timestamp") == "timestamp_ntz":
+        df = df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return df.withWatermark("timestamp", watermark)
+
+
+def _window_bounds() -> list[Column]:
+    return [
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+    ]
 
 
 # ---------------------------------------------------------------------------
@@ -138,8 +152,7 @@ def detect_brute_force(
         )
         .filter(F.col("blocked_count") > threshold)
         .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
+            *_window_bounds(),
             "source_ip",
             "blocked_count",
             "user_agent",
@@ -172,8 +185,7 @@ def detect_volume_anomaly(
         )
         .filter(F.col("bytes_total") > threshold_bytes)
         .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
+            *_window_bounds(),
             "source_ip",
             "bytes_total",
             "event_count",

@@ -405,3 +405,11 @@ NORMALIZE_BODY = f"""SELECT
     coalesce(nullif(user_agent, ''), '') AS user_agent,
     coalesce(nullif(request_path, ''), '/') AS request_path, event_id
   FROM logs"""
+
+ATTACK_CATEGORY_COUNTS_BODY = "SELECT attack_category, count(*) AS count FROM ap GROUP BY attack_category"
+
+ATTACK_FLAGS_BODY = f"""SELECT is_sqli, is_xss, is_lfi, is_tool, count(*) AS event_count
+  FROM (SELECT {_flags(P.BATCH_PATTERNS)} FROM logs) f GROUP BY ALL"""
+
+TOP_ATTACK_PATTERNS_BODY = f"""SELECT * FROM ap
+  ORDER BY threat_score DESC, "timestamp" DESC, event_id LIMIT {S.TOP_ATTACK_PATTERNS_K}"""

@@ -74,3 +74,21 @@ def volume_stats_exact(spark, sf_dir):
 @register("timeline", O.with_logs(O.timeline_sql(), 1))
 def timeline(spark, sf_dir):
     return analyze.threat_timeline(history_logs(spark, sf_dir))
+
+
+_AP = f"ap AS ({O.attack_patterns_sql()})"
+
+
+@register("attack_category_counts", O.with_logs(O.ATTACK_CATEGORY_COUNTS_BODY, 1, _AP))
+def attack_category_counts(spark, sf_dir):
+    return analyze.attack_category_counts(detect.detect_attack_patterns(history_logs(spark, sf_dir)))
+
+
+@register("attack_flags", O.with_logs(O.ATTACK_FLAGS_BODY, 1))
+def attack_flags(spark, sf_dir):
+    return analyze.flag_summary(history_logs(spark, sf_dir))
+
+
+@register("top_attack_patterns", O.with_logs(O.TOP_ATTACK_PATTERNS_BODY, 1, _AP))
+def top_attack_patterns(spark, sf_dir):
+    return analyze.top_attack_patterns(detect.detect_attack_patterns(history_logs(spark, sf_dir)))

@@ -1 +1,34 @@
-"""Placeholder."""
+"""Streaming detector queries (section H).
+
+Each runs the live detector as a Structured Streaming query over the
+``events`` Parquet source (mapped to logs and time-compressed in the
+stream), drains it with ``availableNow`` into the idempotent alert sink, and
+returns the newest revision of every alert.  The result must equal the
+static twin, so the oracle is the same SQL as the batch alert envelope.
+"""
+
+from __future__ import annotations
+
+from vigil.plans import oracle as O
+from vigil.plans.catalog import DETECT_SPEEDUP, register
+from vigil.streaming import detectors as D
+
+
+def _stream(spark, sf_dir, detector):
+    src = D.events_log_source(spark, sf_dir, DETECT_SPEEDUP, glob="events.parquet")
+    return D.stream_alerts(spark, src, detector)
+
+
+@register("stream_brute_force", O.with_alerts("SELECT * FROM alerts", DETECT_SPEEDUP, ("bf",)))
+def stream_brute_force(spark, sf_dir):
+    return _stream(spark, sf_dir, "brute_force")
+
+
+@register("stream_signatures", O.with_alerts("SELECT * FROM alerts", DETECT_SPEEDUP, ("sig",)))
+def stream_signatures(spark, sf_dir):
+    return _stream(spark, sf_dir, "signatures")
+
+
+@register("stream_volume_anomaly", O.with_alerts("SELECT * FROM alerts", DETECT_SPEEDUP, ("vol",)))
+def stream_volume_anomaly(spark, sf_dir):
+    return _stream(spark, sf_dir, "volume_anomaly")
