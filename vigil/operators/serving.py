@@ -56,13 +56,18 @@ def attack_type_index(logs: DataFrame) -> DataFrame:
     Signature matches are indexed under their real category with their event
     count; port scans keep the largest number of targets over all windows.
     """
+    return index_from_detections(detect.detect_attack_patterns(logs), detect.detect_port_scan(logs))
+
+
+def index_from_detections(attack_patterns: DataFrame, port_scans: DataFrame) -> DataFrame:
+    """The attack index from already computed (e.g. persisted) detector outputs."""
     patterns = (
-        detect.detect_attack_patterns(logs)
+        attack_patterns
         .groupBy(F.col("attack_category").alias("attack_type"), "source_ip")
         .agg(F.count(F.lit(1)).alias("count"), F.max("timestamp").alias("last_seen"))
     )
     scans = (
-        detect.detect_port_scan(logs)
+        port_scans
         .groupBy("source_ip")
         .agg(F.max("distinct_targets").alias("count"), F.max("window_end").alias("last_seen"))
         .select(F.lit("PORT_SCAN").alias("attack_type"), "source_ip", "count", "last_seen")
