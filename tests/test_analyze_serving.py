@@ -1,0 +1,148 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TS, row
+from vigil.functions import scoring
+from vigil.operators import analyze
+from vigil.operators import serving as V
+
+
+def _g1_rows():
+    r = []
+    for i, (proto, lt, b, p) in enumerate([("TCP", "firewall", 1024, "/admin"), ("TCP", "firewall", 2048, "/admin"),
+                                           ("HTTP", "ids", 512, "/login"), ("HTTP", "firewall", 768, "/wp"),
+                                           ("TCP", "firewall", 256, "/phpmyadmin")]):
+        r.append(row(src="192.168.1.100", dst=f"10.0.0.{i + 1}", proto=proto, label="malicious", log_type=lt,
+                     nbytes=b, agent="sqlmap/1.7", path=p))
+    r += [row(src="192.168.1.200", dst="10.0.0.10", action="allowed", label="suspicious", log_type="application",
+              nbytes=512, agent="Mozilla", path="/s"),
+          row(src="192.168.1.200", dst="10.0.0.11", action="allowed", label="suspicious", log_type="application",
+              nbytes=1024, agent="Mozilla", path="/s?q=1"),
+          row(src="192.168.1.200", dst="10.0.0.12", label="suspicious", log_type="ids", nbytes=256, agent="nikto/2",
+              path="/admin"),
+          row(src="192.168.1.50", dst="10.0.0.20", action="allowed", label="benign", log_type="application",
+              nbytes=1500, agent="Mozilla", path="/index.html")]
+    return r
+
+
+def test_g1_filter_and_benign_excluded(mk):
+    rep = analyze.reputation_by_ip_logtype(mk(_g1_rows()))
+    assert rep.agg(F.sum("total_events")).first()[0] == 8
+    assert rep.filter(F.col("source_ip") == "192.168.1.50").count() == 0
+
+
+def test_reputation_literal_and_per_ip_counts(mk):
+    rows = {(r["source_ip"], r["log_type"]): r for r in analyze.reputation_by_ip_logtype(mk(_g1_rows())).collect()}
+    fw = rows[("192.168.1.100", "firewall")]
+    assert (fw["total_events"], fw["unique_targets"], fw["total_bytes"]) == (4, 4, 1024 + 2048 + 768 + 256)
+    assert (fw["malicious_count"], fw["suspicious_count"]) == (5, 0)
+    assert {r["reputation_score"] for r in rows.values()} == {100}  # D-2: the literal score saturates
+
+
+def test_g10_normalised_score(mk):
+    rows = [row(label="malicious")] * 3 + [row(label="suspicious")] * 2
+    snap = V.reputation_snapshot(mk(rows)).collect()[0]
+    assert snap["reputation_score_norm"] == 80 and snap["reputation_score"] == 100
+    assert snap["malicious_count"] == 3 and snap["suspicious_count"] == 2 and snap["log_types"] == ["firewall"]
+
+
+def test_top_k_tie_break(mk):
+    rows = [row(src=f"10.0.0.{i}", label="malicious") for i in range(12)]
+    top = analyze.top_malicious_ips(mk(rows), k=10).collect()
+    assert [r["source_ip"] for r in top] == sorted(f"10.0.0.{i}" for i in range(12))[:10]
+
+
+def test_timeline_zero_filled_and_hour_bucket(mk):
+    rows = [row(ts=TS, label="malicious"), row(ts=TS + dt.timedelta(minutes=59), label="benign"),
+            row(ts=TS + dt.timedelta(hours=1), label="suspicious"), row(ts=None, label="malicious")]
+    got = sorted(tuple(r) for r in analyze.threat_timeline(mk(rows)).collect())
+    assert got == [("20231015", 14, 1, 0, 1), ("20231015", 15, 0, 1, 0)]
+
+
+def test_timeline_range_inclusive_and_label(mk):
+    rows = [row(ts=dt.datetime(2024, 1, 1, 0, 5)), row(ts=dt.datetime(2024, 1, 31, 23, 0)),
+            row(ts=dt.datetime(2024, 2, 1, 0, 0)), row(ts=dt.datetime(2023, 12, 31, 23, 59))]
+    tl = V.timeline_range(analyze.threat_timeline(mk(rows)), "20240101", "20240131")
+    got = sorted((r["date"], r["hour"], r["label"]) for r in tl.collect())
+    assert got == [("20240101", "00", "20240101 00h"), ("20240131", "23", "20240131 23h")]
+
+
+def test_volume_stats_exact_equals_discrete_percentile(mk):
+    rows = [row(nbytes=b) for b in range(1, 101)] + [row(nbytes=None)]
+    approx = analyze.volume_stats(mk(rows)).collect()[0]
+    exact = analyze.volume_stats(mk(rows), p95="exact").collect()[0]
+    assert exact["p95_bytes"] == 95 and approx["p95_bytes"] == 95
+    assert exact["event_count"] == 101 and exact["max_bytes"] == 100 and exact["avg_bytes"] == 50.5
+
+
+@pytest.mark.parametrize("b,a,expected", [(87, 3, "BLOCK"), (81, 1, "BLOCK"), (65, 0, "MONITOR"), (85, 0, "MONITOR"),
+                                          (50, 0, "MONITOR"), (0, 0, "ALLOW"), (49, 0, "ALLOW"), (0, 2, "MONITOR")])
+def test_g8_recommendation(spark, b, a, expected):
+    df = spark.createDataFrame([(b, a)], "reputation_score int, active_alerts int")
+    assert df.select(scoring.recommendation()).first()[0] == expected
+
+
+@pytest.mark.parametrize("b,s,expected", [(80, 100, 0.92), (100, 100, 1.0), (0, 0, 0.0)])
+def test_g9_confidence(spark, b, s, expected):
+    df = spark.createDataFrame([(b, s)], "reputation_score int, current_threat_score int")
+    assert df.select(scoring.confidence()).first()[0] == expected
+
+
+def test_profiles_full_outer_zero_fill(spark, mk):
+    logs = mk([row(src="10.0.0.1", label="malicious")] * 3)
+    snap = V.reputation_snapshot(logs)
+    types = spark.createDataFrame([("10.0.0.9", ["SQLI"])], "ip string, attack_types array<string>")
+    speed = spark.createDataFrame(
+        [("10.0.0.7", 2, TS, 85, 100, ["BRUTE_FORCE"])],
+        "ip string, active_alerts int, last_seen timestamp_ntz, current_threat_score int, "
+        "bytes_recent_alerts bigint, recent_attack_types array<string>",
+    )
+    prof = {r["ip"]: r for r in V.threat_profiles(snap, types, speed).collect()}
+    assert set(prof) == {"10.0.0.1", "10.0.0.7", "10.0.0.9"}
+    a = prof["10.0.0.1"]
+    assert (a["reputation_score"], a["active_alerts"], a["recommendation"], a["confidence"]) == (100, 0, "MONITOR", 0.4)
+    b = prof["10.0.0.7"]
+    assert (b["reputation_score"], b["recommendation"], b["confidence"], b["attack_types_detected"]) == (0, "MONITOR", 0.51, [])
+    c = prof["10.0.0.9"]
+    assert (c["recommendation"], c["attack_types_detected"], c["recent_attack_types"]) == ("ALLOW", ["SQLI"], [])
+
+
+def test_lookup_unknown_and_invalid(spark, mk):
+    prof = V.threat_profiles(V.reputation_snapshot(mk([row()])),
+                             spark.createDataFrame([], "ip string, attack_types array<string>"),
+                             spark.createDataFrame([], "ip string, active_alerts int, last_seen timestamp_ntz, "
+                                                       "current_threat_score int, bytes_recent_alerts bigint, "
+                                                       "recent_attack_types array<string>"))
+    req = spark.createDataFrame([(" 10.0.0.1 ",), ("1.2.3.4",), ("x" * 46,)], "ip string")
+    got = {r["ip"]: r for r in V.lookup_profiles(prof, req).collect()}
+    assert got["10.0.0.1"]["reputation_score"] == 100 and got["10.0.0.1"]["valid"]
+    assert got["1.2.3.4"]["recommendation"] == "ALLOW" and got["1.2.3.4"]["confidence"] == 0.0
+    assert got["x" * 46]["valid"] is False
+
+
+def test_global_stats(mk):
+    logs = mk([row(src="a", label="malicious")] * 3 + [row(src="b", label="suspicious")])
+    snap = V.reputation_snapshot(logs)
+    assert tuple(V.global_stats(snap).first()) == (2, 2)
+    assert tuple(V.global_stats(snap, "reputation_score_norm").first()) == (2, 1)
+
+
+def test_attack_index_real_categories_and_scan_max(mk):
+    rows = [row(src="s", dst=f"10.0.0.{i}", proto="TCP", agent="Mozilla", path="/") for i in range(30)]
+    rows += [row(src="s", dst=f"10.0.1.{i}", proto="TCP", agent="Mozilla", path="/",
+                 ts=TS + dt.timedelta(minutes=10)) for i in range(25)]
+    rows += [row(src="t", agent="x", path="/etc/passwd")] * 2
+    idx = {(r["attack_type"], r["source_ip"]): r["count"] for r in V.attack_type_index(mk(rows)).collect()}
+    assert idx == {("PORT_SCAN", "s"): 30, ("LFI", "t"): 2}
+    types = {r["ip"]: r["attack_types"] for r in V.attack_types_by_ip(V.attack_type_index(mk(rows))).collect()}
+    assert types == {"s": ["PORT_SCAN"], "t": ["LFI"]}
+
+
+def test_display_helpers(spark):
+    df = spark.createDataFrame([(0,), (512,), (2048,), (15728640,), (5 * 1024 ** 3,), (None,)], "b bigint")
+    got = [r[0] for r in df.select(scoring.human_bytes("b")).collect()]
+    assert got == ["0 B", "512.0 B", "2.0 KB", "15.0 MB", "5.0 GB", "0 B"]
+    s = spark.createDataFrame([(80,), (79,), (60,), (40,), (39,), (None,)], "s int")
+    assert [r[0] for r in s.select(scoring.score_band("s")).collect()] == ["crit", "high", "high", "med", "low", "low"]

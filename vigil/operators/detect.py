@@ -28,15 +28,12 @@ from vigil.functions import patterns as P
 from vigil.functions import scoring
 
 
-def _order_key(df: DataFrame) -> Column:
-    """Event order used to pick a group's first value deterministically."""
-    if "event_id" in df.columns:
-        return F.struct(F.col("timestamp"), F.col("event_id"))
-    return F.struct(F.col("timestamp"), F.col("dest_ip"), F.col("request_path"), F.col("user_agent"))
-
-
 def first_value(df: DataFrame, column: str) -> Column:
-    return F.min_by(F.col(column), _order_key(df))
+    """Value of the group's earliest event.  Ties on time are broken by the
+    event identity when the frame has one, else by the value itself, so the
+    scan reads no extra column."""
+    tie = F.col("event_id") if "event_id" in df.columns else F.col(column)
+    return F.min_by(F.col(column), F.struct(F.col("timestamp"), tie))
 
 
 def _with_watermark(df: DataFrame, watermark: str | None) -> DataFrame:
