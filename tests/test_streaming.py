@@ -106,3 +106,18 @@ def test_json_file_stream(spark):
     assert len(got) == 1 and got[0]["event_count"] == 7 and got[0]["log_sources"] == ["ids"]
     assert got[0]["window_start"] == dt.datetime(2024, 1, 1)
     assert F is not None
+
+
+def test_stream_port_scan_exact_distinct_across_batches(spark):
+    from vigil.operators import detect
+
+    scan = [row(src="192.168.1.99", dst=f"10.0.0.{i}", proto="TCP", label="suspicious",
+                ts=TS + dt.timedelta(seconds=i)) for i in range(15)]
+    more = [row(src="192.168.1.99", dst=f"10.0.0.{i}", proto="TCP", label="suspicious",
+                ts=TS + dt.timedelta(seconds=30 + i)) for i in range(10, 25)]  # 5 repeats, 10 new
+    d = _write_files(spark, [scan, more])
+    sinks = D.run_until_caught_up(spark, _source(spark, d, max_files_per_trigger=1), ["port_scan"], watermark=None)
+    got = D.read_detections(spark, sinks["port_scan"]).collect()
+    static = detect.detect_port_scan(spark.read.schema(SCHEMA).parquet(f"{d}/part*")).collect()
+    assert len(got) == 1 and got[0]["distinct_targets"] == 25 == static[0]["distinct_targets"]
+    assert got[0]["threat_score"] == static[0]["threat_score"] == 65

@@ -7,6 +7,8 @@ All arithmetic is on ``TIMESTAMP_NTZ`` through ``timestamp_diff`` and
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,12 +58,44 @@ def date_partition_columns(ts="timestamp") -> dict[str, Column]:
     }
 
 
-def parse_timestamp_any(text: Column, formats=None) -> Column:
-    """First layout that parses (strictly) wins; NULL when none does.
+_PATTERN_TOKENS = [("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"), ("HH", r"\d{2}"),
+                   ("mm", r"\d{2}"), ("ss", r"\d{2}")]
+
 
-    ``try_to_timestamp`` reads the wall clock in the session zone and the cast
-    to NTZ writes it back in the same zone, so the result is the wall clock
-    of the text whatever the session zone.
+def layout_regex(fmt: str) -> str:
+    """Anchored regex of the text shape a simple datetime pattern produces."""
+    out, i = "", 0
+    while i < len(fmt):
+        if fmt[i] == "'":
+            j = fmt.index("'", i + 1)
+            out += re.escape(fmt[i + 1:j])
+            i = j + 1
+            continue
+        for tok, rx in _PATTERN_TOKENS:
+            if fmt.startswith(tok, i):
+                out += rx
+                i += len(tok)
+                break
+        else:
+            out += re.escape(fmt[i])
+            i += 1
+    return "^" + out + "$"
+
+
+def parse_timestamp_any(text: Column, formats=None) -> Column:
+    """First accepted layout that parses (strictly) wins; NULL when none does.
+
+    The layout is picked by a cheap shape test (``rlike``) before parsing, so
+    the parser never runs on text of another layout (a failed parse is far
+    costlier than a regex test).  ``try_to_timestamp`` still rejects
+    impossible dates such as month 13.  It reads the wall clock in the
+    session zone and the cast to NTZ writes it back in the same zone, so the
+    result is the text's wall clock whatever the session zone.
     """
     formats = formats or S.ACCEPTED_TIMESTAMP_FORMATS
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    expr = None
+    for f in formats:
+        parsed = F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz")
+        cond = text.rlike(layout_regex(f))
+        expr = F.when(cond, parsed) if expr is None else expr.when(cond, parsed)
+    return expr

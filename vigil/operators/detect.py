@@ -193,3 +193,37 @@ def detect_volume_anomaly(
             scoring.volume_severity("bytes_total", critical_bytes).alias("severity"),
         )
     )
+
+
+def detect_port_scan_stream(
+    logs: DataFrame,
+    threshold: int = S.PORT_SCAN_THRESHOLD,
+    window: str = S.PORT_SCAN_WINDOW,
+    watermark: str | None = None,
+) -> DataFrame:
+    """Port scan on a stream with an *exact* distinct count.
+
+    Spark rejects ``count_distinct`` on streams; dropping duplicate
+    ``(source_ip, window, dest_ip)`` rows (state keyed by that triple, bounded
+    by the watermark when one is set) and then counting rows per
+    ``(source_ip, window)`` is exact and runs in update mode.  Event count and
+    first log type are not available after the de-duplication, so this
+    variant reports the targets, score and severity only.
+    """
+    src = _with_watermark(logs, watermark)
+    return (
+        src.filter(F.col("protocol") == "TCP")
+        .withColumn("window", F.window("timestamp", window))
+        .dropDuplicates(["source_ip", "window", "dest_ip"])
+        .groupBy("source_ip", "window")
+        .agg(F.count(F.lit(1)).alias("distinct_targets"))
+        .filter(F.col("distinct_targets") > threshold)
+        .select(
+            "source_ip",
+            *_window_bounds(),
+            "distinct_targets",
+            F.lit("PORT_SCAN").alias("attack_type"),
+            scoring.port_scan_score("distinct_targets", threshold).alias("threat_score"),
+            scoring.port_scan_severity("distinct_targets").alias("severity"),
+        )
+    )

@@ -413,3 +413,7 @@ ATTACK_FLAGS_BODY = f"""SELECT is_sqli, is_xss, is_lfi, is_tool, count(*) AS eve
 
 TOP_ATTACK_PATTERNS_BODY = f"""SELECT * FROM ap
   ORDER BY threat_score DESC, "timestamp" DESC, event_id LIMIT {S.TOP_ATTACK_PATTERNS_K}"""
+
+
+STREAM_PORT_SCAN_BODY = """SELECT source_ip, window_start, window_end, distinct_targets, attack_type,
+    threat_score, severity FROM ps"""

@@ -5,10 +5,13 @@ from __future__ import annotations
 from vigil.operators import alerts as A
 from vigil.plans import oracle as O
 from vigil.plans.catalog import DETECT_SPEEDUP, detect_logs, register
+from vigil.session import materialize
 
 
 def _alerts(spark, sf_dir):
-    return A.all_alerts(detect_logs(spark, sf_dir))
+    """The alert table as the serving side reads it: written once by the
+    detectors, then scanned by each view (and by its TTL subquery)."""
+    return materialize(A.all_alerts(detect_logs(spark, sf_dir)), "alerts")
 
 
 def _live(spark, sf_dir):
@@ -17,7 +20,7 @@ def _live(spark, sf_dir):
 
 @register("alerts_all", O.with_alerts("SELECT * FROM alerts", DETECT_SPEEDUP))
 def alerts_all(spark, sf_dir):
-    return _alerts(spark, sf_dir)
+    return A.all_alerts(detect_logs(spark, sf_dir))
 
 
 @register("active_alerts", O.with_alerts(O.ACTIVE_ALERTS_BODY, DETECT_SPEEDUP))

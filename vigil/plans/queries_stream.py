@@ -32,3 +32,10 @@ def stream_signatures(spark, sf_dir):
 @register("stream_volume_anomaly", O.with_alerts("SELECT * FROM alerts", DETECT_SPEEDUP, ("vol",)))
 def stream_volume_anomaly(spark, sf_dir):
     return _stream(spark, sf_dir, "volume_anomaly")
+
+
+@register("stream_port_scan", O.with_logs(O.STREAM_PORT_SCAN_BODY, DETECT_SPEEDUP, f"ps AS ({O.port_scan_sql()})"))
+def stream_port_scan(spark, sf_dir):
+    src = D.events_log_source(spark, sf_dir, DETECT_SPEEDUP, glob="events.parquet")
+    sinks = D.run_until_caught_up(spark, src, ["port_scan"], watermark=D.DEFAULT_WATERMARK)
+    return D.read_detections(spark, sinks["port_scan"])

@@ -59,7 +59,11 @@ def parse_csv_lines(lines: DataFrame, column: str = "value", options: dict | Non
     """Same parse and quarantine for a column of CSV text lines (e.g. a stream)."""
     opts = dict(CSV_OPTIONS)
     opts.update(options or {})
-    parsed = lines.select(F.from_csv(F.col(column), _PARSE_SCHEMA.simpleString(), opts).alias("_p")).select("_p.*")
+    parsed_struct = F.from_csv(F.col(column), _PARSE_SCHEMA.simpleString(), opts)
+    # ``inline`` makes the parse a Generate: the quarantine filters refer to
+    # its output and cannot be pushed below it, so each line is parsed once
+    # (a plain projection would be inlined into every filter predicate).
+    parsed = lines.select(F.inline(F.array(parsed_struct)))
     return _split(parsed)
 
 

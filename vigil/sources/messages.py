@@ -23,7 +23,9 @@ def parse_json_logs(raw: DataFrame, column: str = "value") -> DataFrame:
     layouts, then in any ISO-8601 layout Spark's cast understands.
     """
     msg = F.from_json(F.col(column).cast("string"), S.MESSAGE_SCHEMA)
-    parsed = raw.select(msg.alias("m")).select("m.*")
+    # decode once: as a Generate output the fields cannot be re-derived
+    # (re-parsed) inside pushed-down filters
+    parsed = raw.select(F.inline(F.array(msg)))
     ts_text = F.col("timestamp")
     ts = F.coalesce(parse_timestamp_any(ts_text), F.try_to_timestamp(ts_text).cast("timestamp_ntz"))
     return parsed.withColumn("timestamp", ts).filter(F.col("source_ip").isNotNull())

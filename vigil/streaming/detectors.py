@@ -38,8 +38,11 @@ DEFAULT_TRIGGER = "500 milliseconds"
 class Detector:
     name: str
     output_mode: str
+    alerts: bool = True  # sink writes alert records (else the detector rows)
 
     def build(self, logs: DataFrame, watermark: str | None) -> DataFrame:
+        if self.name == "port_scan":
+            return detect.detect_port_scan_stream(logs, watermark=watermark)
         if self.name == "brute_force":
             return detect.detect_brute_force(logs, watermark=watermark)
         if self.name == "volume_anomaly":
@@ -54,6 +57,8 @@ DETECTORS = {
     "signatures": Detector("signatures", "append"),
     "volume_anomaly": Detector("volume_anomaly", "update"),
 }
+# Optional live port-scan detector (not started by default, like the original).
+OPTIONAL_DETECTORS = {"port_scan": Detector("port_scan", "update", alerts=False)}
 
 
 # ---------------------------------------------------------------------------
@@ -109,18 +114,19 @@ class AlertBatchWriter:
     """``foreachBatch`` function: micro-batch -> alert rows -> Parquet under
     ``{path}/batch_id={id}`` (overwrite, hence idempotent on retry)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, as_alerts: bool = True):
         self.path = path.rstrip("/")
+        self.as_alerts = as_alerts
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        out = A.to_alerts(batch)
+        out = A.to_alerts(batch) if self.as_alerts else batch
         out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
 
 def start_detector(stream: DataFrame, detector: str, sink_path: str, checkpoint: str,
                    trigger: dict | None = None, watermark: str | None = DEFAULT_WATERMARK,
                    query_name: str | None = None) -> StreamingQuery:
-    det = DETECTORS[detector]
+    det = DETECTORS.get(detector) or OPTIONAL_DETECTORS[detector]
     trigger = trigger or {"processingTime": DEFAULT_TRIGGER}
     return (
         det.build(stream, watermark)
@@ -128,7 +134,7 @@ def start_detector(stream: DataFrame, detector: str, sink_path: str, checkpoint:
         .option("checkpointLocation", checkpoint)
         .queryName(query_name or f"vigil_{detector}")
         .trigger(**trigger)
-        .foreachBatch(AlertBatchWriter(sink_path))
+        .foreachBatch(AlertBatchWriter(sink_path, det.alerts))
         .start()
     )
 
@@ -163,6 +169,16 @@ def read_alerts(spark: SparkSession, sink_path: str) -> DataFrame:
     return A.latest_revision(rows, "batch_id")
 
 
+def read_detections(spark: SparkSession, sink_path: str, keys=("source_ip", "window_start")) -> DataFrame:
+    """Raw detector rows written by a sink, newest revision per ``keys``."""
+    from pyspark.sql import functions as F
+
+    rows = spark.read.parquet(sink_path)
+    payload = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    newest = F.max_by(F.struct(*payload), F.col("batch_id")).alias("_r")
+    return rows.groupBy(*keys).agg(newest).select(*keys, "_r.*")
+
+
 def run_until_caught_up(spark: SparkSession, stream: DataFrame, detectors=None,
                         watermark: str | None = DEFAULT_WATERMARK, work_dir: str | None = None) -> dict[str, str]:
     """Process everything available now, stop, and return the sink folders.
