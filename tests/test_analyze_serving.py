@@ -146,3 +146,24 @@ def test_display_helpers(spark):
     assert got == ["0 B", "512.0 B", "2.0 KB", "15.0 MB", "5.0 GB", "0 B"]
     s = spark.createDataFrame([(80,), (79,), (60,), (40,), (39,), (None,)], "s int")
     assert [r[0] for r in s.select(scoring.score_band("s")).collect()] == ["crit", "high", "high", "med", "low", "low"]
+
+
+def test_exact_percentile_matches_brute_force(spark):
+    import random
+
+    from vigil.operators.analyze import exact_percentile
+
+    rnd = random.Random(7)
+    data = []
+    for g in range(5):
+        n = rnd.randint(1, 400)
+        data += [(g, rnd.choice([rnd.randint(-50, 50), rnd.randint(0, 10**12), 7])) for _ in range(n)]
+    data += [(9, None)]
+    df = spark.createDataFrame(data, "g int, v bigint")
+    for q in (0.0, 0.5, 0.95, 1.0):
+        got = {r["g"]: r["p"] for r in exact_percentile(df, ["g"], "v", q, "p").collect()}
+        for g in range(5):
+            vals = sorted(v for gg, v in data if gg == g and v is not None)
+            k = max(1, -(-len(vals) * q // 1))
+            assert got[g] == vals[int(k) - 1], (g, q)
+        assert 9 not in got

@@ -77,7 +77,8 @@ def volume_stats(logs: DataFrame, p95: str = "approx") -> DataFrame:
     ``p95="approx"`` (default, the reference's semantics) uses
     ``percentile_approx``: a bounded sketch merged map-side, safe for a group
     holding a large share of all rows.  ``p95="exact"`` gives the lower
-    (discrete) 95th percentile through ``exact_p95``.
+    (discrete) 95th percentile through ``exact_percentile`` (radix selection,
+    bounded per-task work for any group size).
     """
     keys = ["threat_label", "log_type", "protocol"]
     aggs = [
@@ -96,23 +97,46 @@ def volume_stats(logs: DataFrame, p95: str = "approx") -> DataFrame:
     raise ValueError(f"p95 must be 'approx' or 'exact', got {p95!r}")
 
 
-def exact_percentile(df: DataFrame, keys: list[str], value: str, q: float, name: str) -> DataFrame:
-    """Discrete percentile (smallest value whose cumulative share reaches ``q``).
+def exact_percentile(df: DataFrame, keys: list[str], value: str, q: float, name: str,
+                     bits_per_pass: int = 16) -> DataFrame:
+    """Exact discrete percentile per group: the smallest value whose
+    cumulative count reaches ``ceil(q * n)``.
 
-    Rows are first reduced to ``(keys, value) -> count`` (map-side combined,
-    shuffled on keys *and* value, so a hot group is spread over reducers).
-    The running count then walks one group's *distinct values* only, never
-    its raw rows.
+    Radix selection on the offset ``value - min(value)`` of each group, in a
+    fixed number of passes (64 / ``bits_per_pass``).  Each pass keeps the rows
+    of the still-possible range, builds a histogram over the next
+    ``bits_per_pass`` bits (an ordinary partial aggregation, so a hot group is
+    combined map-side and spread over reducers by bucket) and picks the
+    bucket that holds the target rank.  The only per-group window runs over
+    at most ``2 ** bits_per_pass`` histogram buckets, never over the group's
+    rows or distinct values.  Offsets must fit in a signed 64-bit span.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    w_run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*keys)
-    ranked = counts.withColumns({"_cum": F.sum("_n").over(w_run), "_tot": F.sum("_n").over(w_all)})
-    return (
-        ranked.filter(F.col("_cum") >= F.ceil(F.col("_tot") * q))
-        .groupBy(*keys)
-        .agg(F.min(value).alias(name))
+    v = F.col(value)
+    counts = df.filter(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    state = counts.groupBy(*keys).agg(F.sum("_n").alias("_tot"), F.min(value).alias("_lo")).select(
+        *keys, "_lo", F.ceil(F.col("_tot") * q).cast("long").alias("_need"), F.lit(0).cast("long").alias("_pre")
     )
+    mask = (1 << bits_per_pass) - 1
+    by_bucket = Window.partitionBy(*keys).orderBy("_d")
+    passes = -(-64 // bits_per_pass)
+    for p in range(passes):
+        shift = max(64 - bits_per_pass * (p + 1), 0)
+        off = v - F.col("_lo")
+        rows = counts.join(state, keys)
+        if p > 0:  # rows whose higher bits equal the prefix chosen so far
+            rows = rows.filter(F.shiftrightunsigned(off, shift + bits_per_pass) == F.col("_pre"))
+        hist = rows.groupBy(*keys, "_lo", "_need", "_pre",
+                            (F.shiftrightunsigned(off, shift).bitwiseAND(mask)).alias("_d")).agg(
+            F.sum("_n").alias("_c"))
+        hit = hist.withColumn("_cum", F.sum("_c").over(by_bucket)).filter(F.col("_cum") >= F.col("_need"))
+        first = F.min_by(F.struct("_d", "_c", "_cum", "_lo", "_need", "_pre"), F.col("_d")).alias("_s")
+        state = hit.groupBy(*keys).agg(first).select(
+            *keys,
+            F.col("_s._lo").alias("_lo"),
+            (F.col("_s._need") - (F.col("_s._cum") - F.col("_s._c"))).alias("_need"),
+            F.shiftleft(F.col("_s._pre"), bits_per_pass).bitwiseOR(F.col("_s._d")).alias("_pre"),
+        )
+    return state.select(*keys, (F.col("_lo") + F.col("_pre")).alias(name))
 
 
 def threat_timeline(logs: DataFrame) -> DataFrame:
