@@ -87,3 +87,17 @@ def test_severity_filter_and_display(mk):
     assert A.severity_filter(al, "ALL").count() == al.count()
     d = A.alert_display(detect.detect_brute_force(mk([row()] * 11)).transform(A.to_alerts)).first()
     assert d["score_band"] == "crit" and d["bytes_display"] == "5.5 KB"
+
+
+def test_all_alerts_with_persisted_rollup_equals_direct(spark, mk):
+    import tempfile
+
+    rows = [row(ts=TS + dt.timedelta(seconds=i), nbytes=3 * 1048576) for i in range(12)]
+    rows += [row(src="10.0.0.2", agent="nikto", path="/", ts=TS + dt.timedelta(seconds=5))]
+    logs = mk(rows)
+    path = tempfile.mkdtemp(prefix="vigil-test-rollup-") + "/r"
+    detect.window_rollup(logs).write.parquet(path)
+    via_rollup = A.all_alerts(logs, rollup=spark.read.parquet(path))
+    direct = A.all_alerts(logs)
+    assert sorted(map(str, via_rollup.collect())) == sorted(map(str, direct.collect()))
+    assert {r["alert_type"] for r in direct.collect()} == {"BRUTE_FORCE", "VOLUME_ANOMALY", "KNOWN_ATTACK_TOOL"}

@@ -154,3 +154,22 @@ def test_volume_sums_within_ten_seconds(mk):
     rows = [row(ts=TS + dt.timedelta(seconds=s), nbytes=6 * 1048576) for s in (0, 9, 10)]
     out = detect.detect_volume_anomaly(mk(rows)).collect()
     assert len(out) == 1 and out[0]["bytes_total"] == 12 * 1048576 and out[0]["event_count"] == 2
+
+
+def test_rollup_detectors_equal_direct(spark, mk):
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(400):
+        rows.append(row(ts=TS + dt.timedelta(seconds=rnd.randint(0, 300)), src=f"10.0.0.{rnd.randint(1, 3)}",
+                        action=rnd.choice(["blocked", "blocked", "allowed"]), nbytes=rnd.choice([None, 10**6, 3 * 10**6]),
+                        agent=rnd.choice([None, "a", "b"]), log_type=rnd.choice(["ids", "firewall"])))
+    logs = mk(rows)
+    rollup = detect.window_rollup(logs)
+    key = lambda r: str(tuple(r))
+    assert sorted(detect.brute_force_from_rollup(rollup).collect(), key=key) == \
+        sorted(detect.detect_brute_force(logs).collect(), key=key)
+    assert sorted(detect.volume_from_rollup(rollup).collect(), key=key) == \
+        sorted(detect.detect_volume_anomaly(logs).collect(), key=key)
+    assert detect.detect_brute_force(logs).count() > 0 and detect.detect_volume_anomaly(logs).count() > 0

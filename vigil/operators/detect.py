@@ -147,19 +147,22 @@ def detect_brute_force(
             first_value(logs, "log_type").alias("log_type"),
             F.sum("bytes_transferred").alias("bytes_total"),
         )
-        .filter(F.col("blocked_count") > threshold)
-        .select(
-            *_window_bounds(),
-            "source_ip",
-            "blocked_count",
-            "user_agent",
-            "log_type",
-            F.coalesce(F.col("bytes_total"), F.lit(0).cast("long")).alias("bytes_total"),
-            F.lit("BRUTE_FORCE").alias("alert_type"),
-            scoring.brute_force_score("blocked_count", threshold).alias("threat_score"),
-            scoring.brute_force_severity("blocked_count").alias("severity"),
-            F.col("blocked_count").cast("int").alias("event_count"),
-        )
+        .transform(lambda agg: _brute_force_output(agg, threshold))
+    )
+
+
+def _brute_force_output(agg: DataFrame, threshold: int) -> DataFrame:
+    return agg.filter(F.col("blocked_count") > threshold).select(
+        *_window_bounds(),
+        "source_ip",
+        "blocked_count",
+        "user_agent",
+        "log_type",
+        F.coalesce(F.col("bytes_total"), F.lit(0).cast("long")).alias("bytes_total"),
+        F.lit("BRUTE_FORCE").alias("alert_type"),
+        scoring.brute_force_score("blocked_count", threshold).alias("threat_score"),
+        scoring.brute_force_severity("blocked_count").alias("severity"),
+        F.col("blocked_count").cast("int").alias("event_count"),
     )
 
 
@@ -180,19 +183,69 @@ def detect_volume_anomaly(
             first_value(logs, "log_type").alias("log_type"),
             first_value(logs, "user_agent").alias("user_agent"),
         )
-        .filter(F.col("bytes_total") > threshold_bytes)
-        .select(
-            *_window_bounds(),
-            "source_ip",
-            "bytes_total",
-            "event_count",
-            "log_type",
-            "user_agent",
-            F.lit("VOLUME_ANOMALY").alias("alert_type"),
-            scoring.volume_score("bytes_total").alias("threat_score"),
-            scoring.volume_severity("bytes_total", critical_bytes).alias("severity"),
+        .transform(lambda agg: _volume_output(agg, threshold_bytes, critical_bytes))
+    )
+
+
+def _volume_output(agg: DataFrame, threshold_bytes: int, critical_bytes: int) -> DataFrame:
+    return agg.filter(F.col("bytes_total") > threshold_bytes).select(
+        *_window_bounds(),
+        "source_ip",
+        "bytes_total",
+        "event_count",
+        "log_type",
+        "user_agent",
+        F.lit("VOLUME_ANOMALY").alias("alert_type"),
+        scoring.volume_score("bytes_total").alias("threat_score"),
+        scoring.volume_severity("bytes_total", critical_bytes).alias("severity"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# Shared rollup: both windowed live detectors from one scan (static frames)
+# ---------------------------------------------------------------------------
+def window_rollup(logs: DataFrame, grain: str = S.VOLUME_WINDOW) -> DataFrame:
+    """Per ``(grain window, source_ip)``: all-event and blocked-only totals and
+    the earliest event's values.  Coarser aligned windows (1 minute = six
+    10-second windows) are exact unions of these rows."""
+    tie = F.col("event_id") if "event_id" in logs.columns else F.struct(F.col("user_agent"), F.col("log_type"))
+    key = F.struct(F.col("timestamp"), tie)
+    blocked = F.col("action") == "blocked"
+    return logs.groupBy(F.window("timestamp", grain).alias("window"), F.col("source_ip")).agg(
+        F.sum("bytes_transferred").alias("bytes_total"),
+        F.count(F.lit(1)).alias("event_count"),
+        F.min_by(F.col("log_type"), key).alias("log_type"),
+        F.min_by(F.col("user_agent"), key).alias("user_agent"),
+        F.count_if(blocked).alias("blocked_count"),
+        F.sum(F.when(blocked, F.col("bytes_transferred"))).alias("blocked_bytes"),
+        # NULL ordering keys are skipped, so these see blocked events only
+        F.min_by(F.when(blocked, F.struct(F.col("user_agent"), F.col("log_type"))), F.when(blocked, key))
+        .alias("blocked_first"),
+        F.min(F.when(blocked, key)).alias("blocked_key"),
+    )
+
+
+def volume_from_rollup(rollup: DataFrame, threshold_bytes: int = S.VOLUME_THRESHOLD_BYTES,
+                       critical_bytes: int = S.VOLUME_CRITICAL_BYTES) -> DataFrame:
+    """Volume anomaly (10-second windows) read off the rollup."""
+    return _volume_output(rollup, threshold_bytes, critical_bytes)
+
+
+def brute_force_from_rollup(rollup: DataFrame, threshold: int = S.BRUTE_FORCE_THRESHOLD,
+                            window: str = S.BRUTE_FORCE_WINDOW) -> DataFrame:
+    """Brute force re-aggregated from the finer rollup (window must be a
+    multiple of the rollup grain; both are epoch-aligned)."""
+    agg = (
+        rollup.filter(F.col("blocked_count") > 0)
+        .groupBy(F.window(F.col("window.start"), window).alias("window"), F.col("source_ip"))
+        .agg(
+            F.sum("blocked_count").alias("blocked_count"),
+            F.min_by(F.col("blocked_first"), F.col("blocked_key")).alias("_f"),
+            F.sum("blocked_bytes").alias("bytes_total"),
         )
+        .withColumns({"user_agent": F.col("_f.user_agent"), "log_type": F.col("_f.log_type")})
     )
+    return _brute_force_output(agg, threshold)
 
 
 def detect_port_scan_stream(

@@ -7,6 +7,7 @@ from vigil.operators import analyze
 from vigil.operators import serving as V
 from vigil.plans import oracle as O
 from vigil.plans.catalog import DETECT_SPEEDUP, detect_logs, history_logs, register
+from vigil.plans.queries_alerts import batch_alerts
 from vigil.session import materialize
 
 
@@ -14,7 +15,7 @@ def profiles_for(logs, score_col="reputation_score"):
     snap = V.reputation_snapshot(logs)
     types = V.attack_types_by_ip(V.attack_type_index(logs))
     # the live side reads the persisted alert table (see queries_alerts)
-    speed = A.speed_summary(materialize(A.all_alerts(logs), "alerts"))
+    speed = A.speed_summary(materialize(batch_alerts(logs), "alerts"))
     return V.threat_profiles(snap, types, speed, score_col)
 
 
