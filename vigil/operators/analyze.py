@@ -1,7 +1,7 @@
 """History analyses: IP reputation, top malicious sources, volume statistics,
 hourly threat timeline, per-label counts.
 
-The reference computes these as several filtered aggregations joined back
+The original jobs compute these as several filtered aggregations joined back
 together (three scans, two joins).  Here each is one scan with conditional
 aggregation (``count_if``), so the log table is read once and every shuffle
 carries map-side partial aggregates only.
@@ -74,7 +74,7 @@ def top_malicious_ips(logs: DataFrame, k: int = S.TOP_MALICIOUS_K) -> DataFrame:
 def volume_stats(logs: DataFrame, p95: str = "approx") -> DataFrame:
     """Bytes statistics per ``(threat_label, log_type, protocol)``.
 
-    ``p95="approx"`` (default, the reference's semantics) uses
+    ``p95="approx"`` (default, the original semantics) uses
     ``percentile_approx``: a bounded sketch merged map-side, safe for a group
     holding a large share of all rows.  ``p95="exact"`` gives the lower
     (discrete) 95th percentile through ``exact_percentile`` (radix selection,

@@ -4,7 +4,7 @@ matching oracle SQL.  ``__spark_entry__`` exposes both to the driver.
 Every query reads the driver tables (``events`` mapped to logs by
 ``logs_from_events``), so its work grows with the data.  History queries use
 ``speedup=1``; windowed detectors and everything built on alerts use
-``DETECT_SPEEDUP`` so that the reference thresholds fire at realistic density.
+``DETECT_SPEEDUP`` so that the detection thresholds fire at realistic density.
 """
 
 from __future__ import annotations

@@ -243,7 +243,7 @@ def alert_ctes(which=("bf", "sig", "vol")) -> str:
     )
     ctes.append(
         """recent AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ip_source
-      ORDER BY bucket_time DESC, alert_id) AS alert_rank FROM live) r WHERE alert_rank <= 10)"""
+      ORDER BY bucket_time DESC, alert_id)::INTEGER AS alert_rank FROM live) r WHERE alert_rank <= 10)"""
     )
     ctes.append(
         """speed AS (SELECT ip_source AS ip, CAST(count(*) AS INTEGER) AS active_alerts,
