@@ -121,3 +121,20 @@ def test_stream_port_scan_exact_distinct_across_batches(spark):
     static = detect.detect_port_scan(spark.read.schema(SCHEMA).parquet(f"{d}/part*")).collect()
     assert len(got) == 1 and got[0]["distinct_targets"] == 25 == static[0]["distinct_targets"]
     assert got[0]["threat_score"] == static[0]["threat_score"] == 65
+
+
+def test_published_messages_replay_through_json_stream(spark, mk):
+    from vigil.operators import detect
+    from vigil.sources import messages as M
+
+    logs = mk([row(ts=TS + dt.timedelta(seconds=i), log_type=lt) for i, lt in
+               enumerate(["ids", "firewall"] * 4)])
+    out = tempfile.mkdtemp(prefix="vigil-test-pub-") + "/topic"
+    M.write_messages(M.encode_messages(logs), out)
+    assert sorted(d for d in os.listdir(out) if d.startswith("partition=")) == ["partition=0", "partition=1"]
+    sinks = D.run_until_caught_up(spark, D.json_file_source(spark, f"{out}/partition=*"), ["brute_force"],
+                                  watermark=None)
+    got = D.read_alerts(spark, sinks["brute_force"]).collect()
+    want = A.to_alerts(detect.detect_brute_force(logs)).collect()
+    assert [(r["event_count"], r["threat_score"], r["window_start"]) for r in got] == \
+        [(r["event_count"], r["threat_score"], r["window_start"]) for r in want] == [(8, 76, TS)]

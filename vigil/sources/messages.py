@@ -89,3 +89,20 @@ def encode_messages(logs: DataFrame, topic: str = TOPIC) -> DataFrame:
         value.alias("value"),
         message_partition(F.col("log_type")).alias("partition"),
     )
+
+
+def write_messages(encoded: DataFrame, path: str | None = None, bootstrap: str | None = None,
+                   mode: str = "append") -> None:
+    """Publish ``encode_messages`` rows.
+
+    With ``bootstrap`` the rows go to Kafka (``topic``/``key``/``value``/
+    ``partition`` columns; needs the spark-sql-kafka connector).  Otherwise
+    the JSON values are written as text files under ``path``, one folder per
+    partition, which ``streaming.detectors.json_file_source`` replays.
+    """
+    if bootstrap:
+        encoded.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save()
+        return
+    if not path:
+        raise ValueError("path or bootstrap is required")
+    encoded.select("value", "partition").write.mode(mode).partitionBy("partition").text(path)
