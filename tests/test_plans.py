@@ -45,9 +45,10 @@ def test_recent_alerts_uses_window_group_limit(spark):
 
 
 @pytest.mark.parametrize("name", [n for n in E.queries() if not n.startswith("stream_")])
-def test_no_python_udf_in_any_query(spark, name):
+def test_no_python_udf_or_cross_join_in_any_query(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas",
+                "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name} uses {bad}"
 
 
