@@ -27,15 +27,17 @@ def epoch_micros(ts="timestamp") -> Column:
     return F.timestamp_diff("MICROSECOND", ntz_literal(EPOCH), c)
 
 
-def compress_time(ts: Column, origin: str, speedup: int) -> Column:
-    """``origin + (ts - origin) div speedup`` with integer micro arithmetic."""
+def compress_time_sql(column: str, origin: str, speedup: int) -> str:
+    """SQL of ``origin + (ts - origin) div speedup`` in integral microseconds."""
     if speedup == 1:
-        return ts
-    base = ntz_literal(origin)
-    delta = F.timestamp_diff("MICROSECOND", base, ts)
-    # integral division: (delta - pmod(delta, n)) / n is exact for longs
-    quotient = ((delta - F.pmod(delta, F.lit(speedup))) / F.lit(speedup)).cast("long")
-    return F.timestamp_add("MICROSECOND", quotient, base)
+        return column
+    base = f"TIMESTAMP_NTZ'{origin}'"
+    return f"timestampadd(MICROSECOND, timestampdiff(MICROSECOND, {base}, {column}) div {speedup}, {base})"
+
+
+def compress_time(column: str, origin: str, speedup: int) -> Column:
+    """Replay-time compression of an NTZ column (see ``compress_time_sql``)."""
+    return F.expr(compress_time_sql(column, origin, speedup))
 
 
 def event_date(ts="timestamp") -> Column:
