@@ -417,3 +417,17 @@ TOP_ATTACK_PATTERNS_BODY = f"""SELECT * FROM ap
 
 STREAM_PORT_SCAN_BODY = """SELECT source_ip, window_start, window_end, distinct_targets, attack_type,
     threat_score, severity FROM ps"""
+
+OBSERVED_IP_PROFILES_BODY = """SELECT r.ip, length(r.ip) BETWEEN 1 AND 45 AS valid,
+    coalesce(f.reputation_score, 0) AS reputation_score,
+    coalesce(f.total_historical_events, 0) AS total_historical_events,
+    coalesce(f.attack_types_detected, []::VARCHAR[]) AS attack_types_detected,
+    f.first_seen, f.last_batch_update,
+    coalesce(f.active_alerts, 0) AS active_alerts, f.last_seen,
+    coalesce(f.current_threat_score, 0) AS current_threat_score,
+    coalesce(f.recent_attack_types, []::VARCHAR[]) AS recent_attack_types,
+    coalesce(f.bytes_recent_alerts, 0) AS bytes_recent_alerts,
+    coalesce(f.recommendation, 'ALLOW') AS recommendation,
+    coalesce(f.confidence, 0.0) AS confidence
+  FROM (SELECT trim(source_ip) AS ip FROM logs UNION SELECT trim(dest_ip) FROM logs) r
+  LEFT JOIN fused f ON f.ip = r.ip"""

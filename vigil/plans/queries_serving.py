@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from vigil.operators import alerts as A
 from vigil.operators import analyze
 from vigil.operators import serving as V
@@ -63,3 +65,12 @@ def threat_profiles_norm(spark, sf_dir):
 @register("threat_profile_docs", O.with_serving(O.PROFILE_DOCS_BODY, DETECT_SPEEDUP))
 def threat_profile_docs(spark, sf_dir):
     return V.profile_documents(profiles_for(detect_logs(spark, sf_dir)))
+
+
+@register("observed_ip_profiles", O.with_serving(O.OBSERVED_IP_PROFILES_BODY, DETECT_SPEEDUP))
+def observed_ip_profiles(spark, sf_dir):
+    """Profile of every IP seen on the network (as source or destination);
+    IPs without history get the zero-filled ALLOW profile."""
+    logs = detect_logs(spark, sf_dir)
+    requests = logs.select(F.col("source_ip").alias("ip")).union(logs.select("dest_ip")).distinct()
+    return V.lookup_profiles(profiles_for(logs), requests)
