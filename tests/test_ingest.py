@@ -105,3 +105,13 @@ def test_encode_messages_roundtrip(mk):
     assert '"timestamp":"2023-10-15T14:00:00Z"' in enc[0]["value"] and '"user_agent":null' in enc[1]["value"]
     back = M.parse_json_logs(M.encode_messages(logs))
     assert back.count() == 3 and back.filter(F.col("timestamp") == F.lit(TS)).count() == 3
+
+
+def test_files_per_day_bounds_files(spark, mk):
+    out = tempfile.mkdtemp(prefix="vigil-test-parquet-")
+    rows = [row(ts=dt.datetime(2024, 1, 1 + i % 2, 5), src=f"10.0.{i % 7}.{i}") for i in range(200)]
+    L.write_logs(mk(rows, with_id=False), out, files_per_day=3)
+    for day in ("day=01", "day=02"):
+        files = [f for f in os.listdir(os.path.join(out, "year=2024", "month=01", day)) if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 3
+    assert L.read_logs(spark, out).count() == 200

@@ -138,3 +138,12 @@ def test_published_messages_replay_through_json_stream(spark, mk):
     want = A.to_alerts(detect.detect_brute_force(logs)).collect()
     assert [(r["event_count"], r["threat_score"], r["window_start"]) for r in got] == \
         [(r["event_count"], r["threat_score"], r["window_start"]) for r in want] == [(8, 76, TS)]
+
+
+def test_compact_alerts_keeps_latest(spark):
+    d = _write_files(spark, [[row(ts=TS + dt.timedelta(seconds=i)) for i in range(6)],
+                             [row(ts=TS + dt.timedelta(seconds=10 + i)) for i in range(3)]])
+    sinks = D.run_until_caught_up(spark, _source(spark, d, max_files_per_trigger=1), ["brute_force"], watermark=None)
+    out = tempfile.mkdtemp(prefix="vigil-test-compact-") + "/alerts"
+    got = D.compact_alerts(spark, sinks["brute_force"], out).collect()
+    assert len(got) == 1 and got[0]["event_count"] == 9 and str(got[0]["alert_date"]) == "2023-10-15"

@@ -179,6 +179,17 @@ def read_detections(spark: SparkSession, sink_path: str, keys=("source_ip", "win
     return rows.groupBy(*keys).agg(newest).select(*keys, "_r.*")
 
 
+def compact_alerts(spark: SparkSession, sink_path: str, out_path: str) -> DataFrame:
+    """Fold a detector sink (one folder per micro-batch) into its newest
+    revisions, written once as Parquet partitioned by alert date; returns the
+    compacted table.  Run periodically; readers then scan few large files."""
+    from pyspark.sql import functions as F
+
+    latest = read_alerts(spark, sink_path).withColumn("alert_date", F.to_date("bucket_time"))
+    latest.write.mode("overwrite").partitionBy("alert_date").parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
 def run_until_caught_up(spark: SparkSession, stream: DataFrame, detectors=None,
                         watermark: str | None = DEFAULT_WATERMARK, work_dir: str | None = None) -> dict[str, str]:
     """Process everything available now, stop, and return the sink folders.
