@@ -115,3 +115,20 @@ def test_files_per_day_bounds_files(spark, mk):
         files = [f for f in os.listdir(os.path.join(out, "year=2024", "month=01", day)) if f.endswith(".parquet")]
         assert 1 <= len(files) <= 3
     assert L.read_logs(spark, out).count() == 200
+
+
+def test_csv_inferred_schema_binds_by_name(spark):
+    d = tempfile.mkdtemp(prefix="vigil-test-csv-")
+    p = os.path.join(d, "logs.csv")
+    cols = ["source_ip", "timestamp", "dest_ip", "protocol", "action", "threat_label", "log_type",
+            "bytes_transferred"]  # reordered, no agent/path columns
+    with open(p, "w") as f:
+        f.write(",".join(cols) + "\n")
+        f.write("10.0.0.1,2024-01-02 03:04:05,192.168.0.1,TCP,blocked,malicious,firewall,512\n")
+        f.write("10.0.0.2,2024-01-02 03:04:06,192.168.0.1,TCP,blocked,malicious,firewall,x12\n")
+    good, bad = L.read_csv_logs(spark, p, infer_schema=True)
+    g = good.collect()
+    assert good.columns == S.LOG_COLUMNS and len(g) == 1
+    assert g[0]["source_ip"] == "10.0.0.1" and g[0]["timestamp"] == dt.datetime(2024, 1, 2, 3, 4, 5)
+    assert g[0]["bytes_transferred"] == 512 and g[0]["user_agent"] is None
+    assert [r["reject_reason"] for r in bad.collect()] == ["malformed"]

@@ -41,13 +41,47 @@ def _split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rejected
 
 
+def conform_to_log_schema(df: DataFrame) -> DataFrame:
+    """Bind columns *by name* to ``LOG_SCHEMA`` with ``try_cast`` (a value
+    that does not convert becomes NULL, a missing column is all NULL) and
+    keep the row text of failed conversions as ``_corrupt_record``."""
+    cols = set(df.columns)
+    typed, failed = [], []
+    for f in S.LOG_SCHEMA.fields:
+        if f.name not in cols:
+            typed.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        src = F.col(f.name)
+        if f.name == "timestamp" and dict(df.dtypes)[f.name] == "string":
+            from vigil.functions.timecols import parse_timestamp_any
+            conv = parse_timestamp_any(src, [S.CSV_TIMESTAMP_FORMAT])
+        else:
+            conv = src.try_cast(f.dataType)
+        typed.append(conv.alias(f.name))
+        failed.append(src.isNotNull() & conv.isNull())
+    bad = F.lit(False)
+    for c in failed:
+        bad = bad | c
+    raw = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    return df.select(*typed, F.when(bad, raw).alias(CORRUPT))
+
+
 def read_csv_logs(spark: SparkSession, path: str, header: bool = True,
-                  options: dict | None = None) -> tuple[DataFrame, DataFrame]:
+                  options: dict | None = None, infer_schema: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(good, rejected)`` frames of a header CSV of logs.
 
     Columns bind by position to ``LOG_SCHEMA``.  All columns are selected in
-    both outputs, so every field is parsed and checked.
+    both outputs, so every field is parsed and checked.  ``infer_schema=True``
+    instead lets Spark infer types (an extra pass over the input) and binds
+    columns by their header names (``conform_to_log_schema``); the same
+    quarantine rules apply.
     """
+    if infer_schema:
+        inferred = (
+            spark.read.option("header", "true").option("inferSchema", "true")
+            .options(**(options or {})).csv(path)
+        )
+        return _split(conform_to_log_schema(inferred))
     opts = dict(CSV_OPTIONS)
     opts["header"] = str(header).lower()
     opts.update(options or {})
