@@ -101,3 +101,10 @@ def test_all_alerts_with_persisted_rollup_equals_direct(spark, mk):
     direct = A.all_alerts(logs)
     assert sorted(map(str, via_rollup.collect())) == sorted(map(str, direct.collect()))
     assert {r["alert_type"] for r in direct.collect()} == {"BRUTE_FORCE", "VOLUME_ANOMALY", "KNOWN_ATTACK_TOOL"}
+
+
+def test_port_scan_rows_map_to_alerts(mk):
+    rows = [row(src="s", dst=f"10.0.0.{i}", proto="TCP") for i in range(25)]
+    al = A.to_alerts(detect.detect_port_scan(mk(rows))).collect()
+    assert len(al) == 1 and al[0]["alert_type"] == "PORT_SCAN" and al[0]["event_count"] == 25
+    assert al[0]["bytes_total"] == 0 and al[0]["user_agents"] == ["unknown"]

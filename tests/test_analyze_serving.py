@@ -167,3 +167,9 @@ def test_exact_percentile_matches_brute_force(spark):
             k = max(1, -(-len(vals) * q // 1))
             assert got[g] == vals[int(k) - 1], (g, q)
         assert 9 not in got
+
+
+def test_exact_p95_keeps_null_key_groups(mk):
+    rows = [row(label=None, nbytes=b) for b in range(1, 21)] + [row(nbytes=5)]
+    got = {r["threat_label"]: r["p95_bytes"] for r in analyze.volume_stats(mk(rows), p95="exact").collect()}
+    assert got == {None: 19, "malicious": 5}

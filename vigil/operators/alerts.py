@@ -45,6 +45,10 @@ def to_alerts(detected: DataFrame) -> DataFrame:
         w_start = w_end = F.lit(None).cast("timestamp_ntz")
     alert_type = F.col("alert_type") if "alert_type" in cols else F.col("attack_type")
     agent = F.col("user_agent") if "user_agent" in cols else F.lit(None).cast("string")
+    log_type = F.col("log_type") if "log_type" in cols else F.lit(None).cast("string")
+    # port scans count targets; a per-event alert counts one event
+    count = next((F.col(c) for c in ("event_count", "distinct_targets") if c in cols), F.lit(1))
+    nbytes = F.col("bytes_total") if "bytes_total" in cols else F.lit(0)
     return detected.select(
         F.col("source_ip").alias("ip_source"),
         bucket.alias("bucket_time"),
@@ -54,10 +58,10 @@ def to_alerts(detected: DataFrame) -> DataFrame:
         F.array(alert_type).alias("attack_types"),
         alert_type.alias("alert_type"),
         F.col("severity"),
-        F.col("event_count").cast("int").alias("event_count"),
-        F.coalesce(F.col("bytes_total").cast("long"), F.lit(0).cast("long")).alias("bytes_total"),
+        count.cast("int").alias("event_count"),
+        F.coalesce(nbytes.cast("long"), F.lit(0).cast("long")).alias("bytes_total"),
         F.array(_or_unknown(agent)).alias("user_agents"),
-        F.array(_or_unknown(F.col("log_type"))).alias("log_sources"),
+        F.array(_or_unknown(log_type)).alias("log_sources"),
         w_start.alias("window_start"),
         w_end.alias("window_end"),
     )

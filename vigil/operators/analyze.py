@@ -93,10 +93,19 @@ def volume_stats(logs: DataFrame, p95: str = "approx") -> DataFrame:
         )
     if p95 == "exact":
         base = logs.groupBy(*keys).agg(*aggs)
-        return base.join(exact_percentile(logs, keys, "bytes_transferred", 0.95, "p95_bytes"), keys, "left")
+        return join_on_keys(base, exact_percentile(logs, keys, "bytes_transferred", 0.95, "p95_bytes"), keys)
     raise ValueError(f"p95 must be 'approx' or 'exact', got {p95!r}")
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (group-by keeps a NULL
+    group, so joins between aggregates must too); right's keys are dropped."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[F.col(c) for c in right.columns if c not in keys])
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def exact_percentile(df: DataFrame, keys: list[str], value: str, q: float, name: str,
                      bits_per_pass: int = 16) -> DataFrame:
     """Exact discrete percentile per group: the smallest value whose
@@ -122,7 +131,7 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, q: float, name:
     for p in range(passes):
         shift = max(64 - bits_per_pass * (p + 1), 0)
         off = v - F.col("_lo")
-        rows = counts.join(state, keys)
+        rows = join_on_keys(counts, state, keys, "inner")
         if p > 0:  # rows whose higher bits equal the prefix chosen so far
             rows = rows.filter(F.shiftrightunsigned(off, shift + bits_per_pass) == F.col("_pre"))
         hist = rows.groupBy(*keys, "_lo", "_need", "_pre",
