@@ -25,3 +25,15 @@ def test_failed_job_does_not_stop_the_rest(spark):
     status = jobs.run_all(spark, bad, out)
     assert set(status) == {k for k, _ in jobs.JOBS}
     assert all(v.startswith("failed") for v in status.values())
+
+
+def test_serving_jobs_match_live_plan(spark):
+    from vigil.plans.queries_serving import profiles_for
+
+    out = tempfile.mkdtemp(prefix="vigil-test-jobs-")
+    logs = load_logs(spark, SF, 10000)
+    status = jobs.run_all(spark, logs, out, serving=True)
+    assert status["alerts"] == "ok" and status["threat_profiles"] == "ok"
+    served = spark.read.parquet(f"{out}/threat_profiles")
+    live = profiles_for(logs)
+    assert sorted(map(str, served.collect())) == sorted(map(str, live.select(*served.columns).collect()))

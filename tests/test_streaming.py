@@ -147,3 +147,18 @@ def test_compact_alerts_keeps_latest(spark):
     out = tempfile.mkdtemp(prefix="vigil-test-compact-") + "/alerts"
     got = D.compact_alerts(spark, sinks["brute_force"], out).collect()
     assert len(got) == 1 and got[0]["event_count"] == 9 and str(got[0]["alert_date"]) == "2023-10-15"
+
+
+def test_concurrent_detectors_stop_on_any_termination(spark):
+    d = _write_files(spark, [_mixed_rows()])
+    work = tempfile.mkdtemp(prefix="vigil-test-conc-")
+    qs = D.start_all(_source(spark, d), f"{work}/sink", f"{work}/ck", {"processingTime": "200 milliseconds"},
+                     watermark=None)
+    assert len(qs) == 3 and all(q.isActive for q in qs.values())
+    for q in qs.values():
+        q.processAllAvailable()
+    qs["signatures"].stop()  # one query ends ...
+    D.await_any(spark, qs)   # ... so the others are stopped too
+    spark.streams.resetTerminated()
+    assert not any(q.isActive for q in qs.values())
+    assert D.read_alerts(spark, f"{work}/sink/brute_force").count() == 1

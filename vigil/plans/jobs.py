@@ -53,18 +53,47 @@ def job_volume_analysis(spark: SparkSession, logs: DataFrame, out: str) -> None:
     _write(analyze.threat_timeline(logs), f"{out}/threat_timeline")
 
 
+def job_alerts(spark: SparkSession, logs: DataFrame, out: str) -> None:
+    """Alerts recomputed from history; both windowed detectors read one
+    persisted 10-second rollup."""
+    from vigil.operators import alerts as A
+
+    _write(detect.window_rollup(logs), f"{out}/window_rollup")
+    _write(A.all_alerts(logs, rollup=spark.read.parquet(f"{out}/window_rollup")), f"{out}/alerts")
+
+
+def job_profiles(spark: SparkSession, logs: DataFrame, out: str) -> None:
+    """The served profile table, derived from the written tables only."""
+    _write(profiles_from_tables(spark, out), f"{out}/threat_profiles")
+
+
+def profiles_from_tables(spark: SparkSession, out: str, score_col: str = "reputation_score") -> DataFrame:
+    """Fused profiles from persisted snapshot, attack index and alerts."""
+    from vigil.operators import alerts as A
+
+    snap = spark.read.parquet(f"{out}/ip_reputation")
+    types = V.attack_types_by_ip(spark.read.parquet(f"{out}/attack_index"))
+    speed = A.speed_summary(spark.read.parquet(f"{out}/alerts"))
+    return V.threat_profiles(snap, types, speed, score_col)
+
+
 JOBS = [
     ("top_malicious_ips", job_reputation),
     ("port_scan", job_port_scan),
     ("attack_patterns", job_attack_patterns),
     ("volume_analysis", job_volume_analysis),
 ]
+# serving-side tables, after the four history jobs (profiles need their output)
+SERVING_JOBS = [
+    ("alerts", job_alerts),
+    ("threat_profiles", job_profiles),
+]
 
 
-def run_all(spark: SparkSession, logs: DataFrame, out: str, jobs=None) -> dict[str, str]:
+def run_all(spark: SparkSession, logs: DataFrame, out: str, jobs=None, serving: bool = False) -> dict[str, str]:
     """Run the jobs in order; returns ``{job: "ok" | error text}``."""
     status = {}
-    for name, fn in JOBS:
+    for name, fn in JOBS + (SERVING_JOBS if serving else []):
         if jobs and name not in jobs:
             continue
         try:
