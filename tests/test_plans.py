@@ -67,3 +67,10 @@ def test_entry_flagship(spark):
 def test_active_alerts_scalar_subquery_not_collected(spark):
     al = A.all_alerts(E.catalog.detect_logs(spark, SF))
     assert "Subquery" in _plan(A.within_ttl(al)) or "subquery" in _plan(A.within_ttl(al)).lower()
+
+
+@pytest.mark.parametrize("name", ["ip_reputation_all", "top_malicious_ips", "reputation_snapshot", "timeline",
+                                  "volume_stats", "malicious_counts", "attack_flags"])
+def test_single_scan_analyses(spark, name):
+    plan = _plan(E.queries()[name](spark, SF))
+    assert plan.count("FileScan parquet") == 1, name
