@@ -173,3 +173,25 @@ def test_exact_p95_keeps_null_key_groups(mk):
     rows = [row(label=None, nbytes=b) for b in range(1, 21)] + [row(nbytes=5)]
     got = {r["threat_label"]: r["p95_bytes"] for r in analyze.volume_stats(mk(rows), p95="exact").collect()}
     assert got == {None: 19, "malicious": 5}
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, mk):
+    from vigil.operators import detect
+    from vigil.sources import messages as M
+
+    rows = [row(ts=dt.datetime(2024, 1, 1, 23, 59, 50) + dt.timedelta(seconds=3 * i)) for i in range(8)]
+    logs = mk(rows)
+
+    def run():
+        return (sorted(map(tuple, analyze.threat_timeline(logs).collect())),
+                sorted(map(str, detect.detect_brute_force(logs).collect())),
+                sorted(r["timestamp"] for r in M.parse_json_logs(M.encode_messages(logs)).collect()))
+
+    base = run()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("Asia/Kolkata", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert run() == base, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
