@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from vigil.plans import jobs
 from vigil.sources.events import load_logs
 
@@ -37,3 +39,30 @@ def test_serving_jobs_match_live_plan(spark):
     served = spark.read.parquet(f"{out}/threat_profiles")
     live = profiles_for(logs)
     assert sorted(map(str, served.collect())) == sorted(map(str, live.select(*served.columns).collect()))
+
+
+def test_serve_requests_from_written_tables(spark):
+    from pyspark.sql import functions as F
+
+    from vigil.plans import serve
+
+    out = tempfile.mkdtemp(prefix="vigil-test-serve-")
+    jobs.run_all(spark, load_logs(spark, SF, 10000), out, serving=True)
+    some_ip = spark.read.parquet(f"{out}/threat_profiles").orderBy("ip").first()["ip"]
+    prof = serve.profile_document(spark, out, f" {some_ip} ")
+    assert prof["ip"] == some_ip and prof["recommendation"] in ("BLOCK", "MONITOR")
+    unknown = serve.profile_document(spark, out, "203.0.113.9")
+    assert unknown["recommendation"] == "ALLOW" and unknown["reputation_score"] == 0
+    with pytest.raises(ValueError):
+        serve.profile_document(spark, out, "x" * 46)
+    many = serve.lookup_many(spark, out, spark.createDataFrame([(some_ip,), ("203.0.113.9",)], "ip string"))
+    assert sorted(r["recommendation"] for r in many.collect())[0] == "ALLOW"
+    plan = serve.profile_of(spark, out, some_ip)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(ip," in plan
+    assert serve.active_alerts_of(spark, out).count() == 200
+    t = serve.ServedTables(spark, out)
+    assert t.profile(some_ip) == prof and t.profile("203.0.113.9") == unknown
+    assert sorted(map(str, t.active_alerts().collect())) == sorted(map(str, serve.active_alerts_of(spark, out).collect()))
+    assert t.global_stats().first() == serve.global_stats_of(spark, out).first()
+    assert serve.global_stats_of(spark, out).first()["total_ips_analyzed"] == 15
+    assert serve.timeline_of(spark, out).agg(F.sum("malicious")).first()[0] > 0

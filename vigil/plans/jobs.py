@@ -63,8 +63,13 @@ def job_alerts(spark: SparkSession, logs: DataFrame, out: str) -> None:
 
 
 def job_profiles(spark: SparkSession, logs: DataFrame, out: str) -> None:
-    """The served profile table, derived from the written tables only."""
-    _write(profiles_from_tables(spark, out), f"{out}/threat_profiles")
+    """The served profile table, derived from the written tables only.
+
+    Range-partitioned and sorted by IP, so a lookup of one IP (``ip = x``,
+    pushed to the scan) skips every file and row group whose min/max
+    statistics exclude it."""
+    profiles = profiles_from_tables(spark, out)
+    _write(profiles.repartitionByRange("ip").sortWithinPartitions("ip"), f"{out}/threat_profiles")
 
 
 def profiles_from_tables(spark: SparkSession, out: str, score_col: str = "reputation_score") -> DataFrame:
