@@ -132,3 +132,13 @@ def test_csv_inferred_schema_binds_by_name(spark):
     assert g[0]["source_ip"] == "10.0.0.1" and g[0]["timestamp"] == dt.datetime(2024, 1, 2, 3, 4, 5)
     assert g[0]["bytes_transferred"] == 512 and g[0]["user_agent"] is None
     assert [r["reject_reason"] for r in bad.collect()] == ["malformed"]
+
+
+def test_compress_time_integral_micros(spark):
+    from vigil.functions.timecols import compress_time
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 0),), (dt.datetime(2024, 1, 2, 0, 0, 0, 999),)],
+                               "ts timestamp_ntz")
+    got = [r[0] for r in df.select(compress_time("ts", "2024-01-01 00:00:00", 10000)).collect()]
+    # one day + 999 us = 86,400,000,999 us -> 8,640,000 us after integer division
+    assert got == [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 8, 640000)]

@@ -13,8 +13,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.operators import detect
-from vigil.plans import oracle as O
 from vigil.sources.events import load_logs
 
 DETECT_SPEEDUP = 10000
@@ -58,5 +56,3 @@ def history_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detect_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_logs(spark, sf_dir, DETECT_SPEEDUP)
 
-
-__all__ = ["register", "queries", "oracle_sql", "history_logs", "detect_logs", "DETECT_SPEEDUP", "O", "detect"]
