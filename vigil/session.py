@@ -44,14 +44,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared folder there; only when it is unset (local runs
     and tests) a fresh local folder is created and registered.
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        sc = None
+    if sc is not None:
+        d = sc.getCheckpointDir()
+        if d:
+            return d
+        d = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vigil-ckpt-")
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="vigil-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
