@@ -92,8 +92,22 @@ def volume_stats(logs: DataFrame, p95: str = "approx") -> DataFrame:
             *aggs[:2], F.percentile_approx("bytes_transferred", 0.95).alias("p95_bytes"), *aggs[2:]
         )
     if p95 == "exact":
-        base = logs.groupBy(*keys).agg(*aggs)
-        return join_on_keys(base, exact_percentile(logs, keys, "bytes_transferred", 0.95, "p95_bytes"), keys)
+        from vigil.session import materialize
+
+        # one scan: (group, value) -> count, written once; both the plain
+        # statistics and the percentile passes read that table
+        value, n = F.col("bytes_transferred"), F.col("_n")
+        counts = materialize(
+            logs.groupBy(*keys, "bytes_transferred").agg(F.count(F.lit(1)).alias("_n")), "volume-counts"
+        )
+        base = counts.groupBy(*keys).agg(
+            (F.sum(value * n).cast("double") / F.sum(F.when(value.isNotNull(), n))).alias("avg_bytes"),
+            F.max(value).alias("max_bytes"),
+            F.sum(n).alias("event_count"),
+            F.sum(value * n).alias("total_bytes"),
+        )
+        pct = percentile_from_counts(counts.filter(value.isNotNull()), keys, "bytes_transferred", 0.95, "p95_bytes")
+        return join_on_keys(base, pct, keys)
     raise ValueError(f"p95 must be 'approx' or 'exact', got {p95!r}")
 
 
@@ -119,9 +133,26 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, q: float, name:
     bucket that holds the target rank.  The only per-group window runs over
     at most ``2 ** bits_per_pass`` histogram buckets, never over the group's
     rows or distinct values.  Offsets must fit in a signed 64-bit span.
+
+    The ``(group, value) -> count`` table is written once under the shared
+    checkpoint folder and every pass reads it: adaptive execution does not
+    reliably reuse the identical exchange across the passes, and recomputing
+    it would rescan the input once per pass.
     """
+    from vigil.session import materialize
+
+    v = F.col(value)
+    counts = materialize(
+        df.filter(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")), "percentile-counts"
+    )
+    return percentile_from_counts(counts, keys, value, q, name, bits_per_pass)
+
+
+def percentile_from_counts(counts: DataFrame, keys: list[str], value: str, q: float, name: str,
+                           bits_per_pass: int = 16) -> DataFrame:
+    """Radix selection (see ``exact_percentile``) over a ``(keys, value, _n)``
+    table of non-NULL values and their counts, ideally a persisted one."""
     v = F.col(value)
-    counts = df.filter(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     state = counts.groupBy(*keys).agg(F.sum("_n").alias("_tot"), F.min(value).alias("_lo")).select(
         *keys, "_lo", F.ceil(F.col("_tot") * q).cast("long").alias("_need"), F.lit(0).cast("long").alias("_pre")
     )
