@@ -74,3 +74,15 @@ def test_active_alerts_scalar_subquery_not_collected(spark):
 def test_single_scan_analyses(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert plan.count("FileScan parquet") == 1, name
+
+
+@pytest.mark.parametrize("name", ["port_scan", "reputation_snapshot", "ip_reputation_all"])
+def test_distinct_counts_spread_hot_sources(spark, name):
+    """The shuffle nearest the scan is keyed by the source *and* the
+    destination, so one source holding a large share of all rows is spread
+    over all reducers before the (already de-duplicated) per-source count."""
+    plan = _plan(E.queries()[name](spark, SF))
+    lines = plan.splitlines()
+    scan = max(i for i, l in enumerate(lines) if "FileScan parquet" in l)
+    nearest = next(lines[i] for i in range(scan, -1, -1) if "Exchange hashpartitioning" in lines[i])
+    assert "source_ip" in nearest and "dest_ip" in nearest, nearest
