@@ -204,24 +204,54 @@ def _volume_output(agg: DataFrame, threshold_bytes: int, critical_bytes: int) ->
 # ---------------------------------------------------------------------------
 # Shared rollup: both windowed live detectors from one scan (static frames)
 # ---------------------------------------------------------------------------
+def _packed_order(logs: DataFrame) -> Column:
+    """Event order as one fixed-width value: ``time_us * 10^19 + event_id`` in
+    DECIMAL(38,0) preserves (time, id) order and, unlike a struct or string,
+    fits Spark's hash-aggregation buffer."""
+    from vigil.functions.timecols import epoch_micros
+
+    us = epoch_micros("timestamp").cast("decimal(38,0)")
+    if "event_id" in logs.columns:
+        return us * F.lit(str(10**19)).cast("decimal(38,0)") + F.col("event_id").cast("decimal(38,0)")
+    return us
+
+
 def window_rollup(logs: DataFrame, grain: str = S.VOLUME_WINDOW) -> DataFrame:
     """Per ``(grain window, source_ip)``: all-event and blocked-only totals and
     the earliest event's values.  Coarser aligned windows (1 minute = six
-    10-second windows) are exact unions of these rows."""
-    tie = F.col("event_id") if "event_id" in logs.columns else F.struct(F.col("user_agent"), F.col("log_type"))
-    key = F.struct(F.col("timestamp"), tie)
+    10-second windows) are exact unions of these rows.
+
+    Two levels: the scan is reduced by a *hash* aggregate keyed by (window,
+    IP, blocked, log type, user agent) carrying only counts, sums and the
+    packed event order; the earliest event's strings are then picked from
+    that much smaller result.  (Batch only: streams run the detectors
+    directly, as update mode does not allow chained aggregations.)
+    """
     blocked = F.col("action") == "blocked"
-    return logs.groupBy(F.window("timestamp", grain).alias("window"), F.col("source_ip")).agg(
-        F.sum("bytes_transferred").alias("bytes_total"),
-        F.count(F.lit(1)).alias("event_count"),
-        F.min_by(F.col("log_type"), key).alias("log_type"),
-        F.min_by(F.col("user_agent"), key).alias("user_agent"),
-        F.count_if(blocked).alias("blocked_count"),
-        F.sum(F.when(blocked, F.col("bytes_transferred"))).alias("blocked_bytes"),
+    level1 = logs.groupBy(
+        F.window("timestamp", grain).alias("window"), F.col("source_ip"), blocked.alias("_blocked"),
+        F.col("log_type"), F.col("user_agent"),
+    ).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("bytes_transferred").alias("_bytes"),
+        F.min(_packed_order(logs)).alias("_first"),
+    )
+    b = F.col("_blocked")
+    first = F.struct(F.col("_first"), F.col("user_agent"), F.col("log_type"))
+    pair = F.struct(F.col("user_agent"), F.col("log_type"))
+    return level1.groupBy("window", "source_ip").agg(
+        F.sum("_bytes").alias("bytes_total"),
+        F.sum("_n").alias("event_count"),
+        F.min_by(pair, first).alias("_f"),
+        F.coalesce(F.sum(F.when(b, F.col("_n"))), F.lit(0).cast("long")).alias("blocked_count"),
+        F.sum(F.when(b, F.col("_bytes"))).alias("blocked_bytes"),
         # NULL ordering keys are skipped, so these see blocked events only
-        F.min_by(F.when(blocked, F.struct(F.col("user_agent"), F.col("log_type"))), F.when(blocked, key))
-        .alias("blocked_first"),
-        F.min(F.when(blocked, key)).alias("blocked_key"),
+        F.min_by(F.when(b, pair), F.when(b, first)).alias("blocked_first"),
+        F.min(F.when(b, first)).alias("blocked_key"),
+    ).select(
+        "window", "source_ip", "bytes_total", "event_count",
+        F.col("_f.log_type").alias("log_type"), F.col("_f.user_agent").alias("user_agent"),
+        "blocked_count", "blocked_bytes", "blocked_first", "blocked_key",
     )
 
 
