@@ -110,10 +110,14 @@ def _as_of(alerts: DataFrame, as_of) -> Column:
 
 
 def within_ttl(alerts: DataFrame, as_of=None, ttl: str = S.ALERT_TTL) -> DataFrame:
-    """Alerts still alive at ``as_of`` under a time-to-live of ``ttl``."""
+    """Alerts still alive at ``as_of`` under a time-to-live of ``ttl``.
+
+    With the default "now" (the newest alert time, one scalar subquery) no
+    alert is newer than "now", so only the lower bound is applied."""
     now = _as_of(alerts, as_of)
     bt = F.col("bucket_time")
-    return alerts.filter((bt > now - F.expr(f"INTERVAL {ttl}")) & (bt <= now))
+    alive = bt > now - F.expr(f"INTERVAL {ttl}")
+    return alerts.filter(alive if as_of is None else alive & (bt <= now))
 
 
 def active_alerts(alerts: DataFrame, as_of=None, ttl: str = S.ALERT_TTL,
