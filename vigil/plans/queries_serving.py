@@ -72,5 +72,5 @@ def observed_ip_profiles(spark, sf_dir):
     """Profile of every IP seen on the network (as source or destination);
     IPs without history get the zero-filled ALLOW profile."""
     logs = detect_logs(spark, sf_dir)
-    requests = logs.select(F.col("source_ip").alias("ip")).union(logs.select("dest_ip")).distinct()
+    requests = logs.select(F.explode(F.array("source_ip", "dest_ip")).alias("ip")).distinct()  # one scan
     return V.lookup_profiles(profiles_for(logs), requests)
