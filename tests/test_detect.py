@@ -173,3 +173,20 @@ def test_rollup_detectors_equal_direct(spark, mk):
     assert sorted(detect.volume_from_rollup(rollup).collect(), key=key) == \
         sorted(detect.detect_volume_anomaly(logs).collect(), key=key)
     assert detect.detect_brute_force(logs).count() > 0 and detect.detect_volume_anomaly(logs).count() > 0
+
+
+def test_rollup_equals_direct_without_event_id_and_with_ties(mk):
+    import random
+
+    rnd = random.Random(11)
+    rows = [row(ts=TS + dt.timedelta(seconds=rnd.randint(0, 120)), src="10.0.0.1",
+                action=rnd.choice(["blocked", "allowed"]), nbytes=rnd.choice([None, 4 * 10**6]),
+                agent=rnd.choice([None, "a", "b", "c"]), log_type=rnd.choice(["ids", "firewall", "application"]))
+            for _ in range(300)]  # 300 events on ~120 distinct seconds: many exact ties
+    logs = mk(rows, with_id=False)
+    rollup = detect.window_rollup(logs)
+    key = lambda r: str(tuple(r))
+    assert sorted(detect.brute_force_from_rollup(rollup).collect(), key=key) == \
+        sorted(detect.detect_brute_force(logs).collect(), key=key)
+    assert sorted(detect.volume_from_rollup(rollup).collect(), key=key) == \
+        sorted(detect.detect_volume_anomaly(logs).collect(), key=key)

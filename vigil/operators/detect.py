@@ -28,12 +28,17 @@ from vigil.functions import patterns as P
 from vigil.functions import scoring
 
 
-def first_value(df: DataFrame, column: str) -> Column:
-    """Value of the group's earliest event.  Ties on time are broken by the
-    event identity when the frame has one, else by the value itself, so the
-    scan reads no extra column."""
+def event_order(df: DataFrame, column: str) -> Column:
+    """Order used to pick ``column``'s first value: time, then the event
+    identity when the frame has one, else the value itself (so the scan
+    reads no extra column)."""
     tie = F.col("event_id") if "event_id" in df.columns else F.col(column)
-    return F.min_by(F.col(column), F.struct(F.col("timestamp"), tie))
+    return F.struct(F.col("timestamp"), tie)
+
+
+def first_value(df: DataFrame, column: str) -> Column:
+    """Value of the group's earliest event (see ``event_order``)."""
+    return F.min_by(F.col(column), event_order(df, column))
 
 
 def _with_watermark(df: DataFrame, watermark: str | None) -> DataFrame:
@@ -206,23 +211,25 @@ def _volume_output(agg: DataFrame, threshold_bytes: int, critical_bytes: int) ->
 # ---------------------------------------------------------------------------
 def window_rollup(logs: DataFrame, grain: str = S.VOLUME_WINDOW) -> DataFrame:
     """Per ``(grain window, source_ip)``: all-event and blocked-only totals and
-    the earliest event's values.  Coarser aligned windows (1 minute = six
-    10-second windows) are exact unions of these rows."""
-    tie = F.col("event_id") if "event_id" in logs.columns else F.struct(F.col("user_agent"), F.col("log_type"))
-    key = F.struct(F.col("timestamp"), tie)
+    the earliest event's values, each with its ordering key so that coarser
+    aligned windows (1 minute = six 10-second windows) re-aggregate exactly
+    like the direct detectors."""
     blocked = F.col("action") == "blocked"
-    return logs.groupBy(F.window("timestamp", grain).alias("window"), F.col("source_ip")).agg(
+    aggs = [
         F.sum("bytes_transferred").alias("bytes_total"),
         F.count(F.lit(1)).alias("event_count"),
-        F.min_by(F.col("log_type"), key).alias("log_type"),
-        F.min_by(F.col("user_agent"), key).alias("user_agent"),
         F.count_if(blocked).alias("blocked_count"),
         F.sum(F.when(blocked, F.col("bytes_transferred"))).alias("blocked_bytes"),
-        # NULL ordering keys are skipped, so these see blocked events only
-        F.min_by(F.when(blocked, F.struct(F.col("user_agent"), F.col("log_type"))), F.when(blocked, key))
-        .alias("blocked_first"),
-        F.min(F.when(blocked, key)).alias("blocked_key"),
-    )
+    ]
+    for c in ("log_type", "user_agent"):
+        key = event_order(logs, c)
+        aggs += [
+            first_value(logs, c).alias(c),
+            # NULL ordering keys are skipped, so these see blocked events only
+            F.min_by(F.when(blocked, F.col(c)), F.when(blocked, key)).alias(f"blocked_{c}"),
+            F.min(F.when(blocked, key)).alias(f"blocked_{c}_key"),
+        ]
+    return logs.groupBy(F.window("timestamp", grain).alias("window"), F.col("source_ip")).agg(*aggs)
 
 
 def volume_from_rollup(rollup: DataFrame, threshold_bytes: int = S.VOLUME_THRESHOLD_BYTES,
@@ -240,10 +247,10 @@ def brute_force_from_rollup(rollup: DataFrame, threshold: int = S.BRUTE_FORCE_TH
         .groupBy(F.window(F.col("window.start"), window).alias("window"), F.col("source_ip"))
         .agg(
             F.sum("blocked_count").alias("blocked_count"),
-            F.min_by(F.col("blocked_first"), F.col("blocked_key")).alias("_f"),
+            F.min_by(F.col("blocked_user_agent"), F.col("blocked_user_agent_key")).alias("user_agent"),
+            F.min_by(F.col("blocked_log_type"), F.col("blocked_log_type_key")).alias("log_type"),
             F.sum("blocked_bytes").alias("bytes_total"),
         )
-        .withColumns({"user_agent": F.col("_f.user_agent"), "log_type": F.col("_f.log_type")})
     )
     return _brute_force_output(agg, threshold)
 
