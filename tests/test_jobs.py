@@ -66,3 +66,5 @@ def test_serve_requests_from_written_tables(spark):
     assert t.global_stats().first() == serve.global_stats_of(spark, out).first()
     assert serve.global_stats_of(spark, out).first()["total_ips_analyzed"] == 15
     assert serve.timeline_of(spark, out).agg(F.sum("malicious")).first()[0] > 0
+    keys = [(r["date"], r["hour"]) for r in t.timeline().collect()]
+    assert keys == sorted(keys) and len(keys) > 0

@@ -53,7 +53,8 @@ def global_stats_of(spark: SparkSession, out: str, score_col: str = "reputation_
 
 def timeline_of(spark: SparkSession, out: str, date_from: str = S.TIMELINE_DEFAULT_FROM,
                 date_to: str = S.TIMELINE_DEFAULT_TO) -> DataFrame:
-    return V.timeline_range(spark.read.parquet(f"{out}/threat_timeline"), date_from, date_to)
+    """Hourly rows in key order (date, then hour)."""
+    return V.timeline_range(spark.read.parquet(f"{out}/threat_timeline"), date_from, date_to).orderBy("date", "hour")
 
 
 class ServedTables:
@@ -86,4 +87,5 @@ class ServedTables:
         return V.global_stats(self.snapshot, score_col)
 
     def timeline(self, date_from: str = S.TIMELINE_DEFAULT_FROM, date_to: str = S.TIMELINE_DEFAULT_TO) -> DataFrame:
-        return V.timeline_range(self.timeline_table, date_from, date_to)
+        """Hourly rows in key order (date, then hour), as a range scan returns them."""
+        return V.timeline_range(self.timeline_table, date_from, date_to).orderBy("date", "hour")
