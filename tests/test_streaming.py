@@ -189,3 +189,21 @@ def test_restart_resumes_from_checkpoint(spark):
     got = D.read_alerts(spark, f"{work}/sink").collect()
     static = detect.detect_brute_force(spark.read.schema(SCHEMA).parquet(f"{d}/part*")).collect()
     assert len(got) == 1 and got[0]["event_count"] == 8 == static[0]["event_count"]
+
+
+def test_stream_port_scan_approximate_option(spark):
+    from vigil.operators import detect
+
+    scan = [row(src="192.168.1.99", dst=f"10.0.0.{i}", proto="TCP", label="suspicious",
+                ts=TS + dt.timedelta(seconds=i)) for i in range(30)]
+    d = _write_files(spark, [scan])
+    q = (detect.detect_port_scan_stream(_source(spark, d), exact=False)
+         .writeStream.outputMode("update").format("memory").queryName("approx_scan_test")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.sql("SELECT distinct_targets, severity FROM approx_scan_test").collect()
+    assert len(got) == 1 and abs(got[0]["distinct_targets"] - 30) <= 1 and got[0]["severity"] == "MEDIUM"
+
+
+def test_read_detections_empty_sink(spark):
+    assert D.read_detections(spark, tempfile.mkdtemp(prefix="vigil-test-empty-") + "/none").count() == 0

@@ -260,6 +260,8 @@ def detect_port_scan_stream(
     threshold: int = S.PORT_SCAN_THRESHOLD,
     window: str = S.PORT_SCAN_WINDOW,
     watermark: str | None = None,
+    exact: bool = True,
+    rsd: float = 0.01,
 ) -> DataFrame:
     """Port scan on a stream with an *exact* distinct count.
 
@@ -269,14 +271,25 @@ def detect_port_scan_stream(
     ``(source_ip, window)`` is exact and runs in update mode.  Event count and
     first log type are not available after the de-duplication, so this
     variant reports the targets, score and severity only.
+
+    ``exact=False`` keeps one HyperLogLog sketch per ``(source_ip, window)``
+    instead (``approx_count_distinct`` with relative error ``rsd``): state no
+    longer grows with the number of targets, at the price of estimates.
     """
-    src = _with_watermark(logs, watermark)
+    src = _with_watermark(logs, watermark).filter(F.col("protocol") == "TCP")
+    if exact:
+        counted = (
+            src.withColumn("window", F.window("timestamp", window))
+            .dropDuplicates(["source_ip", "window", "dest_ip"])
+            .groupBy("source_ip", "window")
+            .agg(F.count(F.lit(1)).alias("distinct_targets"))
+        )
+    else:
+        counted = src.groupBy("source_ip", F.window("timestamp", window).alias("window")).agg(
+            F.approx_count_distinct("dest_ip", rsd).alias("distinct_targets")
+        )
     return (
-        src.filter(F.col("protocol") == "TCP")
-        .withColumn("window", F.window("timestamp", window))
-        .dropDuplicates(["source_ip", "window", "dest_ip"])
-        .groupBy("source_ip", "window")
-        .agg(F.count(F.lit(1)).alias("distinct_targets"))
+        counted
         .filter(F.col("distinct_targets") > threshold)
         .select(
             "source_ip",

@@ -172,7 +172,10 @@ def read_alerts(spark: SparkSession, sink_path: str) -> DataFrame:
 
 def read_detections(spark: SparkSession, sink_path: str, keys=("source_ip", "window_start")) -> DataFrame:
     """Raw detector rows written by a sink, newest revision per ``keys``."""
-    rows = spark.read.parquet(sink_path)
+    try:
+        rows = spark.read.parquet(sink_path)
+    except AnalysisException:  # no micro-batch has been written yet
+        return spark.createDataFrame([], T.StructType([T.StructField(k, T.StringType()) for k in keys]))
     payload = [c for c in rows.columns if c not in (*keys, "batch_id")]
     newest = F.max_by(F.struct(*payload), F.col("batch_id")).alias("_r")
     return rows.groupBy(*keys).agg(newest).select(*keys, "_r.*")
