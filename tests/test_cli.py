@@ -28,4 +28,9 @@ def test_cli_ingest_batch_publish_stream_profile(spark):
     assert set(sinks) == {"brute_force", "signatures", "volume_anomaly"}
     ip = spark.read.parquet(f"{work}/out/threat_profiles").orderBy("ip").first()["ip"]
     doc = run(["profile", "--tables", f"{work}/out", "--ip", ip], spark)
-    assert doc["ip"] == ip and json.dumps(doc, default=str)
+    assert doc["ip"] == ip and json.dumps(doc)  # plain JSON types only
+    assert set(doc) == {"ip", "batchLayer", "speedLayer", "recommendation", "confidence"}
+    assert set(doc["speedLayer"]) == {"activeAlerts", "lastSeen", "currentThreatScore", "recentAttackTypes",
+                                      "bytesLastHour"}
+    unknown = run(["profile", "--tables", f"{work}/out", "--ip", "203.0.113.9"], spark)
+    assert unknown["recommendation"] == "ALLOW" and unknown["batchLayer"]["reputationScore"] == 0

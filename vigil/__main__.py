@@ -97,9 +97,9 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
         return {"published": args.kafka or args.out}
 
     if args.cmd == "profile":
-        from vigil.plans.serve import profile_document
+        from vigil.plans.serve import profile_document, service_response
 
-        return profile_document(spark, args.tables, args.ip)
+        return service_response(profile_document(spark, args.tables, args.ip))
 
     raise AssertionError(args.cmd)
 

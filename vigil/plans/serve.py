@@ -22,6 +22,36 @@ ZERO_PROFILE = {
 }
 
 
+def _iso(v):
+    return v.isoformat() if hasattr(v, "isoformat") else v
+
+
+def service_response(profile: dict) -> dict:
+    """A flat profile row in the original service's response shape (nested
+    ``batchLayer`` / ``speedLayer``; ``bytes_recent_alerts`` is served under
+    its original key ``bytesLastHour``)."""
+    p = profile
+    return {
+        "ip": p["ip"],
+        "batchLayer": {
+            "reputationScore": p["reputation_score"],
+            "totalHistoricalEvents": p["total_historical_events"],
+            "attackTypesDetected": list(p["attack_types_detected"] or []),
+            "firstSeen": _iso(p["first_seen"]),
+            "lastBatchUpdate": _iso(p["last_batch_update"]),
+        },
+        "speedLayer": {
+            "activeAlerts": p["active_alerts"],
+            "lastSeen": _iso(p["last_seen"]),
+            "currentThreatScore": p["current_threat_score"],
+            "recentAttackTypes": list(p["recent_attack_types"] or []),
+            "bytesLastHour": p["bytes_recent_alerts"],
+        },
+        "recommendation": p["recommendation"],
+        "confidence": p["confidence"],
+    }
+
+
 def profile_of(spark: SparkSession, out: str, ip: str) -> DataFrame:
     """Rows of the served profile table for one IP (0 or 1 row).  The equality
     is pushed to the scan; the table is range-partitioned and sorted by IP."""
