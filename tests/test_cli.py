@@ -34,3 +34,11 @@ def test_cli_ingest_batch_publish_stream_profile(spark):
                                       "bytesLastHour"}
     unknown = run(["profile", "--tables", f"{work}/out", "--ip", "203.0.113.9"], spark)
     assert unknown["recommendation"] == "ALLOW" and unknown["batchLayer"]["reputationScore"] == 0
+
+    alerts = run(["alerts", "--tables", f"{work}/out", "--limit", "5"], spark)
+    assert len(alerts) == 5 and json.dumps(alerts)
+    assert [a["threatScore"] for a in alerts] == sorted((a["threatScore"] for a in alerts), reverse=True)
+    stats = run(["stats", "--tables", f"{work}/out"], spark)
+    assert stats["total_ips_analyzed"] == 15 and stats["source"] == "batch_layer"
+    tl = run(["timeline", "--tables", f"{work}/out"], spark)
+    assert tl and [(t["date"], t["hour"]) for t in tl] == sorted((t["date"], t["hour"]) for t in tl)

@@ -5,6 +5,7 @@
   stream   live detectors over Kafka or a folder of JSON messages
   publish  log table -> keyed JSON messages (Kafka or text files)
   profile  one IP's threat profile from the served tables, as JSON
+  alerts   active alerts; stats: global statistics; timeline: hourly counts
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so cluster
 settings are whatever ``spark-submit`` / ``spark-defaults.conf`` provide.
@@ -55,10 +56,22 @@ def _parser() -> argparse.ArgumentParser:
     pr = sub.add_parser("profile", help="threat profile of one IP")
     pr.add_argument("--tables", required=True, help="output folder of 'batch --serving'")
     pr.add_argument("--ip", required=True)
+
+    al = sub.add_parser("alerts", help="active alerts (TTL, top by score)")
+    al.add_argument("--tables", required=True)
+    al.add_argument("--limit", type=int, default=200)
+
+    st = sub.add_parser("stats", help="global batch statistics")
+    st.add_argument("--tables", required=True)
+
+    tl = sub.add_parser("timeline", help="hourly threat counts of whole days")
+    tl.add_argument("--tables", required=True)
+    tl.add_argument("--from", dest="date_from", default="20240101")
+    tl.add_argument("--to", dest="date_to", default="20241231")
     return p
 
 
-def run(argv: list[str], spark: SparkSession | None = None) -> dict:
+def run(argv: list[str], spark: SparkSession | None = None) -> dict | list:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"vigil-{args.cmd}").getOrCreate()
 
@@ -101,6 +114,17 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
 
         return service_response(profile_document(spark, args.tables, args.ip))
 
+    if args.cmd in ("alerts", "stats", "timeline"):
+        from vigil.plans import serve
+
+        if args.cmd == "alerts":
+            rows = serve.active_alerts_of(spark, args.tables, args.limit).collect()  # at most --limit rows
+            return [serve.alert_response(r.asDict()) for r in rows]
+        if args.cmd == "stats":
+            return serve.stats_response(serve.global_stats_of(spark, args.tables).first().asDict())
+        rows = serve.timeline_of(spark, args.tables, args.date_from, args.date_to).collect()  # hours of the range
+        return [serve.timeline_response(r.asDict()) for r in rows]
+
     raise AssertionError(args.cmd)
 
 

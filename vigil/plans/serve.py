@@ -119,3 +119,31 @@ class ServedTables:
     def timeline(self, date_from: str = S.TIMELINE_DEFAULT_FROM, date_to: str = S.TIMELINE_DEFAULT_TO) -> DataFrame:
         """Hourly rows in key order (date, then hour), as a range scan returns them."""
         return V.timeline_range(self.timeline_table, date_from, date_to).orderBy("date", "hour")
+
+
+def alert_response(alert: dict) -> dict:
+    """An alert row in the original service's response shape."""
+    a = alert
+    return {
+        "ipSource": a["ip_source"],
+        "bucketTime": _iso(a["bucket_time"]),
+        "alertId": a["alert_id"],
+        "lastSeen": _iso(a["last_seen"]),
+        "threatScore": a["threat_score"] or 0,
+        "attackTypes": list(a["attack_types"] or []),
+        "alertType": a["alert_type"],
+        "severity": a["severity"],
+        "eventCount": a["event_count"] or 0,
+        "bytesTotal": a["bytes_total"] or 0,
+        "userAgents": list(a["user_agents"] or []),
+        "logSources": list(a["log_sources"] or []),
+    }
+
+
+def stats_response(stats: dict) -> dict:
+    return {"source": "batch_layer", "total_ips_analyzed": stats["total_ips_analyzed"],
+            "high_risk_ips": stats["high_risk_ips"], "note": "Results from last Spark batch jobs"}
+
+
+def timeline_response(row: dict) -> dict:
+    return {k: row[k] for k in ("date", "hour", "malicious", "suspicious", "benign")}
