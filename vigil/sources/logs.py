@@ -103,10 +103,11 @@ def parse_csv_lines(lines: DataFrame, column: str = "value", options: dict | Non
 
 def to_csv_lines(logs: DataFrame, column: str = "value") -> DataFrame:
     """Render logs as CSV lines in the ingest layout (inverse of ``parse_csv_lines``)."""
-    return logs.select(
-        F.to_csv(F.struct(*[F.col(c) for c in S.LOG_COLUMNS]),
-                 {"timestampNTZFormat": S.CSV_TIMESTAMP_FORMAT}).alias(column)
-    )
+    # the CSV writer trims leading/trailing white space by default (the reader
+    # does not): keep values exactly as they are
+    opts = {"timestampNTZFormat": S.CSV_TIMESTAMP_FORMAT,
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return logs.select(F.to_csv(F.struct(*[F.col(c) for c in S.LOG_COLUMNS]), opts).alias(column))
 
 
 def add_date_partitions(df: DataFrame, ts: str = "timestamp") -> DataFrame:
