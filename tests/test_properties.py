@@ -100,7 +100,7 @@ def test_snapshot_and_timeline_brute_force(mk, rows):
     assert got_tl == dict(hours)
 
 
-text = st.one_of(st.none(), st.text(alphabet=st.characters(blacklist_categories=("Cs", "Cc")), max_size=40))
+text = st.one_of(st.none(), st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=40))  # any text but lone surrogates
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
