@@ -57,9 +57,10 @@ def normalize_logs(raw: DataFrame, now: Column | None = None) -> DataFrame:
     out = {"timestamp": timestamp}
     for c, default in S.MESSAGE_DEFAULTS.items():
         out[c] = _text(c, cols) if c in cols else F.lit(default)
-    out["bytes_transferred"] = F.coalesce(
-        F.trim(_text("bytes_transferred", cols)).try_cast("bigint"), F.lit(0).cast("bigint")
-    )
+    # integer text as a producer's int() reads it: surrounding blanks, a sign
+    # and digit-group underscores ("1_000") are accepted; anything else is 0
+    digits = F.regexp_replace(F.trim(_text("bytes_transferred", cols)), r"(?<=\d)_(?=\d)", "")
+    out["bytes_transferred"] = F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
     out["user_agent"] = F.coalesce(F.nullif(_text("user_agent", cols), F.lit("")), F.lit(""))
     out["request_path"] = F.coalesce(F.nullif(_text("request_path", cols), F.lit("")), F.lit("/"))
     extra = [F.col(c) for c in raw.columns if c not in out]
