@@ -207,3 +207,15 @@ def test_stream_port_scan_approximate_option(spark):
 
 def test_read_detections_empty_sink(spark):
     assert D.read_detections(spark, tempfile.mkdtemp(prefix="vigil-test-empty-") + "/none").count() == 0
+
+
+def test_duplicate_messages_give_one_alert_each(spark):
+    d = tempfile.mkdtemp(prefix="vigil-test-dup-")
+    line = ('{"timestamp":"2024-01-01T00:00:01Z","source_ip":"1.1.1.1","action":"allowed",'
+            '"log_type":"ids","user_agent":"sqlmap/1.7","bytes_transferred":5}')
+    with open(os.path.join(d, "m.json"), "w") as f:
+        f.write(line + "\n" + line + "\n")
+    sinks = D.run_until_caught_up(spark, D.json_file_source(spark, d), ["signatures"], watermark=None)
+    got = D.read_alerts(spark, sinks["signatures"]).collect()
+    assert len(got) == 2 and len({r["alert_id"] for r in got}) == 2
+    assert {r["alert_type"] for r in got} == {"KNOWN_ATTACK_TOOL"}

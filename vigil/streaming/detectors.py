@@ -120,6 +120,14 @@ class AlertBatchWriter:
         self.as_alerts = as_alerts
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.as_alerts and "window_start" not in batch.columns:
+            # per-event alerts need an identity; where a message carries no
+            # event id, identical messages would share an alert id.
+            # (batch_id, position) is stable when a retried batch re-reads
+            # the same input.
+            position = F.concat(F.lit(f"b{batch_id}-"), F.monotonically_increasing_id().cast("string"))
+            own = F.col("event_id").cast("string") if "event_id" in batch.columns else F.lit(None).cast("string")
+            batch = batch.withColumn("event_id", F.coalesce(own, position))
         out = A.to_alerts(batch) if self.as_alerts else batch
         out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
