@@ -6,19 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigil.llm.chat import digest, events_of_turns, reconstruct, render
 from vigil.llm.common import table
 from vigil.llm.decontaminate import decontaminate
 from vigil.llm.packing import pack
+from vigil.llm.quality import judge, measure
+from vigil.session import materialize
 
 
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").selectExpr(
+        "cast(conv_id as long) conv_id", "cast(turn as long) turn", "role", "text")
+    own = spark.range(0, 2, 1, 1).selectExpr(
+        "-7L conv_id", "id turn", "if(id = 0, 'user', 'assistant') role", f"'{probe}' text")
+    return digest(render(reconstruct(events_of_turns(turns.unionByName(own)))))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(materialize(measure(table(spark, sf_dir, "documents")), "quality"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
