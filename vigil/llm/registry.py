@@ -10,6 +10,7 @@ from vigil.llm.chat import digest, events_of_turns, reconstruct, render
 from vigil.llm.common import table
 from vigil.llm.decontaminate import decontaminate
 from vigil.llm.packing import pack
+from vigil.llm.pseudonyms import pseudonymise
 from vigil.llm.quality import judge, measure
 from vigil.session import materialize
 
@@ -27,6 +28,10 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(render(reconstruct(events_of_turns(turns.unionByName(own)))))
 
 
+def op7_format_preserving_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"), key="vigil-demo-key")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
