@@ -145,7 +145,7 @@ def judge(measured: DataFrame, low: float = 4.0, high: float = 12.0, byte_margin
     fit = m.where("not base_failed and n_tokens > 0")
     by_lang = _band(["lang", "size_class"], fit, "_l").withColumnsRenamed({"lang": "lang_l", "size_class": "size_l"})
     by_size = _band(["size_class"], fit, "_a")
-    j = (m.join(by_size, "size_class", "left")
+    j = (m.join(F.broadcast(by_size), "size_class", "left")  # a row for each power of two: 64 at most
          .join(by_lang, F.col("lang").eqNullSafe(F.col("lang_l")) & (F.col("size_class") == F.col("size_l")), "left"))
 
     def at(c: str, i: int):

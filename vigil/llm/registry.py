@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigil.llm.chat import digest, events_of_turns, reconstruct, render
 from vigil.llm.common import table
@@ -12,6 +13,7 @@ from vigil.llm.decontaminate import decontaminate
 from vigil.llm.packing import pack
 from vigil.llm.pseudonyms import pseudonymise
 from vigil.llm.quality import judge, measure
+from vigil.llm.toxicity import fit, score
 from vigil.session import materialize
 
 
@@ -19,6 +21,15 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    toxic = score(spark, fit(docs, table(spark, sf_dir, "labels")))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
+        toxic(F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
     turns = table(spark, sf_dir, "conversations").selectExpr(
