@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vigil.llm.chat import digest, events_of_turns, reconstruct, render
 from vigil.llm.common import table
 from vigil.llm.decontaminate import decontaminate
+from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack
 from vigil.llm.pseudonyms import pseudonymise
 from vigil.llm.quality import judge, measure
@@ -43,6 +44,10 @@ def op7_format_preserving_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFr
     return pseudonymise(table(spark, sf_dir, "documents"), key="vigil-demo-key")
 
 
+def op8_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
