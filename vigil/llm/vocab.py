@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
 
 import numpy as np
 
-WORD_CACHE = 300_000
-PIECE_CACHE = 300_000
+WORD_CACHE = 800_000
+PIECE_CACHE = 500_000
 
 # str.split() cuts at these, the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f]")
@@ -44,51 +43,54 @@ class WordBpe:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.words) + len(new) > WORD_CACHE:
-            self.words.clear()
-        cut, plain = [], []
+        words, pieces = self.words, self.pieces
+        if len(pieces) > PIECE_CACHE:
+            pieces.clear()
+        single, several = [], []  # (word, its piece) or (word, its pieces)
         for w in new:
             # below U+0130 composition and lower-casing work character by character
-            if max(w) < "\u0130" and not any(s in w for s in self.special):
-                plain.append((w, self.split(w.lower())))
+            if not w.isascii() and max(w) >= "\u0130" or "<" in w and any(s in w for s in self.special):
+                words[w] = self.direct(w)
+            elif w.isalpha():
+                single.append((w, w.lower()))
             else:
-                self.words[w] = self.direct(w)
-        if len(self.pieces) > PIECE_CACHE:
-            self.pieces.clear()
-        cut = list({p for _, ps in plain for p in ps} - self.pieces.keys())
+                several.append((w, self.split(w.lower())))
+        cut = list(({p for _, p in single} | {p for _, ps in several for p in ps}) - pieces.keys())
         for i in range(0, len(cut), 512):
             part = cut[i:i + 512]
             ids = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(part) and (not len(ids) or ends[-1] == len(ids)):
-                lo = 0
-                for p, hi in zip(part, ends.tolist()):
-                    self.pieces[p] = ids[lo:hi].tobytes()
+                raw, lo = ids.tobytes(), 0
+                for p, hi in zip(part, (4 * ends).tolist()):
+                    pieces[p] = raw[lo:hi]
                     lo = hi
             else:
                 for p in part:
-                    self.pieces[p] = self.direct(p)
-        get = self.pieces.__getitem__
-        for w, ps in plain:
-            self.words[w] = b"".join(map(get, ps))
+                    pieces[p] = self.direct(p)
+        for w, p in single:
+            words[w] = pieces[p]
+        for w, ps in several:
+            words[w] = b"".join([pieces[p] for p in ps])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        out, split = [], []
-        for t in texts:
-            split.append(None if _ODD.search(t) else t.split())
-        new = set(chain.from_iterable(s for s in split if s)) - self.words.keys()
-        if new:
-            kept = None
-            if len(self.words) + len(new) > WORD_CACHE:  # words of these texts that are known now must stay known
-                kept = {w: self.words[w] for s in split if s for w in s if w in self.words}
-            self._learn(new)
-            if kept:
-                self.words.update(kept)
-        get = self.words.__getitem__
-        for t, s in zip(texts, split):
-            out.append(self.direct(t) if s is None else b"".join(map(get, s)))
-        return out
+        return _by_word(texts, self.words, self._learn, self.direct)
+
+
+def _by_word(texts: list[str], words: dict[str, bytes], learn, whole) -> list[bytes]:
+    split = [None if _ODD.search(t) else t.split() for t in texts]
+    found = [list(map(words.get, s)) if s else [] for s in split]
+    late = [i for i, f in enumerate(found) if None in f]
+    if late:
+        new = {w for i in late for w, x in zip(split[i], found[i]) if x is None}
+        if len(words) + len(new) > WORD_CACHE:
+            words.clear()
+            new = {w for i in late for w in split[i]}
+        learn(new)
+        for i in late:
+            found[i] = map(words.__getitem__, split[i])
+    return [whole(t) if s is None else b"".join(f) for t, s, f in zip(texts, split, found)]
 
 
 class PieceBpe:
@@ -101,17 +103,14 @@ class PieceBpe:
         self.is_byte = np.array([self.sp.is_byte(i) for i in range(self.sp.get_piece_size())])
         self.words: dict[str, bytes] = {}
 
+    def _learn(self, new: set[str]) -> None:
+        new = list(new)
+        for w, ids in zip(new, self.sp.encode(new, num_threads=1)):
+            self.words[w] = np.array(ids, "<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = list(set(chain.from_iterable(split)) - self.words.keys())
-        if new:
-            if len(self.words) + len(new) > WORD_CACHE:
-                new = list(set(chain.from_iterable(split)))
-                self.words.clear()
-            for w, ids in zip(new, self.sp.encode(new, num_threads=1)):
-                self.words[w] = np.array(ids, "<u4").tobytes()
-        get = self.words.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        """Little-endian uint32 ids of each text, word by word."""
+        return _by_word(texts, self.words, self._learn, lambda t: b"".join(self.encode(t.split())))
 
 
 _open: dict[tuple[str, str], object] = {}
