@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vigil.llm.chat import digest, events_of_turns, reconstruct, render
 from vigil.llm.common import table
 from vigil.llm.decontaminate import decontaminate
+from vigil.llm.factors import remove_repeats
 from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack
 from vigil.llm.pseudonyms import pseudonymise
@@ -22,6 +23,11 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     toxic = score(spark, fit(docs, table(spark, sf_dir, "labels")))
