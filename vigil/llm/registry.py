@@ -15,10 +15,16 @@ from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack
 from vigil.llm.pseudonyms import pseudonymise
 from vigil.llm.quality import judge, measure
+from vigil.llm.templates import drop_lines
 from vigil.llm.toxicity import fit, score
 from vigil.session import materialize
 
 
+def op1_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", "__lines.n_lines", "__lines.n_dropped")
+
+
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
