@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from vigil.llm.chat import digest, events_of_turns, reconstruct, render
 from vigil.llm.common import table
 from vigil.llm.decontaminate import decontaminate
+from vigil.llm.extract import extract, labelled_pages
+from vigil.llm.extract import fit as fit_pages
 from vigil.llm.factors import remove_repeats
 from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack
@@ -43,6 +45,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         toxic(F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op5_dom_graphical_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"), fit_pages(labelled_pages(spark)))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
     turns = table(spark, sf_dir, "conversations").selectExpr(

@@ -202,7 +202,7 @@ def features(text: str, known: dict[str, int], automaton: Automaton, s: Settings
     found = list(map(known.get, ws))
     if None in found:
         new = list({w for w, x in zip(ws, found) if x is None})
-        if len(known) > 1_000_000:
+        if len(known) > 500_000:
             known.clear()
             new = list(set(ws))
         known.update(zip(new, automaton.match(new).tolist()))
