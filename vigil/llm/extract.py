@@ -1,9 +1,10 @@
 """Main text of web pages by a tree-structured graphical model.
 
 Every block element of the DOM is a variable: content or not.  Its evidence is
-its tag, the words of its class, id and role, the length of its own text and
-the share of it that is linked; parent and child are tied by a potential.
-Sum-product messages go up the tree and down again, which gives each block's
+the words of its class, id and role, the length of its own text and the share
+of it that is linked; siblings of one tag are alike, so together they weigh as
+much as ``ALIKE`` of them.  Parent and child are tied by a potential that
+depends on their tags.  Sum-product messages go up the tree and down again, which gives each block's
 exact marginal; text of blocks over one half is the page's main text.
 
 ``labelled_pages`` writes pages of many layouts with a label on every block
@@ -19,10 +20,10 @@ pages are whole; extra columns are not read.
 
 from __future__ import annotations
 
-import math
 import random
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,13 +32,14 @@ from vigil.llm.common import batches_of, ship
 from vigil.llm.dom import Page, read
 
 SMOOTH = 0.5
+ALIKE = 4
 PAGES = 3000
 _NAME = re.compile(r"[A-Za-z][a-z]+|[A-Z]+(?![a-z])")
 
 
 def evidence(page: Page, i: int) -> list[str]:
     """Features of block i."""
-    attrs, out = page.attrs[i], [f"tag:{page.tag[i]}"]
+    attrs, out = page.attrs[i], []
     names = " ".join(attrs[k] for k in ("class", "id", "role") if k in attrs)
     if names:
         out += {f"name:{w.lower()}" for w in _NAME.findall(names)}
@@ -49,37 +51,58 @@ def evidence(page: Page, i: int) -> list[str]:
     return out
 
 
-def marginals(page: Page, odds: dict[str, float], edge: tuple[float, float], root: float) -> list[float]:
-    """Probability of content for each block, by messages up and down the tree.
+@dataclass(frozen=True)
+class Model:
+    """``odds``: likelihood ratio of content by feature; ``edges``: P(content | parent's state) by "state tag parent's
+    tag", with "state tag" and "state" behind it; ``root``: odds of the page itself."""
 
-    ``odds``: likelihood ratio of a feature; ``edge``: P(content | parent is
-    content), P(content | parent is not); all messages are ratios.
-    """
-    n, (hh, lh) = len(page.tag), edge
-    up, sent = [1.0] * n, [1.0] * n
+    odds: dict[str, float]
+    edges: dict[str, float]
+    root: float = 1000.0
+
+    def edge(self, state: int, tag: str, above: str) -> float:
+        e = self.edges
+        for k in (f"{state} {tag} {above}", f"{state} {tag}", f"{state}"):
+            if k in e:
+                return e[k]
+        return 0.9 if state else 0.1
+
+
+def marginals(page: Page, model: Model) -> list[float]:
+    """Probability of content for each block, by messages up and down the tree; all messages are ratios."""
+    n, tag, parent = len(page.tag), page.tag, page.parent
+    up, sent, hh, lh = [1.0] * n, [1.0] * n, [0.0] * n, [0.0] * n
+    alike: dict[tuple[int, str], int] = {}
+    for i in range(n):
+        k = (parent[i], tag[i])
+        alike[k] = alike.get(k, 0) + 1
     for i in range(n):
-        x = 1.0
         for f in evidence(page, i):
-            x *= odds.get(f, 1.0)
-        up[i] = x
+            up[i] *= model.odds.get(f, 1.0)
+        many = alike[parent[i], tag[i]]
+        if many > ALIKE:
+            up[i] **= ALIKE / many
     for i in range(n - 1, 0, -1):  # children come after their parents
+        above = tag[parent[i]]
+        hh[i], lh[i] = model.edge(1, tag[i], above), model.edge(0, tag[i], above)
         o = min(max(up[i], 1e-30), 1e30)
         up[i] = o
-        sent[i] = (1 - hh + hh * o) / (1 - lh + lh * o)
-        up[page.parent[i]] *= sent[i]
+        sent[i] = (1 - hh[i] + hh[i] * o) / (1 - lh[i] + lh[i] * o)
+        up[parent[i]] *= sent[i]
     belief = [0.0] * n
-    belief[0] = min(max(up[0] * root, 1e-30), 1e30)
+    belief[0] = min(max(up[0] * model.root, 1e-30), 1e30)
     for i in range(1, n):
-        rest = belief[page.parent[i]] / sent[i]
-        belief[i] = min(max(up[i] * (lh + hh * rest) / (1 - lh + (1 - hh) * rest), 1e-30), 1e30)
+        rest = belief[parent[i]] / sent[i]
+        down = (lh[i] + hh[i] * rest) / (1 - lh[i] + (1 - hh[i]) * rest)
+        belief[i] = min(max(up[i] * down, 1e-30), 1e30)
     return [b / (1 + b) for b in belief]
 
 
-def main_text(html: str | None, odds: dict[str, float], edge: tuple[float, float], root: float) -> str:
+def main_text(html: str | None, model: Model) -> str:
     if not html:
         return ""
     page = read(html)
-    p = marginals(page, odds, edge, root)
+    p = marginals(page, model)
     return "\n".join(t for node, t in page.runs if p[node] >= 0.5)
 
 
@@ -151,8 +174,13 @@ def labelled_page(seed: int) -> str:
             else:
                 row = lambda c: tag("tr", 1, "".join(tag(c, 1, words(1, 5)) for _ in range(3)))
                 parts.append(tag("table", 1, row("th") + row("td") + row("td")))
+        if r.random() < 0.15:
+            parts.insert(min(1, len(parts)), tag(r.choice(["p", "p", "div", "ul"]), 0, r.choice([words(1, 6), link(1, 2)]), attr("share", 1)))
         for _ in range(r.choice([0, 0, 0, 1, 2])):  # foreign blocks inside the article
-            parts.insert(r.randint(0, len(parts)), r.choice([advert, share, aside, form, notice])())
+            parts.insert(r.randint(0, len(parts)), r.choice([advert, share, aside, form, notice, nav])())
+        for foreign in (comments, footer, form, aside):
+            if r.random() < 0.08:
+                parts.append(foreign())
         if r.random() < 0.15:
             parts[0:1] = [tag("header", 1, parts[0] + (share() if r.random() < 0.5 else ""))]
         if r.random() < 0.3:
@@ -166,8 +194,10 @@ def labelled_page(seed: int) -> str:
             return tag("article", 1, inner, attr("content", 0.4))
         if x < 0.6:
             return tag("main", 1, inner, attr("content", 0.4))
-        if x < 0.7:
-            return tag("main", 1, tag("article", 1, inner, attr("content", 0.4)))
+        if x < 0.75:
+            beside = [f() for f in (nav, header, aside, advert, comments, share, form, notice, footer) if r.random() < 0.15]
+            beside.insert(r.randint(0, len(beside)), tag(r.choice(["article", "article", "div", "section"]), 1, inner, attr("content", 0.5)))
+            return tag("main", 1, "".join(beside), attr("content", 0.3))
         return tag("div", 1, inner, attr("content", 0.9))
 
     def nav() -> str:
@@ -221,7 +251,10 @@ def labelled_page(seed: int) -> str:
     rest = after[1:] if len(middle) and r.random() < 0.5 and after else after
     if r.random() < 0.35:
         middle = tag("div", 1, middle, r.choice(["", ' class="wrapper"', ' id="container"', ' class="row"']))
-    return f'<html data-y="1"><body data-y="1">{"".join(before)}{middle}{"".join(rest)}</body></html>'
+    inner = f'{"".join(before)}{middle}{"".join(rest)}'
+    if r.random() < 0.1:  # a fragment without a frame
+        return inner
+    return f'<html data-y="1"><body data-y="1">{inner}</body></html>'
 
 
 def labelled_pages(spark: SparkSession, n: int = PAGES) -> DataFrame:
@@ -235,50 +268,63 @@ def labelled_pages(spark: SparkSession, n: int = PAGES) -> DataFrame:
     return spark.range(0, n, 1, 8).mapInArrow(run, "html string")
 
 
-def fit(labelled: DataFrame) -> tuple[dict[str, float], tuple[float, float], float]:
-    """Likelihood ratios of features, parent-child potentials and the root's odds, from counts."""
+def observed(html: str) -> Iterator[tuple[str, int]]:
+    """(what, label) of all blocks of a labelled page."""
+    page = read(html)
+    ys = [1] * len(page.tag)
+    for i in range(1, len(ys)):
+        above = page.parent[i]
+        ys[i] = y = int(page.attrs[i].get("data-y", ys[above]))
+        state, tag = ys[above], page.tag[i]
+        for f in (*evidence(page, i), "block", f"edge {state}", f"edge {state} {tag}", f"edge {state} {tag} {page.tag[above]}"):
+            yield f, y
+        if page.chars[i]:
+            yield "text", y
+
+
+def from_counts(counts: dict[str, list[float]]) -> Model:
+    """Model of {what: [blocks that are not content, blocks that are]}."""
+    block, text = counts.get("block", [0.0, 0.0]), counts.get("text", [0.0, 0.0])
+    odds = {}
+    for f, (n0, n1) in counts.items():
+        if f.startswith(("name:", "size:", "links:")):
+            d0, d1 = block if f.startswith("name:") else text
+            odds[f] = ((n1 + SMOOTH) / (d1 + 1)) / ((n0 + SMOOTH) / (d0 + 1))
+    edges: dict[str, float] = {}
+    for k in sorted((f[5:] for f in counts if f.startswith("edge ")), key=lambda k: k.count(" ")):
+        n0, n1 = counts[f"edge {k}"]
+        behind = edges.get(k.rpartition(" ")[0], 0.5)
+        lo, hi = (0.005, 0.999) if k[0] == "1" else (0.0002, 0.2)  # no potential rules a state out
+        edges[k] = min(hi, max(lo, (n1 + 2 * behind) / (n0 + n1 + 2)))
+    return Model(odds, edges)
+
+
+def fit(labelled: DataFrame) -> Model:
+    """Model from labelled pages (``html`` with data-y on blocks)."""
     ship(labelled.sparkSession)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            feature, label = [], []
-            for html in batch.column(0).to_pylist():
-                page = read(html or "")
-                ys = [1] * len(page.tag)
-                for i in range(1, len(ys)):
-                    above = ys[page.parent[i]]
-                    ys[i] = int(page.attrs[i].get("data-y", above))
-                    for f in (*evidence(page, i), "block", f"under:{above}", *(["text"] if page.chars[i] else [])):
-                        feature.append(f)
-                        label.append(ys[i])
-            yield pa.RecordBatch.from_arrays([pa.array(feature, pa.string()), pa.array(label, pa.int32())], names=["f", "y"])
+            pairs = [x for html in batch.column(0).to_pylist() for x in observed(html or "")]
+            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in pairs], pa.string()),
+                                              pa.array([y for _, y in pairs], pa.int32())], names=["f", "y"])
 
     counts: dict[str, list[float]] = {}
     for row in labelled.select("html").mapInArrow(run, "f string, y int").groupBy("f", "y").count().collect():
         counts.setdefault(row["f"], [0.0, 0.0])[row["y"]] = float(row["count"])
-    total, text = counts.pop("block", [0.0, 0.0]), counts.pop("text", [0.0, 0.0])
-    edge = tuple((counts.get(f"under:{a}", [0, 0])[1] + SMOOTH) / (sum(counts.pop(f"under:{a}", [0, 0])) + 2 * SMOOTH)
-                 for a in (1, 0))
-    odds = {}
-    for f, (n0, n1) in counts.items():
-        d0, d1 = text if f.startswith(("size:", "links:")) else total
-        odds[f] = ((n1 + SMOOTH) / (d1 + 1)) / ((n0 + SMOOTH) / (d0 + 1))
-    return odds, edge, 1.0
+    return from_counts(counts)
 
 
-def extract(pages: DataFrame, model: tuple[dict[str, float], tuple[float, float], float]) -> DataFrame:
+def extract(pages: DataFrame, model: Model) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     spark = pages.sparkSession
     ship(spark)
-    odds, edge, root = model
-    if not all(math.isfinite(v) for v in odds.values()):
-        raise ValueError("a likelihood ratio isn't finite")
-    shared = spark.sparkContext.broadcast(odds)
+    shared = spark.sparkContext.broadcast(model)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for part in batches_of(batch, "html"):
-                texts = [main_text(h, shared.value, edge, root) for h in part.column(2).to_pylist()]
+                texts = [main_text(h, shared.value) for h in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                     names=["page_id", "url", "text", "n_chars"])
