@@ -95,22 +95,27 @@ _built: dict[str, tuple] = {}
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS,
-                  with_spans: bool = False) -> DataFrame:
+                  with_spans: bool = False, columns: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
-    ``with_spans`` adds ``spans array<struct<start:int,end:int>>`` in the original text.
+    ``with_spans`` adds ``spans array<struct<start:int,end:int>>`` in the original text, ``columns`` adds a struct
+    ``row`` with these columns of the document.
     """
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.selectExpr("cast(item_id as string) item_id", "cast(text as string) text").where("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(-(-chars // block_chars)) or 1
-    df = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "cast(null as binary) hit",
-                         "cast(array() as array<string>) ids")
+    df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                     F.lit(None).cast("binary").alias("hit"), F.expr("cast(array() as array<string>)").alias("ids"),
+                     *([F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")] if columns else []))
     state = "doc_id long, text string, hit binary, ids array<string>"
     out = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
     if with_spans:
         out += ", spans array<struct<start:int,end:int>>"
+    if columns:
+        row = f", row {df.schema['row'].dataType.simpleString()}"
+        state, out = state + row, out + row
     for b in range(blocks):
         part = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).toLocalIterator()]
         df = df.mapInArrow(_scanner(spark.sparkContext.broadcast(part), window, b == blocks - 1, with_spans),
@@ -131,7 +136,7 @@ def _scanner(shared, window: int, last: bool, with_spans: bool):
         for batch in it:
             for part in batches_of(batch, "text"):
                 rows = []
-                for doc, text, hit0, ids0 in zip(*(c.to_pylist() for c in part.columns)):
+                for doc, text, hit0, ids0 in zip(*(c.to_pylist() for c in part.columns[:4])):
                     ws = m.words(text)
                     hit, numbers = m.scan(a, ws)
                     if hit0 is not None:
@@ -144,7 +149,8 @@ def _scanner(shared, window: int, last: bool, with_spans: bool):
                     n = int(hit.sum())
                     rows.append((doc, len(ws), n, len(ids), hashlib.sha256(",".join(listed).encode()).hexdigest(), n > 0)
                                 + ((m.spans(text or "", hit),) if with_spans else ()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=columns)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)] + part.columns[4:],
+                                                 names=columns + ["row"] * len(part.columns[4:]))
 
     s, l, b = pa.string(), pa.int64(), pa.bool_()
     if last:
