@@ -48,7 +48,7 @@ FEATURES = ("exact", "stem", "edited", "edited_stem", "density")
 @dataclass(frozen=True)
 class Settings:
     sample: int = 20_000      # labelled rows learnt from, about
-    support: int = 6          # distinct toxic witnesses of an entry
+    support: int = 4          # distinct toxic witnesses of an entry
     ratio: float = 60.0       # how much likelier in toxic documents
     entries: int = 400        # largest lexicon
     stem_forms: int = 4       # words behind a stem
@@ -306,22 +306,15 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     found = (counted.where(F.col("witnesses") >= s.support).where(odds >= s.ratio)
              .where(F.length("word").between(3, 24)).orderBy(F.desc("witnesses"), "word").limit(s.entries).collect())
     lexicon = [r["word"] for r in found]
-    # stems: prefixes of several entries that clean words hardly share
-    forms: dict[str, int] = {}
-    for w in lexicon:
-        for k in range(4, len(w)):
-            forms[w[:k]] = forms.get(w[:k], 0) + 1
-    shared = [p for p, k in forms.items() if k >= s.stem_forms]
-    stems: list[str] = []
-    if shared:
-        table = spark.createDataFrame([(p, len(p)) for p in shared], "prefix string, size int")
-        longest = max(map(len, shared))
-        prefixes = counted.select("witnesses", "against", F.explode(F.transform(
-            F.sequence(F.lit(4), F.lit(longest)), lambda k: F.substr("word", F.lit(1), k))).alias("prefix"))
-        sums = (prefixes.join(F.broadcast(table), "prefix").groupBy("prefix")
-                .agg(F.sum("witnesses").alias("witnesses"), F.sum("against").alias("against")).where(odds >= s.ratio).collect())
-        good = {r["prefix"] for r in sums}
-        stems = sorted(p for p in good if not any(p[:k] in good for k in range(4, len(p))))
+    # stems: prefixes that several words of toxic documents share, and clean documents hardly have
+    prefixes = counted.select("witnesses", "against", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(4), F.lit(7)), lambda k: F.substr("word", F.lit(1), k)))).alias("prefix"))
+    sums = (prefixes.groupBy("prefix").agg(F.sum("witnesses").alias("witnesses"), F.sum("against").alias("against"),
+                                           F.count_if(F.col("witnesses") > 0).alias("forms"))
+            .where(F.length("prefix") >= 4).where(F.col("forms") >= s.stem_forms).where(F.col("witnesses") >= 2 * s.support)
+            .where(odds >= s.ratio).orderBy(F.desc("witnesses"), "prefix").limit(s.entries).collect())
+    good = {r["prefix"] for r in sums}
+    stems = sorted(p for p in good if not any(p[:k] in good for k in range(4, len(p))))
     model = Model([w for w in lexicon if not any(w.startswith(p) for p in stems)], stems, [], s)
     scored = rows.select("toxic", _column(spark, model, False)(F.col("text")).alias("f")).collect()
     x, y = np.array([r["f"] for r in scored]), np.array([r["toxic"] for r in scored], float)
