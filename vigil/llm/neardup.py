@@ -128,7 +128,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                         zip(*rows), (pa.int64(), pa.int64(), pa.list_(pa.int64())))], names=["node", "n", "items"])
 
-    return (docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("node", "text")
+    return (docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
             .mapInArrow(run, "node long, n long, items array<long>").dropDuplicates(["node"]))
 
 

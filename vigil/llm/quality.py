@@ -40,7 +40,8 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
-_DIGITS = re.compile(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
+# a word is tried once, at its start, and without going back
+_DIGITS = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+")
 _WORDY = re.compile(r"[^\x20\x09-\x0D]")
 _SENTENCE = set(".,;:!?'\"()-–—…«»“”‘’¿¡")
 
