@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import batches_of, hash_words, phrase_hashes, ship, shuffle_partitions, text_buffers
+from vigil.llm.common import batches_of, hash_words, mix, phrase_hashes, ship, shuffle_partitions, text_buffers
 from vigil.session import materialize
 
 ANCHOR = 6
@@ -76,8 +76,11 @@ def _entries(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(raw, "<u8", k), np.frombuffer(raw, "<u4", k, 8 * k), np.frombuffer(raw, "<u4", k, 12 * k)
 
 
-SENT = "part int, payload binary, ids array<long>, texts array<long>"
-_SENT = pa.schema([("part", pa.int32()), ("payload", pa.binary()), ("ids", pa.list_(pa.int64())),
+#: Entries (hash, owner, position) with their owners' ids; kind 0 asks index part ``part``, kind 1 answers the
+#: owners, who are dealt over as many parts.  Rows hold the entries of many documents, so their number doesn't grow
+#: with documents times parts.
+SENT = "kind int, part int, payload binary, ids array<long>, texts array<long>"
+_SENT = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("payload", pa.binary()), ("ids", pa.list_(pa.int64())),
                    ("texts", pa.list_(pa.int64()))])
 FOUND = "doc_id long, text_hash long, starts array<int>"
 _FOUND = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("starts", pa.list_(pa.int32()))])
@@ -95,8 +98,29 @@ def _in_order(part: pa.RecordBatch) -> pa.RecordBatch:
     return part if len(order) == part.num_rows and (np.diff(order) == 1).all() else part.take(pa.array(order))
 
 
+def _rows(kind: int, part: np.ndarray, hashes: np.ndarray, owner: np.ndarray, pos: np.ndarray, ids: np.ndarray,
+          texts: np.ndarray) -> list[tuple]:
+    """One row for each value of ``part``; ids and texts are by owner."""
+    by = np.argsort(part, kind="stable")
+    numbers, edges = np.unique(part[by], return_index=True)
+    rows = []
+    for p, at in zip(numbers.tolist(), np.split(by, edges[1:])):
+        docs, local = np.unique(owner[at], return_inverse=True)
+        rows.append((kind, p, _blob(hashes[at], local, pos[at]), ids[docs], texts[docs]))
+    return rows
+
+
+def _answers(owner: np.ndarray, pos: np.ndarray, ids: np.ndarray, texts: np.ndarray, parts: int) -> list[tuple]:
+    home = (mix(ids.view(np.uint64) ^ mix(texts.view(np.uint64))) % np.uint64(parts)).astype(np.int64)
+    return _rows(1, home[owner], np.zeros(len(owner), np.uint64), owner, pos, ids, texts)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(_SENT)], schema=_SENT)
+
+
 def _send(part: pa.RecordBatch, hashes: np.ndarray, owner: np.ndarray, pos: np.ndarray, parts: int) -> pa.RecordBatch:
-    """First occurrences to their index parts; the later ones of this block as part -1 (owner, position).
+    """First occurrences to their index parts; the owners of later ones in this block have their answer.
 
     Entries come in document order.  A locally repeated phrase is sent with its first occurrence only.
     """
@@ -104,25 +128,12 @@ def _send(part: pa.RecordBatch, hashes: np.ndarray, owner: np.ndarray, pos: np.n
     s = hashes[order]
     later = np.zeros(len(s), bool)
     later[1:] = s[1:] == s[:-1]
-    first = order[~later]
-    dealt = (hashes[first] >> np.uint64(17)) % np.uint64(parts)
-    by = np.argsort(dealt, kind="stable")
-    first, dealt = first[by], dealt[by]
-    edges = np.searchsorted(dealt, np.arange(parts + 1))
+    first, again = np.sort(order[~later]), np.sort(order[later])
     ids = part.column(0).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
     texts = part.column(1).to_numpy(zero_copy_only=False)
-    rows = []
-
-    def row(number: int, at: np.ndarray) -> None:
-        docs, local = np.unique(owner[at], return_inverse=True)
-        rows.append((number, _blob(hashes[at], local, pos[at]), ids[docs], texts[docs]))
-
-    for p in range(parts):
-        if edges[p] < edges[p + 1]:
-            row(p, first[edges[p]:edges[p + 1]])
-    if later.any():
-        row(-1, np.sort(order[later]))
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(_SENT)], schema=_SENT)
+    dealt = ((hashes[first] >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
+    return _batch(_rows(0, dealt, hashes[first], owner[first], pos[first], ids, texts)
+                  + _answers(owner[again], pos[again], ids, texts, parts))
 
 
 def _told(ids: np.ndarray, texts: np.ndarray, owner: np.ndarray, pos: np.ndarray) -> pa.Table:
@@ -158,10 +169,12 @@ def _gathered(t: pa.Table):
     return cat(hs), cat(os_), cat(ps), d[new], x[new]
 
 
-def _index(sent: DataFrame, anchors: bool) -> DataFrame:
-    """Replies of the index: anchors that occur in several places, or phrases with an earlier source."""
-    def run(key, t):
+def _index(sent: DataFrame, anchors: bool, parts: int) -> DataFrame:
+    """By document: positions of anchors that occur in several places, or of phrases with an earlier source."""
+    def ask(key, t):
         t = t.combine_chunks()
+        if key[0].as_py():  # an answer already
+            return t
         h, owner, pos, ids, texts = _gathered(t)
         order = np.lexsort((pos, owner, h))
         s = h[order]
@@ -169,29 +182,18 @@ def _index(sent: DataFrame, anchors: bool) -> DataFrame:
         start[1:] = s[1:] != s[:-1]
         group = np.cumsum(start) - 1
         if anchors:
-            size = np.bincount(group)
-            hit = size[group] > 1
+            hit = np.bincount(group)[group] > 1
         else:
             lead = order[start][group]  # the earliest occurrence; repeated rows of a document are the same one
             hit = (owner[order] != owner[lead]) | (pos[order] != pos[lead])
-        told = order[hit]
-        return _told(ids, texts, owner[told], pos[told])
-
-    # what blocks say of themselves needs no index, and is dealt by block
-    own = sent.where("part < 0").mapInArrow(_own, FOUND)
-    return sent.where("part >= 0").groupBy("part").applyInArrow(run, FOUND).unionByName(own)
-
-
-def _own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in it:
-        t = pa.Table.from_batches([batch])
-        if len(t):
-            h, owner, pos, ids, texts = _gathered(t)
-            yield from _told(ids, texts, owner, pos).to_batches()
+        told = np.sort(order[hit])
+        return pa.Table.from_batches([_batch(_answers(owner[told], pos[told], ids, texts, parts))], schema=_SENT)
 
+    def tell(key, t):
+        h, owner, pos, ids, texts = _gathered(t.combine_chunks())
+        return _told(ids, texts, owner, pos)
 
-def _by_document(found: DataFrame) -> DataFrame:
-    return found.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    return sent.groupBy("kind", "part").applyInArrow(ask, SENT).groupBy("part").applyInArrow(tell, FOUND)
 
 
 def factor_spans(docs: DataFrame, n: int = 20) -> DataFrame:
@@ -228,12 +230,12 @@ def factor_spans(docs: DataFrame, n: int = 20) -> DataFrame:
                 if use.any():
                     yield _send(part, h[use], doc[use], start[use], parts)
 
-    sent = materialize(d.mapInArrow(anchors, SENT), "anchors")
-    shared = _by_document(_index(sent, True)).withColumnsRenamed({"doc_id": "d", "text_hash": "t"})
+    shared = materialize(_index(d.mapInArrow(anchors, SENT), True, parts), "anchors").withColumnsRenamed(
+        {"doc_id": "d", "text_hash": "t"})
     on = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))
     some = d.join(shared, on).select("doc_id", "text_hash", "text", "starts")
-    sent = materialize(some.mapInArrow(phrases, SENT), "phrases")
-    found = _by_document(_index(sent, False)).withColumnsRenamed({"doc_id": "d", "text_hash": "t"})
+    found = materialize(_index(some.mapInArrow(phrases, SENT), False, parts), "factors").withColumnsRenamed(
+        {"doc_id": "d", "text_hash": "t"})
     return d.join(found, on, "left").select("doc_id", "text_hash", "text", "starts")
 
 
