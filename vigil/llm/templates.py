@@ -8,8 +8,8 @@ template.  A template that recurs across documents is dropped from all of
 them, wherever it stands.
 
 Recurring means: at least ``witnesses`` different documents, where documents
-with one word sketch (smallest word hash) count as one, and these being at
-least ``share`` of the documents that have it.  So the lines of an article that
+with one word sketch (two smallest word hashes of their other lines) count as one, and these being at
+least ``share`` of all lines that fit it.  So the lines of an article that
 was copied a thousand times are not mistaken for boilerplate; whole copies are
 left to the near-duplicate operator.  A template with variable words needs
 ``fixed`` constants and as many again as a share of ``constant``.
@@ -49,13 +49,26 @@ _WORD, _NUMBER = re.compile(r"[^\x20\x09-\x0D]+"), re.compile("[0-9]")
 class Settings:
     least: int = 3          # words of a line that may be dropped
     witnesses: int = 10     # different documents of a recurring template
-    share: float = 0.1      # of its documents, at least so many different
+    share: float = 0.1      # of its lines, at least so many different documents
     fixed: int = 5          # constants of a template with variable words
     constant: float = 0.6   # and their share of its words
 
 
+def _least_elsewhere(h: np.ndarray, lines: np.ndarray, line_doc: np.ndarray) -> np.ndarray:
+    """For each line the smallest hash in the other lines of its document (the largest number if there are none)."""
+    least = np.minimum.reduceat(h, lines)
+    docs = np.flatnonzero(np.concatenate([[True], line_doc[1:] != line_doc[:-1]]))
+    number = np.repeat(np.arange(len(docs)), np.diff(np.append(docs, len(lines))))
+    lowest = np.minimum.reduceat(least, docs)[number]
+    holds = least == lowest
+    alone = np.add.reduceat(holds.astype(np.int64), docs)[number] == 1
+    second = np.minimum.reduceat(np.where(holds, np.uint64(2**64 - 1), least), docs)[number]
+    return np.where(holds & alone, second, lowest)
+
+
 def parse_lines(column, least: int):
-    """Vectorised parse of all lines with ``least`` words: (document, line number, leaf, document's sketch)."""
+    """Vectorised parse of all lines with ``least`` words: (document, line number, leaf, sketch of the other
+    lines of the document, so that a line's own words don't make its documents look alike)."""
     data, offsets = text_buffers(column)
     h, first, starts, ends = hash_words(data, offsets)
     z = np.zeros(0, np.int64)
@@ -76,11 +89,14 @@ def parse_lines(column, least: int):
     for i in range(DEPTH):
         inside = size > i
         leaf = mix(leaf * np.uint64(0x9E3779B97F4A7C15) + np.where(inside, word[np.minimum(at + i, len(word) - 1)], 0))
-    some = np.diff(first) > 0
-    sketch = np.zeros(len(first) - 1, np.uint64)
-    sketch[some] = np.minimum.reduceat(mix(h), first[:-1][some])
+    lines_at = np.flatnonzero(new)
+    line_doc = doc[lines_at]
+    sketch = np.zeros(len(lines_at), np.uint64)
+    for seed in (np.uint64(0x1234567), np.uint64(0x89ABCDEF)):
+        sketch = mix(sketch * np.uint64(0x9E3779B97F4A7C15) + _least_elsewhere(mix(h ^ seed), lines_at, line_doc))
+    sketch = sketch[keep]
     number = breaks[starts[at]] - breaks[offsets[doc[at]]]
-    return doc[at], number, leaf.view(np.int64), sketch.view(np.int64)[doc[at]]
+    return doc[at], number, leaf.view(np.int64), sketch.view(np.int64)
 
 
 def masked(line: str) -> list[str]:
@@ -109,7 +125,7 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     busy = materialize(parsed.groupBy("leaf", "sketch").agg(F.lit(1).alias("one")).groupBy("leaf")
                        .agg(F.count("*").alias("w")).where(F.col("w") >= s.witnesses).select("leaf"), "leaves")
     near = (parsed.join(busy, "leaf").groupBy("doc_id", "text_hash")
-            .agg(F.collect_set(F.struct("line", "leaf")).alias("marks"), F.min("sketch").alias("sketch"))
+            .agg(F.collect_set(F.struct("line", "leaf", "sketch")).alias("marks"))
             .withColumnsRenamed({"doc_id": "i", "text_hash": "h"}))
 
     def words(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,9 +134,9 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
         for batch in it:
             for part in batches_of(batch, "text"):
                 rows = []
-                for i, h, text, marks, sketch in zip(*(c.to_pylist() for c in part.columns)):
+                for i, h, text, marks in zip(*(c.to_pylist() for c in part.columns)):
                     lines = text.split("\n")
-                    rows += [(i, h, m["line"], m["leaf"], sketch, masked(lines[m["line"]])) for m in marks]
+                    rows += [(i, h, m["line"], m["leaf"], m["sketch"], masked(lines[m["line"]])) for m in marks]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
                     + [pa.array([r[5] for r in rows], pa.list_(pa.string()))],
@@ -128,36 +144,32 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
 
     lines = materialize(
         d.join(near, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h")))
-        .select("doc_id", "text_hash", "text", "marks", "sketch").dropDuplicates(["doc_id", "text_hash"])
+        .select("doc_id", "text_hash", "text", "marks").dropDuplicates(["doc_id", "text_hash"])
         .mapInArrow(words, "doc_id long, text_hash long, line long, leaf long, sketch long, words array<string>"), "words")
 
-    # the distinct masked lines of a leaf, with their documents; constants are counted over these
-    spelled = materialize(lines.groupBy("leaf", "words", "sketch").agg(F.count("*").alias("n")), "spelled")
-    forms = spelled.select("leaf", "words").distinct().withColumn("form", F.xxhash64("leaf", "words"))
-    forms = materialize(forms, "forms")
-    placed = (spelled.select("leaf", "sketch", F.posexplode("words").alias("place", "word"))
-              .groupBy("leaf", "place", "word", "sketch").agg(F.lit(1).alias("one"))
-              .groupBy("leaf", "place", "word").agg(F.count("*").alias("w")))
-    constant = materialize(placed.where(F.col("w") >= s.witnesses).select("leaf", "place", "word"), "constants")
-    spread = forms.select("leaf", "form", F.posexplode("words").alias("place", "word"))
-    fixed = (spread.join(constant.withColumn("is", F.lit(True)), ["leaf", "place", "word"], "left")
-             .groupBy("leaf", "form").agg(
-                 F.array_sort(F.collect_list(F.struct("place", F.when(F.col("is"), F.col("word")).otherwise(F.lit(FIELD)).alias("word"),
-                                                      F.coalesce("is", F.lit(False)).alias("is")))).alias("ps")))
-    n_fixed = F.size(F.filter("ps", lambda p: p["is"]))
-    size = F.size("ps")
-    allowed = (n_fixed == size) | ((n_fixed >= s.fixed) & (n_fixed >= s.constant * size))
-    template = materialize(fixed.where(allowed).select("leaf", "form", F.array_join(F.transform(
-        "ps", lambda p: p["word"]), " ").alias("template")), "templates")
-    named = spelled.withColumn("form", F.xxhash64("leaf", "words")).select("leaf", "form", "sketch", "n").join(
-        template, ["leaf", "form"])
-    recurring = materialize(
-        named.groupBy("leaf", "template", "sketch").agg(F.sum("n").alias("n"))
-        .groupBy("leaf", "template").agg(F.count("*").alias("w"), F.sum("n").alias("n"))
-        .where((F.col("w") >= s.witnesses) & (F.col("w") >= s.share * F.col("n"))).select("leaf", "template"), "recurring")
-    drop = template.join(recurring, ["leaf", "template"])
-    return (lines.withColumn("form", F.xxhash64("leaf", "words")).join(drop, ["leaf", "form"])
-            .select("doc_id", "text_hash", "line", "leaf", "template"))
+    # one line of each leaf and sketch stands for its like; constants and templates are counted over these
+    stands = materialize(lines.groupBy("leaf", "sketch").agg(F.min("words").alias("words")), "stands")
+    spread = stands.select("leaf", "sketch", F.posexplode("words").alias("place", "word"))
+    constant = materialize(spread.groupBy("leaf", "place", "word").agg(F.count("*").alias("w"))
+                           .where(F.col("w") >= s.witnesses).select("leaf", "place", "word", F.lit(True).alias("is")), "constants")
+    pattern = F.transform(F.array_sort(F.collect_list(F.struct("place", F.when(F.col("is"), F.col("word")).alias("word")))),
+                          lambda p: p["word"])
+    spelled = (spread.join(constant, ["leaf", "place", "word"], "left").groupBy("leaf", "sketch").agg(pattern.alias("pattern")))
+    n_fixed = F.size(F.filter("pattern", lambda w: w.isNotNull()))
+    allowed = (n_fixed == F.size("pattern")) | ((n_fixed >= s.fixed) & (n_fixed >= s.constant * F.size("pattern")))
+    templates = materialize(spelled.where(allowed).groupBy("leaf", "pattern").agg(F.count("*").alias("w"))
+                            .where(F.col("w") >= s.witnesses).select("leaf", "pattern"), "templates")
+    fits = F.forall(F.zip_with("pattern", "words", lambda p, w: p.isNull() | (p == w)), lambda x: x)
+    matched = materialize(lines.join(templates, "leaf").where(fits).select(
+        "doc_id", "text_hash", "line", "leaf", "sketch", "pattern"), "matched")
+    recurring = (matched.groupBy("leaf", "pattern", "sketch").agg(F.count("*").alias("n"))
+                 .groupBy("leaf", "pattern").agg(F.count("*").alias("w"), F.sum("n").alias("n"))
+                 .where((F.col("w") >= s.witnesses) & (F.col("w") >= s.share * F.col("n"))))
+    recurring = materialize(recurring.select("leaf", "pattern", F.xxhash64("pattern").alias("name")), "recurring")
+    spelling = F.array_join("pattern", " ", FIELD).alias("template")
+    # the pattern has nulls, which never join: its hash names it inside the leaf
+    return (matched.withColumn("name", F.xxhash64("pattern")).drop("pattern").join(recurring, ["leaf", "name"])
+            .select("doc_id", "text_hash", "line", "leaf", spelling))
 
 
 def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
