@@ -44,7 +44,7 @@ def test_recent_alerts_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in _plan(q)
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in E.catalog.queries() if not n.startswith("stream_")])
 def test_no_python_udf_or_cross_join_in_any_query(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas",
@@ -53,7 +53,7 @@ def test_no_python_udf_or_cross_join_in_any_query(spark, name):
 
 
 def test_oracles_cover_registered_queries():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = E.catalog.queries(), E.catalog.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 40
 
@@ -70,7 +70,7 @@ def test_active_alerts_scalar_subquery_not_collected(spark):
 
 
 @pytest.mark.parametrize("name", ["ip_reputation_all", "top_malicious_ips", "reputation_snapshot", "timeline",
-                                  "volume_stats", "malicious_counts", "attack_flags"])
+                                  "malicious_counts", "attack_flags"])
 def test_single_scan_analyses(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert plan.count("FileScan parquet") == 1, name

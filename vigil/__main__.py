@@ -28,6 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--csv", required=True)
     i.add_argument("--out", required=True)
     i.add_argument("--quarantine")
+    i.add_argument("--files-per-day", type=int, default=1)
     i.add_argument("--replace", choices=["all", "days"], default="all")
 
     b = sub.add_parser("batch", help="history jobs")
@@ -44,7 +45,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--topic", default="cybersecurity-logs")
     s.add_argument("--sink", required=True)
     s.add_argument("--checkpoint", required=True)
-    s.add_argument("--watermark", default="10 minutes", help="'none' keeps windows open forever")
+    s.add_argument("--watermark", default="none", help="e.g. '10 minutes'; 'none' keeps windows open")
+    s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--max-offsets", type=int, default=10000, help="per trigger; 0 reads all")
+    s.add_argument("--allow-data-loss", action="store_true", help="go on where retention deleted unread offsets")
     s.add_argument("--available-now", action="store_true", help="drain available input, then stop")
 
     pub = sub.add_parser("publish", help="log table -> messages")
@@ -66,8 +70,8 @@ def _parser() -> argparse.ArgumentParser:
 
     tl = sub.add_parser("timeline", help="hourly threat counts of whole days")
     tl.add_argument("--tables", required=True)
-    tl.add_argument("--from", dest="date_from", default="20240101")
-    tl.add_argument("--to", dest="date_to", default="20241231")
+    tl.add_argument("--from", dest="date_from", help="first day (yyyyMMdd); open when absent")
+    tl.add_argument("--to", dest="date_to", help="last day; open when absent")
     return p
 
 
@@ -78,7 +82,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict | list:
     if args.cmd == "ingest":
         from vigil.sources.logs import ingest_csv
 
-        return ingest_csv(spark, args.csv, args.out, args.quarantine, args.replace)
+        return ingest_csv(spark, args.csv, args.out, args.quarantine, args.replace, args.files_per_day)
 
     if args.cmd == "batch":
         from vigil.plans.jobs import run_all
@@ -90,7 +94,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict | list:
     if args.cmd == "stream":
         from vigil.streaming import detectors as D
 
-        stream = (D.kafka_source(spark, args.kafka, args.topic) if args.kafka
+        stream = (D.kafka_source(spark, args.kafka, args.topic, args.starting_offsets, args.max_offsets or None,
+                                 not args.allow_data_loss) if args.kafka
                   else D.json_file_source(spark, args.json_dir))
         wm = None if args.watermark.lower() == "none" else args.watermark
         trigger = {"availableNow": True} if args.available_now else None

@@ -60,8 +60,14 @@ def date_partition_columns(ts="timestamp") -> dict[str, Column]:
     }
 
 
-_PATTERN_TOKENS = [("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"), ("HH", r"\d{2}"),
-                   ("mm", r"\d{2}"), ("ss", r"\d{2}")]
+# producers may leave out leading zeros, so two-digit fields take one digit as well
+_PATTERN_TOKENS = [("yyyy", r"\d{4}"), ("MM", r"\d{1,2}"), ("dd", r"\d{1,2}"), ("HH", r"\d{1,2}"),
+                   ("mm", r"\d{1,2}"), ("ss", r"\d{1,2}")]
+
+
+def unpadded(fmt: str) -> str:
+    """The pattern with single letters, which also parse one-digit fields."""
+    return re.sub(r"(?<![A-Za-z'])(MM|dd|HH|mm|ss)", lambda m: m[1][0], re.sub(r"'T'(HH)", r"'T'H", fmt))
 
 
 def layout_regex(fmt: str) -> str:
@@ -97,7 +103,7 @@ def parse_timestamp_any(text: Column, formats=None) -> Column:
     formats = formats or S.ACCEPTED_TIMESTAMP_FORMATS
     expr = None
     for f in formats:
-        parsed = F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz")
+        parsed = F.try_to_timestamp(text, F.lit(unpadded(f))).cast("timestamp_ntz")
         cond = text.rlike(layout_regex(f))
         expr = F.when(cond, parsed) if expr is None else expr.when(cond, parsed)
     return expr

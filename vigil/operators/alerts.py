@@ -27,6 +27,24 @@ def _or_unknown(c: Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), F.lit("unknown"))
 
 
+def event_identity(events: DataFrame) -> Column:
+    """Identity of an event as text: its event id, else its place in the source
+    (``source_offset``), else a hash of its fields with an occurrence number,
+    so that identical messages stay different alerts.
+
+    The number needs a window, which streams don't allow; there the micro-batch
+    writer maps each batch as a static frame."""
+    cols = set(events.columns)
+    own = [F.col(c).cast("string") for c in ("event_id", "source_offset") if c in cols]
+    fields = F.sha2(F.to_json(F.struct(*[F.col(c) for c in S.LOG_COLUMNS if c in cols])), 256)
+    known = F.coalesce(*own, F.lit(None).cast("string"))
+    if events.isStreaming:
+        return F.coalesce(known, fields)
+    # events with an identity are their own group, so only equal nameless ones are numbered together
+    number = F.row_number().over(Window.partitionBy(F.coalesce(known, fields)).orderBy("timestamp"))
+    return F.coalesce(known, F.concat_ws("#", fields, number.cast("string")))
+
+
 def to_alerts(detected: DataFrame) -> DataFrame:
     """Map detector rows (windowed or per-event) to the alert record."""
     cols = set(detected.columns)
@@ -37,11 +55,7 @@ def to_alerts(detected: DataFrame) -> DataFrame:
         w_start, w_end = F.col("window_start"), F.col("window_end")
     else:
         bucket = F.col("timestamp")
-        identity = (
-            F.col("event_id").cast("string")
-            if "event_id" in cols
-            else F.sha2(F.to_json(F.struct(*[F.col(c) for c in S.LOG_COLUMNS if c in cols])), 256)
-        )
+        identity = event_identity(detected)
         w_start = w_end = F.lit(None).cast("timestamp_ntz")
     alert_type = F.col("alert_type") if "alert_type" in cols else F.col("attack_type")
     agent = F.col("user_agent") if "user_agent" in cols else F.lit(None).cast("string")
@@ -105,19 +119,24 @@ def latest_revision(alert_rows: DataFrame, order_col: str = "batch_id") -> DataF
 
 def _as_of(alerts: DataFrame, as_of) -> Column:
     if as_of is None:
-        return alerts.select(F.max("bucket_time")).scalar()
+        limit = (F.current_timestamp() + F.expr(f"INTERVAL {S.CLOCK_TOLERANCE}")).cast("timestamp_ntz")
+        return alerts.filter(F.col("bucket_time") <= limit).select(F.max("bucket_time")).scalar()
     return F.lit(as_of).cast("timestamp_ntz") if not isinstance(as_of, Column) else as_of
 
 
 def within_ttl(alerts: DataFrame, as_of=None, ttl: str = S.ALERT_TTL) -> DataFrame:
     """Alerts still alive at ``as_of`` under a time-to-live of ``ttl``.
 
-    With the default "now" (the newest alert time, one scalar subquery) no
-    alert is newer than "now", so only the lower bound is applied."""
+    The default "now" is the newest alert time that is not ahead of the run
+    time by more than ``CLOCK_TOLERANCE`` (one scalar subquery); pass the run
+    time as ``as_of`` where it is known.  Alerts without a time have no age and
+    stay alive; without any believable time all alerts are alive."""
     now = _as_of(alerts, as_of)
     bt = F.col("bucket_time")
     alive = bt > now - F.expr(f"INTERVAL {ttl}")
-    return alerts.filter(alive if as_of is None else alive & (bt <= now))
+    if as_of is not None:
+        alive = alive & (bt <= now)
+    return alerts.filter(F.coalesce(alive, F.lit(True)))
 
 
 def active_alerts(alerts: DataFrame, as_of=None, ttl: str = S.ALERT_TTL,
@@ -132,29 +151,32 @@ def severity_filter(alerts: DataFrame, severity: str | None) -> DataFrame:
     return alerts if severity in (None, "ALL") else alerts.filter(F.col("severity") == severity)
 
 
-def recent_alerts_per_ip(alerts: DataFrame, n: int = S.RECENT_ALERTS_PER_IP, as_of=None,
+def recent_alerts_per_ip(alerts: DataFrame, n: int | None = S.RECENT_ALERTS_PER_IP, as_of=None,
                          ttl: str = S.ALERT_TTL) -> DataFrame:
-    """Newest ``n`` live alerts of every IP (``bucket_time`` desc, then id)."""
+    """Newest ``n`` live alerts of every IP (``bucket_time`` desc, then id); all of them for ``n=None``."""
     w = Window.partitionBy("ip_source").orderBy(F.col("bucket_time").desc(), F.col("alert_id"))
     return (
         within_ttl(alerts, as_of, ttl)
         .withColumn("alert_rank", F.row_number().over(w))
-        .filter(F.col("alert_rank") <= n)
+        .filter(F.col("alert_rank") <= n if n is not None else F.lit(True))
     )
 
 
-def speed_summary(alerts: DataFrame, n: int = S.RECENT_ALERTS_PER_IP, as_of=None,
+def speed_summary(alerts: DataFrame, n: int | None = S.RECENT_ALERTS_PER_IP, as_of=None,
                   ttl: str = S.ALERT_TTL) -> DataFrame:
     """Per IP over its newest ``n`` live alerts: count, newest time, max score,
-    bytes, and the sorted union of attack types (bounded by ``n`` rows)."""
-    recent = recent_alerts_per_ip(alerts, n, as_of, ttl)
+    bytes, and the sorted union of attack types.
+
+    ``n=10`` is the original's view, in which ten lesser alerts hide an older
+    severe one; ``n=None`` summarises all live alerts without ranking them."""
+    recent = within_ttl(alerts, as_of, ttl) if n is None else recent_alerts_per_ip(alerts, n, as_of, ttl)
     types = F.array_union(F.col("attack_types"), F.array(F.col("alert_type")))
     return recent.groupBy(F.col("ip_source").alias("ip")).agg(
         F.count(F.lit(1)).cast("int").alias("active_alerts"),
         F.max("last_seen").alias("last_seen"),
         F.max("threat_score").alias("current_threat_score"),
         F.sum("bytes_total").alias("bytes_recent_alerts"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(types)))).alias("recent_attack_types"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(types)))).alias("recent_attack_types"),
     )
 
 

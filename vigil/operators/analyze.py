@@ -66,9 +66,20 @@ def reputation_by_ip_logtype(logs: DataFrame) -> DataFrame:
 
 def top_malicious_ips(logs: DataFrame, k: int = S.TOP_MALICIOUS_K) -> DataFrame:
     """Top-k ``(source_ip, log_type)`` rows by ``total_events`` (ties broken by key)."""
-    return reputation_by_ip_logtype(logs).orderBy(
-        F.col("total_events").desc(), F.col("source_ip"), F.col("log_type")
-    ).limit(k)
+    return top_of(reputation_by_ip_logtype(logs), k)
+
+
+def top_of(by_type: DataFrame, k: int = S.TOP_MALICIOUS_K) -> DataFrame:
+    """The k first rows of a reputation table in ``top_malicious_ips`` order."""
+    return by_type.orderBy(F.col("total_events").desc(), F.col("source_ip"), F.col("log_type")).limit(k)
+
+
+def ranked(table: DataFrame, metric: str, *ties: str, k: int | None = None) -> DataFrame:
+    """Rows by ``metric`` downwards (ties by the given columns upwards), the first ``k`` or all.
+
+    With ``k`` each task keeps its own k rows; without, a range-partitioned sort."""
+    out = table.orderBy(F.col(metric).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in ties])
+    return out if k is None else out.limit(k)
 
 
 def volume_stats(logs: DataFrame, p95: str = "approx") -> DataFrame:

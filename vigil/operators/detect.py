@@ -30,10 +30,10 @@ from vigil.functions import scoring
 
 def event_order(df: DataFrame, column: str) -> Column:
     """Order used to pick ``column``'s first value: time, then the event
-    identity when the frame has one, else the value itself (so the scan
-    reads no extra column)."""
-    tie = F.col("event_id") if "event_id" in df.columns else F.col(column)
-    return F.struct(F.col("timestamp"), tie)
+    identity when the frame has one, then the value itself (so that events
+    without an identity are ordered too, and the scan reads no extra column)."""
+    ties = ["event_id"] if "event_id" in df.columns else []
+    return F.struct(F.col("timestamp"), *[F.col(c) for c in (*ties, column)])
 
 
 def first_value(df: DataFrame, column: str) -> Column:
@@ -44,12 +44,16 @@ def first_value(df: DataFrame, column: str) -> Column:
 def _with_watermark(df: DataFrame, watermark: str | None) -> DataFrame:
     """Event-time watermark on streams.  Spark requires a ``TIMESTAMP`` event
     time, so an NTZ wall clock is read in the session zone; window bounds are
-    cast back to NTZ by the detectors (the same zone, so the same wall clock)."""
+    cast back to NTZ by the detectors (the same zone, so the same wall clock).
+
+    A time further ahead than ``CLOCK_TOLERANCE`` is taken as that limit, so one
+    forged time stamp cannot move the watermark past all real events."""
     if not (watermark and df.isStreaming):
         return df
     if dict(df.dtypes).get("timestamp") == "timestamp_ntz":
         df = df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    return df.withWatermark("timestamp", watermark)
+    limit = F.current_timestamp() + F.expr(f"INTERVAL {S.CLOCK_TOLERANCE}")
+    return df.withColumn("timestamp", F.least("timestamp", limit)).withWatermark("timestamp", watermark)
 
 
 def _window_bounds() -> list[Column]:

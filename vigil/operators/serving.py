@@ -85,12 +85,15 @@ def attack_types_by_ip(index: DataFrame, known=None) -> DataFrame:
     )
 
 
-def timeline_range(timeline: DataFrame, date_from: str = S.TIMELINE_DEFAULT_FROM,
-                   date_to: str = S.TIMELINE_DEFAULT_TO) -> DataFrame:
-    """Hourly rows of whole days ``date_from``..``date_to`` (both inclusive),
-    two-digit hours and a ``"yyyyMMdd HHh"`` chart label."""
+def timeline_range(timeline: DataFrame, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """Hourly rows of whole days ``date_from``..``date_to`` (both inclusive, an
+    absent bound is open), two-digit hours and a ``"yyyyMMdd HHh"`` chart label."""
     hour = F.lpad(F.col("event_hour").cast("string"), 2, "0")
-    return timeline.filter(F.col("event_date").between(date_from, date_to)).select(
+    if date_from:
+        timeline = timeline.filter(F.col("event_date") >= date_from)
+    if date_to:
+        timeline = timeline.filter(F.col("event_date") <= date_to)
+    return timeline.select(
         F.col("event_date").alias("date"),
         hour.alias("hour"),
         F.coalesce(F.col("malicious_count"), F.lit(0)).alias("malicious"),
@@ -166,7 +169,8 @@ def profile_documents(profiles: DataFrame) -> DataFrame:
 
 def lookup_profiles(profiles: DataFrame, requests: DataFrame, ip_col: str = "ip") -> DataFrame:
     """Answer a table of requested IPs: trimmed text, ``valid`` when 1..45
-    characters, unknown IPs get the zero-filled profile (ALLOW, 0.0)."""
+    characters, unknown IPs get the zero-filled profile (ALLOW, 0.0); an
+    invalid request gets no recommendation."""
     req = requests.select(F.trim(F.col(ip_col)).alias("ip")).withColumn(
         "valid", (F.length("ip") > 0) & (F.length("ip") <= S.MAX_IP_TEXT_LENGTH)
     )
@@ -182,4 +186,6 @@ def lookup_profiles(profiles: DataFrame, requests: DataFrame, ip_col: str = "ip"
         "recommendation": F.lit("ALLOW"),
         "confidence": F.lit(0.0),
     }
-    return joined.withColumns({k: F.coalesce(F.col(k), v) for k, v in zero.items()})
+    filled = {k: F.coalesce(F.col(k), v) for k, v in zero.items()}
+    filled["recommendation"] = F.when(F.col("valid"), filled["recommendation"])
+    return joined.withColumns(filled)

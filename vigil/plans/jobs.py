@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vigil.operators import analyze, detect
 from vigil.operators import serving as V
+from vigil.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -27,9 +28,7 @@ def _write(df: DataFrame, path: str) -> None:
 
 def job_reputation(spark: SparkSession, logs: DataFrame, out: str) -> None:
     _write(analyze.reputation_by_ip_logtype(logs), f"{out}/ip_reputation_by_type")
-    by_type = spark.read.parquet(f"{out}/ip_reputation_by_type")
-    _write(by_type.orderBy(by_type.total_events.desc(), "source_ip", "log_type").limit(10),
-           f"{out}/top_malicious_ips")
+    _write(analyze.top_of(spark.read.parquet(f"{out}/ip_reputation_by_type")), f"{out}/top_malicious_ips")
     _write(V.reputation_snapshot(logs), f"{out}/ip_reputation")
 
 
@@ -41,11 +40,7 @@ def job_attack_patterns(spark: SparkSession, logs: DataFrame, out: str) -> None:
     _write(detect.detect_attack_patterns(logs), f"{out}/attack_patterns")
     patterns = spark.read.parquet(f"{out}/attack_patterns")
     _write(analyze.attack_category_counts(patterns), f"{out}/attack_category_counts")
-    try:
-        scans = spark.read.parquet(f"{out}/port_scans")
-    except Exception:  # noqa: BLE001 - port-scan job failed or not run
-        scans = detect.detect_port_scan(logs)
-    _write(V.index_from_detections(patterns, scans), f"{out}/attack_index")
+    _write(V.index_from_detections(patterns, spark.read.parquet(f"{out}/port_scans")), f"{out}/attack_index")
 
 
 def job_volume_analysis(spark: SparkSession, logs: DataFrame, out: str) -> None:
@@ -68,8 +63,9 @@ def job_profiles(spark: SparkSession, logs: DataFrame, out: str) -> None:
     Range-partitioned and sorted by IP, so a lookup of one IP (``ip = x``,
     pushed to the scan) skips every file and row group whose min/max
     statistics exclude it."""
-    profiles = profiles_from_tables(spark, out)
-    _write(profiles.repartitionByRange("ip").sortWithinPartitions("ip"), f"{out}/threat_profiles")
+    # written first: range partitioning samples its input, which would run the joins twice
+    fused = materialize(profiles_from_tables(spark, out), "profiles")
+    _write(fused.repartitionByRange("ip").sortWithinPartitions("ip"), f"{out}/threat_profiles")
 
 
 def profiles_from_tables(spark: SparkSession, out: str, score_col: str = "reputation_score") -> DataFrame:
@@ -95,12 +91,24 @@ SERVING_JOBS = [
 ]
 
 
+#: Jobs whose tables of the same run a job reads.
+NEEDS = {"attack_patterns": ("port_scan",), "threat_profiles": ("top_malicious_ips", "attack_patterns", "alerts")}
+
+
 def run_all(spark: SparkSession, logs: DataFrame, out: str, jobs=None, serving: bool = False) -> dict[str, str]:
-    """Run the jobs in order; returns ``{job: "ok" | error text}``."""
+    """Run the jobs in order; returns ``{job: "ok" | "skipped: ..." | error text}``.
+
+    A job runs only if the jobs that it needs succeeded in this run, so it
+    never mixes in tables of an earlier run; its own earlier tables then stay
+    as they were.  Jobs left out by ``jobs`` count as done before."""
     status = {}
     for name, fn in JOBS + (SERVING_JOBS if serving else []):
         if jobs and name not in jobs:
             continue
+        missing = [n for n in NEEDS.get(name, ()) if status.get(n, "ok") != "ok"]
+        if missing:
+            status[name] = f"skipped: {', '.join(missing)} did not succeed"
+            continue
         try:
             fn(spark, logs, out)
             status[name] = "ok"

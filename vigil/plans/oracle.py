@@ -30,12 +30,12 @@ def logs_cte(speedup: int = 1, name: str = "logs") -> str:
   SELECT
     {ts} AS "timestamp",
     printf('10.%d.%d.%d', (user_id // 65536) % 256, (user_id // 256) % 256, user_id % 256) AS source_ip,
-    printf('192.%d.%d.%d', (event_id // 65536) % 256, (event_id // 256) % 256, event_id % 256) AS dest_ip,
+    printf('192.0.0.%d', event_id % 61) AS dest_ip,
     CASE event_id % 4 WHEN 2 THEN 'HTTP' WHEN 3 THEN 'SSH' ELSE 'TCP' END AS protocol,
     CASE WHEN event_type IN ('error', 'signup') THEN 'blocked' ELSE 'allowed' END AS action,
     CASE event_type WHEN 'error' THEN 'malicious' WHEN 'signup' THEN 'suspicious' ELSE 'benign' END AS threat_label,
     CASE event_id % 3 WHEN 0 THEN 'firewall' WHEN 1 THEN 'ids' ELSE 'application' END AS log_type,
-    CAST(round(value * 100) AS BIGINT) * 2000 AS bytes_transferred,
+    CASE WHEN event_id % 43 = 0 THEN NULL ELSE CAST(round(value * 100) AS BIGINT) * 2000 END AS bytes_transferred,
     CASE event_id % 41 WHEN 0 THEN 'sqlmap/1.7.8#stable' WHEN 1 THEN 'nikto/2.1.6'
       WHEN 2 THEN 'hydra/9.4' WHEN 3 THEN NULL ELSE 'Mozilla/5.0' END AS user_agent,
     CASE event_id % 37 WHEN 0 THEN {_q("/product.php?id=1' OR '1'='1")}
@@ -347,7 +347,18 @@ TIMELINE_RANGE_BODY = f"""SELECT event_date AS date, lpad(CAST(event_hour AS VAR
     malicious_count AS malicious, suspicious_count AS suspicious, benign_count AS benign,
     event_date || ' ' || lpad(CAST(event_hour AS VARCHAR), 2, '0') || 'h' AS label
   FROM ({timeline_sql()}) t
-  WHERE event_date BETWEEN '{S.TIMELINE_DEFAULT_FROM}' AND '{S.TIMELINE_DEFAULT_TO}'"""
+  WHERE event_date BETWEEN '20240105' AND '20240119'"""
+
+ALERT_LIST_BODY = """SELECT *, CASE WHEN threat_score >= 80 THEN 'crit' WHEN threat_score >= 60 THEN 'high'
+    WHEN threat_score >= 40 THEN 'med' ELSE 'low' END AS score_band FROM live WHERE severity = 'HIGH'"""
+
+PROFILE_REQUESTS_BODY = """SELECT r.ip, length(r.ip) BETWEEN 1 AND 45 AS valid,
+    coalesce(f.reputation_score, 0) AS reputation_score, coalesce(f.active_alerts, 0) AS active_alerts,
+    CASE WHEN length(r.ip) BETWEEN 1 AND 45 THEN coalesce(f.recommendation, 'ALLOW') END AS recommendation,
+    coalesce(f.confidence, 0.0) AS confidence
+  FROM (SELECT DISTINCT trim(CASE event_id % 4 WHEN 0 THEN '  ' || source_ip WHEN 1 THEN dest_ip WHEN 2 THEN ' '
+        ELSE repeat(source_ip, 5) END) AS ip FROM logs) r
+  LEFT JOIN fused f ON f.ip = r.ip"""
 
 GLOBAL_STATS_BODY = f"""SELECT count(*) AS total_ips_analyzed,
     count(*) FILTER (WHERE reputation_score > {S.HIGH_RISK_SCORE}) AS high_risk_ips FROM snap"""
@@ -401,7 +412,7 @@ def encode_messages_body() -> str:
 NORMALIZE_BODY = f"""SELECT
     CASE WHEN event_id % 4 = 3 THEN strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f')
          ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%SZ') END AS "timestamp",
-    source_ip, dest_ip, protocol, action, threat_label, log_type, bytes_transferred,
+    source_ip, dest_ip, protocol, action, threat_label, log_type, coalesce(bytes_transferred, 0) AS bytes_transferred,
     coalesce(nullif(user_agent, ''), '') AS user_agent,
     coalesce(nullif(request_path, ''), '/') AS request_path, event_id
   FROM logs"""

@@ -59,3 +59,9 @@ def top_alert_ips(spark, sf_dir):
 @register("alert_type_counts", O.with_alerts(O.alert_type_counts_body(), DETECT_SPEEDUP))
 def alert_type_counts(spark, sf_dir):
     return A.alert_type_counts(_live(spark, sf_dir))
+
+
+@register("alert_list", O.with_alerts(O.ALERT_LIST_BODY, DETECT_SPEEDUP))
+def alert_list(spark, sf_dir):
+    """Alert list filtered by severity, with its score band."""
+    return A.alert_display(A.severity_filter(_live(spark, sf_dir), "HIGH")).drop("bytes_display")

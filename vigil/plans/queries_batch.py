@@ -63,7 +63,8 @@ def top_malicious_ips(spark, sf_dir):
 
 @register("volume_stats", O.with_logs(O.volume_stats_sql(), 1))
 def volume_stats(spark, sf_dir):
-    return analyze.volume_stats(history_logs(spark, sf_dir))
+    # the oracle is exact, so its query is too; the sketch differs from it on large groups
+    return analyze.volume_stats(history_logs(spark, sf_dir), p95="exact")
 
 
 @register("volume_stats_exact", O.with_logs(O.volume_stats_sql(), 1))
@@ -92,3 +93,17 @@ def attack_flags(spark, sf_dir):
 @register("top_attack_patterns", O.with_logs(O.TOP_ATTACK_PATTERNS_BODY, 1, _AP))
 def top_attack_patterns(spark, sf_dir):
     return analyze.top_attack_patterns(detect.detect_attack_patterns(history_logs(spark, sf_dir)))
+
+
+@register("port_scans_ranked", O.with_logs(
+    f"SELECT * FROM ({O.port_scan_sql()}) p ORDER BY distinct_targets DESC, source_ip, window_start LIMIT 100", DETECT_SPEEDUP))
+def port_scans_ranked(spark, sf_dir):
+    scans = detect.detect_port_scan(detect_logs(spark, sf_dir))
+    return analyze.ranked(scans, "distinct_targets", "source_ip", "window_start", k=100)
+
+
+@register("volume_ranked", O.with_logs(
+    f"SELECT * FROM ({O.volume_stats_sql()}) v ORDER BY total_bytes DESC, threat_label, log_type, protocol LIMIT 20", 1))
+def volume_ranked(spark, sf_dir):
+    stats = analyze.volume_stats(history_logs(spark, sf_dir), p95="exact")
+    return analyze.ranked(stats, "total_bytes", "threat_label", "log_type", "protocol", k=20)

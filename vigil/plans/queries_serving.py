@@ -38,7 +38,7 @@ def attack_types_by_ip(spark, sf_dir):
 
 @register("timeline_range", O.with_logs(O.TIMELINE_RANGE_BODY, 1))
 def timeline_range(spark, sf_dir):
-    return V.timeline_range(analyze.threat_timeline(history_logs(spark, sf_dir)))
+    return V.timeline_range(analyze.threat_timeline(history_logs(spark, sf_dir)), "20240105", "20240119")
 
 
 @register("global_stats", O.with_serving(O.GLOBAL_STATS_BODY, DETECT_SPEEDUP))
@@ -74,3 +74,15 @@ def observed_ip_profiles(spark, sf_dir):
     logs = detect_logs(spark, sf_dir)
     requests = logs.select(F.explode(F.array("source_ip", "dest_ip")).alias("ip")).distinct()  # one scan
     return V.lookup_profiles(profiles_for(logs), requests)
+
+
+@register("profile_requests", O.with_serving(O.PROFILE_REQUESTS_BODY, DETECT_SPEEDUP))
+def profile_requests(spark, sf_dir):
+    """Requests as clients send them: padded, unknown, empty and overlong texts among them."""
+    logs = detect_logs(spark, sf_dir)
+    n = F.col("event_id") % 4
+    text = (F.when(n == 0, F.concat(F.lit("  "), "source_ip")).when(n == 1, F.col("dest_ip")).when(n == 2, F.lit(" "))
+            .otherwise(F.repeat("source_ip", F.lit(5))))
+    requests = logs.select(F.trim(text).alias("ip")).distinct()
+    return V.lookup_profiles(profiles_for(logs), requests).select(
+        "ip", "valid", "reputation_score", "active_alerts", "recommendation", "confidence")

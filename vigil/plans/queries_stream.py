@@ -15,7 +15,7 @@ from vigil.streaming import detectors as D
 
 
 def _stream(spark, sf_dir, detector):
-    src = D.events_log_source(spark, sf_dir, DETECT_SPEEDUP, glob="events.parquet")
+    src = D.events_log_source(spark, f"{sf_dir}/events.parquet", DETECT_SPEEDUP)
     return D.stream_alerts(spark, src, detector)
 
 
@@ -36,6 +36,6 @@ def stream_volume_anomaly(spark, sf_dir):
 
 @register("stream_port_scan", O.with_logs(O.STREAM_PORT_SCAN_BODY, DETECT_SPEEDUP, f"ps AS ({O.port_scan_sql()})"))
 def stream_port_scan(spark, sf_dir):
-    src = D.events_log_source(spark, sf_dir, DETECT_SPEEDUP, glob="events.parquet")
+    src = D.events_log_source(spark, f"{sf_dir}/events.parquet", DETECT_SPEEDUP)
     sinks = D.run_until_caught_up(spark, src, ["port_scan"], watermark=D.DEFAULT_WATERMARK)
     return D.read_detections(spark, sinks["port_scan"])

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil import schema as S
 from vigil.operators import alerts as A
@@ -81,8 +82,7 @@ def global_stats_of(spark: SparkSession, out: str, score_col: str = "reputation_
     return V.global_stats(spark.read.parquet(f"{out}/ip_reputation"), score_col)
 
 
-def timeline_of(spark: SparkSession, out: str, date_from: str = S.TIMELINE_DEFAULT_FROM,
-                date_to: str = S.TIMELINE_DEFAULT_TO) -> DataFrame:
+def timeline_of(spark: SparkSession, out: str, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
     """Hourly rows in key order (date, then hour)."""
     return V.timeline_range(spark.read.parquet(f"{out}/threat_timeline"), date_from, date_to).orderBy("date", "hour")
 
@@ -91,17 +91,19 @@ class ServedTables:
     """Open handles on the served tables, as a long-running service keeps them.
 
     Opening lists the files once (later requests reuse the file index) and
-    fixes "now" for the alert TTL at the newest alert time (one scalar).
+    fixes "now" for the alert TTL: ``as_of`` when given, else the newest
+    believable alert time (one scalar, see ``alerts.within_ttl``).
     Re-open after the batch jobs rewrite the tables.
     """
 
-    def __init__(self, spark: SparkSession, out: str):
+    def __init__(self, spark: SparkSession, out: str, as_of=None):
         self.spark = spark
         self.profiles = spark.read.parquet(f"{out}/threat_profiles")
         self.alerts = spark.read.parquet(f"{out}/alerts")
         self.snapshot = spark.read.parquet(f"{out}/ip_reputation")
         self.timeline_table = spark.read.parquet(f"{out}/threat_timeline")
-        self.as_of = self.alerts.agg(F.max("bucket_time")).first()[0]
+        limit = (F.current_timestamp() + F.expr(f"INTERVAL {S.CLOCK_TOLERANCE}")).cast("timestamp_ntz")
+        self.as_of = as_of or self.alerts.filter(F.col("bucket_time") <= limit).agg(F.max("bucket_time")).first()[0]
 
     def profile(self, ip: str) -> dict:
         ip = ip.strip()
@@ -116,33 +118,36 @@ class ServedTables:
     def global_stats(self, score_col: str = "reputation_score") -> DataFrame:
         return V.global_stats(self.snapshot, score_col)
 
-    def timeline(self, date_from: str = S.TIMELINE_DEFAULT_FROM, date_to: str = S.TIMELINE_DEFAULT_TO) -> DataFrame:
+    def timeline(self, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
         """Hourly rows in key order (date, then hour), as a range scan returns them."""
         return V.timeline_range(self.timeline_table, date_from, date_to).orderBy("date", "hour")
 
 
+def _service_name(column: str) -> str:
+    """Column name in the service's spelling: words joined, all but the first capitalised."""
+    head, *rest = column.split("_")
+    return head + "".join(w.capitalize() for w in rest)
+
+
+def _service_value(field: T.StructField, value):
+    if isinstance(field.dataType, T.ArrayType):
+        return [] if value is None else [*value]
+    if isinstance(field.dataType, T.IntegralType):
+        return 0 if value is None else value
+    return _iso(value)
+
+
+#: The window bounds are internal to the detectors and not part of the service's record.
+_SERVED_ALERT = [f for f in S.ALERT_SCHEMA.fields if not f.name.startswith("window_")]
+
+
 def alert_response(alert: dict) -> dict:
-    """An alert row in the original service's response shape."""
-    a = alert
-    return {
-        "ipSource": a["ip_source"],
-        "bucketTime": _iso(a["bucket_time"]),
-        "alertId": a["alert_id"],
-        "lastSeen": _iso(a["last_seen"]),
-        "threatScore": a["threat_score"] or 0,
-        "attackTypes": list(a["attack_types"] or []),
-        "alertType": a["alert_type"],
-        "severity": a["severity"],
-        "eventCount": a["event_count"] or 0,
-        "bytesTotal": a["bytes_total"] or 0,
-        "userAgents": list(a["user_agents"] or []),
-        "logSources": list(a["log_sources"] or []),
-    }
+    """An alert row as the service spells it: every served field by its type's rule for absent values."""
+    return {_service_name(f.name): _service_value(f, alert.get(f.name)) for f in _SERVED_ALERT}
 
 
 def stats_response(stats: dict) -> dict:
-    return {"source": "batch_layer", "total_ips_analyzed": stats["total_ips_analyzed"],
-            "high_risk_ips": stats["high_risk_ips"], "note": "Results from last Spark batch jobs"}
+    return {"source": "batch_layer", **{k: stats[k] for k in ("total_ips_analyzed", "high_risk_ips")}}
 
 
 def timeline_response(row: dict) -> dict:

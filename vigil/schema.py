@@ -89,13 +89,14 @@ VOLUME_THRESHOLD_BYTES = 10 * 1024 * 1024
 VOLUME_CRITICAL_BYTES = 100 * 1024 * 1024
 VOLUME_WINDOW = "10 seconds"
 ALERT_TTL = "24 hours"
+# Event times further ahead of the run time than this are not believed: they neither
+# move a watermark nor the "now" of a time-to-live (not a value of the original).
+CLOCK_TOLERANCE = "1 hour"
 RECENT_ALERTS_PER_IP = 10
 ACTIVE_ALERTS_LIMIT = 200
 TOP_MALICIOUS_K = 10
 TOP_ATTACK_PATTERNS_K = 200
 HIGH_RISK_SCORE = 70
-TIMELINE_DEFAULT_FROM = "20240101"
-TIMELINE_DEFAULT_TO = "20241231"
 MAX_IP_TEXT_LENGTH = 45
 
 # Attack types a profile lookup recognises in the batch index.

@@ -54,7 +54,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = sc.getCheckpointDir()
         if d:
             return d
-        d = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vigil-ckpt-")
+        d = sc.getConf().get("spark.checkpoint.dir", None)
+        if not d:
+            if not sc.master.startswith("local"):  # executors would not share a folder of the driver's machine
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            d = tempfile.mkdtemp(prefix="vigil-ckpt-")
         sc.setCheckpointDir(d)
         return sc.getCheckpointDir() or d
     d = spark.conf.get("spark.checkpoint.dir", None)

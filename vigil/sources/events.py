@@ -31,6 +31,8 @@ REQUEST_PATHS = {
 REQUEST_PATH_MODULUS = 37
 PROTOCOLS = {2: "HTTP", 3: "SSH"}  # event_id % 4, else TCP
 LOG_TYPES = ["firewall", "ids", "application"]  # event_id % 3
+TARGETS = 61  # distinct destinations, so that targets repeat within a window
+NO_BYTES_MODULUS = 43  # events without a byte count
 BLOCKED_TYPES = ["error", "signup"]
 LABELS = {"error": "malicious", "signup": "suspicious"}  # else benign
 
@@ -62,12 +64,13 @@ def logs_from_events(events: DataFrame, speedup: int = 1) -> DataFrame:
     return events.selectExpr(
         f"{compress_time_sql('ts', ORIGIN, speedup)} AS timestamp",
         f"{_sql_dotted('10', 'user_id')} AS source_ip",
-        f"{_sql_dotted('192', 'event_id')} AS dest_ip",
+        f"{_sql_dotted('192', f'(event_id % {TARGETS})')} AS dest_ip",
         f"{_sql_case('event_id % 4', PROTOCOLS, _sql_str('TCP'))} AS protocol",
         f"CASE WHEN event_type IN ({blocked}) THEN 'blocked' ELSE 'allowed' END AS action",
         f"{_sql_case('event_type', LABELS, _sql_str('benign'))} AS threat_label",
         f"element_at(array({log_types}), CAST(event_id % 3 + 1 AS INT)) AS log_type",
-        "CAST(round(value * 100) AS BIGINT) * 2000 AS bytes_transferred",
+        f"CASE WHEN event_id % {NO_BYTES_MODULUS} = 0 THEN NULL ELSE CAST(round(value * 100) AS BIGINT) * 2000 END "
+        "AS bytes_transferred",
         f"{agent} AS user_agent",
         f"{path} AS request_path",
         "event_id",

@@ -157,12 +157,17 @@ def read_logs(spark: SparkSession, path: str, date_from: str | None = None,
 
 
 def ingest_csv(spark: SparkSession, src: str, dest: str, quarantine: str | None = None,
-               replace: str = "all") -> dict:
-    """CSV -> partitioned Parquet, rejects to ``quarantine``; aborts on empty input."""
+               replace: str = "all", files_per_day: int | None = 1) -> dict:
+    """CSV -> partitioned Parquet; aborts on empty input.
+
+    Rejected rows are always written (to ``quarantine``, by default
+    ``<dest>_rejected``) and counted, before anything is replaced.  Days are
+    clustered (``files_per_day``, see ``write_logs``), not split by task."""
+    quarantine = quarantine or f"{dest.rstrip('/')}_rejected"
     good, rejected = read_csv_logs(spark, src)
     if good.isEmpty():
         raise ValueError(f"no valid log rows in {src}")
-    write_logs(good, dest, replace=replace)
-    if quarantine:
-        rejected.write.mode("overwrite").parquet(quarantine)
-    return {"source": src, "dest": dest, "quarantine": quarantine}
+    rejected.write.mode("overwrite").parquet(quarantine)
+    write_logs(good, dest, replace=replace, files_per_day=files_per_day)
+    return {"source": src, "dest": dest, "quarantine": quarantine,
+            "rejected": spark.read.schema(rejected.schema).parquet(quarantine).count()}

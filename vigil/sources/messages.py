@@ -25,6 +25,10 @@ def parse_json_logs(raw: DataFrame, column: str = "value") -> DataFrame:
     msg = F.from_json(F.col(column).cast("string"), S.MESSAGE_SCHEMA)
     # decode once: as a Generate output the fields cannot be re-derived
     # (re-parsed) inside pushed-down filters
+    # the place in the source names messages that carry no event id
+    place = ["topic", "partition", "offset"]
+    if set(place) <= set(raw.columns):
+        msg = msg.withField("source_offset", F.concat_ws(":", *[F.col(c).cast("string") for c in place]))
     parsed = raw.select(F.inline(F.array(msg)))
     ts_text = F.col("timestamp")
     ts = F.coalesce(parse_timestamp_any(ts_text), F.try_to_timestamp(ts_text).cast("timestamp_ntz"))

@@ -9,9 +9,9 @@ window each time it changes; readers keep the newest revision per
 ``alert_id`` (``read_alerts``).
 
 State: windowed counts live in the state store (RocksDB when the session
-selects it).  A watermark (default 10 minutes) bounds that state and drops
-events later than it; ``watermark=None`` keeps every window open forever,
-which is what the original detectors did.
+selects it).  ``watermark`` (default none) bounds that state and drops events
+later than it; with none, every window stays open, which is what the original
+detectors did, and no late event is lost.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ from vigil.session import scratch_path
 from vigil.sources.events import logs_from_events
 from vigil.sources.messages import parse_json_logs
 
-DEFAULT_WATERMARK = "10 minutes"
+# Windows stay open, as in the original detectors; a watermark bounds the state but drops later rows.
+DEFAULT_WATERMARK = None
 DEFAULT_TRIGGER = "500 milliseconds"
 
 
@@ -66,18 +67,22 @@ OPTIONAL_DETECTORS = {"port_scan": Detector("port_scan", "update", alerts=False)
 # Sources
 # ---------------------------------------------------------------------------
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str = "cybersecurity-logs",
-                 starting_offsets: str = "latest", max_offsets_per_trigger: int = 10000) -> DataFrame:
-    """Parsed log stream from Kafka (needs the spark-sql-kafka connector)."""
-    raw = (
+                 starting_offsets: str = "latest", max_offsets_per_trigger: int | None = 10000,
+                 fail_on_data_loss: bool = True) -> DataFrame:
+    """Parsed log stream from Kafka (needs the spark-sql-kafka connector).
+
+    Offsets that retention deleted before they were read stop the query unless
+    ``fail_on_data_loss`` is off; ``max_offsets_per_trigger=None`` reads all."""
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", "false")
-        .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-        .load()
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
     )
-    return parse_json_logs(raw)
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return parse_json_logs(reader.load())
 
 
 def json_file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -97,15 +102,17 @@ def parquet_log_source(spark: SparkSession, path: str, schema=None,
     return reader.parquet(path)
 
 
-def events_log_source(spark: SparkSession, folder: str, speedup: int, glob: str = "events*.parquet",
+def events_log_source(spark: SparkSession, path: str, speedup: int,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Log stream derived from the ``events`` Parquet files of ``folder``
-    matching ``glob`` (a replay with time compression ``speedup``)."""
-    reader = spark.readStream.option("pathGlobFilter", glob)
-    schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
+    """Log stream derived from the ``events`` table at ``path`` (a file, a
+    folder of Parquet files or a pattern), a replay with time compression
+    ``speedup``."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return logs_from_events(reader.schema(schema).parquet(folder), speedup)
+    # a plain path must be a folder for stream sources, a pattern may match a file as well
+    pattern = path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]"
+    return logs_from_events(reader.parquet(pattern), speedup)
 
 
 # ---------------------------------------------------------------------------
@@ -121,13 +128,12 @@ class AlertBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.as_alerts and "window_start" not in batch.columns:
-            # per-event alerts need an identity; where a message carries no
-            # event id, identical messages would share an alert id.
-            # (batch_id, position) is stable when a retried batch re-reads
-            # the same input.
-            position = F.concat(F.lit(f"b{batch_id}-"), F.monotonically_increasing_id().cast("string"))
-            own = F.col("event_id").cast("string") if "event_id" in batch.columns else F.lit(None).cast("string")
-            batch = batch.withColumn("event_id", F.coalesce(own, position))
+            # the rule of ``alerts.event_identity``; an event without an own
+            # identity is numbered among its like in this batch, so the batch
+            # is part of its name (a retried batch gives the same names)
+            names = [F.col(c).cast("string") for c in ("event_id", "source_offset") if c in batch.columns]
+            nameless = F.concat_ws("-", F.lit(f"b{batch_id}"), A.event_identity(batch))
+            batch = batch.withColumn("event_id", F.coalesce(*names, nameless))
         out = A.to_alerts(batch) if self.as_alerts else batch
         out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
@@ -168,12 +174,19 @@ def await_any(spark: SparkSession, queries: dict[str, StreamingQuery]) -> None:
                 q.stop()
 
 
+def _nothing_written(e: AnalysisException) -> bool:
+    """The sink folder is missing or empty: no micro-batch has been written yet."""
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_alerts(spark: SparkSession, sink_path: str) -> DataFrame:
     """Alerts written by a detector sink, newest revision per ``alert_id``."""
     schema = T.StructType(S.ALERT_SCHEMA.fields + [T.StructField("batch_id", T.LongType(), True)])
     try:
         rows = spark.read.schema(schema).parquet(sink_path)
-    except AnalysisException:  # no micro-batch has been written yet
+    except AnalysisException as e:
+        if not _nothing_written(e):
+            raise
         rows = spark.createDataFrame([], schema)
     return A.latest_revision(rows, "batch_id")
 
@@ -182,8 +195,10 @@ def read_detections(spark: SparkSession, sink_path: str, keys=("source_ip", "win
     """Raw detector rows written by a sink, newest revision per ``keys``."""
     try:
         rows = spark.read.parquet(sink_path)
-    except AnalysisException:  # no micro-batch has been written yet
-        return spark.createDataFrame([], T.StructType([T.StructField(k, T.StringType()) for k in keys]))
+    except AnalysisException as e:
+        if not _nothing_written(e):
+            raise
+        return detect.detect_port_scan_stream(spark.createDataFrame([], S.LOG_SCHEMA))
     payload = [c for c in rows.columns if c not in (*keys, "batch_id")]
     newest = F.max_by(F.struct(*payload), F.col("batch_id")).alias("_r")
     return rows.groupBy(*keys).agg(newest).select(*keys, "_r.*")
