@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.llm import oracles
 from vigil.llm.chat import digest, events_of_turns, reconstruct, render
 from vigil.llm.common import table
 from vigil.llm.decontaminate import decontaminate
@@ -79,4 +80,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_relative_lempel_ziv": oracles.FACTORS, "op6_chat_formatting": oracles.CHAT,
+            "op8_minhash_near_duplicates": oracles.NEAR, "op9_benchmark_decontamination": oracles.LEAKS}
