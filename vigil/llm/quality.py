@@ -13,8 +13,10 @@ measure over all documents that pass the base rules, by language and by the
 power of two of the token count, as entropy grows with length.  A document is
 rejected when its deviations of characters per token and entropy sum below
 ``-low``, when characters per token lie more than ``high`` spreads above, or
-when its byte or symbol share is over the median plus a margin.  Values are
-rounded to 1/100 first, so a band's state is a small histogram.
+when its byte or symbol share is over the upper quartile plus a margin (of symbols, a
+quartile of ``symbol_most`` at most counts, so that junk that fills a small
+group can't excuse itself).  Values are rounded to 1/100 first, so a band's
+state is a small histogram.
 
 Defined results: a null or empty text has no words, fails the base rules and
 has zero measures; a null language is a group of its own; groups of under
@@ -139,7 +141,7 @@ def _band(keys: list[str], measured: DataFrame, suffix: str) -> DataFrame:
 
 
 def judge(measured: DataFrame, low: float = 4.0, high: float = 12.0, byte_margin: float = 0.10,
-          symbol_margin: float = 0.06, least: int = 30) -> DataFrame:
+          symbol_margin: float = 0.06, symbol_most: float = 0.05, least: int = 30) -> DataFrame:
     """Adds base_failed and kept; ``measured`` is read twice, so give a stored table."""
     m = (measured.withColumn("base_failed", _failed())
          .withColumn("size_class", F.floor(F.log2(F.col("n_tokens") + 1)).cast("int")))
@@ -158,7 +160,7 @@ def judge(measured: DataFrame, low: float = 4.0, high: float = 12.0, byte_margin
     cpt, ent = z("chars_per_token", 0.03), z("entropy", 0.06)
     bad = ((cpt + ent < -low) | (cpt > high)
            | (F.col("byte_share") > at("byte_share", 2) + byte_margin)
-           | (F.col("symbol_share") > at("symbol_share", 2) + symbol_margin))
+           | (F.col("symbol_share") > F.least(at("symbol_share", 2), F.lit(symbol_most)) + symbol_margin))
     verdict = F.when(F.col("n_tokens") > 0, ~F.coalesce(bad, F.lit(False))).otherwise(F.lit(False))
     return j.withColumn("kept", ~F.col("base_failed") & verdict).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
