@@ -76,3 +76,22 @@ def test_repeated_rows_and_long_lines(spark):
     docs += [docs[0]] * 5 + [(99, "All rights reserved by us\n" + "y " * 200_000)]
     rows = drop_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert len(rows) == len(docs) and not any("All rights" in r.text for r in rows)
+
+
+def rest_of(spark, docs, gone):
+    """Compares what is left of ``docs`` with their lines that ``gone`` doesn't name."""
+    for r in drop_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        assert r.text == "\n".join(x for x in dict(docs)[r.doc_id].split("\n") if not gone(x)), r.doc_id
+
+
+def proses(seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    return word, lambda: " ".join(word() for _ in range(9))
+
+
+def test_lines_of_one_leaf_do_not_hide_each_other(spark):
+    word, prose = proses(8)
+    share = ["Share this on Facebook", "Share this on Twitter"]
+    docs = [(i, "\n".join([prose(), *share, f"Share this on {word()}"])) for i in range(30)]
+    rest_of(spark, docs, lambda x: x in share)

@@ -14,9 +14,12 @@ was copied a thousand times are not mistaken for boilerplate; whole copies are
 left to the near-duplicate operator.  A template with variable words needs
 ``fixed`` constants and as many again as a share of ``constant``.
 
-Work is dealt by leaf, by (leaf, place, word) and by template, each counted
-with map-side combining, so a line that a third of all documents hold costs
-its group one row for each task and sketch.
+All lines are counted: constants and templates over the witnesses of every
+wording (the words of a line, digit words alike) of their leaf.  Work is dealt by wording, leaf,
+(leaf, place, word) and template, each counted with map-side combining; a
+wording hands on ``witnesses`` of its witnesses at most, which is all that its
+words and its template need to recur, so a line that a third of all documents
+hold costs no more than a rare one.
 
 Defined results: null text stays null with no lines; empty lines and lines
 under ``least`` words always stay; the other lines keep their order; repeated
@@ -35,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vigil.llm.common import batches_of, byte_set, hash_words, mix, ship, text_buffers
 from vigil.session import materialize
@@ -67,13 +71,14 @@ def _least_elsewhere(h: np.ndarray, lines: np.ndarray, line_doc: np.ndarray) ->
 
 
 def parse_lines(column, least: int):
-    """Vectorised parse of all lines with ``least`` words: (document, line number, leaf, sketch of the other
-    lines of the document, so that a line's own words don't make its documents look alike)."""
+    """Vectorised parse of all lines with ``least`` words: (document, line number, leaf, hash of the words
+    with digit words alike, sketch of the other lines of the document, so that a line's own words don't make its
+    documents look alike)."""
     data, offsets = text_buffers(column)
     h, first, starts, ends = hash_words(data, offsets)
     z = np.zeros(0, np.int64)
     if not len(h):
-        return z, z, z, z
+        return z, z, z, z, z
     digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
     breaks = np.concatenate([[0], np.cumsum(data == 10)])
     word = np.where(digits[ends] > digits[starts], np.uint64(1), h)
@@ -90,13 +95,15 @@ def parse_lines(column, least: int):
         inside = size > i
         leaf = mix(leaf * np.uint64(0x9E3779B97F4A7C15) + np.where(inside, word[np.minimum(at + i, len(word) - 1)], 0))
     lines_at = np.flatnonzero(new)
+    place = (np.arange(len(word)) - np.repeat(lines_at, np.diff(np.append(lines_at, len(word))))).astype(np.uint64)
+    mark = mix(np.add.reduceat(mix(word + place * np.uint64(0x9E3779B97F4A7C15)), lines_at))[keep]
     line_doc = doc[lines_at]
     sketch = np.zeros(len(lines_at), np.uint64)
     for seed in (np.uint64(0x1234567), np.uint64(0x89ABCDEF)):
         sketch = mix(sketch * np.uint64(0x9E3779B97F4A7C15) + _least_elsewhere(mix(h ^ seed), lines_at, line_doc))
     sketch = sketch[keep]
     number = breaks[starts[at]] - breaks[offsets[doc[at]]]
-    return doc[at], number, leaf.view(np.int64), sketch.view(np.int64)
+    return doc[at], number, leaf.view(np.int64), mark.view(np.int64), sketch.view(np.int64)
 
 
 def masked(line: str) -> list[str]:
@@ -114,19 +121,25 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     def leaves(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for part in batches_of(batch, "text"):
-                doc, number, leaf, sketch = parse_lines(part.column(2), s.least)
+                doc, number, leaf, mark, sketch = parse_lines(part.column(2), s.least)
                 at = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(at), part.column(1).take(at), pa.array(number, pa.int64()),
-                     pa.array(leaf, pa.int64()), pa.array(sketch, pa.int64())],
-                    names=["doc_id", "text_hash", "line", "leaf", "sketch"])
-
-    parsed = materialize(d.mapInArrow(leaves, "doc_id long, text_hash long, line long, leaf long, sketch long"), "lines")
-    busy = materialize(parsed.groupBy("leaf", "sketch").agg(F.lit(1).alias("one")).groupBy("leaf")
-                       .agg(F.count("*").alias("w")).where(F.col("w") >= s.witnesses).select("leaf"), "leaves")
-    near = (parsed.join(busy, "leaf").groupBy("doc_id", "text_hash")
-            .agg(F.collect_set(F.struct("line", "leaf", "sketch")).alias("marks"))
-            .withColumnsRenamed({"doc_id": "i", "text_hash": "h"}))
+                     pa.array(leaf, pa.int64()), pa.array(mark, pa.int64()), pa.array(sketch, pa.int64())],
+                    names=["doc_id", "text_hash", "line", "leaf", "mark", "sketch"])
+
+    parsed = materialize(d.mapInArrow(leaves, "doc_id long, text_hash long, line long, leaf long, mark long, sketch long"), "lines")
+    seen = materialize(parsed.groupBy("leaf", "mark", "sketch").agg(F.count("*").alias("n")), "seen")
+    busy = materialize(seen.select("leaf", "sketch").distinct().groupBy("leaf").agg(F.count("*").alias("w"))
+                       .where(F.col("w") >= s.witnesses).select("leaf"), "leaves")
+    # so many witnesses of each line tell whether its words and template have enough, as all of a rarer line are here
+    first = Window.partitionBy("leaf", "mark").orderBy("sketch")
+    some = (seen.join(busy, "leaf").select("leaf", "mark", "sketch").withColumn("r", F.row_number().over(first))
+            .where(F.col("r") <= s.witnesses).groupBy("leaf", "mark").agg(F.collect_set("sketch").alias("seen")))
+    # one line of each wording gives its words
+    near = (parsed.join(busy, "leaf").groupBy("leaf", "mark").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("at"))
+            .select(F.col("at.doc_id").alias("i"), F.col("at.text_hash").alias("h"), F.struct("at.line", "leaf", "mark").alias("m"))
+            .groupBy("i", "h").agg(F.collect_set("m").alias("marks")))
 
     def words(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from vigil.llm.templates import masked
@@ -134,42 +147,45 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
         for batch in it:
             for part in batches_of(batch, "text"):
                 rows = []
-                for i, h, text, marks in zip(*(c.to_pylist() for c in part.columns)):
+                for text, marks in zip(*(c.to_pylist() for c in part.columns)):
                     lines = text.split("\n")
-                    rows += [(i, h, m["line"], m["leaf"], m["sketch"], masked(lines[m["line"]])) for m in marks]
+                    rows += [(m["leaf"], m["mark"], masked(lines[m["line"]])) for m in marks]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
-                    + [pa.array([r[5] for r in rows], pa.list_(pa.string()))],
-                    names=["doc_id", "text_hash", "line", "leaf", "sketch", "words"])
-
-    lines = materialize(
-        d.join(near, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h")))
-        .select("doc_id", "text_hash", "text", "marks").dropDuplicates(["doc_id", "text_hash"])
-        .mapInArrow(words, "doc_id long, text_hash long, line long, leaf long, sketch long, words array<string>"), "words")
-
-    # one line of each leaf and sketch stands for its like; constants and templates are counted over these
-    stands = materialize(lines.groupBy("leaf", "sketch").agg(F.min("words").alias("words")), "stands")
-    spread = stands.select("leaf", "sketch", F.posexplode("words").alias("place", "word"))
-    constant = materialize(spread.groupBy("leaf", "place", "word").agg(F.count("*").alias("w"))
-                           .where(F.col("w") >= s.witnesses).select("leaf", "place", "word", F.lit(True).alias("is")), "constants")
+                    [pa.array([r[k] for r in rows], pa.int64()) for k in range(2)]
+                    + [pa.array([r[2] for r in rows], pa.list_(pa.string()))], names=["leaf", "mark", "words"])
+
+    wordings = (d.join(near, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h")))
+                .dropDuplicates(["doc_id", "text_hash"]).select("text", "marks")
+                .mapInArrow(words, "leaf long, mark long, words array<string>"))
+    wordings = materialize(wordings.join(some, ["leaf", "mark"]), "words")
+
+    # constants and templates are counted over the witnesses of all lines
+    spread = wordings.select("leaf", "mark", "seen", F.posexplode("words").alias("place", "word"))
+    constant = (spread.select("leaf", "place", "word", F.explode("seen").alias("w")).distinct()
+                .groupBy("leaf", "place", "word").agg(F.count("*").alias("w")))
+    constant = materialize(constant.where(F.col("w") >= s.witnesses).select("leaf", "place", "word", F.lit(True).alias("is")),
+                           "constants")
     pattern = F.transform(F.array_sort(F.collect_list(F.struct("place", F.when(F.col("is"), F.col("word")).alias("word")))),
                           lambda p: p["word"])
-    spelled = (spread.join(constant, ["leaf", "place", "word"], "left").groupBy("leaf", "sketch").agg(pattern.alias("pattern")))
+    spelled = (spread.drop("seen").join(constant, ["leaf", "place", "word"], "left")
+               .groupBy("leaf", "mark").agg(pattern.alias("pattern")))
     n_fixed = F.size(F.filter("pattern", lambda w: w.isNotNull()))
     allowed = (n_fixed == F.size("pattern")) | ((n_fixed >= s.fixed) & (n_fixed >= s.constant * F.size("pattern")))
-    templates = materialize(spelled.where(allowed).groupBy("leaf", "pattern").agg(F.count("*").alias("w"))
-                            .where(F.col("w") >= s.witnesses).select("leaf", "pattern"), "templates")
+    templates = (spelled.where(allowed).join(wordings.select("leaf", "mark", "seen"), ["leaf", "mark"])
+                 .select("leaf", "pattern", F.explode("seen").alias("w")).distinct()
+                 .groupBy("leaf", "pattern").agg(F.count("*").alias("w")))
+    templates = materialize(templates.where(F.col("w") >= s.witnesses).select("leaf", "pattern"), "templates")
     fits = F.forall(F.zip_with("pattern", "words", lambda p, w: p.isNull() | (p == w)), lambda x: x)
-    matched = materialize(lines.join(templates, "leaf").where(fits).select(
-        "doc_id", "text_hash", "line", "leaf", "sketch", "pattern"), "matched")
-    recurring = (matched.groupBy("leaf", "pattern", "sketch").agg(F.count("*").alias("n"))
-                 .groupBy("leaf", "pattern").agg(F.count("*").alias("w"), F.sum("n").alias("n"))
-                 .where((F.col("w") >= s.witnesses) & (F.col("w") >= s.share * F.col("n"))))
-    recurring = materialize(recurring.select("leaf", "pattern", F.xxhash64("pattern").alias("name")), "recurring")
-    spelling = F.array_join("pattern", " ", FIELD).alias("template")
     # the pattern has nulls, which never join: its hash names it inside the leaf
-    return (matched.withColumn("name", F.xxhash64("pattern")).drop("pattern").join(recurring, ["leaf", "name"])
-            .select("doc_id", "text_hash", "line", "leaf", spelling))
+    matched = materialize(wordings.join(templates, "leaf").where(fits).select(
+        "leaf", "mark", "pattern", F.xxhash64("pattern").alias("name")), "matched")
+    recurring = (matched.select("leaf", "mark", "name").join(seen, ["leaf", "mark"])
+                 .groupBy("leaf", "name", "sketch").agg(F.sum("n").alias("n"))
+                 .groupBy("leaf", "name").agg(F.count("*").alias("w"), F.sum("n").alias("n"))
+                 .where((F.col("w") >= s.witnesses) & (F.col("w") >= s.share * F.col("n"))).select("leaf", "name"))
+    recurring = materialize(matched.join(recurring, ["leaf", "name"]), "recurring")
+    spelling = F.array_join("pattern", " ", FIELD).alias("template")
+    return parsed.join(recurring, ["leaf", "mark"]).select("doc_id", "text_hash", "line", "leaf", spelling)
 
 
 def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
