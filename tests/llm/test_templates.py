@@ -95,3 +95,26 @@ def test_lines_of_one_leaf_do_not_hide_each_other(spark):
     share = ["Share this on Facebook", "Share this on Twitter"]
     docs = [(i, "\n".join([prose(), *share, f"Share this on {word()}"])) for i in range(30)]
     rest_of(spark, docs, lambda x: x in share)
+
+
+def test_repeats_and_copies_do_not_outweigh_documents(spark):
+    word, prose = proses(9)
+    bar, line = "Reply Share Report", "All of this was printed with permission"
+    copy = "\n".join([prose(), line, prose()])
+    docs = [(i, "\n".join([prose(), *[bar] * 30])) for i in range(15)]
+    docs += [(100 + i, copy) for i in range(300)] + [(1000 + i, f"{prose()}\n{line}") for i in range(12)]
+    rest_of(spark, docs, lambda x: x in (bar, line))
+
+
+def test_log_lines_go_and_a_log_is_one_document(spark):
+    word, prose = proses(10)
+    log = lambda what: "\n".join(f"{i} {i} INFO {word()} job {what} by the night shift" for i in range(60))
+    docs = [(i, f"{prose()}\n{log('done')}") for i in range(20)] + [(50, f"{prose()}\n{log('left')}")]
+    rest_of(spark, docs, lambda x: "job done" in x)
+
+
+def test_pages_of_long_shared_boilerplate_are_different(spark):
+    word, prose = proses(11)
+    frame = [prose() for _ in range(26)]
+    docs = [(i, "\n".join([*frame[:13], prose(), *frame[13:]])) for i in range(12)]
+    rest_of(spark, docs, lambda x: x in frame)

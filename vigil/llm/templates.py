@@ -7,12 +7,15 @@ it there, else it is a variable field; constants and fields spell the line's
 template.  A template that recurs across documents is dropped from all of
 them, wherever it stands.
 
-Recurring means: at least ``witnesses`` different documents, where documents
-with one word sketch (two smallest word hashes of their other lines) count as one, and these being at
-least ``share`` of all lines that fit it.  So the lines of an article that
-was copied a thousand times are not mistaken for boilerplate; whole copies are
-left to the near-duplicate operator.  A template with variable words needs
-``fixed`` constants and as many again as a share of ``constant``.
+Recurring means: in at least ``witnesses`` different documents, however often
+inside one document and whatever the number of copies.  Documents are told
+apart by their own lines, those whose wording fewer than ``witnesses`` different texts
+hold; documents with the same own lines, or with none, count as one.
+So the lines of an article that was copied a thousand times are not mistaken
+for boilerplate, unless ``witnesses`` of the copies have lines of their own
+beside them; whole copies are left to the near-duplicate operator.  A template with
+variable words needs ``fixed`` constants and as many again as a share of
+``constant``.
 
 All lines are counted: constants and templates over the witnesses of every
 wording (the words of a line, digit words alike) of their leaf.  Work is dealt by wording, leaf,
@@ -53,32 +56,19 @@ _WORD, _NUMBER = re.compile(r"[^\x20\x09-\x0D]+"), re.compile("[0-9]")
 class Settings:
     least: int = 3          # words of a line that may be dropped
     witnesses: int = 10     # different documents of a recurring template
-    share: float = 0.1      # of its lines, at least so many different documents
+    share: float = 0.1      # not read: recurrence is no share of the lines
     fixed: int = 5          # constants of a template with variable words
     constant: float = 0.6   # and their share of its words
 
 
-def _least_elsewhere(h: np.ndarray, lines: np.ndarray, line_doc: np.ndarray) -> np.ndarray:
-    """For each line the smallest hash in the other lines of its document (the largest number if there are none)."""
-    least = np.minimum.reduceat(h, lines)
-    docs = np.flatnonzero(np.concatenate([[True], line_doc[1:] != line_doc[:-1]]))
-    number = np.repeat(np.arange(len(docs)), np.diff(np.append(docs, len(lines))))
-    lowest = np.minimum.reduceat(least, docs)[number]
-    holds = least == lowest
-    alone = np.add.reduceat(holds.astype(np.int64), docs)[number] == 1
-    second = np.minimum.reduceat(np.where(holds, np.uint64(2**64 - 1), least), docs)[number]
-    return np.where(holds & alone, second, lowest)
-
-
 def parse_lines(column, least: int):
     """Vectorised parse of all lines with ``least`` words: (document, line number, leaf, hash of the words
-    with digit words alike, sketch of the other lines of the document, so that a line's own words don't make its
-    documents look alike)."""
+    with digit words alike)."""
     data, offsets = text_buffers(column)
     h, first, starts, ends = hash_words(data, offsets)
     z = np.zeros(0, np.int64)
     if not len(h):
-        return z, z, z, z, z
+        return z, z, z, z
     digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
     breaks = np.concatenate([[0], np.cumsum(data == 10)])
     word = np.where(digits[ends] > digits[starts], np.uint64(1), h)
@@ -97,13 +87,8 @@ def parse_lines(column, least: int):
     lines_at = np.flatnonzero(new)
     place = (np.arange(len(word)) - np.repeat(lines_at, np.diff(np.append(lines_at, len(word))))).astype(np.uint64)
     mark = mix(np.add.reduceat(mix(word + place * np.uint64(0x9E3779B97F4A7C15)), lines_at))[keep]
-    line_doc = doc[lines_at]
-    sketch = np.zeros(len(lines_at), np.uint64)
-    for seed in (np.uint64(0x1234567), np.uint64(0x89ABCDEF)):
-        sketch = mix(sketch * np.uint64(0x9E3779B97F4A7C15) + _least_elsewhere(mix(h ^ seed), lines_at, line_doc))
-    sketch = sketch[keep]
     number = breaks[starts[at]] - breaks[offsets[doc[at]]]
-    return doc[at], number, leaf.view(np.int64), mark.view(np.int64), sketch.view(np.int64)
+    return doc[at], number, leaf.view(np.int64), mark.view(np.int64)
 
 
 def masked(line: str) -> list[str]:
@@ -121,21 +106,29 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     def leaves(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for part in batches_of(batch, "text"):
-                doc, number, leaf, mark, sketch = parse_lines(part.column(2), s.least)
+                doc, number, leaf, mark = parse_lines(part.column(2), s.least)
                 at = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(at), part.column(1).take(at), pa.array(number, pa.int64()),
-                     pa.array(leaf, pa.int64()), pa.array(mark, pa.int64()), pa.array(sketch, pa.int64())],
-                    names=["doc_id", "text_hash", "line", "leaf", "mark", "sketch"])
-
-    parsed = materialize(d.mapInArrow(leaves, "doc_id long, text_hash long, line long, leaf long, mark long, sketch long"), "lines")
-    seen = materialize(parsed.groupBy("leaf", "mark", "sketch").agg(F.count("*").alias("n")), "seen")
-    busy = materialize(seen.select("leaf", "sketch").distinct().groupBy("leaf").agg(F.count("*").alias("w"))
+                     pa.array(leaf, pa.int64()), pa.array(mark, pa.int64())],
+                    names=["doc_id", "text_hash", "line", "leaf", "mark"])
+
+    parsed = materialize(d.mapInArrow(leaves, "doc_id long, text_hash long, line long, leaf long, mark long"), "lines")
+    held = materialize(parsed.select("leaf", "mark", "text_hash").distinct(), "held")
+    # a text is told apart by the lines that it shares with less than ``witnesses`` texts
+    often = materialize(held.groupBy("leaf", "mark").agg(F.count("*").alias("w")).where(F.col("w") >= s.witnesses)
+                        .select("leaf", "mark"), "often")
+    own = (held.join(often, ["leaf", "mark"], "left_anti").groupBy("text_hash")
+           .agg(F.bit_xor(F.xxhash64("mark")).alias("own")))
+    full = held.groupBy("leaf").agg(F.count("*").alias("w")).where(F.col("w") >= s.witnesses).select("leaf")
+    seen = materialize(held.join(full, "leaf").join(own, "text_hash", "left")
+                       .select("leaf", "mark", F.coalesce("own", F.lit(0)).alias("witness")).distinct(), "seen")
+    busy = materialize(seen.select("leaf", "witness").distinct().groupBy("leaf").agg(F.count("*").alias("w"))
                        .where(F.col("w") >= s.witnesses).select("leaf"), "leaves")
     # so many witnesses of each line tell whether its words and template have enough, as all of a rarer line are here
-    first = Window.partitionBy("leaf", "mark").orderBy("sketch")
-    some = (seen.join(busy, "leaf").select("leaf", "mark", "sketch").withColumn("r", F.row_number().over(first))
-            .where(F.col("r") <= s.witnesses).groupBy("leaf", "mark").agg(F.collect_set("sketch").alias("seen")))
+    first = Window.partitionBy("leaf", "mark").orderBy("witness")
+    some = (seen.join(busy, "leaf").withColumn("r", F.row_number().over(first))
+            .where(F.col("r") <= s.witnesses).groupBy("leaf", "mark").agg(F.collect_set("witness").alias("seen")))
     # one line of each wording gives its words
     near = (parsed.join(busy, "leaf").groupBy("leaf", "mark").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("at"))
             .select(F.col("at.doc_id").alias("i"), F.col("at.text_hash").alias("h"), F.struct("at.line", "leaf", "mark").alias("m"))
@@ -176,16 +169,9 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
                  .groupBy("leaf", "pattern").agg(F.count("*").alias("w")))
     templates = materialize(templates.where(F.col("w") >= s.witnesses).select("leaf", "pattern"), "templates")
     fits = F.forall(F.zip_with("pattern", "words", lambda p, w: p.isNull() | (p == w)), lambda x: x)
-    # the pattern has nulls, which never join: its hash names it inside the leaf
-    matched = materialize(wordings.join(templates, "leaf").where(fits).select(
-        "leaf", "mark", "pattern", F.xxhash64("pattern").alias("name")), "matched")
-    recurring = (matched.select("leaf", "mark", "name").join(seen, ["leaf", "mark"])
-                 .groupBy("leaf", "name", "sketch").agg(F.sum("n").alias("n"))
-                 .groupBy("leaf", "name").agg(F.count("*").alias("w"), F.sum("n").alias("n"))
-                 .where((F.col("w") >= s.witnesses) & (F.col("w") >= s.share * F.col("n"))).select("leaf", "name"))
-    recurring = materialize(matched.join(recurring, ["leaf", "name"]), "recurring")
+    matched = materialize(wordings.join(templates, "leaf").where(fits).select("leaf", "mark", "pattern"), "matched")
     spelling = F.array_join("pattern", " ", FIELD).alias("template")
-    return parsed.join(recurring, ["leaf", "mark"]).select("doc_id", "text_hash", "line", "leaf", spelling)
+    return parsed.join(matched, ["leaf", "mark"]).select("doc_id", "text_hash", "line", "leaf", spelling)
 
 
 def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
