@@ -118,3 +118,10 @@ def test_pages_of_long_shared_boilerplate_are_different(spark):
     frame = [prose() for _ in range(26)]
     docs = [(i, "\n".join([*frame[:13], prose(), *frame[13:]])) for i in range(12)]
     rest_of(spark, docs, lambda x: x in frame)
+
+
+def test_short_lines_go_when_many_documents_hold_them(spark):
+    word, prose = proses(12)
+    docs = [(i, "\n".join([prose(), "Read more", "Share", "Rare words" if i < 20 else prose()])) for i in range(50)]
+    docs += [(100 + i, f"{docs[0][1]}\nCopied text") for i in range(60)]
+    rest_of(spark, docs, lambda x: x in ("Read more", "Share"))

@@ -15,17 +15,18 @@ So the lines of an article that was copied a thousand times are not mistaken
 for boilerplate, unless ``witnesses`` of the copies have lines of their own
 beside them; whole copies are left to the near-duplicate operator.  A template with
 variable words needs ``fixed`` constants and as many again as a share of
-``constant``.
+``constant``.  A line under ``least`` words, as often a sentence as boilerplate,
+is a leaf of its own and recurs in ``short`` different documents.
 
 All lines are counted: constants and templates over the witnesses of every
 wording (the words of a line, digit words alike) of their leaf.  Work is dealt by wording, leaf,
 (leaf, place, word) and template, each counted with map-side combining; a
-wording hands on ``witnesses`` of its witnesses at most, which is all that its
+wording hands on ``short`` of its witnesses at most, which is all that its
 words and its template need to recur, so a line that a third of all documents
 hold costs no more than a rare one.
 
-Defined results: null text stays null with no lines; empty lines and lines
-under ``least`` words always stay; the other lines keep their order; repeated
+Defined results: null text stays null with no lines; lines without
+words always stay; lines keep their order; repeated
 rows of one id and text are one document for the counts and get equal results;
 texts of any length are whole; an empty table gives no rows; ties cannot occur,
 as all thresholds are on counts; extra columns are not read.
@@ -54,15 +55,16 @@ _WORD, _NUMBER = re.compile(r"[^\x20\x09-\x0D]+"), re.compile("[0-9]")
 
 @dataclass(frozen=True)
 class Settings:
-    least: int = 3          # words of a line that may be dropped
+    least: int = 3          # words of a line that needs ``witnesses``; a shorter one needs ``short``
     witnesses: int = 10     # different documents of a recurring template
+    short: int = 40         # different documents of a recurring line under ``least`` words
     share: float = 0.1      # not read: recurrence is no share of the lines
     fixed: int = 5          # constants of a template with variable words
     constant: float = 0.6   # and their share of its words
 
 
-def parse_lines(column, least: int):
-    """Vectorised parse of all lines with ``least`` words: (document, line number, leaf, hash of the words
+def parse_lines(column):
+    """Vectorised parse of all lines with words: (document, line number, leaf, hash of the words
     with digit words alike)."""
     data, offsets = text_buffers(column)
     h, first, starts, ends = hash_words(data, offsets)
@@ -78,15 +80,12 @@ def parse_lines(column, least: int):
     new[1:] = line[1:] != line[:-1]
     at = np.flatnonzero(new)
     size = np.diff(np.append(at, len(h)))
-    keep = size >= least
-    at, size = at[keep], size[keep]
     leaf = size.astype(np.uint64)
     for i in range(DEPTH):
         inside = size > i
         leaf = mix(leaf * np.uint64(0x9E3779B97F4A7C15) + np.where(inside, word[np.minimum(at + i, len(word) - 1)], 0))
-    lines_at = np.flatnonzero(new)
-    place = (np.arange(len(word)) - np.repeat(lines_at, np.diff(np.append(lines_at, len(word))))).astype(np.uint64)
-    mark = mix(np.add.reduceat(mix(word + place * np.uint64(0x9E3779B97F4A7C15)), lines_at))[keep]
+    place = (np.arange(len(word)) - np.repeat(at, size)).astype(np.uint64)
+    mark = mix(np.add.reduceat(mix(word + place * np.uint64(0x9E3779B97F4A7C15)), at))
     number = breaks[starts[at]] - breaks[offsets[doc[at]]]
     return doc[at], number, leaf.view(np.int64), mark.view(np.int64)
 
@@ -106,7 +105,7 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     def leaves(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for part in batches_of(batch, "text"):
-                doc, number, leaf, mark = parse_lines(part.column(2), s.least)
+                doc, number, leaf, mark = parse_lines(part.column(2))
                 at = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(at), part.column(1).take(at), pa.array(number, pa.int64()),
@@ -128,7 +127,7 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     # so many witnesses of each line tell whether its words and template have enough, as all of a rarer line are here
     first = Window.partitionBy("leaf", "mark").orderBy("witness")
     some = (seen.join(busy, "leaf").withColumn("r", F.row_number().over(first))
-            .where(F.col("r") <= s.witnesses).groupBy("leaf", "mark").agg(F.collect_set("witness").alias("seen")))
+            .where(F.col("r") <= max(s.witnesses, s.short)).groupBy("leaf", "mark").agg(F.collect_set("witness").alias("seen")))
     # one line of each wording gives its words
     near = (parsed.join(busy, "leaf").groupBy("leaf", "mark").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("at"))
             .select(F.col("at.doc_id").alias("i"), F.col("at.text_hash").alias("h"), F.struct("at.line", "leaf", "mark").alias("m"))
@@ -153,7 +152,8 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     wordings = materialize(wordings.join(some, ["leaf", "mark"]), "words")
 
     # constants and templates are counted over the witnesses of all lines
-    spread = wordings.select("leaf", "mark", "seen", F.posexplode("words").alias("place", "word"))
+    long = F.size("words") >= s.least
+    spread = wordings.where(long).select("leaf", "mark", "seen", F.posexplode("words").alias("place", "word"))
     constant = (spread.select("leaf", "place", "word", F.explode("seen").alias("w")).distinct()
                 .groupBy("leaf", "place", "word").agg(F.count("*").alias("w")))
     constant = materialize(constant.where(F.col("w") >= s.witnesses).select("leaf", "place", "word", F.lit(True).alias("is")),
@@ -167,7 +167,9 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     templates = (spelled.where(allowed).join(wordings.select("leaf", "mark", "seen"), ["leaf", "mark"])
                  .select("leaf", "pattern", F.explode("seen").alias("w")).distinct()
                  .groupBy("leaf", "pattern").agg(F.count("*").alias("w")))
-    templates = materialize(templates.where(F.col("w") >= s.witnesses).select("leaf", "pattern"), "templates")
+    # a line under ``least`` words is a leaf of its own
+    brief = wordings.where(~long & (F.size("seen") >= s.short)).select("leaf", F.col("words").alias("pattern"))
+    templates = materialize(templates.where(F.col("w") >= s.witnesses).select("leaf", "pattern").unionByName(brief), "templates")
     fits = F.forall(F.zip_with("pattern", "words", lambda p, w: p.isNull() | (p == w)), lambda x: x)
     matched = materialize(wordings.join(templates, "leaf").where(fits).select("leaf", "mark", "pattern"), "matched")
     spelling = F.array_join("pattern", " ", FIELD).alias("template")
