@@ -90,3 +90,30 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[i] for i in range(1, 41)} == {1}
     assert {got[i] for i in range(100, 130)} == {100} and {got[i] for i in (200, 201, 202)} == {200}
+
+
+def varied(seed, variants=250, pairs=40, size=140, edits=7):
+    """A text with many variants, parts of a variant that are just like it, and parts of those."""
+    rng = random.Random(seed)
+    base = [f"g{seed}w{i}" for i in range(size)]
+    texts = [base]
+    for _ in range(variants):
+        w = list(base)
+        for at in rng.sample(range(size), edits):
+            w[at] = f"g{seed}v{rng.randrange(10**6)}"
+        texts.append(w)
+    for _ in range(pairs):
+        x = rng.choice(texts[1:variants + 1])
+        for _ in range(2):
+            n = -(-8 * (len(x) - 1) // 10)
+            a = rng.randrange(len(x) - n)
+            x = x[a:a + n + 1]
+            texts.append(x)
+    return [(1000 * seed + i, " ".join(w)) for i, w in enumerate(texts)]
+
+
+def test_outsiders_meet_what_their_component_took_in(spark):
+    docs = varied(0) + varied(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept)
+           for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(varied(0)) | brute(varied(1))

@@ -14,7 +14,8 @@ never list the pairs of a group:
 3. each class is compared with the bucket centre that it shares most bands with,
 4. in each bucket, classes outside its largest component so far are compared
    with all members of that component, and
-5. what stays outside is compared among itself.
+5. what stays outside is compared among itself and with what step 4 took in,
+   which wasn't in the component when the outsiders were compared with it.
 
 Steps 4 and 5 work on blocks of ``BLOCK`` sets by counting common shingles
 through an inverted index inside a task; a block gives the links that join two
@@ -222,7 +223,7 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame
                         .select("target", F.ceil(F.col("q") / BLOCK).cast("int").alias("qi"),
                                 F.ceil(F.col("m") / BLOCK).cast("int").alias("mj")), "sizes")
 
-    def block(frame: DataFrame, count: str, other: str, side: int) -> DataFrame:
+    def block(frame: DataFrame, sizes: DataFrame, count: str, other: str, side: int) -> DataFrame:
         """Each node in its own block of one side, beside every block of the other."""
         own = F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
         e = frame.join(sizes, "target").withColumn("o", own).withColumn(
@@ -231,21 +232,22 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame
         return e.select(F.col("target").alias("group"), F.col(i).alias("i"), F.col(j).alias("j"),
                         F.lit(side).alias("side"), "node", "label")
 
-    first = block(asks, "qi", "mj", 0).unionByName(block(held.withColumn("label", F.col("target")), "mj", "qi", 1))
+    first = block(asks, sizes, "qi", "mj", 0).unionByName(
+        block(held.withColumn("label", F.col("target")), sizes, "mj", "qi", 1))
     found = materialize(_block_links(first, sets, percent), "links")
     labels = components(links.unionByName(found))
 
-    # 5: what is still outside, among itself
+    # 5: what is still outside, among itself and with the others that asked the same component
     now = labels.select(F.col("node").alias("target"), F.col("label").alias("target_label"))
-    rest = (labelled(asks.drop("label"), labels).join(now, "target", "left")
-            .where(F.col("label") != F.coalesce("target_label", "target")))
-    counts = rest.groupBy("target").agg(F.count("*").alias("q"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    rest = materialize(rest.join(counts.where("lo <> hi").select("target", F.ceil(F.col("q") / BLOCK).cast("int").alias("qi")),
-                                 "target").select("target", "node", "label", "qi"), "rest")
-    own = F.pmod(F.xxhash64("node"), F.col("qi")).cast("int")
-    pairs = rest.withColumn("o", own).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("qi") - 1)))
-    left = pairs.where("o <= x").selectExpr("target group", "o i", "x j", "0 side", "node", "label")
-    right = pairs.where("o >= x").selectExpr("target group", "x i", "o j", "1 side", "node", "label")
+    asked = materialize(labelled(asks.drop("label"), labels).join(now, "target", "left")
+                        .withColumn("outside", F.col("label") != F.coalesce("target_label", "target"))
+                        .select("target", "node", "label", "outside"), "asked")
+    sizes = materialize(asked.groupBy("target").agg(
+        F.count_if("outside").alias("q"), F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        .where("q > 0 and lo <> hi").select("target", F.ceil(F.col("q") / BLOCK).cast("int").alias("qi"),
+                                            F.ceil(F.col("m") / BLOCK).cast("int").alias("mj")), "sizes")
+    left = block(asked.where("outside"), sizes, "qi", "mj", 0)
+    right = block(asked, sizes, "mj", "qi", 1)
     more = materialize(_block_links(left.unionByName(right), sets, percent), "links")
     if more.limit(1).count():
         labels = components(links.unionByName(found).unionByName(more))
