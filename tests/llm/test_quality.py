@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -69,3 +70,18 @@ def test_scripts_have_their_own_bands(spark):
         (100 + i, "plain words of a common language that the vocabulary knows well enough for this " * 1 + f"x{i}", "en") for i in range(60)]
     out = judge(materialize(measure(spark.createDataFrame(rows, "doc_id long, text string, lang string")), "quality"))
     assert out.where(F.col("doc_id") < 100).where("kept").count() >= 55
+
+
+def test_rare_languages_and_lengths_are_not_judged_by_others(spark):
+    rng = random.Random(5)
+    english = "plain words of common language that vocabulary knows well enough for this and other texts about them".split()
+    russian = "слова этого текста написаны другим письмом и байты здесь обычны потому что словарь мал".split()
+    text = lambda words, n: " ".join(rng.choice(words) + "." * (rng.random() < 0.1) for _ in range(n))
+    rows = [(i, text(english, rng.randrange(40, 60)), "en") for i in range(200)]
+    rows += [(1000 + i, text(russian, 50), "ru") for i in range(12)]                      # a rare language
+    rows += [(2000 + i, text(russian, rng.randrange(45, 55)), "uk") for i in range(60)]
+    rows += [(3000 + i, text(russian, n), "uk") for i, n in enumerate([14, 16, 300, 900])]  # rare lengths
+    rows += [(4000 + i, text(english, n), "en") for i, n in enumerate([14, 16, 300, 900])]
+    out = judge(materialize(measure(spark.createDataFrame(rows, "doc_id long, text string, lang string")), "quality"))
+    kept = {r.doc_id: r.kept or r.base_failed for r in out.collect()}
+    assert all(kept[d] for d in kept if 1000 <= d < 2000 or d >= 3000), [d for d in kept if not kept[d]]

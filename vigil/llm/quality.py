@@ -20,8 +20,10 @@ state is a small histogram.
 
 Defined results: a null or empty text has no words, fails the base rules and
 has zero measures; a null language is a group of its own; groups of under
-``least`` documents take the bands of all languages at that length; repeated
-rows are judged each; long texts are whole; extra columns are not read.
+``least`` documents are joined with the nearest lengths of their language until
+they have so many, entropy then being raised by the bits that a text is shorter
+than their mean; a language of under ``least`` documents has no bands and is
+judged by the base rules alone; repeated rows are judged each; long texts are whole; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vigil.llm.common import SPACE, batches_of, hash_words, mix, phrase_hashes, ship, text_buffers
 from vigil.llm.vocab import PieceBpe, opened, vocabulary
@@ -132,32 +135,47 @@ def _failed():
             | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words")))
 
 
-def _band(keys: list[str], measured: DataFrame, suffix: str) -> DataFrame:
-    aggs = [F.count("*").alias(f"docs{suffix}")]
-    for c in ("chars_per_token", "entropy", "byte_share", "symbol_share"):
-        q = F.percentile(F.round(c, 2), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        aggs.append(q.alias(f"{c}{suffix}"))
-    return measured.groupBy(*keys).agg(*aggs)
+BANDED = ("chars_per_token", "entropy", "byte_share", "symbol_share")
+
+
+def _bands(m: DataFrame, least: int) -> DataFrame:
+    """Quartiles of each measure and mean length by (lang_l, size_l), over the nearest lengths of the language that
+    hold ``least`` documents; ``reach`` is how far they lie."""
+    fit = m.where("not base_failed and n_tokens > 0")
+    kinds = F.array(*[F.struct(F.lit(c).alias("kind"), F.round(c, 2).alias("value")) for c in BANDED])
+    hist = (fit.select("lang", "size_class", F.explode(kinds).alias("x"))
+            .groupBy("lang", "size_class", "x.kind", "x.value").agg(F.count("*").alias("n")))
+    counts = fit.groupBy("lang", "size_class").agg(F.count("*").alias("docs"), F.sum("length").alias("lengths"))
+    groups = m.groupBy("lang", "size_class").agg(F.lit(1).alias("one")).selectExpr("lang lang_l", "size_class size_l")
+    same = F.col("lang").eqNullSafe(F.col("lang_l"))
+    group = Window.partitionBy("lang_l", "size_l")
+    near = (groups.join(counts, same).withColumn("far", F.abs(F.col("size_class") - F.col("size_l")))
+            .withColumn("sum", F.sum("docs").over(group.orderBy("far").rangeBetween(Window.unboundedPreceding, 0)))
+            .withColumn("reach", F.min(F.when(F.col("sum") >= least, F.col("far"))).over(group)).where("far <= reach")
+            .withColumn("mean_length", F.sum("lengths").over(group) / F.sum("docs").over(group))
+            .select("lang_l", "size_l", "reach", "mean_length", F.col("size_class").alias("size")))
+    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
+    by_kind = (near.join(hist, same & (F.col("size") == F.col("size_class")))
+               .groupBy("lang_l", "size_l", "reach", "mean_length", "kind").agg(q.alias("q")))
+    return by_kind.groupBy("lang_l", "size_l", "reach", "mean_length").agg(
+        *[F.max(F.when(F.col("kind") == c, F.col("q"))).alias(f"{c}_l") for c in BANDED])
 
 
 def judge(measured: DataFrame, low: float = 4.0, high: float = 12.0, byte_margin: float = 0.10,
           symbol_margin: float = 0.06, symbol_most: float = 0.05, least: int = 30) -> DataFrame:
-    """Adds base_failed and kept; ``measured`` is read twice, so give a stored table."""
+    """Adds base_failed and kept; ``measured`` is read more than once, so give a stored table."""
     m = (measured.withColumn("base_failed", _failed())
-         .withColumn("size_class", F.floor(F.log2(F.col("n_tokens") + 1)).cast("int")))
-    fit = m.where("not base_failed and n_tokens > 0")
-    by_lang = _band(["lang", "size_class"], fit, "_l").withColumnsRenamed({"lang": "lang_l", "size_class": "size_l"})
-    by_size = _band(["size_class"], fit, "_a")
-    j = (m.join(F.broadcast(by_size), "size_class", "left")  # a row for each power of two: 64 at most
-         .join(by_lang, F.col("lang").eqNullSafe(F.col("lang_l")) & (F.col("size_class") == F.col("size_l")), "left"))
+         .withColumn("length", F.log2(F.col("n_tokens") + 1)).withColumn("size_class", F.floor("length").cast("int")))
+    j = m.join(_bands(m, least), F.col("lang").eqNullSafe(F.col("lang_l")) & (F.col("size_class") == F.col("size_l")), "left")
+    shorter = F.when(F.col("reach") > 0, F.greatest(F.col("mean_length") - F.col("length"), F.lit(0.0))).otherwise(F.lit(0.0))
 
     def at(c: str, i: int):
-        return F.when(F.col("docs_l") >= least, F.col(f"{c}_l")[i]).otherwise(F.col(f"{c}_a")[i])
+        return F.col(f"{c}_l")[i]
 
-    def z(c: str, floor: float):
-        return (F.col(c) - at(c, 1)) / F.greatest((at(c, 2) - at(c, 0)) / 1.349, F.lit(floor))
+    def z(c: str, floor: float, more=F.lit(0.0)):
+        return (F.col(c) + more - at(c, 1)) / F.greatest((at(c, 2) - at(c, 0)) / 1.349, F.lit(floor))
 
-    cpt, ent = z("chars_per_token", 0.03), z("entropy", 0.06)
+    cpt, ent = z("chars_per_token", 0.03), z("entropy", 0.06, shorter)
     bad = ((cpt + ent < -low) | (cpt > high)
            | (F.col("byte_share") > at("byte_share", 2) + byte_margin)
            | (F.col("symbol_share") > F.least(at("symbol_share", 2), F.lit(symbol_most)) + symbol_margin))
