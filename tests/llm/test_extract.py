@@ -102,3 +102,13 @@ def test_odd_pages(spark, model):
     got = sorted((r.page_id or 0, r.n_chars) for r in out.collect())
     assert len(got) == 6 and (1, 0) in got and (2, 0) in got and got.count((4, len("Some words of a long page.\n") * 20_000 - 1)) == 2
     assert extract(df.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("n", [3, 12, 200])
+def test_verdicts_do_not_change_with_the_number_of_siblings(model, n):
+    text = "Some words of a long page that are told to the reader in a sentence of their own."
+    for tag in ("p", "div"):
+        block = f"<{tag}>{text}</{tag}>"
+        for name in ("ad", "promo", "newsletter"):
+            page = f"<body><article>{block * n}<{tag} class={name}>Buy this now</{tag}>{block * n}</article></body>"
+            assert main_text(page, model) == "\n".join([text] * 2 * n), (tag, name)

@@ -3,7 +3,8 @@
 Every block element of the DOM is a variable: content or not.  Its evidence is
 the words of its class, id and role, the length of its own text and the share
 of it that is linked; siblings of one tag are alike, so together they weigh as
-much as ``ALIKE`` of them.  Parent and child are tied by a potential that
+much as ``ALIKE`` of them for their parent, but each block's own verdict has
+all of its evidence.  Parent and child are tied by a potential that
 depends on their tags.  Sum-product messages go up the tree and down again, which gives each block's
 exact marginal; text of blocks over one half is the page's main text.
 
@@ -68,10 +69,11 @@ class Model:
         return 0.9 if state else 0.1
 
 
-def marginals(page: Page, model: Model) -> list[float]:
-    """Probability of content for each block, by messages up and down the tree; all messages are ratios."""
+def marginals(page: Page, model: Model, whole: bool = False) -> list[float]:
+    """Probability of content for each block, by messages up and down the tree; all messages are ratios.  With ``whole``
+    a block's own belief, and what it tells its children, has its evidence without tempering."""
     n, tag, parent = len(page.tag), page.tag, page.parent
-    up, sent, hh, lh = [1.0] * n, [1.0] * n, [0.0] * n, [0.0] * n
+    up, sent, hh, lh, rest_of = [1.0] * n, [1.0] * n, [0.0] * n, [0.0] * n, [1.0] * n
     alike: dict[tuple[int, str], int] = {}
     for i in range(n):
         k = (parent[i], tag[i])
@@ -81,7 +83,10 @@ def marginals(page: Page, model: Model) -> list[float]:
             up[i] *= model.odds.get(f, 1.0)
         many = alike[parent[i], tag[i]]
         if many > ALIKE:
+            own = up[i]
             up[i] **= ALIKE / many
+            if whole:
+                rest_of[i] = own / up[i]
     for i in range(n - 1, 0, -1):  # children come after their parents
         above = tag[parent[i]]
         hh[i], lh[i] = model.edge(1, tag[i], above), model.edge(0, tag[i], above)
@@ -94,7 +99,7 @@ def marginals(page: Page, model: Model) -> list[float]:
     for i in range(1, n):
         rest = belief[parent[i]] / sent[i]
         down = (lh[i] + hh[i] * rest) / (1 - lh[i] + (1 - hh[i]) * rest)
-        belief[i] = min(max(up[i] * down, 1e-30), 1e30)
+        belief[i] = min(max(up[i] * down * rest_of[i], 1e-30), 1e30)
     return [b / (1 + b) for b in belief]
 
 
@@ -102,7 +107,7 @@ def main_text(html: str | None, model: Model) -> str:
     if not html:
         return ""
     page = read(html)
-    p = marginals(page, model)
+    p = marginals(page, model, whole=True)
     return "\n".join(t for node, t in page.runs if p[node] >= 0.5)
 
 
