@@ -85,3 +85,20 @@ def test_rare_languages_and_lengths_are_not_judged_by_others(spark):
     out = judge(materialize(measure(spark.createDataFrame(rows, "doc_id long, text string, lang string")), "quality"))
     kept = {r.doc_id: r.kept or r.base_failed for r in out.collect()}
     assert all(kept[d] for d in kept if 1000 <= d < 2000 or d >= 3000), [d for d in kept if not kept[d]]
+
+
+def test_words_with_digits_are_judged(spark):
+    rng = random.Random(6)
+    english = "plain words of common language that vocabulary knows well enough for this and other texts about them".split()
+    text = lambda n: " ".join(rng.choice(english) for _ in range(n))
+    code = lambda: f"{rng.getrandbits(160):040x}"
+    rows = [(i, f"{text(rng.randrange(40, 60))} {code() if i % 5 == 0 else ''}") for i in range(200)]
+    rows += [(1000 + i, " ".join([text(40), *[code() for _ in range(400)]])) for i in range(3)]
+    rows += [(2000 + i, " ".join(code() for _ in range(40))) for i in range(3)]
+    rows += [(3000 + i, "\n".join(f"2024-{rng.randrange(12)}-{k} {rng.randrange(10**6)}.50 -{k * i},1" for k in range(30)))
+             for i in range(3)]
+    df = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in judge(materialize(measure(df), "quality")).where("not base_failed").collect()}
+    assert sum(kept[d] for d in range(200)) > 190 and sum(kept[d] for d in range(0, 200, 5)) > 36
+    assert not any(kept[d] for d in kept if 1000 <= d < 3000) and all(kept[d] for d in kept if d >= 3000)
+    assert len(kept) == 209

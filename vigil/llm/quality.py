@@ -1,25 +1,29 @@
 """Quality rules: base counts, then tokeniser fertility against bands per language.
 
-A public vocabulary with byte fallback encodes each text (words with a digit
-aside: identifiers and numbers say nothing about the language).  Measures:
+A public vocabulary with byte fallback encodes each text.  Words with a digit
+say nothing about the language, so they have a measure of their own beside
+those of the other words.  Measures:
 
 * ``chars_per_token``   code points of words for each token,
 * ``byte_share``        share of tokens that are single fallback bytes,
 * ``symbol_share``      share of tokens without a letter, digit or sentence mark,
-* ``entropy``           bits of the text's own token distribution.
+* ``entropy``           bits of the text's own token distribution,
+* ``digit_share``       share of the text's tokens in words with a digit; pure
+  numbers (digits, signs and separators) are no tokens here.
 
 ``bands`` takes the median and the spread (interquartile range / 1.349) of each
 measure over all documents that pass the base rules, by language and by the
 power of two of the token count, as entropy grows with length.  A document is
 rejected when its deviations of characters per token and entropy sum below
 ``-low``, when characters per token lie more than ``high`` spreads above, or
-when its byte or symbol share is over the upper quartile plus a margin (of symbols, a
+when its byte, symbol or digit share is over the upper quartile plus a margin (of symbols, a
 quartile of ``symbol_most`` at most counts, so that junk that fills a small
 group can't excuse itself).  Values are rounded to 1/100 first, so a band's
 state is a small histogram.
 
 Defined results: a null or empty text has no words, fails the base rules and
-has zero measures; a null language is a group of its own; groups of under
+has zero measures; a text of words with digits alone is judged by its digit
+share; a null language is a group of its own; groups of under
 ``least`` documents are joined with the nearest lengths of their language until
 they have so many, entropy then being raised by the bits that a text is shorter
 than their mean; a language of under ``least`` documents has no bands and is
@@ -47,12 +51,13 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 # a word is tried once, at its start, and without going back
 _DIGITS = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+")
+_NUMBER = re.compile(r"[\W_0-9]+")
 _WORDY = re.compile(r"[^\x20\x09-\x0D]")
 _SENTENCE = set(".,;:!?'\"()-–—…«»“”‘’¿¡")
 
 MEASURES = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
             "n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, symbol_share double, "
-            "entropy double")
+            "entropy double, digit_share double")
 
 
 def repeated_words(h: np.ndarray, first: np.ndarray, k: int = REPEAT_WINDOW) -> np.ndarray:
@@ -109,16 +114,18 @@ def measure(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model") -> DataFram
                 marks = np.concatenate([[0], np.cumsum(SYMBOLS[data])])
                 texts = [t or "" for t in part.column(2).to_pylist()]
                 plain = [_DIGITS.sub(" ", t) for t in texts]
+                coded = [" ".join(w for w in _DIGITS.findall(t) if not _NUMBER.fullmatch(w)) for t in texts]
                 rows = []
-                for t, b in zip(plain, bpe.encode(plain)):
+                for t, b, c in zip(plain, bpe.encode(plain), bpe.encode(coded)):
                     ids = np.frombuffer(b, "<u4")
-                    n = len(ids)
+                    n, m = len(ids), len(c) // 4
                     if not n:
-                        rows.append((0, 0.0, 0.0, 0.0, 0.0))
+                        rows.append((0, 0.0, 0.0, 0.0, 0.0, float(m > 0)))
                         continue
                     counts = np.bincount(np.unique(ids, return_inverse=True)[1])
                     rows.append((n, len("".join(t.split())) / n, float(bpe.is_byte[ids].mean()),
-                                 float(symbol[ids].mean()), float(np.log2(n) - (counts * np.log2(counts)).sum() / n)))
+                                 float(symbol[ids].mean()), float(np.log2(n) - (counts * np.log2(counts)).sum() / n),
+                                 m / (n + m)))
                 fert = list(zip(*rows))
                 cols = [part.column(0), part.column(1), np.diff(first), lead[offsets[1:]] - lead[offsets[:-1]],
                         marks[offsets[1:]] - marks[offsets[:-1]], [dup_lines(t) for t in texts],
@@ -135,7 +142,7 @@ def _failed():
             | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words")))
 
 
-BANDED = ("chars_per_token", "entropy", "byte_share", "symbol_share")
+BANDED = ("chars_per_token", "entropy", "byte_share", "symbol_share", "digit_share")
 
 
 def _bands(m: DataFrame, least: int) -> DataFrame:
@@ -162,7 +169,8 @@ def _bands(m: DataFrame, least: int) -> DataFrame:
 
 
 def judge(measured: DataFrame, low: float = 4.0, high: float = 12.0, byte_margin: float = 0.10,
-          symbol_margin: float = 0.06, symbol_most: float = 0.05, least: int = 30) -> DataFrame:
+          symbol_margin: float = 0.06, symbol_most: float = 0.05, least: int = 30,
+          digit_margin: float = 0.5) -> DataFrame:
     """Adds base_failed and kept; ``measured`` is read more than once, so give a stored table."""
     m = (measured.withColumn("base_failed", _failed())
          .withColumn("length", F.log2(F.col("n_tokens") + 1)).withColumn("size_class", F.floor("length").cast("int")))
@@ -179,7 +187,8 @@ def judge(measured: DataFrame, low: float = 4.0, high: float = 12.0, byte_margin
     bad = ((cpt + ent < -low) | (cpt > high)
            | (F.col("byte_share") > at("byte_share", 2) + byte_margin)
            | (F.col("symbol_share") > F.least(at("symbol_share", 2), F.lit(symbol_most)) + symbol_margin))
-    verdict = F.when(F.col("n_tokens") > 0, ~F.coalesce(bad, F.lit(False))).otherwise(F.lit(False))
+    coded = F.col("digit_share") > at("digit_share", 2) + digit_margin
+    verdict = ~F.coalesce(coded | (bad & (F.col("n_tokens") > 0)), F.lit(False))
     return j.withColumn("kept", ~F.col("base_failed") & verdict).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_tokens", "chars_per_token", "byte_share", "symbol_share", "entropy")
