@@ -62,3 +62,43 @@ LEAKS = f"""WITH d AS (SELECT doc_id, {_NORMAL} AS w FROM documents),
   SELECT d.doc_id, len(d.w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
     sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
   FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+DIVERGENCE = rf"""WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+  o AS (SELECT i, lang, source, unnest(w) AS term FROM d),
+  kept AS (SELECT lang, term, count(*) AS c FROM o GROUP BY lang, term HAVING count(DISTINCT i) >= 3),
+  own AS (SELECT lang, source, term, count(*) AS c FROM o GROUP BY ALL),
+  grid AS (SELECT g.lang, g.source, k.term, k.c AS lc, coalesce(own.c, 0) AS c
+    FROM (SELECT DISTINCT lang, source FROM d) g JOIN kept k USING (lang) LEFT JOIN own USING (lang, source, term)),
+  p AS (SELECT *, 1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER s + count(*) OVER s) AS p,
+      1 + (1000000000::HUGEINT * (lc + 1)) // (sum(lc) OVER s + count(*) OVER s) AS q
+    FROM grid WINDOW s AS (PARTITION BY lang, source)),
+  pair AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS v
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+  every AS (SELECT a.lang, a.source, b.source AS item, coalesce(pair.v, 0) AS v
+    FROM (SELECT DISTINCT lang, source FROM d) a JOIN (SELECT DISTINCT lang, source FROM d) b
+      ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+  found AS (SELECT lang, source, 'pair' AS part, item, v FROM every
+    UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE c > 0 AND p > q),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY v DESC, encode(item)) AS r FROM found)
+  SELECT lang, source, part, item, CAST(v AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 200"""
+
+COLLOCATIONS = rf"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+  f AS (SELECT lang, k, array_to_string(g, ' ') AS phrase, count(*) AS a
+    FROM (SELECT lang, k, list_slice(w, p, p + k - 1) AS g
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM w, (VALUES (1), (2), (3), (4)) s(k) WHERE len(w) >= k))
+    GROUP BY ALL),
+  n AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+  c AS (SELECT lang, k AS size, phrase, a, string_split(phrase, ' ') AS g FROM f WHERE k > 1 AND a >= 30),
+  cut AS (SELECT lang, phrase, a, k, array_to_string(list_slice(g, 1, k), ' ') AS lp, array_to_string(list_slice(g, k + 1, size), ' ') AS rp
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+  s AS (SELECT cut.lang, cut.phrase, cut.a, cut.k, x.a AS l, y.a AS r, (2000000::HUGEINT * cut.a) // (x.a + y.a) AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = lp JOIN f y ON y.lang = cut.lang AND y.phrase = rp),
+  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS i FROM s) WHERE i = 1),
+  inside AS (SELECT lang, array_to_string(list_slice(g, p, p + m - 1), ' ') AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest(range(1, size - m + 2)) AS p FROM (SELECT *, unnest(range(2, size)) AS m FROM c)) GROUP BY ALL),
+  kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+  SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from vigil.llm import oracles
 from vigil.llm.chat import digest, events_of_turns, reconstruct, render
+from vigil.llm.collocations import collocations
 from vigil.llm.common import table
 from vigil.llm.decontaminate import decontaminate
+from vigil.llm.divergence import divergence
 from vigil.llm.extract import extract, labelled_pages
 from vigil.llm.extract import fit as fit_pages
 from vigil.llm.factors import remove_repeats
@@ -18,6 +20,7 @@ from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack
 from vigil.llm.pseudonyms import pseudonymise
 from vigil.llm.quality import judge, measure
+from vigil.llm.resync import token_counts
 from vigil.llm.templates import drop_lines
 from vigil.llm.toxicity import fit, score
 from vigil.session import materialize
@@ -75,10 +78,23 @@ def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(materialize(measure(table(spark, sf_dir, "documents")), "quality"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_relative_lempel_ziv": oracles.FACTORS, "op6_chat_formatting": oracles.CHAT,
-            "op8_minhash_near_duplicates": oracles.NEAR, "op9_benchmark_decontamination": oracles.LEAKS}
+            "op8_minhash_near_duplicates": oracles.NEAR, "op9_benchmark_decontamination": oracles.LEAKS,
+            "op11_source_divergence": oracles.DIVERGENCE, "op13_collocations": oracles.COLLOCATIONS}
