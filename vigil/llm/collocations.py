@@ -28,7 +28,6 @@ rows count each; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -39,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import batches_of, byte_set, hash_words, mix, shuffle_partitions, ship, text_buffers
+from vigil.llm.common import batches_of, byte_set, hash_words, lang_keys, mix, owners, shuffle_partitions, ship, text_buffers
 from vigil.session import materialize
 
 SCALE = 2_000_000
@@ -53,15 +52,6 @@ SPLIT = PIECE_END | byte_set((0x20, 0x20), (0x09, 0x09))
 _FOLD = bytes(32 if SPLIT[b] else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _P = np.uint64(0xD6E8FEB86659FD93)
 
-_langs: dict[str, int] = {}
-
-
-def _lang_key(lang: str) -> int:
-    if lang not in _langs:
-        _langs[lang] = int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
-    return _langs[lang]
-
-
 def joined(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hash of a phrase from those of its words but the last, and of its last word."""
     return mix(prefix * _P + last)
@@ -72,9 +62,8 @@ def word_keys(langs, column):
     data, offsets = text_buffers(column)
     h, first, starts, _ = hash_words(data, offsets, SPLIT, fold=True)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    own = np.array([_lang_key(x) for x in langs], np.uint64)
     ended = np.concatenate([[0], np.cumsum(PIECE_END[data])])
-    return (mix(h ^ own[doc]) if len(h) else h), ended[starts] + doc
+    return (mix(h ^ lang_keys(langs)[doc]) if len(h) else h), ended[starts] + doc
 
 
 def _selected(docs: DataFrame) -> DataFrame:
@@ -133,8 +122,8 @@ def phrase_counts(docs: DataFrame, parts: int, longest: int) -> DataFrame:
                 key = key[order]
                 first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
                 n, key, order = np.diff(np.append(first, len(key))), key[first], order[first]
-                at = np.concatenate([[0], np.flatnonzero(np.diff(_part(key, parts))) + 1, [len(key)]])
-                owner = _part(key[at[:-1]], parts)
+                at = np.concatenate([[0], np.flatnonzero(np.diff(owners(key, parts))) + 1, [len(key)]])
+                owner = owners(key[at[:-1]], parts)
                 columns = []
                 for x in (prefix[order], last[order], n.astype(np.int64)):
                     raw = x.tobytes()
@@ -165,10 +154,6 @@ def phrase_counts(docs: DataFrame, parts: int, longest: int) -> DataFrame:
     return _selected(docs).mapInArrow(count, _PACKED)
 
 
-def _part(key: np.ndarray, parts: int) -> np.ndarray:
-    return ((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-
-
 def _summed(key: np.ndarray, n: np.ndarray):
     order = np.argsort(key, kind="stable")
     key = key[order]

@@ -7,6 +7,7 @@ values; phrases combine word hashes the same way and are mixed at the end.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import zipfile
@@ -182,3 +183,33 @@ def batches_of(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iter
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1)
         yield batch.slice(lo, hi - lo)
         lo = hi
+
+
+# -- packed counts, keyed by ranges of hashes ----------------------------------------------------
+
+_langs: dict[str, int] = {}
+
+
+def lang_keys(langs: list[str]) -> np.ndarray:
+    """64-bit keys of language names."""
+    for x in langs:
+        if x not in _langs:
+            _langs[x] = int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little")
+    return np.array([_langs[x] for x in langs], np.uint64)
+
+
+def owners(key: np.ndarray, parts: int) -> np.ndarray:
+    """Number of the range of hashes that holds each key; ranges follow the order of keys."""
+    return ((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of the slices one after another, offset of each slice and the end)."""
+    size = ends - starts
+    cuts = np.concatenate([[0], np.cumsum(size)])
+    return data[np.arange(cuts[-1]) + np.repeat(starts - cuts[:-1], size)], cuts
+
+
+def text_bytes(docs: DataFrame, column: str = "text") -> int:
+    """Bytes of all texts of a column, for the number of parts of the work."""
+    return docs.selectExpr(f"sum(cast(octet_length(cast(`{column}` as string)) as long)) n").first()["n"] or 0

@@ -19,8 +19,10 @@ each cell:
   values are ranked by their cumulative multiplicity, and only the cells that
   reach the first ``top`` ranks are expanded into terms, in UTF-8 order.
 
-What moves: one row for each term, source and task, then cells.  Sums of f are
-made in decimals and products stay under 2**60, so all figures are exact.
+What moves: packed counts of each task's terms, keyed by ranges of the terms'
+hashes, then cells.  Sums of f are made of a high and a low half and products
+stay under 2**60, so all figures are exact.  Terms are told apart by 64-bit
+hashes of language and bytes, sources by 64-bit hashes of their names.
 
 Defined results: null text, language or source is the empty string; a source
 without kept terms is compared with all counts 0; a language without kept
@@ -30,7 +32,7 @@ an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,60 +40,127 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import batches_of, byte_set, ship
+from vigil.llm.common import (LOWER, batches_of, byte_set, gathered, hash_words, lang_keys, mix, owners, shuffle_partitions,
+                              ship, text_buffers, text_bytes)
 from vigil.session import materialize
 
 SCALE = 1_000_000_000
-TERM = byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
-#: Bytes of a text: term bytes with A-Z lower-cased, all others a space.
-_FOLD = bytes((b + 32 if 65 <= b <= 90 else b) if TERM[b] else 32 for b in range(256))
-HELD = 400_000       # terms that a task counts before it sends them
+BREAK = ~byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
+HELD = 4_000_000     # words that a task holds before it sends their counts
+RANGE = 8 << 20      # bytes of text for each range of hashes
 PAIRS = 1_000_000    # pairs of counts that a task groups into cells at once
 
+_PACKED = ("part long, langs array<string>, lang binary, key binary, entries binary, length binary, words binary, "
+           "source binary, n binary, docs binary")
+_KEPT = "lang string, term string, n long, held array<struct<source:long,n:long>>"
+
+
+class Words:
+    """Words of a task's texts, until their counts are sent."""
+
+    def __init__(self):
+        self.parts, self.held, self.rows = [], 0, 0
+
+    def add(self, langs: list[str], sources: np.ndarray, column) -> None:
+        data, offsets = text_buffers(column)
+        h, first, starts, ends = hash_words(data, offsets, BREAK, fold=True)
+        row = np.repeat(np.arange(len(langs)), np.diff(first))
+        key = mix(h ^ lang_keys(langs)[row]) if len(h) else h
+        self.parts.append((langs, sources, key, row + self.rows, LOWER[data], starts, ends))
+        self.held, self.rows = self.held + len(h), self.rows + len(langs)
+
+    def packed(self, parts: int) -> dict[str, list]:
+        """Counts by word and source, a filling for each range of hashes; the words are forgotten."""
+        langs = [x for p in self.parts for x in p[0]]
+        names, source = np.unique(np.concatenate([p[1] for p in self.parts]), return_inverse=True)
+        known, lang = np.unique(np.array(langs, object), return_inverse=True)
+        key, row = (np.concatenate([p[i] for p in self.parts]) for i in (2, 3))
+        text = np.concatenate([p[4] for p in self.parts])
+        base = np.cumsum([0] + [len(p[4]) for p in self.parts])
+        starts, ends = (np.concatenate([p[i] + z for p, z in zip(self.parts, base)]) for i in (5, 6))
+        self.__init__()
+        # by word, then source, then row: a word and source is an entry, and each row in it a document
+        of = source[row].astype(np.uint16 if len(names) < 1 << 16 else np.uint32)
+        order = np.argsort(of, kind="stable")
+        order = order[np.argsort(key[order], kind="stable")]
+        key, of, row = key[order], of[order], row[order]
+        changed = lambda x: np.concatenate([[True], x[1:] != x[:-1]])
+        word = changed(key)
+        entry = word | changed(of)
+        w, at = np.flatnonzero(word), np.flatnonzero(entry)
+        n = np.diff(np.append(at, len(key)))
+        docs = np.add.reduceat((entry | changed(row)).astype(np.int64), at)
+        first = np.searchsorted(at, w)
+        entries = np.diff(np.append(first, len(at)))
+        spelled, cuts = gathered(text, starts[order[w]], ends[order[w]])
+        owner = owners(key[w], parts)
+        lo = np.flatnonzero(changed(owner))
+        words, every = np.append(lo, len(w)), np.append(first[lo], len(at))
+        cut = lambda x, at: [x[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        return {"part": owner[lo].astype(np.int64), "langs": [known.tolist()] * len(lo),
+                "lang": cut(lang[row[w]].astype(np.uint32), words), "key": cut(key[w], words),
+                "entries": cut(entries.astype(np.uint32), words), "length": cut(np.diff(cuts).astype(np.uint32), words),
+                "words": cut(spelled, cuts[words]), "source": cut(names[of[at]], every), "n": cut(n.astype(np.int64), every),
+                "docs": cut(docs, every)}
+
+
+def merged(table: pa.Table, least: int) -> pa.Table:
+    """Kept terms of one range of hashes, from the fillings of all tasks."""
+    def read(c, t):
+        return [np.frombuffer(x, t) for x in table[c].to_pylist()]
+
+    known = table["langs"].to_pylist()
+    langs, place = np.unique(np.array([x for row in known for x in row], object), return_inverse=True)
+    base = np.cumsum([0] + [len(x) for x in known])
+    lang = np.concatenate([place[z + codes] for z, codes in zip(base, read("lang", np.uint32))])
+    key = np.concatenate(read("key", np.uint64))
+    word = np.repeat(np.arange(len(key)), np.concatenate(read("entries", np.uint32)))
+    ends = np.cumsum(np.concatenate(read("length", np.uint32)).astype(np.int64))
+    source, n, docs = (np.concatenate(read(c, np.int64)) for c in ("source", "n", "docs"))
+    order = np.argsort(source, kind="stable")
+    order = order[np.argsort(key[word[order]], kind="stable")]
+    source, word, n, docs = source[order], word[order], n[order], docs[order]
+    term = np.concatenate([[True], key[word[1:]] != key[word[:-1]]])
+    at = np.flatnonzero(term | np.concatenate([[True], source[1:] != source[:-1]]))
+    t = np.flatnonzero(term)
+    kept = np.add.reduceat(docs, t) >= least
+    size = np.diff(np.append(np.searchsorted(at, t), len(at)))
+    mine = np.repeat(kept, size)
+    pairs = pa.StructArray.from_arrays([pa.array(source[at][mine]), pa.array(np.add.reduceat(n, at)[mine])], names=["source", "n"])
+    held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size[kept])]), pa.int32()), pairs)
+    word = word[t][kept]
+    spelled, cuts = gathered(np.concatenate(read("words", np.uint8)), np.where(word > 0, ends[word - 1], 0), ends[word])
+    terms = pa.LargeStringArray.from_buffers(len(word), pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(spelled))
+    return pa.table({"lang": pa.array(langs[lang[word]], pa.string()), "term": terms.cast(pa.string()),
+                     "n": pa.array(np.add.reduceat(n, t)[kept]), "held": held})
 
-def terms(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_FOLD).split()
 
-
-def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n (occurrences), docs: partial counts of each task."""
-    ship(docs.sparkSession)
+def kept_terms(docs: DataFrame, least: int = 3) -> DataFrame:
+    """lang, term, n (in the language), held: array of (hash of the source, n), in order of the hashes."""
+    spark = docs.sparkSession
+    ship(spark)
+    parts = max(shuffle_partitions(spark), math.ceil(text_bytes(docs) / RANGE))
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, docs_of = defaultdict(Counter), defaultdict(Counter)
-
-        def sent() -> Iterator[pa.RecordBatch]:
-            for (lang, source), c in n.items():
-                words, k = pa.array(list(c), pa.binary()).cast(pa.string()), len(c)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), words,
-                     pa.array(list(c.values()), pa.int64()), pa.array([docs_of[lang, source][w] for w in c], pa.int64())],
-                    names=["lang", "source", "term", "n", "docs"])
-            n.clear()
-            docs_of.clear()
-
+        schema = pa.schema([(n, {"long": pa.int64(), "binary": pa.binary()}.get(t, pa.list_(pa.string())))
+                            for n, t in (c.split() for c in _PACKED.split(", "))])
+        words = Words()
         for batch in it:
-            for part in batches_of(batch, "text", 1 << 20):
-                for lang, source, text in zip(*(c.to_pylist() for c in part.columns)):
-                    found = terms(text)
-                    n[lang, source].update(found)
-                    docs_of[lang, source].update(set(found))
-                if sum(map(len, n.values())) > HELD:
-                    yield from sent()
-        yield from sent()
+            for some in batches_of(batch, "text"):
+                words.add(some.column(0).to_pylist(), np.asarray(some.column(1)), some.column(2))
+                if words.held > HELD:
+                    yield pa.RecordBatch.from_pydict(words.packed(parts), schema)
+        if words.held:
+            yield pa.RecordBatch.from_pydict(words.packed(parts), schema)
 
-    return docs.selectExpr("coalesce(cast(lang as string), '') lang", "coalesce(cast(source as string), '') source",
-                           "cast(text as string) text").mapInArrow(
-        count, "lang string, source string, term string, n long, docs long")
+    def merge(table: pa.Table) -> pa.Table:
+        from vigil.llm.divergence import merged
 
+        return merged(table, least)
 
-def kept_terms(docs: DataFrame, least: int = 3) -> DataFrame:
-    """lang, term, n (in the language), held: array of (source, n) in order of source."""
-    return (term_counts(docs).repartition("lang", "term")
-            .groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-            .groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"),
-                                         F.array_sort(F.collect_list(F.struct("source", "n"))).alias("held"))
-            .where(F.col("docs") >= least).drop("docs"))
+    return (docs.selectExpr("coalesce(cast(lang as string), '') lang", "xxhash64(coalesce(cast(source as string), '')) source",
+                            "cast(text as string) text").mapInArrow(count, _PACKED)
+            .repartition(parts, "part").groupBy("part").applyInArrow(merge, _KEPT))
 
 
 def shared_cells(kept: DataFrame) -> DataFrame:
@@ -124,43 +193,49 @@ def shared_cells(kept: DataFrame) -> DataFrame:
         if waiting:
             yield from grouped()
 
-    return kept.select("lang", "held").mapInArrow(cells, "lang string, source string, other string, a long, b long, m long")
+    return kept.select("lang", "held").mapInArrow(cells, "lang string, source long, other long, a long, b long, m long")
 
 
 def _p(count: str, n: str, v: str) -> str:
-    product = f"(cast({SCALE} as decimal(10, 0)) * cast({count} + 1 as decimal(20, 0)))"
-    return f"(1 + {product} div cast({n} + {v} as decimal(20, 0)))"
+    long = f"{SCALE}L * ({count} + 1) div ({n} + {v})"
+    wide = f"(cast({SCALE} as decimal(10, 0)) * cast({count} + 1 as decimal(20, 0))) div cast({n} + {v} as decimal(20, 0))"
+    return f"(1 + if({count} < {2**63 // SCALE - 1}L, {long}, {wide}))"
 
 
 def _f(p: str, q: str) -> str:
     return f"(({p} - {q}) * ({p} - {q}) div {q})"
 
 
+def _weighed(x: str) -> list[str]:
+    """A sum of m * x in two halves, as m * x can pass 64 bits."""
+    return [f"sum(m * shiftright({x}, 30)) high", f"sum(m * ({x} & {2**30 - 1}L)) low"]
+
+
 def _pairs(kept: DataFrame, groups: DataFrame, entries: DataFrame) -> DataFrame:
     """lang, source, item, value: sum of f over all kept terms, from cells."""
     own = groups.selectExpr("lang", "source", "n", "v", f"if(v > 0, {_p('0', 'n', 'v')}, null) zero")
     other = own.selectExpr("lang", "source other", "n other_n", "zero other_zero")
-    pairs = own.join(other, "lang").where("source <> other")
     nothing = _f("zero", "other_zero")
     # all terms as if neither source held them, then what the terms that one of them holds add, then both
-    base = pairs.selectExpr("lang", "source", "other", f"coalesce(v * cast({nothing} as decimal(28, 0)), 0) x")
+    base = own.join(other, "lang").where("source <> other").selectExpr(
+        "lang", "source", "other", "v m", f"coalesce({nothing}, 0) x")
     one = entries.groupBy("lang", "source", "c").agg(F.count("*").alias("m"))
-    here = one.join(own, ["lang", "source"]).selectExpr("lang", "source", "zero", "m", f"{_p('c', 'n', 'v')} p").join(
-        other, "lang").where("source <> other").selectExpr(
-        "lang", "source", "other", f"m * cast({_f('p', 'other_zero')} - {nothing} as decimal(28, 0)) x")
-    there = one.join(own, ["lang", "source"]).selectExpr(
-        "lang", "source other", "zero other_zero", "m", f"{_p('c', 'n', 'v')} q").join(
-        own, "lang").where("source <> other").selectExpr(
-        "lang", "source", "other", f"m * cast({_f('zero', 'q')} - {nothing} as decimal(28, 0)) x")
+    one = one.join(own, ["lang", "source"]).selectExpr("lang", "source", "zero", "m", f"{_p('c', 'n', 'v')} p")
+    here = one.join(other, "lang").where("source <> other").selectExpr(
+        "lang", "source", "other", "m", f"{_f('p', 'other_zero')} - {nothing} x")
+    there = one.selectExpr("lang", "source other", "zero other_zero", "m", "p q").join(own, "lang").where(
+        "source <> other").selectExpr("lang", "source", "other", "m", f"{_f('zero', 'q')} - {nothing} x")
     cells = shared_cells(kept).groupBy("lang", "source", "other", "a", "b").agg(F.sum("m").alias("m"))
-    both = cells.unionByName(cells.selectExpr("lang", "other source", "source other", "b a", "a b", "m"))
-    both = both.join(own, ["lang", "source"]).join(other, ["lang", "other"]).selectExpr(
-        "lang", "source", "other", "m", "zero", "other_zero", f"{_p('a', 'n', 'v')} p", f"{_p('b', 'other_n', 'v')} q").selectExpr(
-        "lang", "source", "other",
-        f"m * cast({_f('p', 'q')} - {_f('p', 'other_zero')} - {_f('zero', 'q')} + {nothing} as decimal(28, 0)) x")
-    parts = [x.selectExpr("lang", "source", "other", "cast(x as decimal(38, 0)) x") for x in (base, here, there, both)]
-    everything = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    return everything.groupBy("lang", "source", "other").agg(F.sum("x").cast("long").alias("value")).withColumnRenamed("other", "item")
+    cells = cells.join(own, ["lang", "source"]).join(other, ["lang", "other"]).selectExpr(
+        "lang", "source", "other", "m", "zero", "other_zero", f"{_p('a', 'n', 'v')} p", f"{_p('b', 'other_n', 'v')} q")
+    both = cells.unionByName(cells.selectExpr("lang", "other source", "source other", "m", "other_zero zero", "zero other_zero",
+                                              "q p", "p q"))
+    both = both.selectExpr("lang", "source", "other", "m",
+                           f"{_f('p', 'q')} - {_f('p', 'other_zero')} - {_f('zero', 'q')} + {nothing} x")
+    every = base.unionByName(here).unionByName(there).unionByName(both)
+    high, low = _weighed("x")
+    return (every.groupBy("lang", "source", "other").agg(F.expr(high), F.expr(low))
+            .selectExpr("lang", "source", "other item", f"cast(cast(high as decimal(38, 0)) * {2**30} + low as long) value"))
 
 
 def _terms(groups: DataFrame, entries: DataFrame, top: int) -> DataFrame:
@@ -188,10 +263,14 @@ def divergence(docs: DataFrame, least: int = 3, top: int = 200) -> DataFrame:
         "lang", "term", "total", F.col("h.source").alias("source"), F.col("h.n").alias("c"))
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_n"))
     sums = entries.groupBy("lang", "source").agg(F.sum("c").alias("n"))
-    groups = docs.selectExpr("coalesce(cast(lang as string), '') lang", "coalesce(cast(source as string), '') source").distinct()
+    groups = docs.selectExpr("coalesce(cast(lang as string), '') lang", "coalesce(cast(source as string), '') name").distinct()
+    groups = groups.withColumn("source", F.xxhash64("name"))
     groups = materialize(groups.join(sums, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["n", "v", "lang_n"]), "groups")
+    named = groups.select("lang", "source", "name")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    pair = _pairs(kept, groups, entries).withColumn("rank", F.row_number().over(order).cast("int"))
+    pair = _pairs(kept, groups, entries).join(named.selectExpr("lang", "source item", "name other"), ["lang", "item"])
+    pair = pair.select("lang", "source", F.col("other").alias("item"), "value").withColumn("rank", F.row_number().over(order).cast("int"))
     shaped = [x.select("lang", "source", F.lit(part).alias("part"), "item", "value", "rank")
               for part, x in (("pair", pair), ("term", _terms(groups, entries, top)))]
-    return shaped[0].unionByName(shaped[1])
+    return shaped[0].unionByName(shaped[1]).join(named, ["lang", "source"]).select(
+        "lang", F.col("name").alias("source"), "part", "item", "value", "rank")
