@@ -8,7 +8,10 @@ pieces of text that end at punctuation or a line end.
 2. Each task counts its own phrases and sends them packed, keyed by the range
    of the phrase's hash.  A phrase travels as the hash of all but its last word
    and the hash of its last word, so it can be spelled later without a second
-   look at the texts.
+   look at the texts.  Pairs of words go first, then longer phrases.  A bit
+   filter of the frequent words (then of the frequent pairs) holds back phrases
+   that cannot be frequent; its size is bounded by ``FILTER_BITS``, and what it
+   lets through by chance is only counted in vain.
 3. A range of hashes is mined shard by shard, each completely, at the support
    lowered in proportion to the shard's share of all words.  A phrase with
    ``support`` occurrences has its share of them in one shard at least, so the
@@ -43,9 +46,10 @@ from vigil.session import materialize
 
 SCALE = 2_000_000
 SHARDS = 10
-HELD = 3_000_000       # phrases that a task holds before it sends their counts
+HELD = 2_000_000       # phrases that a task holds before it sends their counts
 RANGE = 1_000_000      # words of all texts for each range of hashes
 HELD_WORDS = 400_000
+FILTER_BITS = 30       # at most 2**30 bits, 128 MB; 64 bits for each key below that
 
 PIECE_END = byte_set(*((ord(c),) * 2 for c in ".,;:!?"), (0x0A, 0x0D))
 SPLIT = PIECE_END | byte_set((0x20, 0x20), (0x09, 0x09))
@@ -66,6 +70,26 @@ def word_keys(langs, column):
     return (mix(h ^ lang_keys(langs)[doc]) if len(h) else h), ended[starts] + doc
 
 
+class Filter:
+    """Which 64-bit keys are in a set: always right for those that are, mostly for the others."""
+
+    def __init__(self, keys: DataFrame, column: str):
+        self.bits = min(FILTER_BITS, max(20, (64 * keys.count()).bit_length()))
+        last = (1 << self.bits) - 1
+        at = F.explode(F.array(F.expr(f"({column} & {last}L) + 1"), F.expr(f"(shiftrightunsigned({column}, 32) & {last}L) + 1")))
+        sets = (keys.select(at.alias("at")).groupBy(F.expr("bitmap_bucket_number(at) - 1").alias("at"))
+                .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits")))
+        self.set = np.zeros(1 << (self.bits - 3), np.uint8)
+        for r in sets.toLocalIterator():
+            self.set[r["at"] << 12:(r["at"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
+
+    def __call__(self, key: np.ndarray) -> np.ndarray:
+        last, hit = np.uint64((1 << self.bits) - 1), np.ones(len(key), bool)
+        for at in (key & last, (key >> np.uint64(32)) & last):
+            hit &= (self.set[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        return hit
+
+
 def _selected(docs: DataFrame) -> DataFrame:
     return docs.selectExpr("coalesce(cast(lang as string), 'und') lang", "cast(text as string) text")
 
@@ -106,8 +130,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
 _PACKED = "part long, shard long, size long, prefix binary, last binary, n binary"
 
 
-def phrase_counts(docs: DataFrame, parts: int, longest: int) -> DataFrame:
-    """Counts of each task's phrases, packed by range of hashes: a row for each range, size and filling."""
+def phrase_counts(docs: DataFrame, parts: int, shortest: int, longest: int, wanted: Filter) -> DataFrame:
+    """Counts of each task's phrases, packed by range of hashes: a row for each range, size and filling.
+
+    ``wanted`` judges the words of pairs, and the pairs of words of longer phrases.
+    """
+    width = 1 if shortest == 2 else 2
     ship(docs.sparkSession)
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,14 +164,18 @@ def phrase_counts(docs: DataFrame, parts: int, longest: int) -> DataFrame:
         for batch in it:
             for some in batches_of(batch, "text"):
                 word, piece = word_keys(some.column(0).to_pylist(), some.column(1))
+                unit = word if width == 1 else joined(word[:-1], word[1:])
+                rare = np.concatenate([[0], np.cumsum(~wanted(unit))])
                 prefix = word
                 for size in range(2, longest + 1):
                     if len(word) < size:
                         break
                     prefix, last = prefix[:len(word) - size + 1], word[size - 1:]
-                    inside = piece[size - 1:] == piece[:len(piece) - size + 1]
-                    waiting[size].append((prefix[inside], last[inside]))
-                    held += int(inside.sum())
+                    if size >= shortest:
+                        units = size - width + 1
+                        inside = (piece[size - 1:] == piece[:len(piece) - size + 1]) & (rare[units:] == rare[:-units])
+                        waiting[size].append((prefix[inside], last[inside]))
+                        held += int(inside.sum())
                     prefix = joined(prefix, last)
                 if held > HELD:
                     yield from packed()
@@ -191,8 +223,10 @@ def local_supports(sizes: dict[int, int], support: int) -> dict[int, int]:
     return {s: max(1, math.ceil(support * sizes.get(s, 0) / n)) for s in range(SHARDS)}
 
 
-def frequent_phrases(docs: DataFrame, support: int, longest: int, sizes: dict[int, int]) -> DataFrame:
-    """size, phrase, prefix, last (hashes) and a (occurrences) of all phrases with ``support`` occurrences."""
+def frequent_phrases(docs: DataFrame, support: int, shortest: int, longest: int, sizes: dict[int, int],
+                     wanted: Filter) -> DataFrame:
+    """size, phrase, prefix, last (hashes) and a (occurrences) of the phrases of ``shortest`` to ``longest`` words with
+    ``support`` occurrences."""
     parts = max(shuffle_partitions(docs.sparkSession), math.ceil(sum(sizes.values()) / RANGE))
     local = local_supports(sizes, support)
 
@@ -213,7 +247,7 @@ def frequent_phrases(docs: DataFrame, support: int, longest: int, sizes: dict[in
                                  "prefix": pa.array(p.view(np.int64)), "last": pa.array(w.view(np.int64)), "a": pa.array(n)}))
         return pa.concat_tables(out)
 
-    return (phrase_counts(docs, parts, longest).repartition(parts, "part").groupBy("part")
+    return (phrase_counts(docs, parts, shortest, longest, wanted).repartition(parts, "part").groupBy("part")
             .applyInArrow(mined, "size long, phrase long, prefix long, last long, a long"))
 
 
@@ -236,7 +270,10 @@ def spelled_phrases(docs: DataFrame, support: int = 30, longest: int = 4) -> tup
     # one row for each of the SHARDS shards
     sizes = {r["shard"]: r["n"] for r in of_shard.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     words = materialize(_hashed(counted.where("shard < 0")), "word-keys")
-    found = materialize(frequent_phrases(docs, support, longest, sizes), "phrases")
+    found = materialize(frequent_phrases(docs, support, 2, min(2, longest), sizes, Filter(words, "w")), "pairs")
+    if longest > 2:
+        found = found.unionByName(materialize(
+            frequent_phrases(docs, support, 3, longest, sizes, Filter(found, "phrase")), "phrases"))
     word = words.select(F.col("w").alias("last"), F.col("word").alias("end"))
     spelled = words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), F.col("n").alias("a"), F.col("w").alias("key"))
     tables = [spelled]

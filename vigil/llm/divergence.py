@@ -46,8 +46,8 @@ from vigil.session import materialize
 
 SCALE = 1_000_000_000
 BREAK = ~byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
-HELD = 4_000_000     # words that a task holds before it sends their counts
-RANGE = 8 << 20      # bytes of text for each range of hashes
+HELD = 1_500_000     # words that a task holds before it sends their counts
+RANGE = 4 << 20      # bytes of text for each range of hashes
 PAIRS = 1_000_000    # pairs of counts that a task groups into cells at once
 
 _PACKED = ("part long, langs array<string>, lang binary, key binary, entries binary, length binary, words binary, "

@@ -1,7 +1,9 @@
 """Token counts with overlap resynchronisation of huge documents.
 
-A document of up to ``chunk`` code points is encoded whole.  A longer one is
-cut into chunks that overlap, which are dealt to all tasks and encoded with
+A document of up to ``chunk`` code points is encoded in one task: word by word,
+each with the white space before it, because a visible character followed by
+white space is always a boundary (below); counts of words are kept.  A longer
+one is cut into chunks that overlap, which are dealt to all tasks and encoded with
 offsets.  Each chunk reports the places in its two overlaps at which a token of
 its own encoding ends and the text proves a boundary; neighbours are spliced
 at the first place that both report.  Tokens before that place are counted in
@@ -49,6 +51,12 @@ MARKS = r",;:!?()\[\]{}\"#$%&*+=/@^~"
 _PROVEN = re.compile(rf"(?<=[!-~À-ÿĀ-ſ])(?=[ \t\n\r])|(?<=[A-Za-z])(?=[0-9{MARKS}])|(?<=[0-9])(?=[A-Za-z{MARKS}])|(?<=[{MARKS}])(?=[A-Za-z0-9])")
 
 
+#: A word with the white space before it; texts with other white space or controls are encoded whole.
+_UNIT = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+_ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+KEPT = 600_000
+
+
 class ByteBpe:
     """Counts of ``byte_bpe_50k.json``, special strings as the library handles them by default."""
 
@@ -62,9 +70,31 @@ class ByteBpe:
         self.placed = Tokenizer.from_file(path)  # with untrimmed offsets: a token ends where the next begins
         self.placed.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=True)
 
-    def counts(self, texts: list[str]) -> list[int]:
+        self.known, self.older = {}, {}  # tokens of words; the older half goes when the newer one is full
+
+    def whole_counts(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def counts(self, texts: list[str]) -> list[int]:
+        odd = [i for i, t in enumerate(texts) if _ODD.search(t)]
+        out = [0] * len(texts)
+        for i, n in zip(odd, self.whole_counts([texts[i] for i in odd])):
+            out[i] = n
+        plain = sorted(set(range(len(texts))) - set(odd))
+        units = [_UNIT.findall(texts[i]) for i in plain]
+        known = self.known
+        new = {u for us in units for u in us if u not in known}
+        if len(known) + len(new) > KEPT:
+            self.older, self.known = known, (known := {u: known[u] for us in units for u in us if u in known})
+        kept = new & self.older.keys()
+        known.update((u, self.older[u]) for u in kept)
+        new = list(new - kept)
+        for lo in range(0, len(new), 4096):
+            known.update(zip(new[lo:lo + 4096], self.whole_counts(new[lo:lo + 4096])))
+        for i, us in zip(plain, units):
+            out[i] = sum(map(known.__getitem__, us))
+        return out
+
     def ends(self, text: str) -> np.ndarray:
         return np.array([b for _, b in self.placed.encode(text, add_special_tokens=False).offsets], np.int64)
 
