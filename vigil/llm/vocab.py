@@ -14,16 +14,49 @@ import re
 import numpy as np
 
 WORD_CACHE = 800_000
-PIECE_CACHE = 500_000
+PIECE_CACHE = 1_000_000
 
 # str.split() cuts at these, the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f]")
+# from here on composition and lower-casing can look at more than one character
+_LATER = re.compile("[^\x00-\u012f]")
+
+
+class Cache:
+    """Values of keys seen before.  When full, the newer half becomes the older one, whose keys come back on use."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size // 2, {}, {}
+
+    def take(self, lists: list[list[str]], learn) -> list[list]:
+        """The values of the keys of each list; ``learn`` gives those of a list of unknown keys."""
+        if len(self.new) > self.size:
+            self.new, self.old = {}, self.new
+        known = self.new
+        found = [list(map(known.get, keys)) for keys in lists]
+        late = [i for i, f in enumerate(found) if None in f]
+        missing = {k for i in late for k, x in zip(lists[i], found[i]) if x is None}
+        if self.old:
+            known.update((k, self.old[k]) for k in missing & self.old.keys())
+            missing -= known.keys()
+        if missing:
+            missing = list(missing)
+            known.update(zip(missing, learn(missing)))
+        for i in late:
+            found[i] = list(map(known.__getitem__, lists[i]))
+        return found
 
 
 class WordBpe:
-    """ids of ``word_bpe_49k.json`` (lower-casing BPE with word ends)."""
+    """ids of ``word_bpe_49k.json`` (lower-casing BPE with word ends).
+
+    The tokenizer cuts lower-cased text into pieces (letters, single digits, marks, contractions) and encodes each
+    alone; here pieces are cut in bulk by spaces put around all that is not letters, and known pieces are kept.
+    """
 
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    CUT = r"'(?:[stmd]|re|ve|ll)|\p{N}|[^\s\p{L}\p{N}]+"
+    CUT_ASCII = r"'(?:[stmd]|re|ve|ll)|[0-9]|[^\sa-z0-9]+"
+    WHOLE = "\x1f"  # marks a key that is a word to be encoded as it stands; no other key holds it
 
     def __init__(self, path: str):
         import regex
@@ -31,51 +64,44 @@ class WordBpe:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
-        self.split = regex.compile(self.PATTERN).findall
+        self.cut, self.cut_ascii = regex.compile(self.CUT).sub, re.compile(self.CUT_ASCII, re.ASCII).sub
         vocab = self.tok.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.special = [str(t) for t in (x.content for x in self.tok.get_added_tokens_decoder().values())]
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        special = [re.escape(x.content) for x in self.tok.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([_ODD.pattern, *special]))
+        self.pieces = Cache(PIECE_CACHE)
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        words, pieces = self.words, self.pieces
-        if len(pieces) > PIECE_CACHE:
-            pieces.clear()
-        single, several = [], []  # (word, its piece) or (word, its pieces)
-        for w in new:
-            # below U+0130 composition and lower-casing work character by character
-            if not w.isascii() and max(w) >= "\u0130" or "<" in w and any(s in w for s in self.special):
-                words[w] = self.direct(w)
-            elif w.isalpha():
-                single.append((w, w.lower()))
-            else:
-                several.append((w, self.split(w.lower())))
-        cut = list(({p for _, p in single} | {p for _, ps in several for p in ps}) - pieces.keys())
+    def cut_up(self, text: str) -> list[str]:
+        """Pieces of a text, in order."""
+        if text.isascii():
+            return self.cut_ascii(r" \g<0> ", text.lower()).split()
+        if not _LATER.search(text):
+            return self.cut(r" \g<0> ", text.lower()).split()
+        return [p for w in text.split() for p in ([self.WHOLE + w] if _LATER.search(w) else self.cut_up(w))]
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        out = {p: self.direct(p[1:]) for p in new if p[0] == self.WHOLE}
+        cut = [p for p in new if p[0] != self.WHOLE]
         for i in range(0, len(cut), 512):
             part = cut[i:i + 512]
             ids = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(part) and (not len(ids) or ends[-1] == len(ids)):
-                raw, lo = ids.tobytes(), 0
-                for p, hi in zip(part, (4 * ends).tolist()):
-                    pieces[p] = raw[lo:hi]
-                    lo = hi
+                raw, hi = ids.tobytes(), (4 * ends).tolist()
+                out.update(zip(part, [raw[a:b] for a, b in zip([0, *hi], hi)]))
             else:
-                for p in part:
-                    pieces[p] = self.direct(p)
-        for w, p in single:
-            words[w] = pieces[p]
-        for w, ps in several:
-            words[w] = b"".join([pieces[p] for p in ps])
+                out.update((p, self.direct(p)) for p in part)
+        return [out[p] for p in new]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        return _by_word(texts, self.words, self._learn, self.direct)
+        whole = [bool(self.odd.search(t)) for t in texts]
+        found = self.pieces.take([[] if w else self.cut_up(t) for t, w in zip(texts, whole)], self._learn)
+        return [self.direct(t) if w else b"".join(f) for t, w, f in zip(texts, whole, found)]
 
 
 def _by_word(texts: list[str], words: dict[str, bytes], learn, whole) -> list[bytes]:
