@@ -71,7 +71,8 @@ def reconstruct(events: DataFrame) -> DataFrame:
     e = (e.withColumn("opened", F.min("at").over(msg))
          .withColumn("reset", F.max(F.when(resets, F.col("at"))).over(msg))
          .withColumn("cut", F.when(F.col("event").isin("edit", "regenerate"), F.col("opened"))))
-    later = Window.partitionBy("conv_id").orderBy("at").rowsBetween(1, Window.unboundedFollowing)
+    # from the last event on, so that each row adds one value to what lies behind it
+    later = Window.partitionBy("conv_id").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
     e = e.withColumn("cut_later", F.min("cut").over(later))
     live = e.where((F.col("at") == F.col("opened")) | (F.col("at") >= F.coalesce("reset", F.lit(0))))
     part = F.when((F.col("at") >= F.coalesce("reset", F.lit(0))) & (F.col("event") != "regenerate"), F.col("text"))
@@ -86,20 +87,25 @@ def reconstruct(events: DataFrame) -> DataFrame:
 
 
 def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """conv_id, formatted, loss_spans (start, length in code points) of each conversation."""
+    """conv_id, formatted, loss_spans of each conversation: start and length in code points, and in bytes of UTF-8.
+
+    The places of the spans are running sums over the turns, and spans are read back by their bytes: text functions
+    look for a code point from the start of a text, which would take a whole conversation's length for each turn.
+    """
     one = F.concat(F.lit(TURN), escape(F.col("role"), ROLE_ESCAPES), F.lit("\n"), escape(F.col("text")), F.lit(END))
-    m = messages.select("conv_id", F.struct(
-        "position", one.alias("s"),
-        (F.length(escape(F.col("role"), ROLE_ESCAPES)) + F.lit(len(TURN) + 1)).alias("lead"),
-        F.length(escape(F.col("text"))).alias("size"), (F.col("role") == loss_role).alias("loss")).alias("m"))
-    g = m.groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("ms"))
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("spans"))
-    spans = F.aggregate("ms", zero, lambda acc, t: F.struct(
-        (acc["at"] + t["lead"] + t["size"] + F.lit(len(END))).alias("at"),
-        F.when(t["loss"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + t["lead"]).alias("start"),
-                                                                t["size"].alias("length")))))
-        .otherwise(acc["spans"]).alias("spans")))["spans"]
-    return g.select("conv_id", F.array_join(F.col("ms.s"), "").alias("formatted"), spans.alias("loss_spans"))
+    role, text = escape(F.col("role"), ROLE_ESCAPES), escape(F.col("text"))
+    m = messages.select("conv_id", "position", one.alias("s"), (F.col("role") == loss_role).alias("loss"), *[
+        c.cast("long").alias(f"{name}_{unit}") for unit, size in (("c", F.length), ("b", F.octet_length)) for name, c in (
+            ("lead", size(role) + len(TURN) + 1), ("size", size(text)))])
+    before = Window.partitionBy("conv_id").orderBy("position", "s").rowsBetween(Window.unboundedPreceding, -1)
+    start = lambda u: (F.coalesce(F.sum(F.col(f"lead_{u}") + F.col(f"size_{u}") + len(END)).over(before), F.lit(0))
+                       + F.col(f"lead_{u}"))
+    m = m.withColumn("start_c", start("c")).withColumn("start_b", start("b"))
+    span = F.struct(*[F.col(c).cast("int").alias(name) for c, name in (
+        ("start_c", "start"), ("size_c", "length"), ("start_b", "byte_start"), ("size_b", "byte_length"))])
+    g = m.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("position", "s"))).alias("ms"),
+                                 F.array_sort(F.collect_list(F.when(F.col("loss"), span))).alias("loss_spans"))
+    return g.select("conv_id", F.array_join(F.col("ms.s"), "").alias("formatted"), "loss_spans")
 
 
 def parse(formatted):
@@ -114,7 +120,10 @@ def parse(formatted):
 
 def loss_text(formatted, spans):
     """Unescaped text under the loss mask."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"]))), "")
+    whole = F.array(F.encode(formatted, "UTF-8"))  # bound once for all spans
+    read = F.transform(whole, lambda b: F.array_join(F.transform(spans, lambda s: unescape(
+        F.decode(F.substr(b, s["byte_start"] + 1, s["byte_length"]), "UTF-8"))), ""))
+    return F.element_at(read, 1)
 
 
 def digest(formatted: DataFrame) -> DataFrame:
