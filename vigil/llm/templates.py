@@ -58,7 +58,6 @@ class Settings:
     least: int = 3          # words of a line that needs ``witnesses``; a shorter one needs ``short``
     witnesses: int = 10     # different documents of a recurring template
     short: int = 40         # different documents of a recurring line under ``least`` words
-    share: float = 0.1      # not read: recurrence is no share of the lines
     fixed: int = 5          # constants of a template with variable words
     constant: float = 0.6   # and their share of its words
 
@@ -170,8 +169,13 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     # a line under ``least`` words is a leaf of its own
     brief = wordings.where(~long & (F.size("seen") >= s.short)).select("leaf", F.col("words").alias("pattern"))
     templates = materialize(templates.where(F.col("w") >= s.witnesses).select("leaf", "pattern").unionByName(brief), "templates")
-    fits = F.forall(F.zip_with("pattern", "words", lambda p, w: p.isNull() | (p == w)), lambda x: x)
-    matched = materialize(wordings.join(templates, "leaf").where(fits).select("leaf", "mark", "pattern"), "matched")
+    # each wording is spelled under each mask of variable words of its leaf, and looked up by that spelling
+    spelled_as = lambda words: F.array_join(words, " ", "\t")  # noqa: E731 (neither sign occurs in a word)
+    masks = templates.select("leaf", F.transform("pattern", lambda w: w.isNull()).alias("mask")).distinct()
+    under = F.zip_with("words", "mask", lambda w, free: F.when(~free, w))
+    asked = wordings.join(masks, "leaf").where(F.size("words") == F.size("mask")).select("leaf", "mark", spelled_as(under).alias("as"))
+    matched = materialize(asked.join(templates.select("leaf", "pattern", spelled_as("pattern").alias("as")), ["leaf", "as"])
+                          .select("leaf", "mark", "pattern"), "matched")
     spelling = F.array_join("pattern", " ", FIELD).alias("template")
     return parsed.join(matched, ["leaf", "mark"]).select("doc_id", "text_hash", "line", "leaf", spelling)
 
@@ -185,8 +189,13 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), key.alias("__own"))
     j = packed.join(gone, F.col("__own").eqNullSafe(F.col("__key")), "left")
     lines = F.split(F.col("__row.text").cast("string"), "\n", -1)
-    left = F.filter(lines, lambda _, i: ~F.array_contains("gone", i.cast("long")))
-    text = F.when(F.col("gone").isNull(), F.col("__row.text")).otherwise(F.array_join(left, "\n"))
+    # the stretches between dropped lines; both arrays are bound once for all stretches
+    both = F.array(F.struct(lines.alias("lines"), F.array_sort("gone").alias("gone")))
+    left = F.transform(both, lambda b: F.flatten(F.transform(F.sequence(F.lit(0), F.size(b["gone"])), lambda i: F.slice(
+        b["lines"], F.coalesce(F.get(b["gone"], i - 1).cast("int") + 1, F.lit(0)) + 1,
+        F.coalesce(F.get(b["gone"], i).cast("int"), F.size(b["lines"]))
+        - F.coalesce(F.get(b["gone"], i - 1).cast("int") + 1, F.lit(0))))))
+    text = F.when(F.col("gone").isNull(), F.col("__row.text")).otherwise(F.array_join(F.element_at(left, 1), "\n"))
     columns = [text.alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns]
     return j.select(*columns, F.struct(
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
