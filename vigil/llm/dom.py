@@ -8,6 +8,8 @@ character references decoded and white space turned into single blanks.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from html import unescape
 
 #: Fixed sets of HTML element names.
@@ -20,6 +22,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 SILENT = frozenset("head script style template noscript iframe object svg math canvas textarea select button title "
                    "audio video map datalist".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
+#: Inline end tags do not reach out of these.
+WALLS = frozenset(("table", "article", "body"))
 #: A start tag ends these open elements (up to the nearest listed boundary).
 _P_ENDS = BLOCKS
 _IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -50,6 +54,9 @@ def attributes(text: str) -> dict[str, str]:
 def read(html: str) -> Page:
     page = Page()
     stack: list[tuple[str, int]] = [("#page", 0)]  # open elements with the block node that they are in
+    where: dict[str, list[int]] = defaultdict(list)  # their places in the stack, by name
+    blocks: list[int] = [0]  # places of open blocks
+    walls: list[int] = [0]   # places of open tables, articles and bodies
     buffer: list[str] = []
     links = linked = silent = 0
     pos, n = 0, len(html)
@@ -69,12 +76,29 @@ def read(html: str) -> Page:
     def close(k: int) -> None:
         """Ends the open elements from place k of the stack on."""
         nonlocal links, silent
-        if any(t in BLOCKS for t, _ in stack[k:]):
+        if blocks[-1] >= k:
             flush()
         for t, _ in stack[k:]:
             links -= t == "a"
             silent -= t in SILENT or t == "#hidden"
+            where[t].pop()
         del stack[k:]
+        for places in (blocks, walls):
+            while places[-1] >= k:
+                places.pop()
+
+    def push(name: str, node: int) -> None:
+        k = len(stack)
+        stack.append((name, node))
+        where[name].append(k)
+        if name in BLOCKS:
+            blocks.append(k)
+        if name in WALLS:
+            walls.append(k)
+
+    def nearest(names) -> int:
+        """Place of the innermost open element of these names, or 0."""
+        return max((where[t][-1] for t in names if where[t]), default=0)
 
     for m in _TAG.finditer(html):
         if m.start() < pos:  # inside raw text
@@ -90,35 +114,22 @@ def read(html: str) -> Page:
             continue
         name = name.lower()
         if m[1] or m[4]:
-            for k in range(len(stack) - 1, 0, -1):
-                t = stack[k][0]
-                if t == name:
-                    close(k)
-                    break
-                if t in ("table", "article", "body") and name not in BLOCKS and name not in SILENT:
-                    break  # a stray inline end tag ends nothing outside
+            k = nearest((name,))
+            if k and (name in BLOCKS or name in SILENT or walls[-1] <= k):  # a stray inline end tag ends nothing outside
+                close(k)
             continue
         attrs = attributes(m[3] or m[6] or "")
         if name in BLOCKS:
-            for k in range(len(stack) - 1, 0, -1):  # a paragraph ends where a block begins
-                t = stack[k][0]
-                if t == "p":
-                    close(k)
-                    break
-                if t in BLOCKS:
-                    break
+            if stack[blocks[-1]][0] == "p":  # a paragraph ends where a block begins
+                close(blocks[-1])
             if name in _IMPLIED:
                 ends, bounds = _IMPLIED[name]
-                cut = 0
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in bounds:
-                        break
-                    if stack[k][0] in ends:
-                        cut = k
+                bound = nearest(bounds)
+                cut = min((where[t][i] for t in ends if (i := bisect_right(where[t], bound)) < len(where[t])), default=0)
                 if cut:
                     close(cut)
             flush()
-            if name in ("html", "body") and any(t == name for t, _ in stack):
+            if name in ("html", "body") and where[name]:
                 continue
             page.parent.append(stack[-1][1])
             page.tag.append(name)
@@ -128,16 +139,15 @@ def read(html: str) -> Page:
             if name in VOID:
                 continue
             hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", ""))
-            stack.append((name, len(page.tag) - 1))
+            push(name, len(page.tag) - 1)
             if hidden:
-                stack[-1] = (name, len(page.tag) - 1)
-                stack.append(("#hidden", len(page.tag) - 1))
+                push("#hidden", len(page.tag) - 1)
                 silent += 1
         elif name in VOID:
             if name == "br":
                 buffer.append(" ")
         else:
-            stack.append((name, stack[-1][1]))
+            push(name, stack[-1][1])
             links += name == "a"
             if name in SILENT:
                 silent += 1
