@@ -26,6 +26,7 @@ read.  Words are runs of letters and digits, lower-cased.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 import uuid
 from dataclasses import dataclass
 
@@ -180,20 +181,26 @@ class Model:
     settings: Settings
 
 
+_MARK = re.compile("[\n" + re.escape("".join(sorted({*QUOTES, *QUOTES.values()}))) + "]")
+
+
 def _quoted_spans(text: str) -> list[tuple[int, int]]:
-    spans, i = [], 0
-    while True:
-        starts = [k for k in (text.find(q, i) for q in QUOTES) if k >= 0]
-        if not starts:
-            return spans
-        s = min(starts)
-        e = text.find(QUOTES[text[s]], s + 1)
-        line = text.find("\n", s)
-        if e < 0 or 0 <= line < e:  # quotations end with their line
-            i = s + 1
+    """Quotations in order, without overlaps; a quotation ends in its line."""
+    marks = [(m.start(), m[0]) for m in _MARK.finditer(text)]
+    ends, last = [-1] * len(marks), {}
+    for j in range(len(marks) - 1, -1, -1):
+        at, c = marks[j]
+        if c == "\n":
+            last.clear()
         else:
-            spans.append((s, e))
-            i = e + 1
+            ends[j] = last.get(QUOTES.get(c), -1)
+            last[c] = at
+    spans, i = [], 0
+    for (at, c), end in zip(marks, ends):
+        if at >= i and end >= 0 and c in QUOTES:
+            spans.append((at, end))
+            i = end + 1
+    return spans
 
 
 def features(text: str, known: dict[str, int], automaton: Automaton, s: Settings) -> list[float]:
@@ -213,11 +220,12 @@ def features(text: str, known: dict[str, int], automaton: Automaton, s: Settings
         low = text.lower()
         quoted = _quoted_spans(low)
         spans = [m.start() for m in WORD.finditer(low)] if quoted else None
+        opened = [a for a, _ in quoted]
         at = [i for i, _ in hits]
         for n, (i, k) in enumerate(hits):
             w = 1.0
             near = ws[max(0, i - s.window):i + s.window + 1]
-            if quoted and any(a < spans[i] < b for a, b in quoted) or not REPORTING.isdisjoint(ws[max(0, i - 3):i]):
+            if quoted and spans[i] < quoted[bisect_left(opened, spans[i]) - 1][1] and opened[0] < spans[i] or not REPORTING.isdisjoint(ws[max(0, i - 3):i]):
                 w *= s.quoted
             elif (n and i - at[n - 1] <= s.window or n + 1 < len(at) and at[n + 1] - i <= s.window
                   or not ADDRESS.isdisjoint(near)):
