@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 from vigil.llm.templates import DEPTH, Settings, drop_lines, line_templates, masked
@@ -35,31 +36,72 @@ def test_recurring_templates_go_and_prose_stays(spark):
 
 
 def brute_templates(docs, s):
-    """The same definitions in plain Python, with documents told apart by their text."""
-    lines = [(d, t, tuple(masked(x))) for d, t in docs for x in t.split("\n")]
+    """The same definitions in plain Python: all lines of all texts, witnesses as sets of lines."""
+    texts = {t: {tuple(masked(x)) for x in t.split("\n")} - {()} for _, t in docs}
+    holders = Counter(w for held in texts.values() for w in held)
+    seen = {}
+    for held in texts.values():
+        witness = frozenset(w for w in held if holders[w] < s.witnesses)
+        for w in held:
+            seen.setdefault(w, set()).add(witness)
     leaf = lambda w: (len(w), w[:DEPTH])
-    lines = [x for x in lines if len(x[2]) >= s.least]
-    stands = {}
-    for _, t, w in lines:
-        stands[leaf(w), t] = min(w, stands.get((leaf(w), t), w))
-    count = Counter((k, i, x) for (k, _), w in stands.items() for i, x in enumerate(w))
-    patterns = Counter((k, tuple(x if count[k, i, x] >= s.witnesses else None for i, x in enumerate(w)))
-                       for (k, _), w in stands.items())
-    found = set()
-    for (k, p), n in patterns.items():
+    words, patterns = {}, {}
+    for w, witnesses in seen.items():
+        for i, x in enumerate(w):
+            words.setdefault((leaf(w), i, x), set()).update(witnesses)
+    for w, witnesses in seen.items():
+        p = tuple(x if len(words[leaf(w), i, x]) >= s.witnesses else None for i, x in enumerate(w))
+        patterns.setdefault((leaf(w), p), set()).update(witnesses)
+    found = {" ".join(w) for w, x in seen.items() if len(w) < s.least and len(x) >= s.short}
+    for (_, p), witnesses in patterns.items():
         constants = sum(x is not None for x in p)
-        if n >= s.witnesses and (constants == len(p) or constants >= s.fixed and constants >= s.constant * len(p)):
-            fit = [t for _, t, w in lines if leaf(w) == k and all(x is None or x == y for x, y in zip(p, w))]
-            if len(set(fit)) >= max(s.witnesses, s.share * len(fit)):
-                found.add(" ".join(x or "<*>" for x in p))
+        if len(p) >= s.least and len(witnesses) >= s.witnesses and (
+                constants == len(p) or constants >= s.fixed and constants >= s.constant * len(p)):
+            found.add(" ".join(x or "<*>" for x in p))
     return found
 
 
+def busy_corpus(seed):
+    """Many lines of few leaves in each document, with templates of several masks, copies and short lines."""
+    rng = random.Random(seed)
+    pick = lambda n: rng.choice("abcdefghijklmnop"[:n])
+    docs = []
+    for d in range(150):
+        lines = [f"own line {d} " + " ".join(pick(16) * rng.randrange(1, 4) for _ in range(4)) for _ in range(rng.randrange(3))]
+        lines += [f"one two three {pick(3)} {pick(16)} {pick(2)} {pick(16)} nine ten" for _ in range(rng.randrange(6))]
+        lines += [f"one two three {pick(16)} {pick(2)} seven eight" for _ in range(rng.randrange(4))]
+        lines += [rng.choice(["Read more", "Menu", f"page {d}", ""]) for _ in range(rng.randrange(3))]
+        docs.append((d, "\n".join(lines)))
+    return docs + [(500 + i, docs[i % 7][1]) for i in range(40)]
+
+
 def test_templates_equal_the_plain_version(spark):
+    found = lambda docs: {r.template for r in line_templates(
+        spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     docs = corpus()
-    got = {r.template for r in line_templates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got == brute_templates(docs, Settings()) == {
+    assert found(docs) == brute_templates(docs, Settings()) == {
         "Licensed under the rules of version <*>", "Posted in the <*> forum of all members"}
+    for seed in (1, 2):
+        docs = busy_corpus(seed)
+        want = brute_templates(docs, Settings())
+        assert len(want) > 2
+        assert found(docs) == want
+
+
+def test_time_follows_the_dropped_lines_of_one_document(spark):
+    def seconds(n):
+        others = [(i, f"own{i} words{'abcdefghijkl'[i % 12] * (i + 1)} here only once") for i in range(12)]
+        boiler = [f"All rights reserved by the {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} owners" for i in range(100)]
+        docs = [(d, t + "\n" + "\n".join(boiler)) for d, t in others]
+        docs.append((99, "start of a long text\n" + "\n".join(boiler[i % 100] for i in range(n))))
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        began = time.perf_counter()
+        left = {r.doc_id: r.text for r in drop_lines(df).select("doc_id", "text").collect()}
+        assert left == {**dict(others), 99: "start of a long text"}
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(100_000) < 2.5 * seconds(50_000) + 2
 
 
 def test_odd_documents(spark, odd_docs, no_docs):
