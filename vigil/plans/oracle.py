@@ -442,3 +442,35 @@ OBSERVED_IP_PROFILES_BODY = """SELECT r.ip, length(r.ip) BETWEEN 1 AND 45 AS val
     coalesce(f.confidence, 0.0) AS confidence
   FROM (SELECT trim(source_ip) AS ip FROM logs UNION SELECT trim(dest_ip) FROM logs) r
   LEFT JOIN fused f ON f.ip = r.ip"""
+
+
+# -- streams with several micro-batches ------------------------------------------------------------
+
+ARRIVALS = 5
+STORE_SPEEDUP = 10
+# turn in which an event arrives, in SQL that both engines read: by its time, by its number, or by time with stragglers
+ARRIVAL_BY_ID = "floor((event_id % 35) / 7)"
+ARRIVAL_BY_TIME = f"least({ARRIVALS - 1}, floor((day(ts) - 1) / 6))"
+ARRIVAL_LATE = f"least({ARRIVALS - 1}, floor((day(ts) - 1) / 6) + CASE WHEN event_id % 97 = 0 THEN 2 ELSE 0 END)"
+ADMISSION_DELAY = "10 SECONDS"
+FORGED_TIME = "CASE WHEN event_id % 89 = 5 THEN timestamp + INTERVAL 200 YEAR ELSE timestamp END"
+
+
+def with_admission(body: str, speedup: int = 10000) -> str:
+    """CTEs ``judged`` (all rows with their verdict) and ``bf`` / ``alerts`` over the admitted ones."""
+    turn = ARRIVAL_LATE.replace("(ts)", "(e.ts)").replace("event_id", "e.event_id")
+    return f"""WITH {logs_cte(speedup, "told")},
+  arrived AS (SELECT t.* REPLACE (CASE WHEN t.event_id % 89 = 5 THEN t."timestamp" + INTERVAL 200 YEAR ELSE t."timestamp" END
+      AS "timestamp"), t.event_id % 89 = 5 AS forged, {turn} AS turn FROM told t JOIN events e ON e.event_id = t.event_id),
+  highs AS (SELECT x.turn, max(a."timestamp") AS high FROM (SELECT DISTINCT turn FROM arrived) x
+    JOIN arrived a ON a.turn < x.turn AND NOT a.forged GROUP BY x.turn),
+  judged AS (SELECT a.*, CASE WHEN forged THEN 'ahead' WHEN a."timestamp" < h.high - INTERVAL 10 SECOND THEN 'late'
+      ELSE 'admitted' END AS verdict FROM arrived a LEFT JOIN highs h ON h.turn = a.turn),
+  logs AS (SELECT * FROM judged WHERE verdict = 'admitted'),
+  {alert_ctes(("bf",))}
+{body}"""
+
+
+ADMITTED_ALERTS_BODY = """SELECT 'alert' AS kind, alert_id AS name, CAST(event_count AS BIGINT) AS n FROM alerts
+  UNION ALL SELECT 'rows', v.verdict, count(judged.event_id) FROM (VALUES ('admitted'), ('late'), ('ahead')) v(verdict)
+    LEFT JOIN judged ON judged.verdict = v.verdict GROUP BY v.verdict"""

@@ -118,6 +118,19 @@ def events_log_source(spark: SparkSession, path: str, speedup: int,
 # ---------------------------------------------------------------------------
 # Sink
 # ---------------------------------------------------------------------------
+def alerts_of_batch(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Alert rows of a micro-batch of detector rows.
+
+    The rule of ``alerts.event_identity``; an event without an own identity is
+    numbered among its like in this batch, so the batch is part of its name (a
+    retried batch gives the same names)."""
+    if "window_start" not in batch.columns:
+        names = [F.col(c).cast("string") for c in ("event_id", "source_offset") if c in batch.columns]
+        nameless = F.concat_ws("-", F.lit(f"b{batch_id}"), A.event_identity(batch))
+        batch = batch.withColumn("event_id", F.coalesce(*names, nameless))
+    return A.to_alerts(batch)
+
+
 class AlertBatchWriter:
     """``foreachBatch`` function: micro-batch -> alert rows -> Parquet under
     ``{path}/batch_id={id}`` (overwrite, hence idempotent on retry)."""
@@ -127,20 +140,14 @@ class AlertBatchWriter:
         self.as_alerts = as_alerts
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if self.as_alerts and "window_start" not in batch.columns:
-            # the rule of ``alerts.event_identity``; an event without an own
-            # identity is numbered among its like in this batch, so the batch
-            # is part of its name (a retried batch gives the same names)
-            names = [F.col(c).cast("string") for c in ("event_id", "source_offset") if c in batch.columns]
-            nameless = F.concat_ws("-", F.lit(f"b{batch_id}"), A.event_identity(batch))
-            batch = batch.withColumn("event_id", F.coalesce(*names, nameless))
-        out = A.to_alerts(batch) if self.as_alerts else batch
+        out = alerts_of_batch(batch, batch_id) if self.as_alerts else batch
         out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
 
 def start_detector(stream: DataFrame, detector: str, sink_path: str, checkpoint: str,
                    trigger: dict | None = None, watermark: str | None = DEFAULT_WATERMARK,
-                   query_name: str | None = None) -> StreamingQuery:
+                   query_name: str | None = None, writer=None) -> StreamingQuery:
+    """``writer`` takes the micro-batches in place of the folder sink (a ``store.StoreWriter``)."""
     det = DETECTORS.get(detector) or OPTIONAL_DETECTORS[detector]
     trigger = trigger or {"processingTime": DEFAULT_TRIGGER}
     return (
@@ -149,7 +156,7 @@ def start_detector(stream: DataFrame, detector: str, sink_path: str, checkpoint:
         .option("checkpointLocation", checkpoint)
         .queryName(query_name or f"vigil_{detector}")
         .trigger(**trigger)
-        .foreachBatch(AlertBatchWriter(sink_path, det.alerts))
+        .foreachBatch(writer or AlertBatchWriter(sink_path, det.alerts))
         .start()
     )
 
