@@ -144,3 +144,20 @@ def test_compress_time_integral_micros(spark):
     got = [r[0] for r in df.select(compress_time("ts", "2024-01-01 00:00:00", 10000)).collect()]
     # one day + 999 us = 86,400,000,999 us -> 8,640,000 us after integer division
     assert got == [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 8, 640000)]
+
+
+def test_ingest_parses_once_and_rebalances_days(spark, tmp_path, mk):
+    from vigil.sources import logs as L
+
+    src = tmp_path / "in.csv"
+    good = "2024-01-0{d} 00:00:0{i},1.1.1.{i},2.2.2.2,TCP,allowed,benign,ids,5,agent,/p"
+    lines = [good.format(d=d, i=i) for d in (1, 2) for i in range(5)] + ["bad time,1.1.1.1,2.2.2.2,TCP,allowed,benign,ids,5,a,/p"]
+    src.write_text("\n".join([",".join(S.LOG_COLUMNS), *lines]))
+    done = L.ingest_csv(spark, str(src), str(tmp_path / "logs"))
+    assert (done["accepted"], done["rejected"]) == (10, 1)
+    days = sorted(p for p in (tmp_path / "logs").rglob("*.parquet"))
+    assert len(days) == 2  # a small day is one file
+    assert L.read_logs(spark, str(tmp_path / "logs")).count() == 10
+    assert [r.reject_reason for r in spark.read.parquet(done["quarantine"]).collect()] == ["malformed"]
+    plan = mk([row()]).transform(L.add_date_partitions).hint("rebalance", *S.PARTITION_COLUMNS)._jdf.queryExecution().toString()
+    assert "RebalancePartitions" in plan

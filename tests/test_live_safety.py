@@ -106,3 +106,9 @@ def test_cluster_needs_a_shared_checkpoint_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_a_forged_alert_is_served_as_well(mk):
+    al = A.to_alerts(detect.detect_signatures(mk([row(**TOOL), row(ts=FAR, src="9.9.9.9", **TOOL)])))
+    for as_of in (None, TS, TS + dt.timedelta(hours=1)):
+        assert "9.9.9.9" in {r.ip_source for r in A.active_alerts(al, as_of=as_of).collect()}

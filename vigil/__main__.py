@@ -28,7 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--csv", required=True)
     i.add_argument("--out", required=True)
     i.add_argument("--quarantine")
-    i.add_argument("--files-per-day", type=int, default=1)
+    i.add_argument("--files-per-day", type=int, default=0)
     i.add_argument("--replace", choices=["all", "days"], default="all")
 
     b = sub.add_parser("batch", help="history jobs")

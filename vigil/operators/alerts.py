@@ -130,12 +130,11 @@ def within_ttl(alerts: DataFrame, as_of=None, ttl: str = S.ALERT_TTL) -> DataFra
     The default "now" is the newest alert time that is not ahead of the run
     time by more than ``CLOCK_TOLERANCE`` (one scalar subquery); pass the run
     time as ``as_of`` where it is known.  Alerts without a time have no age and
-    stay alive; without any believable time all alerts are alive."""
+    stay alive, and so does an alert ahead of "now" (a forged time must not hide
+    it); without any believable time all alerts are alive."""
     now = _as_of(alerts, as_of)
     bt = F.col("bucket_time")
     alive = bt > now - F.expr(f"INTERVAL {ttl}")
-    if as_of is not None:
-        alive = alive & (bt <= now)
     return alerts.filter(F.coalesce(alive, F.lit(True)))
 
 

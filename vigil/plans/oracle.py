@@ -350,7 +350,11 @@ TIMELINE_RANGE_BODY = f"""SELECT event_date AS date, lpad(CAST(event_hour AS VAR
   WHERE event_date BETWEEN '20240105' AND '20240119'"""
 
 ALERT_LIST_BODY = """SELECT *, CASE WHEN threat_score >= 80 THEN 'crit' WHEN threat_score >= 60 THEN 'high'
-    WHEN threat_score >= 40 THEN 'med' ELSE 'low' END AS score_band FROM live WHERE severity = 'HIGH'"""
+    WHEN threat_score >= 40 THEN 'med' ELSE 'low' END AS score_band,
+    CASE WHEN bytes_total = 0 THEN '0 B' WHEN bytes_total >= 1073741824 THEN printf('%.1f GB', bytes_total / 1073741824.0)
+      WHEN bytes_total >= 1048576 THEN printf('%.1f MB', bytes_total / 1048576.0)
+      WHEN bytes_total >= 1024 THEN printf('%.1f KB', bytes_total / 1024.0) ELSE printf('%.1f B', bytes_total / 1.0) END AS bytes_display
+  FROM live WHERE severity = 'HIGH'"""
 
 PROFILE_REQUESTS_BODY = """SELECT r.ip, length(r.ip) BETWEEN 1 AND 45 AS valid,
     coalesce(f.reputation_score, 0) AS reputation_score, coalesce(f.active_alerts, 0) AS active_alerts,
@@ -386,6 +390,15 @@ DATE_PARTITIONS_BODY = f"""SELECT {LOG_COLS}, strftime("timestamp", '%Y') AS yea
 
 INGEST_CSV_BODY = f"SELECT {LOG_COLS_SECONDS.replace(', event_id', '')} FROM logs"
 
+# every 53rd row has a broken time, every 59th no source address
+INGEST_FILES_BODY = f"""SELECT {LOG_COLS_SECONDS.replace(', event_id', '').replace(' source_ip,', ' if(event_id % 59 = 0, NULL, source_ip) AS source_ip,').replace('date_trunc(', 'if(event_id % 53 = 0, NULL, date_trunc(').replace(') AS "timestamp"', ')) AS "timestamp"')},
+    CASE WHEN event_id % 53 = 0 THEN 'malformed' WHEN event_id % 59 = 0 THEN 'missing:source_ip' END AS reject_reason FROM logs"""
+
+# the sketch may be off by a thousandth of the group's rows, in rank
+P95_RANK_BODY = """SELECT threat_label, log_type, protocol, avg(bytes_transferred) AS avg_bytes, max(bytes_transferred) AS max_bytes,
+    count(*) AS event_count, CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes, true AS p95_within
+  FROM logs GROUP BY threat_label, log_type, protocol"""
+
 PARSE_JSON_BODY = f"SELECT {LOG_COLS_SECONDS} FROM logs"
 
 

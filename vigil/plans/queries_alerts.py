@@ -63,5 +63,5 @@ def alert_type_counts(spark, sf_dir):
 
 @register("alert_list", O.with_alerts(O.ALERT_LIST_BODY, DETECT_SPEEDUP))
 def alert_list(spark, sf_dir):
-    """Alert list filtered by severity, with its score band."""
-    return A.alert_display(A.severity_filter(_live(spark, sf_dir), "HIGH")).drop("bytes_display")
+    """Alert list filtered by severity, with its score band and readable bytes."""
+    return A.alert_display(A.severity_filter(_live(spark, sf_dir), "HIGH"))

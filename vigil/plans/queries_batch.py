@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from vigil.operators import detect
 from vigil.plans import oracle as O
 from vigil.plans.catalog import DETECT_SPEEDUP, detect_logs, history_logs, register
@@ -67,6 +69,20 @@ def volume_stats(spark, sf_dir):
     return analyze.volume_stats(history_logs(spark, sf_dir), p95="exact")
 
 
+@register("volume_stats_sketch", O.with_logs(O.P95_RANK_BODY, 1))
+def volume_stats_sketch(spark, sf_dir):
+    """The batch job's statistics with the sketched percentile, and whether its rank is within a thousandth."""
+    logs, keys = history_logs(spark, sf_dir), ["threat_label", "log_type", "protocol"]
+    stats = analyze.volume_stats(logs)
+    b, p = F.col("bytes_transferred"), F.col("p95_bytes")
+    ranks = logs.join(stats.select(*keys, "p95_bytes"), keys).groupBy(*keys).agg(
+        F.count(b).alias("n"), F.count_if(b < p).alias("below"), F.count_if(b <= p).alias("upto"))
+    wanted = F.ceil(F.col("n") * 0.95)
+    off = F.greatest(F.col("below") + 1 - wanted, wanted - F.col("upto"), F.lit(0))
+    return stats.join(ranks, keys).withColumn("p95_within", off <= F.col("n") / 1000).select(
+        *keys, "avg_bytes", "max_bytes", "event_count", "total_bytes", "p95_within")
+
+
 @register("volume_stats_exact", O.with_logs(O.volume_stats_sql(), 1))
 def volume_stats_exact(spark, sf_dir):
     return analyze.volume_stats(history_logs(spark, sf_dir), p95="exact")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vigil import schema as S
 from vigil.plans import oracle as O
 from vigil.plans.catalog import history_logs, register
+from vigil.session import scratch_path
 from vigil.sources import logs as L
 from vigil.sources import messages as M
 
@@ -35,6 +37,20 @@ def date_partitions(spark, sf_dir):
     return L.add_date_partitions(history_logs(spark, sf_dir))
 
 
+@register("ingest_csv_files", O.with_logs(O.INGEST_FILES_BODY, 1))
+def ingest_csv_files(spark, sf_dir):
+    """CSV files with broken times and missing addresses, ingested: the log table and the quarantine together."""
+    work, event = scratch_path(spark, "csv"), F.col("event_id")
+    told = history_logs(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) if c != "timestamp" else F.when(
+        event % 53 == 0, F.lit("no time")).otherwise(F.date_format(c, "yyyy-MM-dd HH:mm:ss")).alias(c)
+        if c != "source_ip" else F.col(c) for c in S.LOG_COLUMNS], "event_id")
+    told = told.withColumn("source_ip", F.when(event % 59 != 0, F.col("source_ip")))
+    told.select(*S.LOG_COLUMNS).write.option("header", "true").csv(f"{work}/in")
+    done = L.ingest_csv(spark, f"{work}/in", f"{work}/logs")
+    good = L.read_logs(spark, done["dest"]).withColumn("reject_reason", F.lit(None).cast("string"))
+    return good.unionByName(spark.read.parquet(done["quarantine"]).drop("raw_record"))
+
+
 @register("ingest_csv", O.with_logs(O.INGEST_CSV_BODY, 1))
 def ingest_csv(spark, sf_dir):
     good, _rejected = L.parse_csv_lines(L.to_csv_lines(history_logs(spark, sf_dir)))

@@ -9,12 +9,13 @@ of CSV lines (``parse_csv_lines``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil import schema as S
 from vigil.functions.timecols import date_partition_columns
+from vigil.session import materialize
 
 CORRUPT = "_corrupt_record"
 
@@ -27,7 +28,8 @@ CSV_OPTIONS = {
 _PARSE_SCHEMA = T.StructType(S.LOG_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def _split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _judged(parsed: DataFrame) -> DataFrame:
+    """Log columns with ``raw_record`` and ``reject_reason`` (null for a good row)."""
     missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in S.REQUIRED_LOG_COLUMNS]
     reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")).otherwise(
         F.concat(F.lit("missing:"), F.concat_ws(",", *missing))
@@ -35,10 +37,12 @@ def _split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     bad = F.col(CORRUPT).isNotNull()
     for c in S.REQUIRED_LOG_COLUMNS:
         bad = bad | F.col(c).isNull()
-    good = parsed.filter(~bad).select(*S.LOG_COLUMNS)
-    rejected = parsed.filter(bad).select(*S.LOG_COLUMNS, F.col(CORRUPT).alias("raw_record"),
-                                         reason.alias("reject_reason"))
-    return good, rejected
+    return parsed.select(*S.LOG_COLUMNS, F.col(CORRUPT).alias("raw_record"), F.when(bad, reason).alias("reject_reason"))
+
+
+def _split(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    bad = F.col("reject_reason").isNotNull()
+    return judged.filter(~bad).select(*S.LOG_COLUMNS), judged.filter(bad)
 
 
 def conform_to_log_schema(df: DataFrame) -> DataFrame:
@@ -66,9 +70,9 @@ def conform_to_log_schema(df: DataFrame) -> DataFrame:
     return df.select(*typed, F.when(bad, raw).alias(CORRUPT))
 
 
-def read_csv_logs(spark: SparkSession, path: str, header: bool = True,
-                  options: dict | None = None, infer_schema: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``(good, rejected)`` frames of a header CSV of logs.
+def judge_csv_logs(spark: SparkSession, path: str, header: bool = True,
+                   options: dict | None = None, infer_schema: bool = False) -> DataFrame:
+    """All rows of a header CSV of logs, with a reason for those to be rejected.
 
     Columns bind by position to ``LOG_SCHEMA``.  All columns are selected in
     both outputs, so every field is parsed and checked.  ``infer_schema=True``
@@ -81,12 +85,17 @@ def read_csv_logs(spark: SparkSession, path: str, header: bool = True,
             spark.read.option("header", "true").option("inferSchema", "true")
             .options(**(options or {})).csv(path)
         )
-        return _split(conform_to_log_schema(inferred))
+        return _judged(conform_to_log_schema(inferred))
     opts = dict(CSV_OPTIONS)
     opts["header"] = str(header).lower()
     opts.update(options or {})
-    parsed = spark.read.schema(_PARSE_SCHEMA).options(**opts).csv(path)
-    return _split(parsed)
+    return _judged(spark.read.schema(_PARSE_SCHEMA).options(**opts).csv(path))
+
+
+def read_csv_logs(spark: SparkSession, path: str, header: bool = True,
+                  options: dict | None = None, infer_schema: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejected)`` frames of a header CSV of logs (see ``judge_csv_logs``)."""
+    return _split(judge_csv_logs(spark, path, header, options, infer_schema))
 
 
 def parse_csv_lines(lines: DataFrame, column: str = "value", options: dict | None = None) -> tuple[DataFrame, DataFrame]:
@@ -97,8 +106,7 @@ def parse_csv_lines(lines: DataFrame, column: str = "value", options: dict | Non
     # ``inline`` makes the parse a Generate: the quarantine filters refer to
     # its output and cannot be pushed below it, so each line is parsed once
     # (a plain projection would be inlined into every filter predicate).
-    parsed = lines.select(F.inline(F.array(parsed_struct)))
-    return _split(parsed)
+    return _split(_judged(lines.select(F.inline(F.array(parsed_struct)))))
 
 
 def to_csv_lines(logs: DataFrame, column: str = "value") -> DataFrame:
@@ -122,16 +130,19 @@ def write_logs(df: DataFrame, path: str, mode: str = "overwrite", replace: str =
     ``replace="days"`` overwrites only the days present in ``df`` (dynamic
     partition overwrite), so a daily load does not rewrite history.  By
     default no repartition is done (each task writes the days it holds, one
-    open file at a time).  ``files_per_day=k`` shuffles by day plus a
-    deterministic hash salt into ``k`` buckets: about ``k`` files per day, and
-    a busy day is still spread over ``k`` tasks rather than one.  The salt is
-    a hash of row values, so a retried task reproduces the same split.
+    open file at a time).  ``files_per_day=0`` rebalances by day: small days
+    become one file each, and adaptive execution splits a large day into tasks
+    of the advisory partition size.  ``files_per_day=k`` shuffles by day plus a
+    deterministic hash salt into ``k`` buckets: about ``k`` files per day.  The
+    salt is a hash of row values, so a retried task reproduces the same split.
     """
     if not set(S.PARTITION_COLUMNS) <= set(df.columns):
         df = add_date_partitions(df)
     if files_per_day:
         salt = F.pmod(F.xxhash64("source_ip", "dest_ip", "timestamp"), F.lit(files_per_day))
         df = df.repartition(*[F.col(c) for c in S.PARTITION_COLUMNS], salt)
+    elif files_per_day == 0:
+        df = df.hint("rebalance", *S.PARTITION_COLUMNS)
     w = df.write.mode(mode).partitionBy(*S.PARTITION_COLUMNS)
     if replace == "days":
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -157,17 +168,21 @@ def read_logs(spark: SparkSession, path: str, date_from: str | None = None,
 
 
 def ingest_csv(spark: SparkSession, src: str, dest: str, quarantine: str | None = None,
-               replace: str = "all", files_per_day: int | None = 1) -> dict:
+               replace: str = "all", files_per_day: int | None = 0) -> dict:
     """CSV -> partitioned Parquet; aborts on empty input.
 
-    Rejected rows are always written (to ``quarantine``, by default
-    ``<dest>_rejected``) and counted, before anything is replaced.  Days are
-    clustered (``files_per_day``, see ``write_logs``), not split by task."""
+    The CSV is parsed once, into a staged table with a verdict for each row,
+    which also counts both kinds.  Rejected rows are always written (to
+    ``quarantine``, by default ``<dest>_rejected``), before anything is
+    replaced.  Days are clustered (``files_per_day``, see ``write_logs``)."""
     quarantine = quarantine or f"{dest.rstrip('/')}_rejected"
-    good, rejected = read_csv_logs(spark, src)
-    if good.isEmpty():
+    seen, bad = Observation("ingest"), F.col("reject_reason").isNotNull()
+    staged = materialize(judge_csv_logs(spark, src).observe(
+        seen, F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected")), "ingest")
+    counts = seen.get
+    if not counts["accepted"]:
         raise ValueError(f"no valid log rows in {src}")
+    good, rejected = _split(staged)
     rejected.write.mode("overwrite").parquet(quarantine)
     write_logs(good, dest, replace=replace, files_per_day=files_per_day)
-    return {"source": src, "dest": dest, "quarantine": quarantine,
-            "rejected": spark.read.schema(rejected.schema).parquet(quarantine).count()}
+    return {"source": src, "dest": dest, "quarantine": quarantine, **counts}
