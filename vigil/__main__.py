@@ -85,11 +85,11 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict | list:
         return ingest_csv(spark, args.csv, args.out, args.quarantine, args.replace, args.files_per_day)
 
     if args.cmd == "batch":
-        from vigil.plans.jobs import run_all
+        from vigil.plans.publish import publish_all
         from vigil.sources.logs import read_logs
 
         logs = read_logs(spark, args.logs, args.date_from, args.date_to)
-        return run_all(spark, logs, args.out, serving=args.serving)
+        return publish_all(spark, logs, args.out, serving=args.serving)
 
     if args.cmd == "stream":
         from vigil.streaming import detectors as D

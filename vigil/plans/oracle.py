@@ -399,6 +399,11 @@ P95_RANK_BODY = """SELECT threat_label, log_type, protocol, avg(bytes_transferre
     count(*) AS event_count, CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes, true AS p95_within
   FROM logs GROUP BY threat_label, log_type, protocol"""
 
+QUANTILE_DAYS = ("2024-01-05 00:00:00", "2024-01-19 00:00:00")
+QUANTILES_RANGE_BODY = """SELECT threat_label, log_type, protocol, count(bytes_transferred) AS n, max(bytes_transferred) AS largest,
+    CAST(sum(bytes_transferred) AS BIGINT) AS total, true AS within
+  FROM logs WHERE "timestamp" >= TIMESTAMP '2024-01-05' AND "timestamp" < TIMESTAMP '2024-01-19' GROUP BY ALL"""
+
 PARSE_JSON_BODY = f"SELECT {LOG_COLS_SECONDS} FROM logs"
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vigil.operators import detect
 from vigil.plans import oracle as O
 from vigil.plans.catalog import DETECT_SPEEDUP, detect_logs, history_logs, register
+from vigil.session import materialize, scratch_path
 
 
 @register("port_scan", O.with_logs(O.port_scan_sql(), DETECT_SPEEDUP))
@@ -123,3 +124,26 @@ def port_scans_ranked(spark, sf_dir):
 def volume_ranked(spark, sf_dir):
     stats = analyze.volume_stats(history_logs(spark, sf_dir), p95="exact")
     return analyze.ranked(stats, "total_bytes", "threat_label", "log_type", "protocol", k=20)
+
+
+@register("volume_quantiles_range", O.with_logs(O.QUANTILES_RANGE_BODY, 1))
+def volume_quantiles_range(spark, sf_dir):
+    """95th percentile over two weeks from stored hourly sketches, and whether its rank is within half a percent."""
+    from vigil.operators import sketches as K
+
+    logs = history_logs(spark, sf_dir)
+    first, last = (F.lit(d).cast("timestamp_ntz") for d in O.QUANTILE_DAYS)
+    found = K.quantiles(materialize(K.hourly_sketches(logs), "sketches"), 0.95, first, last)
+    error = K.rank_error(logs.where((F.col("timestamp") >= first) & (F.col("timestamp") < last)), found)
+    return found.join(error, list(K.KEYS)).select(*K.KEYS, "n", "largest", "total", (F.col("error") <= 0.005).alias("within"))
+
+
+@register("published_timeline", O.with_logs(O.timeline_sql(), 1))
+def published_timeline(spark, sf_dir):
+    """The timeline as served after a published run, and a later run that fails."""
+    from vigil.plans import publish
+
+    logs, root = history_logs(spark, sf_dir), scratch_path(spark, "published")
+    publish.publish_all(spark, logs, root, ["volume_analysis"])
+    publish.publish_all(spark, logs.withColumn("threat_label", F.raise_error(F.lit("broken input"))), root, ["volume_analysis"])
+    return spark.read.parquet(f"{publish.served_folder(spark, root)}/threat_timeline")

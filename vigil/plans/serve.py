@@ -53,10 +53,17 @@ def service_response(profile: dict) -> dict:
     }
 
 
+def _served(spark: SparkSession, out: str, table: str) -> DataFrame:
+    """A table of the run that is published now."""
+    from vigil.plans.publish import served_folder
+
+    return spark.read.parquet(f"{served_folder(spark, out)}/{table}")
+
+
 def profile_of(spark: SparkSession, out: str, ip: str) -> DataFrame:
     """Rows of the served profile table for one IP (0 or 1 row).  The equality
     is pushed to the scan; the table is range-partitioned and sorted by IP."""
-    return spark.read.parquet(f"{out}/threat_profiles").filter(F.col("ip") == ip.strip())
+    return _served(spark, out, "threat_profiles").filter(F.col("ip") == ip.strip())
 
 
 def profile_document(spark: SparkSession, out: str, ip: str) -> dict:
@@ -71,20 +78,20 @@ def profile_document(spark: SparkSession, out: str, ip: str) -> dict:
 
 def lookup_many(spark: SparkSession, out: str, requests: DataFrame, ip_col: str = "ip") -> DataFrame:
     """Batch of requests (a DataFrame of IPs) answered with one join."""
-    return V.lookup_profiles(spark.read.parquet(f"{out}/threat_profiles"), requests, ip_col)
+    return V.lookup_profiles(_served(spark, out, "threat_profiles"), requests, ip_col)
 
 
 def active_alerts_of(spark: SparkSession, out: str, limit: int = S.ACTIVE_ALERTS_LIMIT) -> DataFrame:
-    return A.active_alerts(spark.read.parquet(f"{out}/alerts"), limit=limit)
+    return A.active_alerts(_served(spark, out, "alerts"), limit=limit)
 
 
 def global_stats_of(spark: SparkSession, out: str, score_col: str = "reputation_score") -> DataFrame:
-    return V.global_stats(spark.read.parquet(f"{out}/ip_reputation"), score_col)
+    return V.global_stats(_served(spark, out, "ip_reputation"), score_col)
 
 
 def timeline_of(spark: SparkSession, out: str, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
     """Hourly rows in key order (date, then hour)."""
-    return V.timeline_range(spark.read.parquet(f"{out}/threat_timeline"), date_from, date_to).orderBy("date", "hour")
+    return V.timeline_range(_served(spark, out, "threat_timeline"), date_from, date_to).orderBy("date", "hour")
 
 
 class ServedTables:
@@ -93,11 +100,15 @@ class ServedTables:
     Opening lists the files once (later requests reuse the file index) and
     fixes "now" for the alert TTL: ``as_of`` when given, else the newest
     believable alert time (one scalar, see ``alerts.within_ttl``).
-    Re-open after the batch jobs rewrite the tables.
+    The tables are those of one published run (``publish``); re-open to see a
+    later one.
     """
 
     def __init__(self, spark: SparkSession, out: str, as_of=None):
+        from vigil.plans.publish import served_folder
+
         self.spark = spark
+        out = served_folder(spark, out)  # the run that is published now, until re-opened
         self.profiles = spark.read.parquet(f"{out}/threat_profiles")
         self.alerts = spark.read.parquet(f"{out}/alerts")
         self.snapshot = spark.read.parquet(f"{out}/ip_reputation")
