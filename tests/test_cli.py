@@ -2,6 +2,8 @@ import json
 import os
 import tempfile
 
+from conftest import row
+
 from vigil.__main__ import run
 from vigil.sources import logs as L
 from vigil.sources.events import load_logs
@@ -42,3 +44,12 @@ def test_cli_ingest_batch_publish_stream_profile(spark):
     assert stats["total_ips_analyzed"] == 15 and stats["source"] == "batch_layer"
     tl = run(["timeline", "--tables", f"{work}/out"], spark)
     assert tl and [(t["date"], t["hour"]) for t in tl] == sorted((t["date"], t["hour"]) for t in tl)
+
+
+def test_batch_atomic_is_served(spark, tmp_path, mk):
+    from vigil.sources import logs as L
+
+    L.write_logs(mk([row(action="blocked") for _ in range(8)], with_id=False), str(tmp_path / "logs"))
+    status = run(["batch", "--logs", str(tmp_path / "logs"), "--out", str(tmp_path / "out"), "--serving", "--atomic"], spark)
+    assert set(status.values()) == {"ok"} and not (tmp_path / "out" / "threat_profiles").exists()
+    assert run(["profile", "--tables", str(tmp_path / "out"), "--ip", "10.0.0.1"], spark)["speedLayer"]["activeAlerts"] > 0

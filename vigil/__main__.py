@@ -37,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--from", dest="date_from")
     b.add_argument("--to", dest="date_to")
     b.add_argument("--serving", action="store_true", help="also alerts and served profiles")
+    b.add_argument("--atomic", action="store_true", help="write a run folder and publish it when all jobs succeed")
 
     s = sub.add_parser("stream", help="live detectors")
     src = s.add_mutually_exclusive_group(required=True)
@@ -85,11 +86,12 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict | list:
         return ingest_csv(spark, args.csv, args.out, args.quarantine, args.replace, args.files_per_day)
 
     if args.cmd == "batch":
+        from vigil.plans.jobs import run_all
         from vigil.plans.publish import publish_all
         from vigil.sources.logs import read_logs
 
         logs = read_logs(spark, args.logs, args.date_from, args.date_to)
-        return publish_all(spark, logs, args.out, serving=args.serving)
+        return (publish_all if args.atomic else run_all)(spark, logs, args.out, serving=args.serving)
 
     if args.cmd == "stream":
         from vigil.streaming import detectors as D
