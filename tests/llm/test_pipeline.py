@@ -98,7 +98,7 @@ def test_odd_and_empty_tables(spark, sf, odd_docs, no_docs):
 
 def test_every_operator_is_registered():
     names = {n.split("_")[0] for n in registry.queries()}
-    assert names == {f"op{n}" for n in range(1, 11)} and set(registry.oracle_sql()) <= set(registry.queries())
+    assert names == {f"op{n}" for n in range(1, 14)} and set(registry.oracle_sql()) <= set(registry.queries())
     assert 4 <= len(P.STAGES) <= 5
 
 
@@ -108,3 +108,15 @@ def test_the_rest_works_without_the_subpackage(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert 'port_scan' in q and not any(n.startswith('op') for n in q); print(len(q))"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=100)
     assert done.returncode == 0, done.stderr
+
+
+def test_rows_of_one_document_and_a_column_named_like_the_line_counts(spark, sf):
+    import corpus_pipeline as P
+
+    text = "the first of many words that stand here and nowhere else in this small table of documents"
+    rows = [(1, text, s, "kept") for s in ("zz", "aa", "mm")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __lines string")
+    out = P.near_duplicate(spark, P.line_dedup(spark, docs, sf), sf)
+    assert out.columns == docs.columns
+    for n in (1, 3, 7):
+        assert [tuple(r) for r in P.near_duplicate(spark, P.line_dedup(spark, docs.repartition(n), sf), sf).collect()] == [rows[1]]

@@ -182,7 +182,7 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
 
 def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """All columns of ``docs`` with recurring lines taken out of ``text``; adds n_lines and n_dropped as a struct
-    column ``__lines``, whose name no input column should have."""
+    column ``__lines``, in place of an input column of that name."""
     gone = (line_templates(docs, settings).groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("gone"))
             .select(F.struct("doc_id", "text_hash").alias("__key"), "gone"))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
@@ -196,7 +196,7 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         F.coalesce(F.get(b["gone"], i).cast("int"), F.size(b["lines"]))
         - F.coalesce(F.get(b["gone"], i - 1).cast("int") + 1, F.lit(0))))))
     text = F.when(F.col("gone").isNull(), F.col("__row.text")).otherwise(F.array_join(F.element_at(left, 1), "\n"))
-    columns = [text.alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns]
+    columns = [text.alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns if c != "__lines"]
     return j.select(*columns, F.struct(
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
         F.greatest(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped")).alias("__lines"))
