@@ -12,7 +12,7 @@ Each stage takes what its predecessor kept, as a Parquet table:
 All but the last return the columns of their input.  Defined results for nulls,
 empty texts, repeated rows and empty tables are those of the operators; a
 document whose text becomes empty stays, and of repeated rows that are equal
-in id and text one stays after stage 3 (all, where they have no words).
+in id and text the least stays after stage 3 (all, where they have no words).
 """
 
 from __future__ import annotations
@@ -40,7 +40,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = drop_lines(docs).drop("__lines")
+    own = docs.withColumn("__row_lines", F.col("__lines")) if "__lines" in docs.columns else docs
+    out = drop_lines(own).drop("__lines").withColumnRenamed("__row_lines", "__lines")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
@@ -58,7 +59,9 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
             .agg(F.max("n_shingles").alias("n")).select(F.struct("doc_id", "text_hash").alias("key"), "n"))
     j = _keyed(docs).join(kept, F.col("own").eqNullSafe(F.col("key")))
     wordless = F.when(F.col("n") == 0, F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    return j.withColumn("one", wordless).dropDuplicates(["own", "one"]).select("row.*")
+    # of rows alike in id and text the one whose other columns are least as text
+    others = F.to_json(F.struct(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "text"]))
+    return j.withColumn("one", wordless).groupBy("own", "one").agg(F.min_by("row", others).alias("row")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
