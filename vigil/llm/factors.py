@@ -1,7 +1,7 @@
-"""Substring dedup by relative Lempel-Ziv factors.
+"""Substring dedup by hashed windows, in place of a relative Lempel-Ziv parse.
 
-Documents are parsed against all earlier text.  A factor is a run of words that
-occurs earlier (in a document with a smaller id, or earlier in the same one);
+No document is parsed greedily: every phrase of ``n`` words near a shared anchor
+is looked up by hash.  A factor here is a run of words that occurs earlier (in a document with a smaller id, or earlier in the same one);
 a factor of at least ``n`` words is a duplicate span, and its words are removed.
 
 The reference text is indexed in blocks, spread over tasks by hash:
@@ -11,7 +11,7 @@ The reference text is indexed in blocks, spread over tasks by hash:
    equal anchors, so a factor can only start where an anchor occurs elsewhere,
 2. documents with shared anchors put the n-word phrases around them into the
    index, which tells for each phrase whether an earlier one is the source,
-3. consecutive phrases with earlier sources form the greedy factors; as each
+3. consecutive phrases with earlier sources form the factors; as each
    phrase is looked up by itself, the first and last words of a factor are
    checked exactly and factors may change their source on the way.
 
