@@ -92,6 +92,50 @@ def test_equal_values_stay_linked_and_come_back(spark):
     assert out(spark, TEXTS)[0].text != [r for r in pseudonymise(frame(spark, TEXTS), "other").orderBy("doc_id").collect()][0].text
 
 
+PROBES = [
+    "02/29/2024 29/02/2024 2024-02-29",
+    "2024-01-15 15/01/2024 01/15/2024 2024-01-15T10:00:00Z 2024-01-15Z 1789-07-14",
+    "5551234567 555-123-4567 (555) 123-4567 +1 555 123 4567 +15551234567",
+    "2001:db8::1 fe80::1ff:fe23:4567:890a ::1 2001:db8:1:2:3:4:5:6 ::ffff:192.0.2.7",
+]
+
+
+def test_no_probe_stays_and_all_come_back(spark):
+    rows = out(spark, PROBES)
+    assert [r.n_found for r in rows] == [3, 6, 5, 5]
+    for before, r in zip(PROBES, rows):
+        values = [set(re.findall(r"[0-9][0-9a-f:/-]{5,}", t.replace("T10:00:00", ""))) for t in (before, r.text)]
+        assert not values[0] & values[1]
+    again = pseudonymise(pseudonymise(frame(spark, PROBES), KEY), KEY, inverse=True).orderBy("doc_id").collect()
+    assert [r.text for r in again] == PROBES
+
+
+def test_one_day_and_one_number_are_linked_in_every_spelling(spark):
+    rows = out(spark, PROBES)
+    read = lambda t, form: dt.datetime.strptime(t, form).date()
+    leap, day = rows[0].text.split(), re.split(r"[ TZ]+", rows[1].text)
+    assert len({read(leap[0], "%m/%d/%Y"), read(leap[1], "%d/%m/%Y"), read(leap[2], "%Y-%m-%d")}) == 1
+    assert len({read(day[0], "%Y-%m-%d"), read(day[1], "%d/%m/%Y"), read(day[2], "%m/%d/%Y"), read(day[3], "%Y-%m-%d")}) == 1
+    bare = re.findall(r"[0-9]{10}", re.sub(r"[-() ]|\+1", "", rows[2].text))
+    assert len(bare) == 5 and len(set(bare)) == 1
+
+
+def test_all_days_are_permuted_on_their_side_of_the_12th(spark):
+    from vigil.llm.pseudonyms import _permuted_day
+
+    days = spark.range(146097).select(F.date_add(F.lit("1700-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    moved = days.select("d", _permuted_day(F.col("d"), KEY, False).alias("e"))
+    back = moved.select("d", "e", _permuted_day(F.col("e"), KEY, True).alias("b"))
+    side = F.count_if((F.dayofmonth("d") <= 12) == (F.dayofmonth("e") <= 12))
+    assert tuple(back.agg(F.count_distinct("e"), side, F.count_if(F.col("b") == F.col("d"))).first()) == (146097,) * 3
+
+
+def test_times_names_and_stamps_are_no_addresses_or_phones(spark):
+    text = "10:20:30 std::vector aa:bb:cc:dd:ee:ff a::b :: 1::2::3 1:2:3:4:5:6:7 1700000000 0.5551234567 1999-12-31x"
+    r = out(spark, [text])[0]
+    assert (r.text, r.n_found) == (text, 0)
+
+
 def test_invalid_values_stay(spark):
     r = out(spark, [INVALID])[0]
     assert (r.text, r.n_found) == (INVALID, 0)
