@@ -109,6 +109,18 @@ def test_encode_messages_roundtrip(mk):
     assert back.count() == 3 and back.filter(F.col("timestamp") == F.lit(TS)).count() == 3
 
 
+def test_split_messages_stay_by_type_and_source(mk):
+    types = ["firewall", "ids", "application"]
+    logs = mk([row(log_type=types[i % 3], src=f"10.0.0.{i % 40}", dst=f"10.1.0.{i}") for i in range(240)])
+    sent = M.encode_messages(logs, split=8).select("key", "partition", F.get_json_object("value", "$.source_ip").alias("ip")).collect()
+    assert {r["key"] for r in sent} == set(types) and len({r["partition"] for r in sent}) > 15
+    assert all(r["partition"] // 8 == S.MESSAGE_PARTITIONS[r["key"]] for r in sent)
+    assert len({(r["key"], r["ip"], r["partition"]) for r in sent}) == len({(r["key"], r["ip"]) for r in sent})
+    flood = mk([row(log_type="ids", src="10.0.0.1", dst=f"10.1.0.{i}") for i in range(200)])
+    spread = M.encode_messages(flood, split=8, split_by=("source_ip", "dest_ip")).groupBy("partition").count().collect()
+    assert len(spread) == 8 and max(r["count"] for r in spread) < 2 * 200 / 8
+
+
 def test_files_per_day_bounds_files(spark, mk):
     out = tempfile.mkdtemp(prefix="vigil-test-parquet-")
     rows = [row(ts=dt.datetime(2024, 1, 1 + i % 2, 5), src=f"10.0.{i % 7}.{i}") for i in range(200)]

@@ -123,6 +123,32 @@ def test_stream_port_scan_exact_distinct_across_batches(spark):
     assert got[0]["threat_score"] == static[0]["threat_score"] == 65
 
 
+def test_port_scan_flood_on_one_window_spreads_over_the_state(spark):
+    """One source in one window: the targets seen are state of all partitions,
+    and what meets by (source, window) is one partial count a partition."""
+    from vigil.operators import detect
+
+    flood = [row(src="192.168.1.99", dst=f"10.{i % 7}.{i // 250}.{i % 250}", proto="TCP", ts=TS) for i in range(2000)]
+    d = _write_files(spark, [flood, flood[:500] + flood])
+    sink, checkpoint = (tempfile.mkdtemp(prefix="vigil-test-flood-") for _ in range(2))
+    counted = detect.detect_port_scan_stream(_source(spark, d, max_files_per_trigger=1))
+    query = counted.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True) \
+        .foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{sink}/b={n}")).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    query.stop()
+    counts = [r["distinct_targets"] for r in spark.read.parquet(sink).orderBy("b").collect()]
+    targets = len({r[1] for r in [(x["source_ip"], x["dest_ip"]) for x in spark.read.parquet(f"{d}/part*").collect()]})
+    assert counts and counts[-1] == targets
+    assert "partial_count" in plan  # counted where the targets lie, before the exchange by source and window
+    stores = spark.read.format("statestore").load(checkpoint, operatorId=1)
+    if "dest_ip" not in stores.select("key.*").columns:
+        stores = spark.read.format("statestore").load(checkpoint, operatorId=0)
+    held = sorted(r["count"] for r in stores.groupBy("partition_id").count().collect())
+    assert sum(held) == targets and len(held) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert held[-1] <= 2 * held[len(held) // 2]
+
+
 def test_published_messages_replay_through_json_stream(spark, mk):
     from vigil.operators import detect
     from vigil.sources import messages as M

@@ -411,6 +411,13 @@ def _json_str(expr: str) -> str:
     return f"coalesce(CAST(to_json({expr}) AS VARCHAR), 'null')"
 
 
+PUBLISH_PARTITIONS_BODY = """SELECT log_type AS key,
+    CAST(CASE log_type WHEN 'firewall' THEN 0 WHEN 'ids' THEN 1 WHEN 'application' THEN 2 ELSE 0 END * 8
+      + CAST('0x' || substr(md5(coalesce(source_ip, '') || '|' || coalesce(dest_ip, '')), 1, 8) AS BIGINT) % 8 AS INTEGER)
+      AS partition, count(*) AS messages
+  FROM logs GROUP BY ALL"""
+
+
 def encode_messages_body() -> str:
     parts = []
     for c in S.LOG_COLUMNS + ["event_id"]:

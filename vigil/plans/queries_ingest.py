@@ -62,6 +62,13 @@ def parse_json(spark, sf_dir):
     return M.parse_json_logs(M.encode_messages(history_logs(spark, sf_dir)))
 
 
+@register("publish_partitions", O.with_logs(O.PUBLISH_PARTITIONS_BODY, 1))
+def publish_partitions(spark, sf_dir):
+    """Load of each topic partition when every log type has eight, dealt by source and target."""
+    sent = M.encode_messages(history_logs(spark, sf_dir), split=8, split_by=("source_ip", "dest_ip"))
+    return sent.groupBy("key", "partition").agg(F.count(F.lit(1)).alias("messages"))
+
+
 @register("encode_messages", O.with_logs(O.encode_messages_body(), 1))
 def encode_messages(spark, sf_dir):
     return M.encode_messages(history_logs(spark, sf_dir))
