@@ -15,6 +15,8 @@ alert time, evaluated as a scalar subquery, never collected to the driver.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,9 @@ from vigil import schema as S
 from vigil.functions import scoring
 from vigil.functions.timecols import epoch_micros
 
+LIVE = dt.timedelta(hours=24)  # S.ALERT_TTL
+LONGEST_WINDOW = dt.timedelta(minutes=1)  # of the live detectors
+
 
 def _or_unknown(c: Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), F.lit("unknown"))
@@ -84,26 +89,22 @@ def to_alerts(detected: DataFrame) -> DataFrame:
 def all_alerts(logs: DataFrame, watermark: str | None = None, rollup: DataFrame | None = None) -> DataFrame:
     """Alerts of the three live detectors (brute force, signatures, volume).
 
-    With ``rollup`` (a persisted ``detect.window_rollup`` of the same logs)
-    both windowed detectors are read off that small table, brute force
-    re-aggregating six 10-second rows per minute, so the logs are scanned
-    once for them instead of twice.  Without it (and always on streams) the
-    detectors run directly.  The rollup must be persisted to pay off: as a
-    lazy plan each branch would recompute it with its own pruned columns.
-    """
+    On a static table both windowed detectors come from one scan
+    (``detect.detect_in_windows``), or from ``rollup``, a persisted
+    ``detect.window_rollup`` of the same logs; on streams each detector runs
+    on its own."""
     from vigil.operators import detect
 
+    signatures = to_alerts(detect.detect_signatures(logs))
+    if not logs.isStreaming and rollup is None:
+        return to_alerts(detect.detect_in_windows(logs)).unionByName(signatures)
     if rollup is not None and not logs.isStreaming:
         brute = detect.brute_force_from_rollup(rollup)
         volume = detect.volume_from_rollup(rollup)
     else:
         brute = detect.detect_brute_force(logs, watermark=watermark)
         volume = detect.detect_volume_anomaly(logs, watermark=watermark)
-    return (
-        to_alerts(brute)
-        .unionByName(to_alerts(detect.detect_signatures(logs)))
-        .unionByName(to_alerts(volume))
-    )
+    return to_alerts(brute).unionByName(signatures).unionByName(to_alerts(volume))
 
 
 def latest_revision(alert_rows: DataFrame, order_col: str = "batch_id") -> DataFrame:
@@ -138,6 +139,23 @@ def within_ttl(alerts: DataFrame, as_of=None, ttl: str = S.ALERT_TTL) -> DataFra
     return alerts.filter(F.coalesce(alive, F.lit(True)))
 
 
+def live_alerts(logs: DataFrame, as_of: dt.datetime, ttl: dt.timedelta = LIVE) -> DataFrame:
+    """Alerts of ``logs`` alive at ``as_of``, detected in the logs that can hold one only.
+
+    A live alert ends its window after ``as_of - ttl``, so its events are later
+    than that less the longest window.  The bound is a literal, so it prunes the
+    days of a partitioned log table (``year``, ``month``, ``day`` kept) and is
+    pushed to the scan.  Windows cut by the bound end before ``as_of - ttl``.
+    Events ahead of ``as_of`` and those without a time are read as well."""
+    first = as_of - ttl - LONGEST_WINDOW
+    when = F.col("timestamp")
+    recent = logs.filter((when > F.lit(first).cast("timestamp_ntz")) | when.isNull())
+    if set(S.PARTITION_COLUMNS) <= set(logs.columns):
+        day = F.concat(*[F.col(c) for c in S.PARTITION_COLUMNS])
+        recent = recent.filter((day >= first.strftime("%Y%m%d")) | day.isNull()).drop(*S.PARTITION_COLUMNS)
+    return within_ttl(all_alerts(recent), as_of, f"{ttl // dt.timedelta(microseconds=1)} MICROSECONDS")
+
+
 def active_alerts(alerts: DataFrame, as_of=None, ttl: str = S.ALERT_TTL,
                   limit: int = S.ACTIVE_ALERTS_LIMIT) -> DataFrame:
     """Top ``limit`` live alerts by score (newest first, then id, on ties)."""

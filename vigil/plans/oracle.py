@@ -263,6 +263,9 @@ def with_alerts(body: str, speedup: int, which=("bf", "sig", "vol")) -> str:
 ACTIVE_ALERTS_BODY = f"""SELECT * FROM live
   ORDER BY threat_score DESC, bucket_time DESC, alert_id LIMIT {S.ACTIVE_ALERTS_LIMIT}"""
 
+LAST_MINUTE_NOW = "2024-01-01 00:03:00"
+LAST_MINUTE_BODY = "SELECT * FROM alerts WHERE bucket_time > TIMESTAMP '2024-01-01 00:02:00'"
+
 SEVERITY_METRICS_BODY = """SELECT count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_alerts,
     count(*) FILTER (WHERE severity = 'HIGH') AS high_alerts, count(*) AS total_alerts FROM live"""
 

@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from vigil.operators import alerts as A
-from vigil.operators import detect
 from vigil.plans import oracle as O
 from vigil.plans.catalog import DETECT_SPEEDUP, detect_logs, register
-from vigil.session import materialize
-
-
-def batch_alerts(logs):
-    """Alerts recomputed from history: the windowed detectors read a persisted
-    10-second rollup (one scan of the logs for both)."""
-    rollup = materialize(detect.window_rollup(logs), "rollup")
-    return A.all_alerts(logs, rollup=rollup)
 
 
 def _alerts(spark, sf_dir):
-    """The alert table as the serving side reads it: written once by the
-    detectors, then scanned by each view (and by its TTL subquery)."""
-    return materialize(batch_alerts(detect_logs(spark, sf_dir)), "alerts")
+    """The alerts of all logs, as a plan: building a view writes nothing and starts no job."""
+    return A.all_alerts(detect_logs(spark, sf_dir))
 
 
 def _live(spark, sf_dir):
@@ -28,7 +20,7 @@ def _live(spark, sf_dir):
 
 @register("alerts_all", O.with_alerts("SELECT * FROM alerts", DETECT_SPEEDUP))
 def alerts_all(spark, sf_dir):
-    return batch_alerts(detect_logs(spark, sf_dir))
+    return _alerts(spark, sf_dir)
 
 
 @register("active_alerts", O.with_alerts(O.ACTIVE_ALERTS_BODY, DETECT_SPEEDUP))
@@ -65,3 +57,10 @@ def alert_type_counts(spark, sf_dir):
 def alert_list(spark, sf_dir):
     """Alert list filtered by severity, with its score band and readable bytes."""
     return A.alert_display(A.severity_filter(_live(spark, sf_dir), "HIGH"))
+
+
+@register("alerts_of_last_minute", O.with_alerts(O.LAST_MINUTE_BODY, DETECT_SPEEDUP))
+def alerts_of_last_minute(spark, sf_dir):
+    """Alerts alive at a given time: the time-to-live binds, and the detectors read only the logs it leaves."""
+    now = dt.datetime.fromisoformat(O.LAST_MINUTE_NOW)
+    return A.live_alerts(detect_logs(spark, sf_dir), now, dt.timedelta(minutes=1))
