@@ -1,9 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import TS, row
 from vigil.functions import patterns as P
+from vigil.operators import alerts as A
 from vigil.operators import detect
 
 
@@ -190,3 +192,36 @@ def test_rollup_equals_direct_without_event_id_and_with_ties(mk):
         sorted(detect.detect_brute_force(logs).collect(), key=key)
     assert sorted(detect.volume_from_rollup(rollup).collect(), key=key) == \
         sorted(detect.detect_volume_anomaly(logs).collect(), key=key)
+
+
+def test_first_value_of_equal_times_goes_by_the_whole_event_number(mk):
+    """Numbers beyond the packed low bits, negative ones and none: the least decides, none first."""
+    def first(ids):
+        rows = [row(agent=f"agent{i}", log_type=f"type{i}", nbytes=3_000_000) for i in range(len(ids))]
+        # one event apart from the others in every field that is a key
+        df = mk(rows * 3, with_id=False)
+        number = F.create_map(*[x for i, n in enumerate(ids) for x in (F.lit(f"agent{i}"), F.lit(n).cast("long"))])
+        return df.withColumn("event_id", number[F.col("user_agent")])
+
+    big = detect.ID_BITS
+    for ids, want in [([3 << big, (1 << big) + 5, (1 << big) + 4], 2), ([1 << 40, -(1 << 40), 7], 1), ([5, 4, None], 2),
+                      ([(2 << big) + 1, (1 << big) + 9, 3 << big], 1)]:
+        logs = first(ids)
+        brute, volume = detect.detect_brute_force(logs).collect(), detect.detect_volume_anomaly(logs).collect()
+        assert [r.user_agent for r in brute] == [f"agent{want}"] and [r.log_type for r in brute] == [f"type{want}"]
+        assert [r.user_agent for r in volume] == [f"agent{want}"] and brute[0].blocked_count == 9
+
+
+def test_text_numbers_keep_the_one_level_form(mk):
+    logs = mk([row(agent=f"a{i}") for i in range(7)], with_id=False).withColumn("event_id", F.col("user_agent"))
+    assert [r.user_agent for r in detect.detect_brute_force(logs).collect()] == ["a0"]
+
+
+def test_live_alerts_equal_the_live_part_of_all(mk):
+    rows = [row(ts=TS + dt.timedelta(seconds=s), src=f"10.0.0.{k}", nbytes=9_000_000 * (1 + k % 2), agent="sqlmap" if s % 50 == 0 else "x")
+            for k in range(3) for s in range(0, 240, 5)]
+    logs = mk(rows + [row(ts=None, agent="sqlmap"), row(ts=TS + dt.timedelta(days=400), agent="sqlmap")])
+    now = TS + dt.timedelta(seconds=185)
+    for ttl in (dt.timedelta(seconds=20), dt.timedelta(seconds=65), dt.timedelta(hours=24)):
+        want = A.within_ttl(A.all_alerts(logs), now, f"{int(ttl.total_seconds())} SECONDS")
+        assert sorted(map(str, A.live_alerts(logs, now, ttl).collect())) == sorted(map(str, want.collect()))

@@ -35,7 +35,7 @@ def test_port_scan_pushes_filter_and_prunes_columns(spark, log_table):
 
 def test_brute_force_partial_aggregation(spark, log_table):
     plan = _plan(detect.detect_brute_force(L.read_logs(spark, log_table)))
-    assert "partial_count" in plan and "partial_min_by" in plan
+    assert "partial_count" in plan and "partial_min(" in plan and "partial_min_by" in plan
     assert "EqualTo(action,blocked)" in plan
 
 
@@ -86,3 +86,37 @@ def test_distinct_counts_spread_hot_sources(spark, name):
     scan = max(i for i, l in enumerate(lines) if "FileScan parquet" in l)
     nearest = next(lines[i] for i in range(scan, -1, -1) if "Exchange hashpartitioning" in lines[i])
     assert "source_ip" in nearest and "dest_ip" in nearest, nearest
+
+
+@pytest.mark.parametrize("detector", [detect.detect_brute_force, detect.detect_volume_anomaly, detect.window_rollup,
+                                      detect.detect_in_windows])
+def test_raw_rows_are_aggregated_by_hash(spark, log_table, detector):
+    """The aggregates nearest the scan keep longs only, so no raw row is sorted."""
+    for logs in (L.read_logs(spark, log_table), E.catalog.detect_logs(spark, SF)):
+        lines = _plan(detector(logs)).splitlines()
+        scan = next(i for i, l in enumerate(lines) if "FileScan parquet" in l)
+        exchange = max(i for i in range(scan) if "Exchange" in lines[i])
+        below = [l for l in lines[exchange:scan] if "Aggregate(" in l]
+        assert len(below) == 1 and "HashAggregate(" in below[0] and "partial_count(1)" in below[0]
+        assert not any("Sort [" in l for l in lines[exchange:scan])
+        assert sum("FileScan parquet" in l for l in lines) == 1
+
+
+def test_live_alerts_prune_days_and_rows(spark, log_table):
+    logs = L.read_logs(spark, log_table, keep_partitions=True)
+    plan = _plan(A.live_alerts(logs, dt.datetime(2024, 1, 2, 0, 0, 30)))
+    parts = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in parts and ">= 20231231" in parts  # a day and the longest window before
+    assert "GreaterThan(timestamp" in plan
+
+
+def test_building_a_view_starts_no_job(spark):
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("views", "building only")
+    try:
+        for name in ("alerts_all", "active_alerts", "recent_alerts_per_ip", "speed_summary", "severity_metrics", "top_alert_ips",
+                     "alert_type_counts", "alert_list", "alerts_of_last_minute", "threat_profiles", "observed_ip_profiles"):
+            E.queries()[name](spark, SF)
+        assert list(status.getJobIdsForGroup("views")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

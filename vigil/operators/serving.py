@@ -113,17 +113,21 @@ def global_stats(snapshot: DataFrame, score_col: str = "reputation_score",
 
 
 def threat_profiles(snapshot: DataFrame, types_by_ip: DataFrame, speed: DataFrame,
-                    score_col: str = "reputation_score") -> DataFrame:
+                    score_col: str = "reputation_score", ips: DataFrame | None = None) -> DataFrame:
     """Batch reputation + batch attack types + live alert summary for every
-    IP known to either side; missing sides are zero-filled."""
+    IP known to either side; missing sides are zero-filled.  With ``ips``, a
+    list of all of them, the sides are joined to it, which keeps its partitioning."""
     batch = snapshot.select(
-        F.col("source_ip").alias("ip"),
+        F.col("source_ip" if "source_ip" in snapshot.columns else "ip").alias("ip"),
         F.col(score_col).cast("int").alias("_score"),
         F.col("total_events").alias("_events"),
         F.col("first_seen"),
         F.col("last_seen").alias("last_batch_update"),
     )
-    fused = batch.join(types_by_ip, "ip", "full").join(speed, "ip", "full")
+    if ips is None:
+        fused = batch.join(types_by_ip, "ip", "full").join(speed, "ip", "full")
+    else:
+        fused = ips.join(batch, "ip", "left").join(types_by_ip, "ip", "left").join(speed, "ip", "left")
     score = F.coalesce(F.col("_score"), F.lit(0))
     alerts_n = F.coalesce(F.col("active_alerts"), F.lit(0))
     speed_score = F.coalesce(F.col("current_threat_score"), F.lit(0))

@@ -9,6 +9,8 @@ from vigil.operators import analyze
 from vigil.operators import serving as V
 from vigil.plans import oracle as O
 from vigil.plans.catalog import DETECT_SPEEDUP, detect_logs, history_logs, register
+from vigil.plans.layout import write_layout
+from vigil.session import scratch_path
 
 
 def profiles_for(logs, score_col="reputation_score"):
@@ -83,3 +85,22 @@ def profile_requests(spark, sf_dir):
     requests = logs.select(F.trim(text).alias("ip")).distinct()
     return V.lookup_profiles(profiles_for(logs), requests).select(
         "ip", "valid", "reputation_score", "active_alerts", "recommendation", "confidence")
+
+
+def _layout(spark, sf_dir):
+    logs = detect_logs(spark, sf_dir)
+    return write_layout(spark, scratch_path(spark, "layout"), V.reputation_snapshot(logs),
+                        V.attack_types_by_ip(V.attack_type_index(logs)), A.speed_summary(A.all_alerts(logs)))
+
+
+@register("bucketed_profiles", O.with_serving("SELECT * FROM fused", DETECT_SPEEDUP))
+def bucketed_profiles(spark, sf_dir):
+    """Profiles joined bucket by bucket from the served tables."""
+    return _layout(spark, sf_dir).profiles()
+
+
+@register("bucketed_requests", O.with_serving(O.OBSERVED_IP_PROFILES_BODY, DETECT_SPEEDUP))
+def bucketed_requests(spark, sf_dir):
+    """Profile of every IP seen on the network, looked up in the bucketed tables."""
+    logs = detect_logs(spark, sf_dir)
+    return _layout(spark, sf_dir).lookup(logs.select(F.explode(F.array("source_ip", "dest_ip")).alias("ip")).distinct())
