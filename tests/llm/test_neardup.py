@@ -117,3 +117,24 @@ def test_outsiders_meet_what_their_component_took_in(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept)
            for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == brute(varied(0)) | brute(varied(1))
+
+
+def test_narrow_tables_take_few_files_however_many_partitions_are_shuffled(spark, tmp_path):
+    rng = random.Random(11)
+    base = " ".join(f"w{rng.randrange(300)}" for _ in range(120))
+    docs = [(i, edited(rng, base, rng.choice([0, 1, 4, 8, 12]))) for i in range(60)]
+    asked, conf = {"spark.sql.shuffle.partitions": "96", "spark.sql.adaptive.coalescePartitions.enabled": "false"}, spark.conf
+    before, at = {k: conf.get(k) for k in asked}, spark.sparkContext.getCheckpointDir()
+    try:
+        for k, v in asked.items():
+            conf.set(k, v)
+        spark.sparkContext.setCheckpointDir(str(tmp_path))
+        df = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
+        spark.sparkContext.setCheckpointDir(at)
+    files = [len(list(p.glob("part-*"))) for p in tmp_path.glob("*/vigil/*")]
+    assert got == brute(docs)
+    assert len(files) > 15 and max(files) <= max(96 // 8, 2 * spark.sparkContext.defaultParallelism)

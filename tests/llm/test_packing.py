@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
+from vigil.llm import vocab
 from vigil.llm.packing import CAPACITY, cuts, pack
 from vigil.llm.vocab import WordBpe, vocabulary
 
@@ -73,3 +74,20 @@ def test_cached_ids_equal_the_tokenizer(tokenizer, documents):
     got = WordBpe(vocabulary("word_bpe_49k.json")).encode(texts)
     for t, g in zip(texts, got):
         assert np.frombuffer(g, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_a_worker_holds_the_state_of_one_operator():
+    from vigil.llm import common
+    from vigil.llm.toxicity import Model, Settings, _worker
+
+    class Shared:
+        value = Model(["rotten"], [], [], Settings())
+
+    path = vocab.vocabulary("word_bpe_49k.json")
+    bpe = vocab.opened(vocab.WordBpe, path)
+    assert vocab.opened(vocab.WordBpe, path) is bpe
+    state = _worker(Shared, "a")
+    assert _worker(Shared, "a") is state
+    assert vocab.opened(vocab.WordBpe, path) is not bpe  # gone when the other operator began
+    common.only()
+    assert not common._state

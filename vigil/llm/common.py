@@ -45,6 +45,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_state: dict = {}
+
+
+def only(key=None, make=None):
+    """State of one operator in each Python worker, made once.
+
+    All operators of a session share its workers, so what another operator left there (word caches, automata) goes
+    first; an operator without state calls it with nothing.
+    """
+    if key not in _state:
+        _state.clear()
+        if key is not None:
+            _state[key] = make()
+    return _state.get(key)
+
+
 # -- Arrow text ------------------------------------------------------------------------------
 
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import batches_of, ship
+from vigil.llm.common import batches_of, only, ship
 
 WINDOW = 10
 BLOCK_CHARS = 32_000_000
@@ -91,9 +91,6 @@ def spans(text: str, hit: np.ndarray) -> list[dict]:
     return out
 
 
-_built: dict[str, tuple] = {}
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS,
                   with_spans: bool = False, columns: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
@@ -129,10 +126,7 @@ def _scanner(shared, window: int, last: bool, with_spans: bool):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from vigil.llm import decontaminate as m
 
-        if key not in m._built:  # built once in each Python worker
-            m._built.clear()
-            m._built[key] = (m.automaton(shared.value, window), [i for i, _ in shared.value])
-        a, names = m._built[key]
+        a, names = only(key, lambda: (m.automaton(shared.value, window), [i for i, _ in shared.value]))
         for batch in it:
             for part in batches_of(batch, "text"):
                 rows = []

@@ -42,9 +42,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import SPACE, batches_of, hash_words, mix, phrase_hashes, ship, text_buffers
+from vigil.llm.common import SPACE, batches_of, hash_words, mix, only, phrase_hashes, ship, text_buffers
 from vigil.llm.components import components
-from vigil.session import materialize
+from vigil.session import BROAD, NARROW, materialize
 
 ROWS, BANDS = 6, 56
 T = ROWS * BANDS
@@ -101,6 +101,7 @@ def names(s: np.ndarray) -> tuple[int, int]:
 
 def _sketched(docs: DataFrame, k: int) -> DataFrame:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for batch in it:
             for part in batches_of(batch, "text"):
                 n, node, check, bands = [], [], [], []
@@ -183,45 +184,45 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame
     ship(spark)
     d = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     rows = materialize(_sketched(d.selectExpr("doc_id", "xxhash64(text) text_hash", "text"), k), "sketches")
-    classes = materialize(rows.where("node is not null").groupBy("node", "twin", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = materialize(rows.where("node is not null").groupBy("node", "twin", "n").agg(F.min("doc_id").alias("rep")), "classes", NARROW)
 
     # buckets of several classes; one member of each class stands for it
     first = rows.join(classes.select("node", "twin", "rep"), ["node", "twin"]).where("doc_id <=> rep").select("node", "bands")
-    member = materialize(first.select("node", F.explode("bands").alias("bucket")).distinct(), "bands")
+    member = materialize(first.select("node", F.explode("bands").alias("bucket")).distinct(), "bands", BROAD)
     centre = materialize(member.groupBy("bucket").agg(F.count("*").alias("m"), F.min("node").alias("centre"))
-                         .where("m > 1").select("bucket", "centre"), "buckets")
-    member = materialize(member.join(centre, "bucket"), "members")
+                         .where("m > 1").select("bucket", "centre"), "buckets", BROAD)
+    member = materialize(member.join(centre, "bucket"), "members", BROAD)
     wanted = member.select("node").distinct().join(classes.select("node", "rep"), "node")
-    sets = materialize(_sets(d, wanted, k), "sets")
+    sets = materialize(_sets(d, wanted, k), "sets", BROAD)
 
     # 3: the centre that a class shares most buckets with
     tried = (member.where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("shared"))
              .groupBy("node").agg(F.max_by("centre", F.struct("shared", "centre")).alias("centre")))
-    tried = materialize(tried, "pairs")
+    tried = materialize(tried, "pairs", NARROW)
     x, y = sets.selectExpr("node", "n xn", "items xs"), sets.selectExpr("node centre", "n yn", "items ys")
     common = F.size(F.array_intersect("xs", "ys"))
     links = materialize(tried.join(x, "node").join(y, "centre").where(
         100 * common >= percent * (F.col("xn") + F.col("yn") - common)).select(
-        F.col("node").alias("a"), F.col("centre").alias("b")), "links")
+        F.col("node").alias("a"), F.col("centre").alias("b")), "links", BROAD)
     labels = components(links)
 
     def labelled(frame: DataFrame, labels: DataFrame) -> DataFrame:
         return frame.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     # 4: buckets with several components; everything outside the largest one against all of it
-    at = materialize(labelled(member.select("bucket", "node"), labels), "at")
+    at = materialize(labelled(member.select("bucket", "node"), labels), "at", BROAD)
     weight = F.struct("w", "label")
     parts = at.groupBy("bucket", "label").agg(F.count("*").alias("w"))
     target = materialize(parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("label", weight).alias("target"))
-                         .where("parts > 1").select("bucket", "target"), "targets")
+                         .where("parts > 1").select("bucket", "target"), "targets", NARROW)
     asks = materialize(at.join(target, "bucket").where("label <> target")
-                       .groupBy("target", "node").agg(F.min("label").alias("label")), "asks")
+                       .groupBy("target", "node").agg(F.min("label").alias("label")), "asks", NARROW)
     held = materialize(labelled(sets.select("node"), labels).withColumnRenamed("label", "target")
-                       .join(asks.select("target").distinct(), "target"), "held")
+                       .join(asks.select("target").distinct(), "target"), "held", NARROW)
     queries = asks.groupBy("target").agg(F.count("*").alias("q"))
     sizes = materialize(held.groupBy("target").agg(F.count("*").alias("m")).join(queries, "target")
                         .select("target", F.ceil(F.col("q") / BLOCK).cast("int").alias("qi"),
-                                F.ceil(F.col("m") / BLOCK).cast("int").alias("mj")), "sizes")
+                                F.ceil(F.col("m") / BLOCK).cast("int").alias("mj")), "sizes", NARROW)
 
     def block(frame: DataFrame, sizes: DataFrame, count: str, other: str, side: int) -> DataFrame:
         """Each node in its own block of one side, beside every block of the other."""
@@ -234,28 +235,28 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame
 
     first = block(asks, sizes, "qi", "mj", 0).unionByName(
         block(held.withColumn("label", F.col("target")), sizes, "mj", "qi", 1))
-    found = materialize(_block_links(first, sets, percent), "links")
+    found = materialize(_block_links(first, sets, percent), "links", BROAD)
     labels = components(links.unionByName(found))
 
     # 5: what is still outside, among itself and with the others that asked the same component
     now = labels.select(F.col("node").alias("target"), F.col("label").alias("target_label"))
     asked = materialize(labelled(asks.drop("label"), labels).join(now, "target", "left")
                         .withColumn("outside", F.col("label") != F.coalesce("target_label", "target"))
-                        .select("target", "node", "label", "outside"), "asked")
+                        .select("target", "node", "label", "outside"), "asked", NARROW)
     sizes = materialize(asked.groupBy("target").agg(
         F.count_if("outside").alias("q"), F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
         .where("q > 0 and lo <> hi").select("target", F.ceil(F.col("q") / BLOCK).cast("int").alias("qi"),
-                                            F.ceil(F.col("m") / BLOCK).cast("int").alias("mj")), "sizes")
+                                            F.ceil(F.col("m") / BLOCK).cast("int").alias("mj")), "sizes", NARROW)
     left = block(asked.where("outside"), sizes, "qi", "mj", 0)
     right = block(asked, sizes, "mj", "qi", 1)
-    more = materialize(_block_links(left.unionByName(right), sets, percent), "links")
+    more = materialize(_block_links(left.unionByName(right), sets, percent), "links", BROAD)
     if more.limit(1).count():
         labels = components(links.unionByName(found).unionByName(more))
 
     # a component's name is its smallest id
     lowest = labels.join(classes.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("low"))
     named = materialize(classes.join(labels, "node", "left").join(lowest, "label", "left")
-                        .select("node", "twin", F.coalesce("low", "rep").alias("component")), "components")
+                        .select("node", "twin", F.coalesce("low", "rep").alias("component")), "components", NARROW)
     out = rows.select("doc_id", "text_hash", "n", "node", "twin").join(named, ["node", "twin"], "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),

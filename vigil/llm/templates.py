@@ -44,8 +44,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vigil.llm.common import batches_of, byte_set, hash_words, mix, ship, text_buffers
-from vigil.session import materialize
+from vigil.llm.common import batches_of, byte_set, hash_words, mix, only, ship, text_buffers
+from vigil.session import BROAD, NARROW, materialize
 
 DEPTH = 3
 FIELD = "<*>"
@@ -102,6 +102,7 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
                         "cast(text as string) text").where("text is not null")
 
     def leaves(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for batch in it:
             for part in batches_of(batch, "text"):
                 doc, number, leaf, mark = parse_lines(part.column(2))
@@ -112,17 +113,17 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
                     names=["doc_id", "text_hash", "line", "leaf", "mark"])
 
     parsed = materialize(d.mapInArrow(leaves, "doc_id long, text_hash long, line long, leaf long, mark long"), "lines")
-    held = materialize(parsed.select("leaf", "mark", "text_hash").distinct(), "held")
+    held = materialize(parsed.select("leaf", "mark", "text_hash").distinct(), "held", BROAD)
     # a text is told apart by the lines that it shares with less than ``witnesses`` texts
     often = materialize(held.groupBy("leaf", "mark").agg(F.count("*").alias("w")).where(F.col("w") >= s.witnesses)
-                        .select("leaf", "mark"), "often")
+                        .select("leaf", "mark"), "often", NARROW)
     own = (held.join(often, ["leaf", "mark"], "left_anti").groupBy("text_hash")
            .agg(F.bit_xor(F.xxhash64("mark")).alias("own")))
     full = held.groupBy("leaf").agg(F.count("*").alias("w")).where(F.col("w") >= s.witnesses).select("leaf")
     seen = materialize(held.join(full, "leaf").join(own, "text_hash", "left")
-                       .select("leaf", "mark", F.coalesce("own", F.lit(0)).alias("witness")).distinct(), "seen")
+                       .select("leaf", "mark", F.coalesce("own", F.lit(0)).alias("witness")).distinct(), "seen", BROAD)
     busy = materialize(seen.select("leaf", "witness").distinct().groupBy("leaf").agg(F.count("*").alias("w"))
-                       .where(F.col("w") >= s.witnesses).select("leaf"), "leaves")
+                       .where(F.col("w") >= s.witnesses).select("leaf"), "leaves", NARROW)
     # so many witnesses of each line tell whether its words and template have enough, as all of a rarer line are here
     first = Window.partitionBy("leaf", "mark").orderBy("witness")
     some = (seen.join(busy, "leaf").withColumn("r", F.row_number().over(first))
@@ -148,7 +149,7 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     wordings = (d.join(near, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h")))
                 .dropDuplicates(["doc_id", "text_hash"]).select("text", "marks")
                 .mapInArrow(words, "leaf long, mark long, words array<string>"))
-    wordings = materialize(wordings.join(some, ["leaf", "mark"]), "words")
+    wordings = materialize(wordings.join(some, ["leaf", "mark"]), "words", BROAD)
 
     # constants and templates are counted over the witnesses of all lines
     long = F.size("words") >= s.least
@@ -156,7 +157,7 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     constant = (spread.select("leaf", "place", "word", F.explode("seen").alias("w")).distinct()
                 .groupBy("leaf", "place", "word").agg(F.count("*").alias("w")))
     constant = materialize(constant.where(F.col("w") >= s.witnesses).select("leaf", "place", "word", F.lit(True).alias("is")),
-                           "constants")
+                           "constants", NARROW)
     pattern = F.transform(F.array_sort(F.collect_list(F.struct("place", F.when(F.col("is"), F.col("word")).alias("word")))),
                           lambda p: p["word"])
     spelled = (spread.drop("seen").join(constant, ["leaf", "place", "word"], "left")
@@ -168,14 +169,14 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
                  .groupBy("leaf", "pattern").agg(F.count("*").alias("w")))
     # a line under ``least`` words is a leaf of its own
     brief = wordings.where(~long & (F.size("seen") >= s.short)).select("leaf", F.col("words").alias("pattern"))
-    templates = materialize(templates.where(F.col("w") >= s.witnesses).select("leaf", "pattern").unionByName(brief), "templates")
+    templates = materialize(templates.where(F.col("w") >= s.witnesses).select("leaf", "pattern").unionByName(brief), "templates", NARROW)
     # each wording is spelled under each mask of variable words of its leaf, and looked up by that spelling
     spelled_as = lambda words: F.array_join(words, " ", "\t")  # noqa: E731 (neither sign occurs in a word)
     masks = templates.select("leaf", F.transform("pattern", lambda w: w.isNull()).alias("mask")).distinct()
     under = F.zip_with("words", "mask", lambda w, free: F.when(~free, w))
     asked = wordings.join(masks, "leaf").where(F.size("words") == F.size("mask")).select("leaf", "mark", spelled_as(under).alias("as"))
     matched = materialize(asked.join(templates.select("leaf", "pattern", spelled_as("pattern").alias("as")), ["leaf", "as"])
-                          .select("leaf", "mark", "pattern"), "matched")
+                          .select("leaf", "mark", "pattern"), "matched", NARROW)
     spelling = F.array_join("pattern", " ", FIELD).alias("template")
     return parsed.join(matched, ["leaf", "mark"]).select("doc_id", "text_hash", "line", "leaf", spelling)
 

@@ -35,8 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import ship
-from vigil.session import materialize
+from vigil.llm.common import only, ship
+from vigil.session import BROAD, materialize
 
 WORD = re.compile(r"[^\W_]+")
 #: Words that report or name instead of addressing (fixed values).
@@ -236,17 +236,10 @@ def features(text: str, known: dict[str, int], automaton: Automaton, s: Settings
     return out
 
 
-_state: dict[str, tuple] = {}
-
-
 def _worker(shared, key: str):
-    from vigil.llm import toxicity as m
+    from vigil.llm.toxicity import Automaton
 
-    if key not in m._state:
-        m._state.clear()
-        model = shared.value
-        m._state[key] = (model, m.Automaton(model.words, model.stems), {})
-    return m._state[key]
+    return only(key, lambda: ((model := shared.value), Automaton(model.words, model.stems), {}))
 
 
 def _column(spark, model: Model, scores: bool):
@@ -305,7 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         .select("toxic", "sketch", F.explode("ws").alias("word")))
     counted = materialize(words.groupBy("word", "toxic", "sketch").agg(F.count("*").alias("n"))
                           .groupBy("word").agg(F.sum(F.col("toxic")).alias("witnesses"),
-                                               F.sum(1 - F.col("toxic")).alias("against")), "toxic-words")
+                                               F.sum(1 - F.col("toxic")).alias("against")), "toxic-words", BROAD)
     totals = rows.groupBy("toxic").count().collect()
     by = {r["toxic"]: r["count"] for r in totals}
     if not by.get(1) or not by.get(0):

@@ -13,6 +13,8 @@ import re
 
 import numpy as np
 
+from vigil.llm.common import only
+
 WORD_CACHE = 800_000
 PIECE_CACHE = 1_000_000
 
@@ -139,15 +141,9 @@ class PieceBpe:
         return _by_word(texts, self.words, self._learn, lambda t: b"".join(self.encode(t.split())))
 
 
-_open: dict[tuple[str, str], object] = {}
-
-
 def opened(kind, path: str):
     """One tokenizer of a kind in each Python worker."""
-    key = (kind.__name__, path)
-    if key not in _open:
-        _open[key] = kind(path)
-    return _open[key]
+    return only((kind.__name__, path), lambda: kind(path))
 
 
 def vocabulary(name: str) -> str:

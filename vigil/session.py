@@ -73,11 +73,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/vigil/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
+#: Shuffle partitions to a file, for tables of a few rows of numbers for each document, and for those of one or fewer.
+BROAD, NARROW = 8, 32
+
+
+def materialize(df, name: str, share: int = 1):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return the re-read table.  Cuts lineage (a lost executor re-runs only
-    the scan) and lets several downstream plans share one computation."""
+    the scan) and lets several downstream plans share one computation.
+
+    ``share``: shuffle partitions are sized for the widest rows of a job.  A
+    table of narrow rows has one file for that many of them, and one a core
+    (two where tables are broad) at least: each file costs requests, and on a
+    local disk without Hadoop's native library a ``chmod`` forked from the
+    executor, which counts twice in memory until it starts.
+    """
     spark = df.sparkSession
+    if share > 1:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        cores = spark.sparkContext.defaultParallelism
+        df = df.coalesce(max(cores * (1 if share >= NARROW else 2), -(-partitions // share)))
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
